@@ -13,6 +13,9 @@ POST_TOPIC = "posts"
 TAGGED_TOPIC = "tagged_posts"
 WHITESPACE = " \t\n\x0b\f\r"
 
+# What a driver holds of a model: a few numbers per class.
+MOST_CLASSES = 10_000
+
 # Limits of what is sent to every executor. Larger tables are joined by shuffle.
-BROADCAST_ROWS = 10_000
+BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 64 * 1024 * 1024

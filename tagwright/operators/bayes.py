@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagwright.fixed_values import BROADCAST_BYTES, SMOOTHING
+from tagwright.functions.rows import filled
 from tagwright.functions.text import inverse_frequency, term_rows
-from tagwright.operators.labels import class_list, class_multiplicity, class_table, with_class
+from tagwright.operators.labels import class_list, class_table, labelled_posts, with_class
 from tagwright.operators.terms import ROW_OVERHEAD, TermTable
 from tagwright.session import written
 
@@ -21,7 +22,7 @@ def class_term_counts(posts: DataFrame, tags: DataFrame, vocab: DataFrame) -> Da
     Counts are whole numbers and partly summed before the shuffle. The null term's ``df``
     is the number of rows of the class.
     """
-    labelled = posts.select("Id", "Body").na.drop("any").join(class_multiplicity(tags, vocab), "Id")
+    labelled = labelled_posts(filled(posts.select("Id", "Body")), tags, vocab)
     rows = term_rows(labelled, "classes").withColumn("class", F.explode_outer("classes"))
     n = F.col("class.n")
     return rows.groupBy("term", F.col("class.CatId").alias("CatId")).agg(
@@ -83,7 +84,7 @@ class BayesModel:
             F.transform("tf", lambda n: F.ln((F.col("idf") * n + lam) / lam)).alias("gains"),
         )
         table = TermTable(gains, self.terms.n_terms, self.terms.n_bytes, self.terms.row_bytes)
-        matched = table.attach(term_rows(posts.na.drop("any", subset=["Body"]), "Id"), max_broadcast)
+        matched = table.attach(term_rows(filled(posts, "Body"), "Id"), max_broadcast)
         x = F.col("tf") * F.col("idf")
         places = range(len(self.class_ids))
         sums = matched.groupBy("Id").agg(
@@ -150,30 +151,40 @@ def fit_bayes(posts: DataFrame, tags: DataFrame, vocab: DataFrame, smoothing: fl
     table = written(
         counts.groupBy("term").agg(F.sum("df").alias("df"), F.array(*per_class).alias("tf")), "class-terms"
     )
-    total = table.where("term IS NULL").first()
-    if total is None:
+    # One row of sums has it all: the null term's counts are the numbers of rows, and the weight of a
+    # class is the sum of idf * tf = ln(rows + 1) * tf - ln(df + 1) * tf over its terms.
+    known = F.col("term").isNotNull()
+    sums = table.agg(
+        F.max(F.when(~known, F.struct("df", "tf"))).alias("rows"),
+        F.count("term").alias("n_terms"),
+        F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("text_bytes"),
+        *[F.sum(F.when(known, F.col("tf")[at])).alias(f"tf{at}") for at in range(len(classes))],
+        *[F.sum(F.when(known, F.ln(F.col("df") + 1) * F.col("tf")[at])).alias(f"w{at}") for at in range(len(classes))],
+    ).first()
+    if sums["rows"] is None:
         raise ValueError("no post has a tag of the vocabulary")
-    seen = [at for at, n in enumerate(total["tf"]) if n]
-    terms = table.where("term IS NOT NULL").select(
+    n_rows, per_class_rows = sums["rows"]
+    seen = [at for at, n in enumerate(per_class_rows) if n]
+    terms = table.where(known).select(
         "term",
         "df",
-        inverse_frequency(F.lit(total["df"]), F.col("df")).alias("idf"),
+        inverse_frequency(F.lit(n_rows), F.col("df")).alias("idf"),
         F.array(*[F.col("tf")[at] for at in seen]).alias("tf"),
     )
-    weights = terms.agg(*[F.coalesce(F.sum(F.col("idf") * F.col("tf")[at]), F.lit(0.0)) for at in range(len(seen))]).first()
+    width = ROW_OVERHEAD + 8 * len(seen)
     return BayesModel(
-        terms=TermTable.measure(terms, ROW_OVERHEAD + 8 * len(seen)),
+        terms=TermTable(terms, sums["n_terms"], sums["text_bytes"] + sums["n_terms"] * width, width),
         class_ids=[classes[at][0] for at in seen],
         tags=[classes[at][1] for at in seen],
-        class_rows=[total["tf"][at] for at in seen],
-        class_weights=list(weights),
+        class_rows=[per_class_rows[at] for at in seen],
+        class_weights=[math.log(n_rows + 1) * (sums[f"tf{at}"] or 0) - (sums[f"w{at}"] or 0.0) for at in seen],
         smoothing=smoothing,
     )
 
 
 def class_priors(posts: DataFrame, tags: DataFrame, vocab: DataFrame, smoothing: float = SMOOTHING) -> DataFrame:
     """``(CatId, Tag, n_rows, log_prior)`` of the classes that have training rows."""
-    rows = with_class(tags.na.drop("any"), vocab).join(posts.na.drop("any").select("Id"), "Id")
+    rows = with_class(filled(tags), vocab).join(filled(posts).select("Id"), "Id")
     counts = rows.groupBy(F.col("CatId").cast("int").alias("CatId"), "Tag").agg(F.count("*").alias("n_rows"))
     # The window sees one row per class.
     every = Window.partitionBy()

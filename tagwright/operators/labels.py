@@ -1,13 +1,18 @@
-"""Tags, the label vocabulary and labelled training rows."""
+"""Tags, the label vocabulary and labelled training rows.
+
+Joins with a vocabulary carry no broadcast hint: its size is known to Spark, from its limit or as a local table,
+and is checked against the session's broadcast threshold.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tagwright.fixed_values import BROADCAST_ROWS, MOST_CLASSES, TRAIN_SHARE
 from tagwright.functions.keys import in_training
-from tagwright.fixed_values import BROADCAST_ROWS, TRAIN_SHARE
-from tagwright.session import small
+from tagwright.functions.rows import filled
+from tagwright.session import written
 
 
 def unpivot_tags(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -25,15 +30,14 @@ def label_vocab(tags: DataFrame, k: int) -> DataFrame:
     top = tag_counts(tags).orderBy(F.desc("n"), "Tag").limit(k)
     # The window sees k rows only.
     rank = F.row_number().over(Window.orderBy(F.desc("n"), "Tag"))
-    vocab = top.select((rank - 1).alias("catId"), "Tag", "n")
-    return F.broadcast(vocab) if k <= BROADCAST_ROWS else vocab
+    return top.select((rank - 1).alias("catId"), "Tag", "n")
 
 
 def class_list(vocab: DataFrame) -> list[tuple[int, str]]:
     """The vocabulary as (class id, tag) pairs; a model holds a few numbers for each of them."""
-    rows = vocab.select(F.col("catId").cast("int").alias("catId"), "Tag").orderBy("catId").take(BROADCAST_ROWS + 1)
-    if len(rows) > BROADCAST_ROWS:
-        raise ValueError(f"a model can have {BROADCAST_ROWS} classes at most")
+    rows = vocab.select(F.col("catId").cast("int").alias("catId"), "Tag").orderBy("catId").take(MOST_CLASSES + 1)
+    if len(rows) > MOST_CLASSES:
+        raise ValueError(f"a model can have {MOST_CLASSES} classes at most")
     return [(row["catId"], row["Tag"]) for row in rows]
 
 
@@ -46,38 +50,61 @@ def class_table(classes: list[tuple[int, str]], spark: SparkSession) -> DataFram
 
 def select_tags(tags: DataFrame, vocab: DataFrame) -> DataFrame:
     """The tag rows whose tag is in the vocabulary, without rows that have a null."""
-    return tags.na.drop("any").join(small(vocab.select("Tag")), "Tag", "left_semi").select("Id", "Tag")
+    return filled(tags).join(vocab.select("Tag"), "Tag", "left_semi").select("Id", "Tag")
 
 
 def training_rows(tags: DataFrame, posts: DataFrame, vocab: DataFrame) -> DataFrame:
     """One ``(Tag, Body, Id)`` row for each selected tag of each post, without nulls."""
     chosen = select_tags(tags, vocab)
-    return chosen.join(posts.select("Id", "Body").na.drop("any"), "Id").select("Tag", "Body", "Id")
+    return chosen.join(filled(posts.select("Id", "Body")), "Id").select("Tag", "Body", "Id")
 
 
 def with_class(rows: DataFrame, vocab: DataFrame) -> DataFrame:
     """Add the class id of each row's tag; rows with an unknown tag go."""
     ids = vocab.select("Tag", F.col("catId").cast("double").alias("CatId"))
-    return rows.join(small(ids), "Tag")
+    return rows.join(ids, "Tag")
 
 
 def with_tag(rows: DataFrame, vocab: DataFrame, class_column: str = "CatId", tag_column: str = "tags") -> DataFrame:
     """Add the tag of each row's class id, null where the id is unknown."""
     names = vocab.select(F.col("catId").cast("int").alias("_class"), F.col("Tag").alias(tag_column))
-    matched = rows.join(small(names), rows[class_column].cast("int") == F.col("_class"), "left")
+    matched = rows.join(names, rows[class_column].cast("int") == F.col("_class"), "left")
     return matched.drop("_class")
 
 
-def class_multiplicity(tags: DataFrame, vocab: DataFrame) -> DataFrame:
+def post_classes(tags: DataFrame, vocab: DataFrame) -> DataFrame:
     """``(Id, classes)``: the class ids of a post, each with the number of its tag rows.
 
     The list has at most as many entries as the vocabulary, whatever the number of tag rows.
     """
-    ids = small(vocab.select("Tag", F.col("catId").cast("int").alias("CatId")))
-    pairs = tags.na.drop("any").join(ids, "Tag").groupBy("Id", "CatId").agg(F.count("*").alias("n"))
+    ids = vocab.select("Tag", F.col("catId").cast("int").alias("CatId"))
+    pairs = filled(tags).join(ids, "Tag").groupBy("Id", "CatId").agg(F.count("*").alias("n"))
     return pairs.groupBy("Id").agg(F.collect_list(F.struct("CatId", "n")).alias("classes"))
 
 
+def labelled_posts(posts: DataFrame, tags: DataFrame, vocab: DataFrame) -> DataFrame:
+    """``posts`` that have a tag of the vocabulary, once each, with their ``classes``.
+
+    The classes are written and counted: if they are few they are broadcast and the texts stay in place,
+    else both sides are partitioned by post, and the texts need no sort.
+    """
+    classes = written(post_classes(tags, vocab), "post-classes")
+    few = classes.count() <= BROADCAST_ROWS
+    return posts.join(F.broadcast(classes) if few else classes.hint("shuffle_hash"), "Id")
+
+
+def class_rows(labelled: DataFrame, *keep: str) -> DataFrame:
+    """One row ``(*keep, CatId)`` per tag row of each post.
+
+    Repeats of a tag row are unfolded in two steps, so that no list of them gets long.
+    """
+    step = 4096
+    pairs = labelled.select(*keep, F.explode_outer("classes").alias("c"))
+    parts = pairs.select(*keep, "c", F.explode_outer(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("c.n") - 1) / step))).alias("part"))
+    left = F.least(F.lit(step).cast("bigint"), F.col("c.n") - F.col("part") * step)
+    return parts.select(*keep, F.col("c.CatId").alias("CatId"), F.explode_outer(F.sequence(F.lit(1).cast("bigint"), left)).alias("at")).drop("at")
+
+
 def split_by_key(df: DataFrame, key: str = "Id", share: float = TRAIN_SHARE) -> tuple[DataFrame, DataFrame]:
     """Training and held-out rows; all rows of a key fall on the same side."""
     chosen = in_training(F.col(key), share)
@@ -86,4 +113,4 @@ def split_by_key(df: DataFrame, key: str = "Id", share: float = TRAIN_SHARE) ->
 
 def tag_sets(tags: DataFrame) -> DataFrame:
     """``(Id, tags)``: the distinct tags of each post in order."""
-    return tags.na.drop("any").groupBy("Id").agg(F.sort_array(F.collect_set("Tag")).alias("tags"))
+    return filled(tags).groupBy("Id").agg(F.sort_array(F.collect_set("Tag")).alias("tags"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagwright.fixed_values import BROADCAST_BYTES, HASH_SLOTS
+from tagwright.functions.rows import filled
 from tagwright.functions.text import inverse_frequency, term_rows, words
 from tagwright.session import written
 
@@ -18,19 +19,19 @@ ROW_OVERHEAD = 64
 
 
 def tokenize(posts: DataFrame) -> DataFrame:
-    return posts.na.drop("any", subset=["Body"]).withColumn("Words", words(F.col("Body")))
+    return filled(posts, "Body").withColumn("Words", words(F.col("Body")))
 
 
 def term_frequency(posts: DataFrame) -> DataFrame:
     """``(Id, term, tf)`` for each distinct word of each post."""
-    filled = posts.na.drop("any", subset=["Body"])
-    return term_rows(filled, "Id").where("term IS NOT NULL")
+    complete = filled(posts, "Body")
+    return term_rows(complete, "Id").where("term IS NOT NULL")
 
 
 def document_frequency(posts: DataFrame) -> DataFrame:
     """``(term, df)``, partly counted before the shuffle. The null term has the number of posts."""
-    filled = posts.na.drop("any", subset=["Body"])
-    return term_rows(filled).groupBy("term").agg(F.count("*").alias("df"))
+    complete = filled(posts, "Body")
+    return term_rows(complete).groupBy("term").agg(F.count("*").alias("df"))
 
 
 @dataclass(frozen=True)
@@ -89,7 +90,7 @@ def tf_idf(posts: DataFrame, idf: TermTable) -> DataFrame:
 
 def hashed_features(posts: DataFrame, slots: int = HASH_SLOTS) -> DataFrame:
     """Add ``Features``, the counts of a post's words in ``slots`` hashed slots."""
-    tokens = Tokenizer(inputCol="Body", outputCol="Words").transform(posts.na.drop("any", subset=["Body"]))
+    tokens = Tokenizer(inputCol="Body", outputCol="Words").transform(filled(posts, "Body"))
     hashed = HashingTF(inputCol="Words", outputCol="Features", numFeatures=slots).transform(tokens)
     return hashed.drop("Words")
 

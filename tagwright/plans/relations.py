@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagwright.operators.labels import label_vocab, unpivot_tags
+from tagwright.operators.labels import class_list, class_table, label_vocab, unpivot_tags
 from tagwright.session import spread
 
 VOCAB_SIZE = 10
@@ -33,7 +33,8 @@ def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return label_vocab(tags(spark, sf_dir), VOCAB_SIZE).drop("n")
+    """``(catId, Tag)`` of the most frequent tags, counted once and then a local table."""
+    return class_table(class_list(label_vocab(tags(spark, sf_dir), VOCAB_SIZE)), spark)
 
 
 def full_posts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,10 +14,8 @@ from pyspark.sql import functions as F
 
 from tagwright.fixed_values import HASH_SLOTS, SMOOTHING
 from tagwright.operators.evaluation import accuracy, accuracy_any
-from tagwright.operators.labels import class_list, class_table, with_class
-
-HELPERS = ["Words", "Features", "IDF_features", "rawPrediction", "probability", "prediction"]
-
+from tagwright.functions.rows import filled
+from tagwright.operators.labels import class_list, class_rows, class_table, labelled_posts, with_class
 
 @dataclass(frozen=True)
 class HashedModel:
@@ -28,7 +26,7 @@ class HashedModel:
 
     def transform(self, posts: DataFrame) -> DataFrame:
         """The posts with all columns of the pipeline; posts without a text go. Works on streams too."""
-        return self.pipeline.transform(posts.na.drop("any", subset=["Body"]))
+        return self.pipeline.transform(filled(posts, "Body"))
 
     def predict(self, posts: DataFrame, confidence: bool = False) -> DataFrame:
         """The posts with their predicted ``tags``, and on request the class's ``confidence``."""
@@ -47,40 +45,45 @@ def train_hashed(
     slots: int = HASH_SLOTS,
     smoothing: float = SMOOTHING,
 ) -> HashedModel:
-    """Fit tokenizer, hashed term frequency, IDF and Naive Bayes on the (post, tag) rows.
+    """Fit tokenizer, hashed term frequency, IDF and Naive Bayes on the (post, tag) rows."""
+    classes = class_list(vocab)
+    labelled = labelled_posts(filled(posts.select("Id", "Body")), tags, class_table(classes, posts.sparkSession))
+    return fit_hashed(labelled, classes, slots, smoothing)
+
+
+def fit_hashed(
+    labelled: DataFrame, classes: list[tuple[int, str]], slots: int = HASH_SLOTS, smoothing: float = SMOOTHING
+) -> HashedModel:
+    """Fit on posts ``(Body, classes)``, where ``classes`` lists each ``CatId`` with its number of tag rows.
 
-    Texts are hashed once per post and then joined with their tags; both fits read the kept result.
-    MLlib predicts the position of a class among those it saw, so classes are numbered
-    densely over the tags that have training rows.
+    Texts are hashed once per post, and the fits read the kept result. MLlib predicts the
+    position of a class among those it saw, so classes are numbered densely over those with training rows.
     """
-    spark = posts.sparkSession
     tokenizer = Tokenizer(inputCol="Body", outputCol="Words")
     hashing = HashingTF(inputCol="Words", outputCol="Features", numFeatures=slots)
-    hashed = hashing.transform(tokenizer.transform(posts.select("Id", "Body").na.drop("any")))
-
-    numbered = class_list(vocab)
-    labels = with_class(tags.na.drop("any"), class_table(numbered, spark)).select("Id", "CatId")
-    rows = hashed.select("Id", "Features").join(labels, "Id").persist(StorageLevel.MEMORY_AND_DISK)
+    hashed = hashing.transform(tokenizer.transform(labelled)).select("Features", "classes")
+    hashed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        present = {int(row["CatId"]) for row in rows.groupBy("CatId").count().collect()}
-        if not present:
+        rows = class_rows(hashed, "Features")
+        seen = {row["CatId"] for row in rows.groupBy("CatId").count().collect()}
+        if not seen:
             raise ValueError("no post has a tag of the vocabulary")
-        classes = [(cat_id, tag) for cat_id, tag in numbered if cat_id in present]
-        place = F.array_position(F.lit([cat_id for cat_id, _ in classes]), F.col("CatId").cast("int")) - 1
+        present = [(cat_id, tag) for cat_id, tag in classes if cat_id in seen]
+        place = F.array_position(F.lit([cat_id for cat_id, _ in present]), F.col("CatId")) - 1
         dense = rows.select("Features", place.cast("double").alias("label"))
         idf = IDF(inputCol="Features", outputCol="IDF_features").fit(dense)
         bayes = NaiveBayes(
             smoothing=smoothing, modelType="multinomial", labelCol="label", featuresCol="IDF_features"
         ).fit(idf.transform(dense))
     finally:
-        rows.unpersist()
-    return HashedModel(PipelineModel([tokenizer, hashing, idf, bayes]), classes)
+        hashed.unpersist()
+    return HashedModel(PipelineModel([tokenizer, hashing, idf, bayes]), present)
 
 
 def true_rows(predicted: DataFrame, tags: DataFrame, vocab: DataFrame) -> DataFrame:
     """One row per (post, selected tag) with the true ``CatId`` and the ``prediction`` as class ids."""
     known = class_table(class_list(vocab), tags.sparkSession)
-    truth = with_class(tags.na.drop("any"), known).select("Id", "CatId")
+    truth = with_class(filled(tags), known).select("Id", "CatId")
     named = predicted.select("Id", F.col("tags").alias("Tag"))
     return with_class(named, known).select("Id", F.col("CatId").alias("prediction")).join(truth, "Id")
 

@@ -1,4 +1,4 @@
-"""Helpers that depend on the session: shared folder, input spreading, checked broadcasts."""
+"""Helpers that depend on the session: shared folder and input spreading."""
 
 from __future__ import annotations
 
@@ -6,9 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from tagwright.fixed_values import BROADCAST_ROWS
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -49,10 +46,3 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(2 * cores, *keys)
-
-
-def small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast if a bounded count shows that it has few rows."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        return df
-    return F.broadcast(df)

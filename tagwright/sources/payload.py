@@ -8,6 +8,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tagwright import schemas
 from tagwright.fixed_values import ABSENT, DATE_FORMAT
+from tagwright.functions.rows import filled
 
 
 def parsed(messages: DataFrame, schema: StructType = schemas.POST) -> DataFrame:
@@ -49,8 +50,7 @@ def normalize_submissions(forms: DataFrame, now: Column | None = None) -> DataFr
     """
     arrived = F.current_timestamp() if now is None else now
     absent = F.lit(ABSENT)
-    filled = forms.na.drop("any", subset=["posts", "id", "userid"])
-    return filled.select(
+    return filled(forms, "posts", "id", "userid").select(
         F.col("id").cast("string").alias("Id"),
         absent.alias("Title"),
         F.col("posts").alias("Body"),

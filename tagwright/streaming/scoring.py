@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
 from tagwright.fixed_values import REFRESH_SECONDS, TRIGGER
+from tagwright.functions.rows import filled
 from tagwright.operators.bayes import BayesModel
 from tagwright.plans.model_store import ModelStore
 from tagwright.plans.training import HashedModel
@@ -24,8 +25,8 @@ def tag_posts(model: HashedModel | BayesModel, posts: DataFrame) -> DataFrame:
     """The posts of a batch with their predicted ``tags``."""
     if isinstance(model, HashedModel):
         return model.predict(posts)
-    filled = posts.na.drop("any", subset=["Id", "Body"])
-    return filled.join(model.predict(filled).select("Id", "tags"), "Id").select(*posts.columns, "tags")
+    complete = filled(posts, "Id", "Body")
+    return complete.join(model.predict(complete).select("Id", "tags"), "Id").select(*posts.columns, "tags")
 
 
 class ModelFeed:
