@@ -1,7 +1,7 @@
 """Tags, the label vocabulary and labelled training rows.
 
-Joins with a vocabulary carry no broadcast hint: its size is known to Spark, from its limit or as a local table,
-and is checked against the session's broadcast threshold.
+A vocabulary made here has a proven size and is broadcast wherever it is joined, so that the rows of a
+frequent tag never meet in one task. Any other table passed as a vocabulary is joined as Spark sees fit.
 """
 
 from __future__ import annotations
@@ -30,22 +30,27 @@ def label_vocab(tags: DataFrame, k: int) -> DataFrame:
     top = tag_counts(tags).orderBy(F.desc("n"), "Tag").limit(k)
     # The window sees k rows only.
     rank = F.row_number().over(Window.orderBy(F.desc("n"), "Tag"))
-    return top.select((rank - 1).alias("catId"), "Tag", "n")
+    vocab = top.select((rank - 1).alias("catId"), "Tag", "n")
+    return F.broadcast(vocab) if k <= MOST_CLASSES else vocab
 
 
 def class_list(vocab: DataFrame) -> list[tuple[int, str]]:
     """The vocabulary as (class id, tag) pairs; a model holds a few numbers for each of them."""
     rows = vocab.select(F.col("catId").cast("int").alias("catId"), "Tag").orderBy("catId").take(MOST_CLASSES + 1)
-    if len(rows) > MOST_CLASSES:
-        raise ValueError(f"a model can have {MOST_CLASSES} classes at most")
-    return [(row["catId"], row["Tag"]) for row in rows]
+    return bounded([(row["catId"], row["Tag"]) for row in rows])
 
 
 def class_table(classes: list[tuple[int, str]], spark: SparkSession) -> DataFrame:
     """``(catId, Tag)`` from (class id, tag) pairs."""
-    ids, names = [cat_id for cat_id, _ in classes], [tag for _, tag in classes]
+    ids, names = [cat_id for cat_id, _ in classes], [tag for _, tag in bounded(classes)]
     pairs = F.arrays_zip(F.lit(ids).cast("array<int>").alias("catId"), F.lit(names).cast("array<string>").alias("Tag"))
-    return spark.range(1).select(F.inline(pairs))
+    return F.broadcast(spark.range(1, numPartitions=1).select(F.inline(pairs)))
+
+
+def bounded(classes: list) -> list:
+    if len(classes) > MOST_CLASSES:
+        raise ValueError(f"a model can have {MOST_CLASSES} classes at most")
+    return classes
 
 
 def select_tags(tags: DataFrame, vocab: DataFrame) -> DataFrame:

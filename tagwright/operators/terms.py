@@ -13,8 +13,7 @@ from tagwright.functions.rows import filled
 from tagwright.functions.text import inverse_frequency, term_rows, words
 from tagwright.session import written
 
-# What a term may take up, in bytes, to be among those sent to every executor.
-LONGEST_HOT_TERM = 256
+# What a row of a term table takes up besides the term and its arrays, in bytes.
 ROW_OVERHEAD = 64
 
 
@@ -54,22 +53,29 @@ class TermTable:
     def attach(self, tokens: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
         """Left join of ``tokens`` with this table on ``term``.
 
-        A table within ``max_bytes`` is broadcast. Of a larger one, the most frequent terms
-        are broadcast, as many as fit whatever their length, so that the bulk of the tokens stays
-        in place; the other terms are rare ones, and only their tokens are shuffled.
+        A table within ``max_bytes`` is broadcast. Of a larger one the most frequent terms are
+        broadcast, as many as fit, so that the bulk of the tokens stays in place; the other terms are rare
+        ones, and only their tokens are shuffled.
         """
         if self.n_bytes <= max_bytes:
             return tokens.join(F.broadcast(self.rows), "term", "left")
-        fitting = max_bytes // (LONGEST_HOT_TERM + self.row_bytes)
-        hot = (
-            self.rows.where(F.octet_length("term") <= LONGEST_HOT_TERM)
-            .orderBy(F.desc("df"), "term")
-            .limit(fitting)
-        )
+        hot = self.rows.where(F.col("df") >= self.hot_df(max_bytes))
         frequent = tokens.join(F.broadcast(hot), "term")
         rare = tokens.join(F.broadcast(hot.select("term")), "term", "left_anti")
         return frequent.unionByName(rare.join(self.rows.hint("merge"), "term", "left"))
 
+    def hot_df(self, max_bytes: int) -> int:
+        """The least power of two for which the terms of at least that ``df`` take ``max_bytes`` or less."""
+        size = F.sum(F.octet_length("term") + self.row_bytes)
+        levels = self.rows.groupBy(F.length(F.bin("df")).alias("bits")).agg(size.alias("n_bytes"))
+        # One row per length of a number in binary digits, 63 at most.
+        by_bits = {row["bits"]: row["n_bytes"] for row in levels.collect()}
+        left, bits = max_bytes, 63
+        while bits and by_bits.get(bits, 0) <= left:
+            left -= by_bits.get(bits, 0)
+            bits -= 1
+        return 2**bits
+
 
 def inverse_document_frequency(posts: DataFrame) -> TermTable:
     """``(term, df, idf)`` for the words of ``posts``, written to the shared folder."""

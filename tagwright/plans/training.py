@@ -13,9 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagwright.fixed_values import HASH_SLOTS, SMOOTHING
-from tagwright.operators.evaluation import accuracy, accuracy_any
 from tagwright.functions.rows import filled
-from tagwright.operators.labels import class_list, class_rows, class_table, labelled_posts, with_class
+from tagwright.operators.labels import class_list, class_rows, class_table, labelled_posts, select_tags, with_class
 
 @dataclass(frozen=True)
 class HashedModel:
@@ -91,14 +90,18 @@ def true_rows(predicted: DataFrame, tags: DataFrame, vocab: DataFrame) -> DataFr
 def evaluate(predicted: DataFrame, tags: DataFrame, vocab: DataFrame, baseline: float) -> DataFrame:
     """One row with the accuracy over (post, tag) rows, over posts, and relative to ``baseline``.
 
-    ``predicted`` has ``(Id, tags)`` for held-out posts.
+    ``predicted`` has ``(Id, tags)`` for held-out posts. Posts are scored once for all measures.
     """
-    by_row = accuracy(true_rows(predicted, tags, vocab))
-    selected = tags.join(F.broadcast(class_table(class_list(vocab), tags.sparkSession)), "Tag", "left_semi")
-    by_post = accuracy_any(predicted, selected)
-    return by_row.select(
-        F.lit(1).alias("one"), F.col("n").alias("n_rows"), "accuracy", (F.col("accuracy") / baseline).alias("relative")
-    ).join(
-        by_post.select(F.lit(1).alias("one"), F.col("n").alias("n_posts"), F.col("accuracy").alias("accuracy_any")),
-        "one",
-    ).drop("one")
+    truth = select_tags(tags, class_table(class_list(vocab), tags.sparkSession))
+    hit = (F.col("Tag") == F.col("tags")).cast("int")
+    per_post = truth.join(predicted.select("Id", "tags"), "Id").groupBy("Id").agg(
+        F.count("*").alias("n"), F.sum(hit).alias("hits")
+    )
+    right = F.sum("hits") / F.sum("n")
+    return per_post.agg(
+        F.sum("n").alias("n_rows"),
+        right.alias("accuracy"),
+        (right / baseline).alias("relative"),
+        F.count("*").alias("n_posts"),
+        F.avg((F.col("hits") > 0).cast("double")).alias("accuracy_any"),
+    )

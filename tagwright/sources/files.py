@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tagwright import schemas
-from tagwright.operators.labels import class_table
 from tagwright.fixed_values import MOST_CLASSES
+from tagwright.operators.labels import bounded, class_table
 
 
 def read_posts(spark: SparkSession, path: str, schema: StructType = schemas.POST) -> DataFrame:
@@ -26,8 +26,6 @@ def read_label_vocab(spark: SparkSession, path: str) -> DataFrame:
 
     A repeated tag counts with its last line. One file holds the labels, a bounded number of them.
     """
-    lines = spark.read.schema(schemas.LABEL).option("escape", '"').csv(path).take(MOST_CLASSES + 1)
-    if len(lines) > MOST_CLASSES:
-        raise ValueError(f"a vocabulary can have {MOST_CLASSES} labels at most")
+    lines = bounded(spark.read.schema(schemas.LABEL).option("escape", '"').csv(path).take(MOST_CLASSES + 1))
     last = {row["Tag"]: at for at, row in enumerate(lines) if row["Tag"] is not None}
     return class_table(sorted((at, tag) for tag, at in last.items()), spark)

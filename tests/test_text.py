@@ -60,15 +60,16 @@ def test_counting_terms_does_not_shuffle(spark):
     assert "Exchange" not in plan
 
 
-def test_idf_keeps_rare_and_hot_terms_alike(spark):
+def test_rare_and_hot_terms_get_the_same_weights(spark):
     many = posts(spark, ["the cat", "the dog", "the the bird", "dog the", None])
     idf = terms.inverse_document_frequency(many)
     whole = sorted(terms.tf_idf(many, idf).collect())
-    assert whole
-    # Room for a single hot term: the others are joined by shuffle.
+    assert len(whole) == 8
     tokens = terms.term_frequency(many)
-    split = idf.attach(tokens, max_bytes=terms.LONGEST_HOT_TERM + idf.row_bytes)
-    assert sorted(split.select("Id", "term", (F.col("tf") * F.col("idf")).alias("weight")).collect()) == whole
+    for room, least in ((0, 8), (70, 4), (140, 2), (10_000, 1)):
+        assert idf.hot_df(room) == least
+        split = idf.attach(tokens, max_bytes=min(room, idf.n_bytes - 1))
+        assert sorted(split.select("Id", "term", (F.col("tf") * F.col("idf")).alias("weight")).collect()) == whole
 
 
 def murmur3(data: bytes, seed: int = 42) -> int:
