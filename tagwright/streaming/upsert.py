@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructField, StructType
 
+from tagwright.fixed_values import BROADCAST_ROWS
 from tagwright.operators.keyed import merge_newest_fields, newest, newest_fields, plain_fields
 
 MANIFEST = "through BIGINT"
@@ -81,18 +82,25 @@ class KeyedTable:
         return self.spark.read.schema(with_batch).option("basePath", f"{self.path}/log").parquet(f"{self.path}/log")
 
     def _state(self, through: int | None = None) -> DataFrame:
-        """One state per key: the newest snapshot and the log after it, up to batch ``through``."""
+        """One state per key: the newest snapshot and the log after it, up to batch ``through``.
+
+        While the log has few keys, the rest of the snapshot is read as it is, without a shuffle.
+        """
         done = self.snapshot()
-        parts = []
-        if done >= 0:
-            parts.append(self.spark.read.schema(self.state_schema).parquet(f"{self.path}/snapshot/through={done}"))
+        log = self.spark.createDataFrame([], self.state_schema)
         if self._exists(f"{self.path}/log"):
-            log = self._log().where(F.col("batch_id") > done)
-            parts.append((log if through is None else log.where(F.col("batch_id") <= through)).drop("batch_id"))
-        states = parts[0] if parts else self.spark.createDataFrame([], self.state_schema)
-        for part in parts[1:]:
-            states = states.unionByName(part)
-        return merge_newest_fields(states, self.key)
+            after = self._log().where(F.col("batch_id") > done)
+            log = (after if through is None else after.where(F.col("batch_id") <= through)).drop("batch_id")
+        if done < 0:
+            return merge_newest_fields(log, self.key)
+        snapshot = self.spark.read.schema(self.state_schema).parquet(f"{self.path}/snapshot/through={done}")
+        changed = log.select(self.key).distinct()
+        if changed.count() > BROADCAST_ROWS:
+            return merge_newest_fields(snapshot.unionByName(log), self.key)
+        keys = F.broadcast(changed)
+        old = snapshot.join(keys, self.key, "left_semi")
+        same = snapshot.join(keys, self.key, "left_anti")
+        return same.unionByName(merge_newest_fields(old.unionByName(log), self.key))
 
     def read(self) -> DataFrame:
         """The rows of the table now."""

@@ -22,6 +22,16 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def plain(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else (0.0 if value == 0 else value)
@@ -34,10 +44,12 @@ def rows_of(names, rows):
 
 
 def difference(frame, connection, sql) -> str | None:
-    """What differs, or None if column names and all values agree."""
+    """What differs, or None if column names, types and all values agree."""
     relation = connection.sql(sql)
-    if sorted(frame.columns) != sorted(relation.columns):
-        return f"columns {sorted(frame.columns)} and {sorted(relation.columns)}"
+    our_types = sorted((name, TYPES[kind]) for name, kind in frame.dtypes)
+    their_types = sorted(zip(relation.columns, map(str, relation.types)))
+    if our_types != their_types:
+        return f"columns {our_types} and {their_types}"
     ours = rows_of(frame.columns, frame.collect())
     theirs = rows_of(relation.columns, relation.fetchall())
     if len(ours) != len(theirs):

@@ -9,6 +9,7 @@ from tagwright.plans.training import train_hashed
 from tagwright.schemas import STORED_POST, TAGGED_POST
 from tagwright.sources import messages, payload
 from tagwright.streaming.scoring import ModelFeed, batch_folders, score_batches, tag_posts, trigger
+from tagwright.streaming import upsert
 from tagwright.streaming.upsert import KeyedTable
 
 POSTS = [(str(n), text) for n, text in enumerate(["red apple", "red rose", "blue sky", "blue sea"])]
@@ -134,9 +135,11 @@ def keyed_table(spark, tmp_path, merge):
     return KeyedTable(spark, str(tmp_path / f"table-{merge}"), schema, "Id", ["seq"], merge)
 
 
-@pytest.mark.parametrize("merge", [False, True])
-def test_batches_in_any_order_with_compaction(spark, tmp_path, merge):
+@pytest.mark.parametrize("merge, few_keys", [(False, True), (True, True), (True, False)])
+def test_batches_in_any_order_with_compaction(spark, tmp_path, monkeypatch, merge, few_keys):
     """Batches out of order, one written twice, and snapshots in between: the result is the batch operator's."""
+    if not few_keys:
+        monkeypatch.setattr(upsert, "BROADCAST_ROWS", 0)
     rows = random_updates()
     table = keyed_table(spark, tmp_path, merge)
     assert table.read().count() == 0 and table.compact() is None
@@ -173,6 +176,17 @@ def test_tagged_stream_into_both_tables(spark, tmp_path):
     assert found == {False: ("1", None, "x"), True: ("1", "t1", "x")}
 
 
+def test_unchanged_keys_are_read_without_a_shuffle(spark, tmp_path):
+    table = keyed_table(spark, tmp_path, False)
+    for batch_id in range(3):
+        table.write_batch(spark.createDataFrame([(str(batch_id), "t", None, 1), ("9", "t", None, batch_id)], SCHEMA), batch_id)
+    table.compact()
+    plan = table.read()._jdf.queryExecution().executedPlan().toString()
+    above_the_keys = plan[: plan.index("BroadcastExchange")]
+    assert "LeftAnti" in above_the_keys and "Exchange" not in above_the_keys
+    assert sorted((row["Id"], row["seq"]) for row in table.read().collect()) == [("0", 1), ("1", 1), ("2", 1), ("9", 2)]
+
+
 def test_reader_sees_only_filled_log(spark, tmp_path):
     table = keyed_table(spark, tmp_path, False)
     table.write_batch(spark.createDataFrame([("1", "t", None, 1)], SCHEMA), 7)
