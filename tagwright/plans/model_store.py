@@ -45,7 +45,7 @@ class ModelStore:
         version = (self.latest() or 0) + 1
         folder = self._folder(version)
         if isinstance(model, HashedModel):
-            model.pipeline.write().overwrite().save(f"{folder}/pipeline")
+            model.pipeline.write().overwrite().save(f"{folder}/stages")
             rows = [(cat_id, tag, None, None) for cat_id, tag in model.classes]
             kind, smoothing = "hashed", None
         else:
@@ -68,7 +68,7 @@ class ModelStore:
         # A model has a bounded number of classes.
         classes = self.spark.read.schema(CLASSES).parquet(f"{folder}/classes").orderBy("CatId").take(MOST_CLASSES)
         if entry["kind"] == "hashed":
-            pipeline = PipelineModel.load(f"{folder}/pipeline")
+            pipeline = PipelineModel.load(f"{folder}/stages")
             return HashedModel(pipeline, [(row["CatId"], row["Tag"]) for row in classes])
         terms = self.spark.read.parquet(f"{folder}/terms")
         return BayesModel(

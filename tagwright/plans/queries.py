@@ -176,76 +176,77 @@ def hashing_tf(spark, sf_dir):
 # Models
 
 
-def fit_exact(spark, sf_dir) -> bayes.BayesModel:
-    training, _ = labels.split_by_key(given.posts(spark, sf_dir))
-    return bayes.fit_bayes(training, given.tags(spark, sf_dir), given.vocab(spark, sf_dir))
+def tags_and_vocab(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    return given.tags(spark, sf_dir), given.vocab(spark, sf_dir)
 
 
-def fit_hashed(spark, sf_dir) -> HashedModel:
-    training, _ = labels.split_by_key(given.posts(spark, sf_dir))
-    return train_hashed(training, given.tags(spark, sf_dir), given.vocab(spark, sf_dir))
+def fit_exact(spark, sf_dir) -> tuple[bayes.BayesModel, DataFrame]:
+    """A model of the training posts, and the held-out posts."""
+    training, held_out = labels.split_by_key(given.posts(spark, sf_dir))
+    return bayes.fit_bayes(training, *tags_and_vocab(spark, sf_dir)), held_out
 
 
-def held_out(spark, sf_dir) -> DataFrame:
-    return labels.split_by_key(given.posts(spark, sf_dir))[1]
+def fit_hashed(spark, sf_dir) -> tuple[HashedModel, DataFrame]:
+    training, held_out = labels.split_by_key(given.posts(spark, sf_dir))
+    return train_hashed(training, *tags_and_vocab(spark, sf_dir)), held_out
 
 
 @query
 def class_prior(spark, sf_dir):
     training, _ = labels.split_by_key(given.posts(spark, sf_dir))
-    vocab = given.vocab(spark, sf_dir)
-    return bayes.class_priors(training, given.tags(spark, sf_dir), vocab).select(
-        "CatId", "Tag", "n_rows", rounded("log_prior")
-    )
+    priors = bayes.class_priors(training, *tags_and_vocab(spark, sf_dir))
+    return priors.select("CatId", "Tag", "n_rows", rounded("log_prior"))
 
 
 @query
 def class_term_weight(spark, sf_dir):
-    fitted = fit_exact(spark, sf_dir).log_likelihoods()
-    return fitted.select("CatId", "term", rounded("weight", SCORE_DIGITS), rounded("log_likelihood"))
+    model, _ = fit_exact(spark, sf_dir)
+    return model.log_likelihoods().select("CatId", "term", rounded("weight", SCORE_DIGITS), rounded("log_likelihood"))
 
 
 @query
 def nb_scores(spark, sf_dir):
-    scored = fit_exact(spark, sf_dir).score_rows(held_out(spark, sf_dir))
-    return scored.select("Id", "CatId", "tags", rounded("score", SCORE_DIGITS))
+    model, held_out = fit_exact(spark, sf_dir)
+    return model.score_rows(held_out).select("Id", "CatId", "tags", rounded("score", SCORE_DIGITS))
 
 
 @query
 def class_posterior(spark, sf_dir):
-    scored = fit_exact(spark, sf_dir).score_rows(held_out(spark, sf_dir))
-    return scored.select("Id", "CatId", rounded("probability"))
+    model, held_out = fit_exact(spark, sf_dir)
+    return model.score_rows(held_out).select("Id", "CatId", rounded("probability"))
 
 
 @query
 def predict_class(spark, sf_dir):
-    predicted = fit_exact(spark, sf_dir).predict(held_out(spark, sf_dir))
-    return predicted.select("Id", "CatId", rounded("confidence"))
+    model, held_out = fit_exact(spark, sf_dir)
+    return model.predict(held_out).select("Id", "CatId", rounded("confidence"))
 
 
 @query
 def predicted_tag(spark, sf_dir):
-    predicted = fit_exact(spark, sf_dir).predict(held_out(spark, sf_dir)).select("Id", "CatId")
+    model, held_out = fit_exact(spark, sf_dir)
+    predicted = model.predict(held_out).select("Id", "CatId")
     return labels.with_tag(predicted, given.vocab(spark, sf_dir)).select("Id", "tags")
 
 
 @query
 def nb_predict(spark, sf_dir):
-    return fit_hashed(spark, sf_dir).predict(held_out(spark, sf_dir)).select("Id", "tags")
+    model, held_out = fit_hashed(spark, sf_dir)
+    return model.predict(held_out).select("Id", "tags")
 
 
 @query
 def nb_confidence(spark, sf_dir):
-    predicted = fit_hashed(spark, sf_dir).predict(held_out(spark, sf_dir), confidence=True)
-    return predicted.select("Id", "tags", rounded("confidence"))
+    model, held_out = fit_hashed(spark, sf_dir)
+    return model.predict(held_out, confidence=True).select("Id", "tags", rounded("confidence"))
 
 
 # Evaluation
 
 
 def exact_rows(spark, sf_dir) -> DataFrame:
-    predicted = fit_exact(spark, sf_dir).predict(held_out(spark, sf_dir))
-    return true_rows(predicted, given.tags(spark, sf_dir), given.vocab(spark, sf_dir))
+    model, held_out = fit_exact(spark, sf_dir)
+    return true_rows(model.predict(held_out), *tags_and_vocab(spark, sf_dir))
 
 
 @query
@@ -261,20 +262,19 @@ def accuracy_vs_baseline(spark, sf_dir):
 
 @query
 def accuracy_any(spark, sf_dir):
-    predicted = fit_exact(spark, sf_dir).predict(held_out(spark, sf_dir))
-    truth = labels.select_tags(given.tags(spark, sf_dir), given.vocab(spark, sf_dir))
-    return evaluation.accuracy_any(predicted, truth).select("n", rounded("accuracy"))
+    model, held_out = fit_exact(spark, sf_dir)
+    truth = labels.select_tags(*tags_and_vocab(spark, sf_dir))
+    return evaluation.accuracy_any(model.predict(held_out), truth).select("n", rounded("accuracy"))
 
 
 @query
 def train_summary(spark, sf_dir):
     """Train, save, load and evaluate on held-out posts, with hashed terms."""
+    fitted, held_out = fit_hashed(spark, sf_dir)
     store = ModelStore(spark, new_folder(spark, "models"))
-    version = store.publish(fit_hashed(spark, sf_dir))
+    version = store.publish(fitted)
     model = store.load(version)
-    summary = evaluate(
-        model.predict(held_out(spark, sf_dir)), given.tags(spark, sf_dir), given.vocab(spark, sf_dir), BASELINE_ACCURACY
-    )
+    summary = evaluate(model.predict(held_out), *tags_and_vocab(spark, sf_dir), BASELINE_ACCURACY)
     return summary.select(
         F.lit(version).alias("version"),
         F.lit(len(model.classes)).alias("n_classes"),
@@ -348,35 +348,34 @@ def run_to_end(spark, writer) -> None:
     started.awaitTermination()
 
 
-def stream_tags(spark, sf_dir, model) -> DataFrame:
-    """Publish ``model``, stream the held-out posts through it, and read the tagged messages."""
+def stream_tags(spark, model, posts: DataFrame) -> DataFrame:
+    """Publish ``model``, stream ``posts`` through it, and read the tagged messages."""
     store = ModelStore(spark, new_folder(spark, "models"))
     store.publish(model)
-    path = json_lines(spark, held_out(spark, sf_dir))
-    stream = payload.decode_posts(messages.post_stream(spark, "text", {"path": path}))
+    source = messages.post_stream(spark, "text", {"path": json_lines(spark, posts)})
     sink = new_folder(spark, "tagged")
-    run_to_end(spark, score_batches(stream, ModelFeed(store).current, batch_folders(sink)))
+    run_to_end(spark, score_batches(payload.decode_posts(source), ModelFeed(store).current, batch_folders(sink)))
     return messages.read_tagged(spark, sink).select(F.col("Id").cast("bigint").alias("Id"), "tags")
 
 
 @query
 def score_stream(spark, sf_dir):
-    return stream_tags(spark, sf_dir, fit_exact(spark, sf_dir))
+    return stream_tags(spark, *fit_exact(spark, sf_dir))
 
 
 @query
 def score_stream_hashed(spark, sf_dir):
-    return stream_tags(spark, sf_dir, fit_hashed(spark, sf_dir))
+    return stream_tags(spark, *fit_hashed(spark, sf_dir))
 
 
 @query
 def score_stream_plan(spark, sf_dir):
     """A fixed model inside the plan of the stream, without a batch function."""
-    model = fit_hashed(spark, sf_dir)
-    path = json_lines(spark, held_out(spark, sf_dir))
-    stream = payload.decode_posts(messages.post_stream(spark, "text", {"path": path}))
+    model, held_out = fit_hashed(spark, sf_dir)
+    source = messages.post_stream(spark, "text", {"path": json_lines(spark, held_out)})
     sink = new_folder(spark, "tagged")
-    run_to_end(spark, messages.tagged_writer(model.predict(stream), "text", {"path": sink}))
+    tagged = model.predict(payload.decode_posts(source))
+    run_to_end(spark, messages.tagged_writer(tagged, "text", {"path": sink}))
     return messages.read_tagged(spark, sink).select(F.col("Id").cast("bigint").alias("Id"), "tags")
 
 

@@ -13,14 +13,14 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session may go without that setting; it gets a temporary folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tagwright-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tagwright-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

@@ -82,7 +82,7 @@ def test_unfinished_version_is_ignored(spark, posts, tmp_path):
     """A folder without its manifest row is overwritten by the next version."""
     store = ModelStore(spark, str(tmp_path / "models"))
     store.publish(train(spark))
-    train(spark).pipeline.write().save(f"{store.path}/v=2/pipeline")
+    train(spark).pipeline.write().save(f"{store.path}/v=2/stages")
     assert store.latest() == 1
     assert store.publish(train(spark)) == 2 and tags_of(store.load(2), posts) == dict(TAGS)
 
