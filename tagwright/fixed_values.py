@@ -6,7 +6,6 @@ SMOOTHING = 1.0
 TRAIN_SHARE = 0.7
 BASELINE_ACCURACY = 0.6023699978752843
 ABSENT = "NA"
-DATE_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 TRIGGER = "10 seconds"
 REFRESH_SECONDS = 3600
 POST_TOPIC = "posts"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tagwright import schemas
-from tagwright.fixed_values import ABSENT, DATE_FORMAT
+from tagwright.fixed_values import ABSENT
 from tagwright.functions.rows import filled
 
 
@@ -43,6 +43,16 @@ def encode(df: DataFrame, keep_nulls: bool = False, key: str = "Id") -> DataFram
     return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(*df.columns), options).alias("value"))
 
 
+def utc_text(moment: Column) -> Column:
+    """``moment`` to the second in UTC, such as 2008-08-03T11:12:52Z, in any session time zone.
+
+    It is counted up from the epoch without a zone, as some UTC times do not exist in a local zone.
+    """
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    wall = epoch + F.make_dt_interval(secs=F.unix_seconds(moment))
+    return F.concat(F.translate(wall.cast("string"), " ", "T"), F.lit("Z"))
+
+
 def normalize_submissions(forms: DataFrame, now: Column | None = None) -> DataFrame:
     """Posts from submitted forms ``(posts, id, userid)``; a form without all three is ignored.
 
@@ -55,7 +65,7 @@ def normalize_submissions(forms: DataFrame, now: Column | None = None) -> DataFr
         absent.alias("Title"),
         F.col("posts").alias("Body"),
         F.col("userid").cast("string").alias("OwnerUserId"),
-        F.date_format(F.to_utc_timestamp(arrived, F.current_timezone()), DATE_FORMAT).alias("CreationDate"),
+        utc_text(arrived).alias("CreationDate"),
         absent.alias("ClosedDate"),
         absent.alias("Score"),
     )

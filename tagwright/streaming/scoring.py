@@ -6,6 +6,7 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tagwright.fixed_values import REFRESH_SECONDS, TRIGGER
@@ -22,11 +23,13 @@ def trigger(writer: DataStreamWriter, once: bool = False) -> DataStreamWriter:
 
 
 def tag_posts(model: HashedModel | BayesModel, posts: DataFrame) -> DataFrame:
-    """The posts of a batch with their predicted ``tags``."""
+    """The posts of a batch with their predicted ``tags``. An id may come again with another text."""
     if isinstance(model, HashedModel):
         return model.predict(posts)
-    complete = filled(posts, "Id", "Body")
-    return complete.join(model.predict(complete).select("Id", "tags"), "Id").select(*posts.columns, "tags")
+    texts = filled(posts, "Id", "Body").withColumn("_text", F.struct("Id", F.sha2("Body", 256)))
+    distinct = texts.dropDuplicates(["_text"]).select(F.col("_text").alias("Id"), "Body")
+    predicted = model.predict(distinct).select(F.col("Id").alias("_text"), "tags")
+    return texts.join(predicted, "_text").select(*posts.columns, "tags")
 
 
 class ModelFeed:

@@ -70,6 +70,17 @@ def test_submissions_become_posts(spark):
     assert payload.normalize_submissions(forms).first()["CreationDate"][:2] == "20"
 
 
+def test_dates_in_hours_that_a_local_zone_skips(spark):
+    moments = ["2024-03-10T02:30:00Z", "2024-11-03T01:30:00Z", "2024-11-03T05:30:00Z", "2024-11-03T06:30:00Z"]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        frame = spark.createDataFrame([(moment,) for moment in moments], "at STRING")
+        texts = frame.select(payload.utc_text(F.col("at").cast("timestamp"))).collect()
+        assert [row[0] for row in texts] == moments
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_kafka_is_an_option_of_the_source(spark):
     """The connector is not part of this installation; with it the same call gives the stream."""
     options = messages.kafka("broker:9092", "posts", maxOffsetsPerTrigger="1000")

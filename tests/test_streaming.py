@@ -59,6 +59,15 @@ def test_stream_equals_batch_and_skips_bad_messages(spark, tmp_path, exact):
     assert len(list(sink.glob("batch_id=*"))) == 3
 
 
+@pytest.mark.parametrize("exact", [False, True])
+def test_id_that_comes_again_in_a_batch(spark, exact):
+    rows = [("7", "red apple"), ("7", "blue sky"), ("7", "blue sky"), ("8", None)]
+    tagged_rows = tag_posts(fit(spark, TAGS, exact), spark.createDataFrame(rows, "Id STRING, Body STRING")).collect()
+    assert sorted((row["Body"], row["tags"]) for row in tagged_rows) == [
+        ("blue sky", "b"), ("blue sky", "b"), ("red apple", "r")
+    ]
+
+
 def test_plain_sink(spark, tmp_path):
     put(tmp_path / "in", "a", lines_of("0123"))
     rows = fit(spark, TAGS).predict(stream(spark, tmp_path / "in"))
