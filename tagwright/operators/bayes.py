@@ -151,33 +151,36 @@ def fit_bayes(posts: DataFrame, tags: DataFrame, vocab: DataFrame, smoothing: fl
     table = written(
         counts.groupBy("term").agg(F.sum("df").alias("df"), F.array(*per_class).alias("tf")), "class-terms"
     )
-    # One row of sums has it all: the null term's counts are the numbers of rows, and the weight of a
+    # One row per class has it all: the null term's counts are the numbers of rows, and the weight of a
     # class is the sum of idf * tf = ln(rows + 1) * tf - ln(df + 1) * tf over its terms.
     known = F.col("term").isNotNull()
-    sums = table.agg(
-        F.max(F.when(~known, F.struct("df", "tf"))).alias("rows"),
+    flat = table.select("term", "df", F.ln(F.col("df") + 1).alias("log_df"), F.posexplode_outer("tf").alias("at", "n"))
+    sums = flat.groupBy("at").agg(
+        F.max(F.when(~known, F.struct("df", "n"))).alias("rows"),
         F.count("term").alias("n_terms"),
         F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("text_bytes"),
-        *[F.sum(F.when(known, F.col("tf")[at])).alias(f"tf{at}") for at in range(len(classes))],
-        *[F.sum(F.when(known, F.ln(F.col("df") + 1) * F.col("tf")[at])).alias(f"w{at}") for at in range(len(classes))],
-    ).first()
-    if sums["rows"] is None:
+        F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("tf"),
+        F.coalesce(F.sum(F.when(known, F.col("log_df") * F.col("n"))), F.lit(0.0)).alias("log_df_tf"),
+    )
+    # At most one row per class of the bounded vocabulary.
+    by_class = sorted(sums.collect())
+    if not by_class:
         raise ValueError("no post has a tag of the vocabulary")
-    n_rows, per_class_rows = sums["rows"]
-    seen = [at for at, n in enumerate(per_class_rows) if n]
+    n_rows, n_terms = by_class[0]["rows"]["df"], by_class[0]["n_terms"]
+    seen = [row for row in by_class if row["rows"]["n"]]
     terms = table.where(known).select(
         "term",
         "df",
         inverse_frequency(F.lit(n_rows), F.col("df")).alias("idf"),
-        F.array(*[F.col("tf")[at] for at in seen]).alias("tf"),
+        F.array(*[F.col("tf")[row["at"]] for row in seen]).alias("tf"),
     )
     width = ROW_OVERHEAD + 8 * len(seen)
     return BayesModel(
-        terms=TermTable(terms, sums["n_terms"], sums["text_bytes"] + sums["n_terms"] * width, width),
-        class_ids=[classes[at][0] for at in seen],
-        tags=[classes[at][1] for at in seen],
-        class_rows=[per_class_rows[at] for at in seen],
-        class_weights=[math.log(n_rows + 1) * (sums[f"tf{at}"] or 0) - (sums[f"w{at}"] or 0.0) for at in seen],
+        terms=TermTable(terms, n_terms, by_class[0]["text_bytes"] + n_terms * width, width),
+        class_ids=[classes[row["at"]][0] for row in seen],
+        tags=[classes[row["at"]][1] for row in seen],
+        class_rows=[row["rows"]["n"] for row in seen],
+        class_weights=[math.log(n_rows + 1) * row["tf"] - row["log_df_tf"] for row in seen],
         smoothing=smoothing,
     )
 
