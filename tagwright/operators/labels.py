@@ -9,10 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tagwright.fixed_values import BROADCAST_ROWS, MOST_CLASSES, TRAIN_SHARE
+from tagwright.fixed_values import MOST_CLASSES, TRAIN_SHARE
 from tagwright.functions.keys import in_training
 from tagwright.functions.rows import filled
-from tagwright.session import written
+from tagwright.session import fits_broadcast, written
 
 
 def unpivot_tags(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -90,12 +90,14 @@ def post_classes(tags: DataFrame, vocab: DataFrame) -> DataFrame:
 def labelled_posts(posts: DataFrame, tags: DataFrame, vocab: DataFrame) -> DataFrame:
     """``posts`` that have a tag of the vocabulary, once each, with their ``classes``.
 
-    The classes are written and counted: if they are few they are broadcast and the texts stay in place,
+    The classes are written and measured: if they are small they are broadcast and the texts stay in place,
     else both sides are partitioned by post, and the texts need no sort.
     """
     classes = written(post_classes(tags, vocab), "post-classes")
-    few = classes.count() <= BROADCAST_ROWS
-    return posts.join(F.broadcast(classes) if few else classes.hint("shuffle_hash"), "Id")
+    row_bytes = 64 + F.octet_length(F.col("Id").cast("string")) + 32 * F.size("classes")
+    if fits_broadcast(classes, row_bytes):
+        return posts.join(F.broadcast(classes), "Id")
+    return posts.join(classes.hint("shuffle_hash"), "Id")
 
 
 def class_rows(labelled: DataFrame, *keep: str) -> DataFrame:
@@ -104,10 +106,13 @@ def class_rows(labelled: DataFrame, *keep: str) -> DataFrame:
     Repeats of a tag row are unfolded in two steps, so that no list of them gets long.
     """
     step = 4096
-    pairs = labelled.select(*keep, F.explode_outer("classes").alias("c"))
-    parts = pairs.select(*keep, "c", F.explode_outer(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("c.n") - 1) / step))).alias("part"))
+    part_numbers = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("c.n") - 1) / step))
     left = F.least(F.lit(step).cast("bigint"), F.col("c.n") - F.col("part") * step)
-    return parts.select(*keep, F.col("c.CatId").alias("CatId"), F.explode_outer(F.sequence(F.lit(1).cast("bigint"), left)).alias("at")).drop("at")
+    repeats = F.sequence(F.lit(1).cast("bigint"), left)
+    pairs = labelled.select(*keep, F.explode_outer("classes").alias("c"))
+    parts = pairs.select(*keep, "c", F.explode_outer(part_numbers).alias("part"))
+    rows = parts.select(*keep, F.col("c.CatId").alias("CatId"), F.explode_outer(repeats).alias("repeat"))
+    return rows.drop("repeat")
 
 
 def split_by_key(df: DataFrame, key: str = "Id", share: float = TRAIN_SHARE) -> tuple[DataFrame, DataFrame]:

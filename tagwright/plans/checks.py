@@ -145,18 +145,18 @@ EVENT_UPDATES = """updates AS (
   FROM events)"""
 
 
-def last_filled(column: str, key: str, order: str) -> str:
+def last_filled(column: str, order: str) -> str:
     """The latest value of ``column`` that is not null."""
     return f"(list({column} ORDER BY {order}) FILTER (WHERE {column} IS NOT NULL))[-1] AS {column}"
 
 
 def merged(columns: list[str], key: str, order: str) -> str:
-    return f"SELECT {key}, {', '.join(last_filled(c, key, order) for c in columns)} FROM updates GROUP BY {key}"
+    return f"SELECT {key}, {', '.join(last_filled(c, order) for c in columns)} FROM updates GROUP BY {key}"
 
 
 CHECKS: dict[str, str] = {
     "posts_scan": "SELECT doc_id AS Id, text AS Body FROM documents",
-    "json_posts": f"WITH {FULL_POSTS} SELECT Id, Title, Body, OwnerUserId, CreationDate, ClosedDate, Score FROM full_posts",
+    "json_posts": f"WITH {FULL_POSTS} SELECT * FROM full_posts",
     "csv_tags": f"WITH {TAGS} SELECT CAST(Id AS VARCHAR) AS Id, Tag FROM tags",
     "csv_label_vocab": f"WITH {TAGS}, {VOCAB} SELECT catId, Tag FROM vocab",
     "decode_posts": f"WITH {USER_POSTS} SELECT Id, CAST(NULL AS VARCHAR) AS Title, Body, OwnerUserId FROM user_posts",

@@ -140,7 +140,8 @@ def preview_posts(spark, sf_dir):
 @query
 def tokenize(spark, sf_dir):
     split = terms.tokenize(given.posts(spark, sf_dir))
-    return split.select("Id", F.size("Words").cast("bigint").alias("n_words"), F.array_join("Words", " ").alias("words"))
+    n_words = F.size("Words").cast("bigint")
+    return split.select("Id", n_words.alias("n_words"), F.array_join("Words", " ").alias("words"))
 
 
 @query
@@ -382,8 +383,7 @@ def score_stream_plan(spark, sf_dir):
 def keyed_stream(spark, updates: DataFrame, key: str, order: list[str], merge: bool) -> DataFrame:
     """Feed ``updates`` to a keyed table as a stream of files, compact it, and read it."""
     path = new_folder(spark, "updates")
-    spread = updates.repartition(4)
-    spread.write.parquet(path)
+    updates.repartition(4).write.parquet(path)
     stream = spark.readStream.schema(updates.schema).option("maxFilesPerTrigger", 1).parquet(path)
     table = KeyedTable(spark, new_folder(spark, "table"), updates.schema, key, order, merge)
     run_to_end(spark, table.upsert(stream))

@@ -1,11 +1,14 @@
-"""Helpers that depend on the session: shared folder and input spreading."""
+"""Helpers that depend on the session: shared folder, size check and input spreading."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tagwright.fixed_values import BROADCAST_BYTES
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -36,6 +39,12 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fits_broadcast(df: DataFrame, row_bytes: Column) -> bool:
+    """Whether the rows of ``df``, of ``row_bytes`` each, may be sent to every executor."""
+    total = df.agg(F.sum(row_bytes)).first()[0]
+    return (total or 0) <= BROADCAST_BYTES
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Repartition a scan that has fewer partitions than the cluster has cores.
 

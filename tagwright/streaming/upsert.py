@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import StructField, StructType
 
-from tagwright.fixed_values import BROADCAST_ROWS
 from tagwright.operators.keyed import merge_newest_fields, newest, newest_fields, plain_fields
+from tagwright.session import fits_broadcast
 
 MANIFEST = "through BIGINT"
 
@@ -84,7 +84,7 @@ class KeyedTable:
     def _state(self, through: int | None = None) -> DataFrame:
         """One state per key: the newest snapshot and the log after it, up to batch ``through``.
 
-        While the log has few keys, the rest of the snapshot is read as it is, without a shuffle.
+        While the keys of the log take little room, the rest of the snapshot is read as it is, without a shuffle.
         """
         done = self.snapshot()
         log = self.spark.createDataFrame([], self.state_schema)
@@ -95,7 +95,7 @@ class KeyedTable:
             return merge_newest_fields(log, self.key)
         snapshot = self.spark.read.schema(self.state_schema).parquet(f"{self.path}/snapshot/through={done}")
         changed = log.select(self.key).distinct()
-        if changed.count() > BROADCAST_ROWS:
+        if not fits_broadcast(changed, 64 + F.octet_length(F.col(self.key).cast("string"))):
             return merge_newest_fields(snapshot.unionByName(log), self.key)
         keys = F.broadcast(changed)
         old = snapshot.join(keys, self.key, "left_semi")

@@ -1,6 +1,7 @@
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
+from tagwright import session
 from tagwright.functions.keys import in_training
 from tagwright.operators import evaluation, labels
 
@@ -54,7 +55,7 @@ def test_labelled_posts_by_shuffle_are_the_same(spark, monkeypatch):
         for row in labels.labelled_posts(posts, tags(spark), vocab(spark)).collect()
     )
     by_broadcast = listed()
-    monkeypatch.setattr(labels, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(session, "BROADCAST_BYTES", 0)
     assert listed() == by_broadcast and len(by_broadcast) == 4
 
 

@@ -3,13 +3,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tagwright import session
 from tagwright.operators import bayes, keyed, labels
 from tagwright.plans.model_store import ModelStore
 from tagwright.plans.training import train_hashed
 from tagwright.schemas import STORED_POST, TAGGED_POST
 from tagwright.sources import messages, payload
 from tagwright.streaming.scoring import ModelFeed, batch_folders, score_batches, tag_posts, trigger
-from tagwright.streaming import upsert
 from tagwright.streaming.upsert import KeyedTable
 
 POSTS = [(str(n), text) for n, text in enumerate(["red apple", "red rose", "blue sky", "blue sea"])]
@@ -148,7 +148,7 @@ def keyed_table(spark, tmp_path, merge):
 def test_batches_in_any_order_with_compaction(spark, tmp_path, monkeypatch, merge, few_keys):
     """Batches out of order, one written twice, and snapshots in between: the result is the batch operator's."""
     if not few_keys:
-        monkeypatch.setattr(upsert, "BROADCAST_ROWS", 0)
+        monkeypatch.setattr(session, "BROADCAST_BYTES", 0)
     rows = random_updates()
     table = keyed_table(spark, tmp_path, merge)
     assert table.read().count() == 0 and table.compact() is None

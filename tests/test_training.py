@@ -1,6 +1,5 @@
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.sql import functions as F
 
 from tagwright.operators import bayes, labels
 from tagwright.plans import relations, training
