@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame, key: str, text: str = "text", width: int = SHI
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint(shingle_hashes(t, width)) for t in map(pa.Scalar.as_py, batch.column(1))]
+            found = [fingerprint(shingle_hashes(t, width)) for t in batch.column(1).to_pylist()]
             fps = pa.array(np.array(found, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), fps], names=[key, "fp"])
 
