@@ -19,7 +19,7 @@ SHINGLE = 3
 DISTANCE = 2
 HASH_SEED = 42
 SEGMENTS = 16
-PAIRED = 64  # fingerprints of a bucket that are compared pairwise; larger buckets are linked by neighbours
+PAIRED = 16  # fingerprints of a bucket that are compared pairwise; larger buckets are linked by neighbours
 ROWS_AT_ONCE = 1 << 16
 
 
