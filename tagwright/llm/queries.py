@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tagwright.llm.common import documents
 from tagwright.llm.mixing import document_mix
+from tagwright.llm.quality import document_quality
 from tagwright.llm.sharding import document_shards
 from tagwright.llm.simhash import near_duplicates
 
@@ -26,9 +27,14 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_quality(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
     "op6_simhash": op6_simhash,
+    "op7_quality": op7_quality,
 }
 CHECKS: dict[str, str] = {}
