@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tagwright.llm.common import documents
+from tagwright.llm.langid import document_languages
 from tagwright.llm.mixing import document_mix
 from tagwright.llm.quality import document_quality
 from tagwright.llm.sharding import document_shards
 from tagwright.llm.simhash import near_duplicates
+from tagwright.llm.toxicity import document_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +25,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_mix(documents(spark, sf_dir))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_languages(documents(spark, sf_dir))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
@@ -31,10 +37,17 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_quality(documents(spark, sf_dir))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return document_toxicity(documents(spark, sf_dir), labels)
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
+    "op3_language": op3_language,
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
+    "op9_toxicity": op9_toxicity,
 }
 CHECKS: dict[str, str] = {}
