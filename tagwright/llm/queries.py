@@ -4,18 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tagwright.llm.common import documents
 from tagwright.llm.langid import document_languages
+from tagwright.llm.lz import successor_fingerprints
 from tagwright.llm.mixing import document_mix
 from tagwright.llm.quality import document_quality
 from tagwright.llm.sharding import document_shards
 from tagwright.llm.simhash import near_duplicates
+from tagwright.llm.token_files import document_tokens
 from tagwright.llm.toxicity import document_toxicity
+from tagwright.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_shards(documents(spark, sf_dir), 16)
@@ -37,17 +43,27 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_quality(documents(spark, sf_dir))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_tokens(documents(spark, sf_dir), new_folder(spark, "token-files"), TOKENIZER)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return document_toxicity(documents(spark, sf_dir), labels)
 
 
+def op10_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return successor_fingerprints(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
     "op3_language": op3_language,
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
+    "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
+    "op10_lz_fingerprint": op10_lz_fingerprint,
 }
 CHECKS: dict[str, str] = {}
