@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tagwright.llm.common import documents
+from tagwright.llm.encoding import document_encoding
 from tagwright.llm.langid import document_languages
 from tagwright.llm.lz import successor_fingerprints
 from tagwright.llm.mixing import document_mix
@@ -35,6 +36,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_languages(documents(spark, sf_dir))
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_encoding(documents(spark, sf_dir), TOKENIZER)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
@@ -60,6 +65,7 @@ QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
     "op3_language": op3_language,
+    "op5_bpe": op5_bpe,
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
     "op8_token_files": op8_token_files,
