@@ -34,7 +34,7 @@ ARROW = pa.schema(
         ("more", pa.binary()),
     ]
 )
-DOCUMENT, WORD, OTHER = 0, 1, 2
+DOCUMENT, WORD, NGRAMS, HASHES = 0, 1, 2, 3
 
 
 class Numbers(dict):
@@ -109,7 +109,7 @@ def coded(
     """Blocks of ``docs`` (key long, flag boolean, text string), written once; one table per kind of row.
 
     ``split()`` is made once per task and gives the words of a text as strings or bytes. ``count`` gives the
-    numbers written with the words of a block, ``more`` further rows of the kind ``OTHER``. The number of a block follows from
+    numbers written with the words of a block, ``more`` further rows of other kinds. The number of a block follows from
     that of its task, so a task that runs again gives the same.
     """
 
@@ -135,7 +135,7 @@ def coded(
     path = new_folder(spark, purpose)
     docs.mapInArrow(work, ROWS).write.partitionBy("kind").parquet(path)
     read = lambda kind: spark.read.schema(ROWS).parquet(path).where(F.col("kind") == kind)
-    return {kind: read(kind) for kind in (DOCUMENT, WORD, OTHER)}
+    return {kind: read(kind) for kind in (DOCUMENT, WORD, NGRAMS, HASHES)}
 
 
 def joined(words: DataFrame, values: DataFrame, *columns: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tagwright.llm.common import in_order, numbered, spread, without, word_count
-from tagwright.session import written
+from tagwright.session import fits_broadcast, written
 
 SEED = 7
 ADDED = ("source_size", "target", "epochs", "taken")
@@ -136,3 +136,23 @@ def described(docs: DataFrame) -> DataFrame:
 def document_mix(docs: DataFrame) -> DataFrame:
     mixed = mix(described(docs), ["doc_id"], "size", "quality")
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "quality", "epochs")
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """``docs`` as the mix takes them: a row for each epoch of a document, none for those it leaves out.
+
+    Rows with the same ``doc_id``, source and text are taken equally often. The number of epochs is sent to
+    where the texts are if it fits the library's bound, else joined by shuffle.
+    """
+    mixed = mix(described(docs), ["doc_id"], "size", "quality").where("epochs > 0")
+    taken = mixed.groupBy("doc_id", "source", "text_hash").agg(F.max("epochs").alias("mix_epochs"))
+    taken = written(taken.toDF("mix_id", "mix_source", "mix_hash", "mix_epochs"), "mix-epochs")
+    if fits_broadcast(taken, 40 + F.coalesce(F.octet_length("mix_source"), F.lit(0))):
+        taken = F.broadcast(taken)
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("mix_id"))
+        & F.col("source").eqNullSafe(F.col("mix_source"))
+        & (F.xxhash64("text") == F.col("mix_hash"))
+    )
+    times = F.explode(F.array_repeat(F.lit(0), F.col("mix_epochs")))
+    return docs.join(taken, same).select(*docs.columns, times.alias("mix_time")).drop("mix_time")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tagwright.llm.common import documents
 from tagwright.llm.encoding import document_encoding
 from tagwright.llm.langid import document_languages
+from tagwright.llm.lm import document_scores
 from tagwright.llm.lz import successor_fingerprints
 from tagwright.llm.mixing import document_mix
 from tagwright.llm.quality import document_quality
@@ -36,6 +37,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_languages(documents(spark, sf_dir))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_scores(documents(spark, sf_dir))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_encoding(documents(spark, sf_dir), TOKENIZER)
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
     "op3_language": op3_language,
+    "op4_lm_score": op4_lm_score,
     "op5_bpe": op5_bpe,
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
