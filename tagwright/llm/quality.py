@@ -59,9 +59,13 @@ def words_of(text: Column) -> Column:
 
 def windows(words: Column, width: int = WINDOW) -> Column:
     """The hash of each run of ``width`` words, in order."""
-    starts = F.sequence(F.lit(0), F.size(words) - width)
-    hashes = F.transform(starts, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(width)]))
-    return F.when(F.size(words) >= width, hashes).otherwise(F.array().cast("array<bigint>"))
+
+    def hashes(own: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(own) - width)
+        runs = F.transform(starts, lambda i: F.xxhash64(*[F.get(own, i + k) for k in range(width)]))
+        return F.when(F.size(own) >= width, runs).otherwise(F.array().cast("array<bigint>"))
+
+    return _bound(words, hashes)
 
 
 def covered_words(hashes: Column, width: int = WINDOW) -> Column:
@@ -95,7 +99,11 @@ def covered_words(hashes: Column, width: int = WINDOW) -> Column:
 
 
 def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is worked out once, however often the body names it."""
+    """``body`` of a value that is worked out once, however often the body names it.
+
+    Without it a filter on the result, pushed below the projection, would repeat the value in the body, even
+    for each element of an array.
+    """
     return F.transform(F.array(value), lambda own: body(own)).getItem(0)
 
 
@@ -172,14 +180,19 @@ def cascade(
     Each measure is worked out within the branch of the rule that reads it, so a document that one rule
     rejects does not pay for the next. Measures that ``docs`` has already are named in ``known``.
     """
-    given = without(docs, failed, "rule_words")
-    split = given.withColumn("rule_words", words_of(F.col(text)))
-    found = measures(F.col(text), F.col("rule_words"), windows(F.col("rule_words")))
-    found |= {name: F.col(name) for name in known}
-    verdict = F
-    for rule in rules:
-        verdict = verdict.when(rule.fails({name: found[name] for name in rule.reads}), rule.name)
-    return split.select(*[F.col(f"`{name}`") for name in given.columns], verdict.alias(failed))
+    given = without(docs, failed)
+    rules = list(rules)
+    ready = {name for rule in rules for name in rule.reads} <= set(known)
+
+    def verdict(words: Column) -> Column:
+        found = measures(F.col(text), words, windows(words)) | {name: F.col(name) for name in known}
+        branches = F
+        for rule in rules:
+            branches = branches.when(rule.fails({name: found[name] for name in rule.reads}), rule.name)
+        return branches
+
+    none = F.array().cast("array<string>")
+    return given.withColumn(failed, verdict(none) if ready else _bound(words_of(F.col(text)), verdict))
 
 
 def document_quality(docs: DataFrame) -> DataFrame:
