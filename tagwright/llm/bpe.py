@@ -11,10 +11,12 @@ from pathlib import Path
 
 from tokenizers import Tokenizer
 
-HELD_WORDS = 400_000  # words whose ids a Python worker keeps at a time
+HELD_WORDS = 1_000_000  # words whose ids a Python worker keeps at a time
 # The characters that the pattern of the tokenizers counts as white space.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-UNIT = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+LATIN = "A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\u024f"
+# A run of Latin letters that no other letter or digit follows, any run without white space, white space.
+UNIT = re.compile(rf" ?[{LATIN}]++(?![^\W_])| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
 
 def tokenizer_file(path: str) -> str:
@@ -35,8 +37,8 @@ def word_table(spec: str) -> "WordTable":
 class WordTable:
     """Ids of words as little-endian 32-bit numbers.
 
-    No merge crosses the start of a word, that is a space before other than white space, so a text has the ids
-    of its words one after the other. Strings of added tokens are found first, as the tokenizer does.
+    The pattern of the tokenizer never matches across the ends of these words, so a text has the ids of its
+    words one after the other. Strings of added tokens are found first, as the tokenizer does.
     """
 
     def __init__(self, spec: str):

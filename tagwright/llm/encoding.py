@@ -10,10 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagwright.llm.blocks import DOCUMENT, WORD, Block, coded, joined, unpacked
+from tagwright.llm.blocks import by_range, coded, numbers_and_counts, packed, segments_for, unpacked, words_in
 from tagwright.llm.bpe import tokenizer_file, word_table
 from tagwright.llm.common import ship, texts
-from tagwright.session import written
 
 
 def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -24,60 +23,72 @@ def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.
     return values[shift + np.arange(total)]
 
 
-def distinct_words(words: DataFrame, spec: str) -> DataFrame:
-    """``(word, ids)``: every distinct word of all blocks, encoded once."""
-    spark = words.sparkSession
-    shared = spark.sparkContext.broadcast(spec)
+def word_ids(words: DataFrame, spec: str) -> DataFrame:
+    """The ids of the words of each row, and how many each has; every distinct word is encoded once."""
+    shared = words.sparkSession.sparkContext.broadcast(spec)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = word_table(shared.value)
-        for batch in batches:
-            found = table.encode_words([word.decode("utf-8", "surrogatepass") for word in batch.column(0).to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["word", "ids"])
+    def value(rows: list[dict]) -> Iterator[tuple[bytes, bytes]]:
+        lists = [words_in(row) for row in rows]
+        distinct = list(set().union(*lists))
+        encoded = word_table(shared.value).encode_words([word.decode("utf-8", "surrogatepass") for word in distinct])
+        ids = dict(zip(distinct, encoded))
+        for own in lists:
+            found = [ids[word] for word in own]
+            lengths = np.array([len(one) // 4 for one in found], np.uint32)
+            yield packed(np.frombuffer(b"".join(found), np.uint32)), packed(lengths)
 
-    return written(words.select("word").distinct().mapInArrow(work, "word binary, ids binary"), "bpe-words")
+    return by_range(words, value, data="binary", more="binary")
 
 
 def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(key, ids)`` of every text; ``ids`` are little-endian unsigned 32-bit numbers.
 
-    Texts are split where they are read. The distinct words of all blocks make one table, in which each word is
-    encoded once; its ids are joined back to the blocks that have it, and put in place of the numbers of the words.
-    A null text counts as empty and has no ids; rows that repeat a key stay; an empty table gives no rows.
+    Texts are split where they are read. The distinct words of all blocks form one table, dealt out by their hash,
+    in which each word is encoded once; its ids go back to the blocks that have it and there take the places of the
+    numbers of the words. A null text counts as empty and has no ids; rows that repeat a key stay; an empty
+    table gives no rows.
+
+    The texts are read twice, once for the words and once for the documents, as storing the numbers
+    between would cost more disk than the input itself.
     """
     spark = docs.sparkSession
     ship(spark)
     spec = tokenizer_file(tokenizer)
     shared = spark.sparkContext.broadcast(spec)
     source = texts(docs, key, text=text).select(
-        F.col(key).cast("long").alias("key"), F.lit(True).alias("flag"), F.col(text).alias("text")
+        F.col(key).cast("long").alias("key"), F.lit(False).alias("flag"), F.col(text).alias("text")
     )
+    segments = segments_for(source, "text")
 
     def split():
         table = word_table(shared.value)
         return lambda content: [word.encode("utf-8", "surrogatepass") for word in table.words(content)]
 
-    def no_counts(block: Block) -> np.ndarray:
-        return np.zeros(len(block.words), np.int64)
-
-    tables = coded(source, split, no_counts, lambda block: iter(()), "bpe-blocks")
-    words = tables[WORD]
-    ids = joined(words, distinct_words(words, spec), "ids")
-    documents = tables[DOCUMENT].select("block", "doc_id", "data")
+    words = coded(source, split, lambda block: block.word_rows(segments))
+    documents = coded(source, split, lambda block: block.document_rows())
 
     def put(numbered: pa.Table, worded: pa.Table) -> pa.Table:
-        order = np.argsort(worded["at"].to_numpy())
-        column = worded["ids"].combine_chunks() if worded.num_rows else pa.array([], pa.binary())
-        column = column.cast(pa.large_binary()).take(pa.array(order))
-        offsets = np.frombuffer(column.buffers()[1], np.int64)[: len(column) + 1] // 4 if len(column) else np.zeros(1, np.int64)
-        values = np.frombuffer(column.buffers()[2] or b"", "<u4") if len(column) else np.empty(0, "<u4")
-        found = []
-        for data in numbered["data"].to_pylist():
-            at = unpacked(data, np.uint32)
-            found.append(gathered(values, offsets[at], offsets[at + 1] - offsets[at]).tobytes())
-        return pa.table({key: numbered["doc_id"], "ids": pa.array(found, pa.binary())})
-
-    both = documents.groupBy("block").cogroup(ids.groupBy("block"))
+        rows = worded.to_pylist()
+        numbers = [numbers_and_counts(row["extra"])[0] for row in rows]
+        sizes = [unpacked(row["more"], np.uint32) for row in rows]
+        values = np.concatenate([np.empty(0, np.uint32), *[unpacked(row["data"], np.uint32) for row in rows]])
+        order = np.concatenate([np.empty(0, np.int64), *numbers]).astype(np.int64)
+        flat = np.concatenate([np.empty(0, np.uint32), *sizes]).astype(np.int64)
+        starts, lengths = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        starts[order] = np.cumsum(flat) - flat
+        lengths[order] = flat
+        keys, found = [], []
+        for row in numbered.to_pylist():
+            codes = unpacked(row["data"], np.uint32)
+            own = lengths[codes]
+            line = gathered(values, starts[codes], own).astype("<u4").tobytes()
+            ends = np.concatenate([[0], np.cumsum(own)])[np.cumsum(unpacked(row["more"], np.uint32))] * 4
+            keys += row["keys"]
+            found += [line[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        return pa.table({key: pa.array(keys, pa.int64()), "ids": pa.array(found, pa.binary())})
+
+    left = documents.select("block", "keys", "data", "more")
+    both = left.groupBy("block").cogroup(word_ids(words, spec).groupBy("block"))
     return both.applyInArrow(put, f"`{key}` long, ids binary")
 
 

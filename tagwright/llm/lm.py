@@ -7,12 +7,29 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagwright.llm.blocks import DOCUMENT, HASHES, NGRAMS, WORD, Block, coded, joined, packed, rows_of, unpacked
+from tagwright.llm.blocks import (
+    DOCUMENTS,
+    HASHES,
+    NGRAMS,
+    WORDS,
+    Block,
+    batched,
+    by_range,
+    coded,
+    numbers_and_counts,
+    packed,
+    row_of,
+    segments_for,
+    spans,
+    squeezed,
+    stored,
+    stretched,
+    unpacked,
+    words_in,
+)
 from tagwright.llm.common import remainder, ship, texts
 from tagwright.session import written
 
@@ -24,7 +41,6 @@ FILTER_BYTES = 1 << 25  # the most that is sent to the workers
 LEAST_PAIRS = 2  # a pair of words is entered if it was seen as often
 PAIR_SHARE = 0.3  # of the probability that comes from pairs
 KEPT_BITS = 48  # of the hash of an n-gram
-SEGMENT_CHARACTERS = 1 << 24  # of text for each range of hashes
 LEVELS = 80
 
 
@@ -51,10 +67,6 @@ def shortened(x: np.ndarray) -> np.ndarray:
     return mixed(x) >> np.uint64(64 - KEPT_BITS)
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-
-
 def single_keys(hashes: np.ndarray) -> np.ndarray:
     return shortened(hashes)
 
@@ -131,38 +143,51 @@ class CountFilter:
         return np.log10(np.where(first_counts > 0, both, alone))
 
 
-def ngram_rows(block: Block, hashes: np.ndarray, segments: int) -> Iterator[pa.RecordBatch]:
+def ngram_rows(block: Block, segments: int) -> Iterator[pa.RecordBatch]:
     """Sorted hashes and counts of the words and pairs of the block's training texts, a row per range of hashes.
 
     The lowest bit of a count tells pairs from single words.
     """
-    trained = [codes for _, flag, codes in block.documents if flag]
+    trained = block.flagged()
     if not trained:
         return
-    counts = block.counts(True)
-    seen = np.flatnonzero(counts)
-    end = np.array([block.words[END]], np.uint32)
-    line = np.concatenate([end, *trained])  # every text ends with END, which comes before the next one
-    pairs, pair_counts = np.unique(pair_keys(hashes[line[:-1]], hashes[line[1:]]), return_counts=True)
-    keys = np.concatenate([single_keys(hashes[seen]), pairs])
-    coded_counts = np.concatenate([counts[seen] * 2, pair_counts * 2 + 1]).astype(np.uint32)
-    order = np.argsort(keys, kind="stable")
-    keys, coded_counts = keys[order], coded_counts[order]
+    end = np.array([block.words.index(END)], np.uint32)
+    keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+    parts = []
+    for part in batched(trained):
+        line = np.concatenate([end, *part])  # every text ends with END, which comes before the next one
+        hashes = block.hashes[line] >> np.uint64(24)
+        parts.append(np.unique(pair_keys(hashes[:-1], hashes[1:]), return_counts=True))
+        parts.append(np.unique(single_keys(hashes[1:]), return_counts=True))
+        parts[-2] = parts[-2][0], parts[-2][1] * 2 + 1
+        parts[-1] = parts[-1][0], parts[-1][1] * 2
+        if len(parts) >= 8:
+            keys, counts = summed([(keys, counts), *parts])
+            parts = []
+    keys, counts = summed([(keys, counts), *parts])
     part = segment_of(keys, segments).astype(np.int64)
-    edges = np.flatnonzero(np.diff(part)) + 1
-    starts, stops = np.concatenate([[0], edges]), np.concatenate([edges, [len(keys)]])
-    for at in range(0, len(starts), 64):
-        spans = list(zip(starts[at : at + 64], stops[at : at + 64]))
-        yield rows_of(
+    for start, stop in spans(part):
+        yield row_of(
             NGRAMS,
-            len(spans),
-            block=np.full(len(spans), block.number, np.int64),
-            at=part[[a for a, _ in spans]].astype(np.int32),
-            data=[packed_keys(keys[a:b]) for a, b in spans],
-            more=[packed(coded_counts[a:b]) for a, b in spans],
+            block.number,
+            at=int(part[start]),
+            data=packed_keys(keys[start:stop]),
+            more=packed(counts[start:stop].astype(np.uint32)),
         )
 
 
+def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sums of their counts; the lowest bit of a count is kept as it is."""
+    keys = np.concatenate([keys for keys, _ in parts])
+    counts = np.concatenate([counts for _, counts in parts])
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    if not len(keys):
+        return keys, counts
+    starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] + np.uint64(1)))
+    return keys[starts], np.add.reduceat(counts >> 1, starts) * 2 + (counts[starts] & 1)
+
+
 def packed_keys(keys: np.ndarray) -> bytes:
     """Ascending numbers as their steps, in 32 bits if all fit; the first byte tells."""
     steps = np.diff(keys, prepend=np.uint64(0))
@@ -178,27 +203,27 @@ def unpacked_keys(data: bytes) -> np.ndarray:
 
 
 def summed_counts(ngrams: DataFrame) -> DataFrame:
-    """``(segment, keys, counts, singles, pairs)``: all n-grams of a range of hashes with their counts over all blocks.
+    """``(segment, keys, levels, singles, pairs)``: the n-grams of a range of hashes with their counts over all blocks.
 
     ``singles`` and ``pairs`` have the number of n-grams at each level. A range holds a bounded part of the text.
+    Pairs that are too rare to enter a filter are counted, then left out.
     """
 
+    least = int(level_of(np.array([LEAST_PAIRS]))[0])
+
     def merge(key, table):
-        keys = np.concatenate([unpacked_keys(data) for data in table["data"].to_pylist()])
-        counts = np.concatenate([unpacked(data, np.uint32) for data in table["more"].to_pylist()]).astype(np.int64)
-        order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
-        starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] + np.uint64(1)))
-        sums = np.add.reduceat(counts >> 1, starts)
-        paired = counts[starts] & 1
-        keys = keys[starts]
-        levels = level_of(sums)
+        rows = table.to_pylist()
+        parts = [(unpacked_keys(row["data"]), unpacked(row["more"], np.uint32).astype(np.int64)) for row in rows]
+        keys, counts = summed(parts)
+        levels, paired = level_of(counts >> 1), counts & 1
+        entered = (paired == 0) | (levels >= least)
+        keys, levels, paired = keys[entered], levels[entered], paired[entered]
         sizes = [np.bincount(levels[paired == kind], minlength=LEVELS)[:LEVELS].tolist() for kind in (0, 1)]
         return pa.table(
             {
                 "segment": pa.array([key[0].as_py()], pa.int32()),
-                "keys": [packed_keys(keys)],
-                "levels": [zstandard.ZstdCompressor(level=1).compress((levels * 2 + paired).astype(np.uint8).tobytes())],
+                "keys": pa.array([packed_keys(keys)], pa.binary()),
+                "levels": pa.array([squeezed((levels * 2 + paired).astype(np.uint8).tobytes())], pa.binary()),
                 "singles": [sizes[0]],
                 "pairs": [sizes[1]],
             }
@@ -239,11 +264,10 @@ def build_filter(counted: DataFrame, segments: int, tokens: int, distinct: int)
     bits = 64 * max(1, -(-entries * BITS_PER_ENTRY // (64 * segments)))
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = zstandard.ZstdDecompressor()
         for batch in batches:
             for row in batch.to_pylist():
                 keys = unpacked_keys(row["keys"])
-                marked = np.frombuffer(reader.decompress(row["levels"]), np.uint8).astype(np.int64)
+                marked = np.frombuffer(stretched(row["levels"]), np.uint8).astype(np.int64)
                 levels, paired = marked >> 1, marked & 1
                 levels = np.where(levels >= np.where(paired == 1, pair, single), levels, 0)
                 flags = np.zeros(bits, bool)
@@ -263,30 +287,37 @@ def build_filter(counted: DataFrame, segments: int, tokens: int, distinct: int)
 SCORES = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 )
-TOKENS_AT_ONCE = 1 << 20
-
-
-def block_scores(model: CountFilter, hashes: np.ndarray, counts: np.ndarray, end: int, docs: list[np.ndarray]):
-    """``(n_known, base, score)`` of the documents of a block, given as numbers of its words."""
-    base = np.log10(model.single(counts))
-    held = count_of(model.levels(single_keys(hashes), model.least_single))
-    alone = model.single(held)
-    results = []
-    at = 0
-    while at < len(docs):
-        stop, size = at, 0
-        while stop < len(docs) and (stop == at or size + len(docs[stop]) <= TOKENS_AT_ONCE):
-            size += len(docs[stop])
-            stop += 1
-        line = np.concatenate(docs[at:stop])
-        starts = np.cumsum([0, *map(len, docs[at : stop - 1])])
-        before = np.concatenate([[end], line[:-1]])
-        before[starts] = end
-        logs = model.log_probabilities(hashes[before], held[before], hashes[line], alone[line])
-        known = np.add.reduceat((counts[line] > 0).astype(np.int64), starts)
-        results += zip(known.tolist(), np.add.reduceat(base[line], starts).tolist(), np.add.reduceat(logs, starts).tolist())
-        at = stop
-    return results
+
+
+def line_scores(model: CountFilter, hashes, counts, held, end: int, line: np.ndarray, lengths: np.ndarray):
+    """Known tokens, base and score of documents of the given lengths, one after the other as numbers of words."""
+    starts = np.cumsum(lengths) - lengths
+    before = np.concatenate([[end], line[:-1]])
+    before[starts] = end
+    logs = model.log_probabilities(hashes[before], held[before], hashes[line], model.single(held[line]))
+    base = np.log10(model.single(counts[line]))
+    return tuple(np.add.reduceat(x, starts) for x in ((counts[line] > 0).astype(np.int64), base, logs))
+
+
+def word_totals(words: DataFrame) -> DataFrame:
+    """For every row of words their counts over all blocks.
+
+    ``tokens`` and ``distinct`` are the sum of the counts and the number of the words that have one; only the first row
+    of a range has them, for the whole range.
+    """
+
+    def value(rows: list[dict]) -> Iterator[tuple[bytes, int, int]]:
+        lists = [words_in(row) for row in rows]
+        totals: dict[bytes, int] = {}
+        for own, row in zip(lists, rows):
+            for word, n in zip(own, numbers_and_counts(row["extra"])[1].tolist()):
+                totals[word] = totals.get(word, 0) + n
+        tokens, distinct = sum(totals.values()), sum(n > 0 for n in totals.values())
+        for own in lists:
+            yield packed(np.array([totals[word] for word in own], np.uint64)), tokens, distinct
+            tokens = distinct = 0
+
+    return written(by_range(words, value, data="binary", tokens="long", distinct="long"), "lm-words")
 
 
 def score_texts(docs: DataFrame, learns: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -305,52 +336,68 @@ def score_texts(docs: DataFrame, learns: Column, key: str = "doc_id", text: str
     source = texts(docs, key, text=text).select(
         F.col(key).cast("long").alias("key"), learns.alias("flag"), F.col(text).alias("text")
     )
-    size = source.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    segments = 1 << max(4, (size // SEGMENT_CHARACTERS).bit_length())
+    segments = segments_for(source, "text")
 
     def split():
         return lambda content: [*content.encode("utf-8", "surrogatepass").lower().split(), END]
 
-    def more(block: Block) -> Iterator[pa.RecordBatch]:
-        hashes = word_hashes(list(block.words))
-        numbers = [block.number], [block.words[END]], [packed(hashes)]
-        yield rows_of(HASHES, 1, block=numbers[0], at=numbers[1], data=numbers[2])
-        yield from ngram_rows(block, hashes, segments)
+    def rows(block: Block) -> Iterator[pa.RecordBatch]:
+        yield from block.document_rows()
+        yield from block.word_rows(segments)
+        yield row_of(HASHES, block.number, at=block.words.index(END), data=packed_hashes(block.hashes))
+        yield from ngram_rows(block, segments)
 
-    tables = coded(source, split, lambda block: block.counts(True), more, "lm-blocks")
-    words = tables[WORD]
-    by_word = written(words.groupBy("word").agg(F.sum("n").alias("count")).where("count > 0"), "lm-words")
-    tokens, distinct = by_word.agg(F.coalesce(F.sum("count"), F.lit(0)), F.count(F.lit(1))).first()
+    tables = stored(coded(source, split, rows), "lm-blocks")
+    totals = word_totals(tables[WORDS])
+    both = [F.coalesce(F.sum(name), F.lit(0)) for name in ("tokens", "distinct")]
+    tokens, distinct = totals.agg(*both).first()
     model = build_filter(summed_counts(tables[NGRAMS]), segments, tokens, distinct)
     shared = spark.sparkContext.broadcast(model)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         own = shared.value
-        kinds = left["kind"].to_numpy()
-        at_hashes = int(np.flatnonzero(kinds == HASHES)[0])
-        hashes = unpacked(left["data"][at_hashes].as_py(), np.uint64)
-        end = left["at"][at_hashes].as_py()
+        given = left.to_pylist()
+        marked = next(row for row in given if row["kind"] == HASHES)
+        hashes, end = unpacked_hashes(marked["data"]), marked["at"]
         counts = np.zeros(len(hashes), np.int64)
-        counts[right["at"].to_numpy()] = right["count"].to_numpy()
-        rows = left.filter(pa.array(kinds == DOCUMENT))
-        lines = [unpacked(data, np.uint32) for data in rows["data"].to_pylist()]
-        known, base, scores = zip(*block_scores(own, hashes, counts, end, lines))
-        return pa.table(
-            {
-                "doc_id": rows["doc_id"],
-                "held_out": pa.array([not flag for flag in rows["flag"].to_pylist()]),
-                "n_tokens": pa.array(list(map(len, lines)), pa.int64()),
-                "n_known": pa.array(known, pa.int64()),
-                "train_tokens": pa.array([own.tokens] * len(lines), pa.int64()),
-                "base_score": pa.array(base, pa.float64()),
-                "score": pa.array(scores, pa.float64()),
-            }
-        )
-
-    columns = ("kind", "block", "at", "doc_id", "flag", "data")
-    left = tables[DOCUMENT].select(*columns).unionByName(tables[HASHES].select(*columns))
-    right = joined(words, by_word, "count")
-    return left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(score, SCORES)
+        for row in right.to_pylist():
+            counts[numbers_and_counts(row["extra"])[0]] = unpacked(row["data"], np.uint64)
+        held = count_of(own.levels(single_keys(hashes), own.least_single))
+        parts = []
+        for row in given:
+            if row["kind"] != DOCUMENTS:
+                continue
+            line, lengths = unpacked(row["data"], np.uint32), unpacked(row["more"], np.uint32).astype(np.int64)
+            known, base, logs = line_scores(own, hashes, counts, held, end, line, lengths)
+            parts.append(
+                pa.table(
+                    {
+                        "doc_id": pa.array(row["keys"], pa.int64()),
+                        "held_out": pa.array([not flag for flag in row["flags"]], pa.bool_()),
+                        "n_tokens": lengths,
+                        "n_known": known,
+                        "train_tokens": np.full(len(lengths), own.tokens, np.int64),
+                        "base_score": base,
+                        "score": logs,
+                    }
+                )
+            )
+        return pa.concat_tables(parts)
+
+    columns = ("kind", "block", "at", "keys", "flags", "data", "more")
+    left = tables[DOCUMENTS].select(*columns).unionByName(tables[HASHES].select(*columns))
+    return left.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(score, SCORES)
+
+
+def packed_hashes(hashes: np.ndarray) -> bytes:
+    """The upper 40 bits of each; words that agree in them share their counts in the filter."""
+    return (hashes >> np.uint64(24)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+
+
+def unpacked_hashes(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // 5, 8), np.uint8)
+    wide[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return wide.view("<u8").reshape(-1).astype(np.uint64)
 
 
 def held_out(key: Column) -> Column:
