@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from tagwright.session import new_folder
 
-BLOCK_CHARACTERS = 1 << 25  # a longer text is a block of its own
+BLOCK_CHARACTERS = 1 << 24  # a longer text is a block of its own
 SEGMENT_CHARACTERS = 1 << 24  # of text for each range of hashes
-TOKENS_AT_ONCE = 1 << 19
+TOKENS_AT_ONCE = 1 << 18
 ROWS = (
     "kind int, block long, at int, keys array<long>, flags array<boolean>, data binary, more binary, extra binary"
 )
