@@ -49,7 +49,7 @@ class WordTable:
         added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.names = added
-        self.ids: dict[str, bytes] = {}
+        self.ids = HeldIds()
         self.digest = hashlib.sha256(spec.encode()).hexdigest()
 
     def words(self, text: str) -> list[str]:
@@ -67,10 +67,22 @@ class WordTable:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of whole texts; each word that the worker does not hold is encoded once."""
-        split = [self.words(text) for text in texts]
         if len(self.ids) > HELD_WORDS:
             self.ids.clear()
-        held = self.ids
-        new = list({word for words in split for word in words if word not in held})
-        held.update(zip(new, self.encode_words(new)))
-        return [b"".join(map(held.__getitem__, words)) for words in split]
+        parts = [list(map(self.ids.__getitem__, self.words(text))) for text in texts]
+        for word, ids in zip(self.ids.new, self.encode_words(list(self.ids.new))):
+            self.ids.new[word].extend(ids)
+            self.ids[word] = ids
+        self.ids.new.clear()
+        return list(map(b"".join, parts))
+
+
+class HeldIds(dict):
+    """Ids of words; a new word gets a place that is filled when all words at hand are encoded."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: dict[str, bytearray] = {}
+
+    def __missing__(self, word: str) -> bytearray:
+        return self.new.setdefault(word, bytearray())

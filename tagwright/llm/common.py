@@ -90,3 +90,16 @@ def numbered(df: DataFrame, *keys: str, number: str = "row", purpose: str = "num
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     return placed.join(F.broadcast(starts), "part").select(*df.columns, (F.col("start") + F.col("at")).alias(number))
+
+
+def hash_sample(docs: DataFrame, text: str, rows: int) -> DataFrame:
+    """About ``rows`` texts, at most, picked by a hash of each text alone; all if there are no more.
+
+    The share of the hashes that is taken follows from the number of rows, so the texts are read once.
+    """
+    n = docs.count()
+    if n <= rows:
+        return docs.select(text)
+    # hashes spread over all longs; copies of a text are taken together
+    cut = int(2**64 * (rows / n)) - 2**63
+    return docs.where(F.xxhash64(text) < F.lit(cut)).select(text).limit(rows)

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagwright.llm.common import without
+from tagwright.llm.common import hash_sample, without
 from tagwright.session import spread, written
 
 WINDOW = 3
@@ -143,13 +143,10 @@ def rule_order(
 ) -> list[Rule]:
     """The rules by rejected share per second, the best first, as found on a sample.
 
-    The sample are the ``rows`` documents with the least hash of their text, picked by hash alone and written
-    once. A rule's cost is the time its measures take over the sample beyond a bare scan; its selectivity is the
+    The sample are ``rows`` documents at most, picked by a hash of their text and written once. A rule's cost is the time its measures take over the sample beyond a bare scan; its selectivity is the
     share it rejects. Both decide the order of evaluation only, never a verdict.
     """
-    hashed = docs.select(F.xxhash64(text).alias("sample_key"))
-    cut = hashed.orderBy("sample_key").limit(rows).agg(F.max("sample_key")).first()[0]
-    sample = written(docs.where(F.xxhash64(text) <= F.lit(cut)).select(text).limit(rows), "rule-sample")
+    sample = written(hash_sample(docs, text, rows), "rule-sample")
 
     def seconds(df: DataFrame) -> float:
         begun = time.monotonic()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tagwright.llm.bpe import tokenizer_file, word_table
-from tagwright.llm.common import ship, texts
+from tagwright.llm.common import hash_sample, ship, texts
 from tagwright.session import written
 
 END_ID = 2
@@ -55,14 +55,12 @@ def _ending(end_id: int | None) -> bytes:
 def train_dictionary(docs: DataFrame, spec: str, width: int, end_id: int | None = END_ID, text: str = "text") -> bytes:
     """A dictionary of serialized id arrays, trained on at most ``SAMPLE_ROWS`` documents; empty if they are too few.
 
-    It changes the size of the files and nothing else. The sample are the documents with the least hash.
+    It changes the size of the files and nothing else. The sample is picked by a hash of the text.
     """
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(spec)
-    hashed = docs.select(F.xxhash64(text).alias("sample_key"))
-    cut = hashed.orderBy("sample_key").limit(SAMPLE_ROWS).agg(F.max("sample_key")).first()[0]
-    chosen = texts(docs.where(F.xxhash64(text) <= F.lit(cut)), text=text).dropDuplicates()
+    chosen = hash_sample(docs, text, SAMPLE_ROWS).dropna().dropDuplicates()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = word_table(shared.value)
