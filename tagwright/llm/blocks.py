@@ -18,9 +18,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagwright.llm.common import lean
 from tagwright.session import new_folder
 
-BLOCK_CHARACTERS = 1 << 24  # a longer text is a block of its own
+BLOCK_CHARACTERS = 1 << 23  # a longer text is a block of its own
 SEGMENT_CHARACTERS = 1 << 24  # of text for each range of hashes
 TOKENS_AT_ONCE = 1 << 18
 ROWS = (
@@ -196,6 +197,7 @@ def coded(
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         words_of = split()
         block = Block(TaskContext.get().partitionId() << 24)
         for batch in batches:
@@ -204,9 +206,12 @@ def coded(
                 if block.keys and block.size + len(content) > BLOCK_CHARACTERS:
                     yield from rows(block.closed())
                     block = Block(block.number + 1)
+                    lean()
                 block.add(key.as_py(), flag.as_py(), words_of(content), len(content))
         if block.keys:
             yield from rows(block.closed())
+        del block
+        lean()
 
     return docs.mapInArrow(work, ROWS)
 
@@ -229,6 +234,7 @@ def by_range(words: DataFrame, value: Callable[[list[dict]], Iterator[tuple]], *
     kinds = {"binary": pa.binary(), "long": pa.int64()}
 
     def work(table):
+        lean()
         rows = table.to_pylist()
         found = zip(*value(rows))
         given = {

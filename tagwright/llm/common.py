@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,3 +105,12 @@ def hash_sample(docs: DataFrame, text: str, rows: int) -> DataFrame:
     # hashes spread over all longs; copies of a text are taken together
     cut = int(2**64 * (rows / n)) - 2**63
     return docs.where(F.xxhash64(text) < F.lit(cut)).select(text).limit(rows)
+
+
+def lean() -> None:
+    """Give freed memory of a Python worker back; workers stay for later tasks, beside other workers of their executor."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tagwright.llm.blocks import by_range, coded, numbers_and_counts, packed, segments_for, unpacked, words_in
 from tagwright.llm.bpe import tokenizer_file, word_table
-from tagwright.llm.common import ship, texts
+from tagwright.llm.common import lean, ship, texts
 
 
 def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -40,9 +40,13 @@ def word_ids(words: DataFrame, spec: str) -> DataFrame:
     return by_range(words, value, data="binary", more="binary")
 
 
-def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", decoded: str | None = None
+) -> DataFrame:
     """``(key, ids)`` of every text; ``ids`` are little-endian unsigned 32-bit numbers.
 
+    With ``decoded`` there is a column of that name with the text that the ids stand for, as ``decode`` gives it.
+
     Texts are split where they are read. The distinct words of all blocks form one table, dealt out by their hash,
     in which each word is encoded once; its ids go back to the blocks that have it and there take the places of the
     numbers of the words. A null text counts as empty and has no ids; rows that repeat a key stay; an empty
@@ -54,20 +58,21 @@ def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
     spark = docs.sparkSession
     ship(spark)
     spec = tokenizer_file(tokenizer)
-    shared = spark.sparkContext.broadcast(spec)
+    shared = spark.sparkContext.broadcast((spec, piece_list(spec) if decoded else []))
     source = texts(docs, key, text=text).select(
         F.col(key).cast("long").alias("key"), F.lit(False).alias("flag"), F.col(text).alias("text")
     )
     segments = segments_for(source, "text")
 
     def split():
-        table = word_table(shared.value)
+        table = word_table(shared.value[0])
         return lambda content: [word.encode("utf-8", "surrogatepass") for word in table.words(content)]
 
     words = coded(source, split, lambda block: block.word_rows(segments))
     documents = coded(source, split, lambda block: block.document_rows())
 
     def put(numbered: pa.Table, worded: pa.Table) -> pa.Table:
+        lean()
         rows = worded.to_pylist()
         numbers = [numbers_and_counts(row["extra"])[0] for row in rows]
         sizes = [unpacked(row["more"], np.uint32) for row in rows]
@@ -85,11 +90,14 @@ def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "te
             ends = np.concatenate([[0], np.cumsum(own)])[np.cumsum(unpacked(row["more"], np.uint32))] * 4
             keys += row["keys"]
             found += [line[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
-        return pa.table({key: pa.array(keys, pa.int64()), "ids": pa.array(found, pa.binary())})
+        columns = {key: pa.array(keys, pa.int64()), "ids": pa.array(found, pa.binary())}
+        if decoded:
+            columns[decoded] = pa.array(texts_of(found, shared.value[1]), pa.string())
+        return pa.table(columns)
 
     left = documents.select("block", "keys", "data", "more")
     both = left.groupBy("block").cogroup(word_ids(words, spec).groupBy("block"))
-    return both.applyInArrow(put, f"`{key}` long, ids binary")
+    return both.applyInArrow(put, f"`{key}` long, ids binary" + (f", `{decoded}` string" if decoded else ""))
 
 
 def pieces(spark: SparkSession, tokenizer: str) -> DataFrame:
@@ -119,6 +127,15 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(byte): byte for byte in shown} | {chr(256 + at): byte for at, byte in enumerate(hidden)}
 
 
+def texts_of(ids: list[bytes], listed: list[bytes]) -> list[str]:
+    """The texts of arrays of ids: a join of each id with its piece, by position."""
+    values = np.frombuffer(b"".join(listed), np.uint8)
+    lengths = np.array(list(map(len, listed)))
+    starts = np.cumsum(lengths) - lengths
+    numbers = (np.frombuffer(one, "<u4") for one in ids)
+    return [gathered(values, starts[own], lengths[own]).tobytes().decode("utf-8", "replace") for own in numbers]
+
+
 def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", text: str = "text") -> DataFrame:
     """``encoded`` with the text of its ids in place of them.
 
@@ -132,16 +149,8 @@ def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", text: str = "te
     at = names.index(ids)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        listed = shared.value
-        values = np.frombuffer(b"".join(listed), np.uint8)
-        lengths = np.array(list(map(len, listed)))
-        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
         for batch in batches:
-            found = []
-            for one in batch.column(at):
-                numbers = np.frombuffer(one.as_buffer() if one.is_valid else b"", "<u4")
-                raw = gathered(values, starts[numbers], lengths[numbers]).tobytes()
-                found.append(raw.decode("utf-8", "replace"))
+            found = texts_of([one or b"" for one in batch.column(at).to_pylist()], shared.value)
             columns = [*batch.columns, pa.array(found, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, text])
 
@@ -151,7 +160,7 @@ def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", text: str = "te
 
 def document_encoding(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Number and digests of the ids and of the decoded text of every document."""
-    both = decode(encode(docs, tokenizer), tokenizer)
+    both = encode(docs, tokenizer, decoded="text")
     return both.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
