@@ -12,8 +12,5 @@ POST_TOPIC = "posts"
 TAGGED_TOPIC = "tagged_posts"
 WHITESPACE = " \t\n\x0b\f\r"
 
-# What a driver holds of a model: a few numbers per class.
-MOST_CLASSES = 10_000
-
 # Limit of what is sent to every executor. Larger tables are joined by shuffle.
 BROADCAST_BYTES = 64 * 1024 * 1024

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagwright.fixed_values import BROADCAST_BYTES, SMOOTHING
@@ -189,7 +189,7 @@ def class_priors(posts: DataFrame, tags: DataFrame, vocab: DataFrame, smoothing:
     """``(CatId, Tag, n_rows, log_prior)`` of the classes that have training rows."""
     rows = with_class(filled(tags), vocab).join(filled(posts).select("Id"), "Id")
     counts = rows.groupBy(F.col("CatId").cast("int").alias("CatId"), "Tag").agg(F.count("*").alias("n_rows"))
-    # The window sees one row per class.
-    every = Window.partitionBy()
-    total = F.sum("n_rows").over(every) + smoothing * F.count("*").over(every)
+    counts = written(counts, "class-counts")
+    rows, classes = counts.agg(F.coalesce(F.sum("n_rows"), F.lit(0)), F.count("*")).first()
+    total = F.lit(rows + smoothing * classes)
     return counts.withColumn("log_prior", F.ln(F.col("n_rows") + smoothing) - F.ln(total))

@@ -1,7 +1,7 @@
 """Tags, the label vocabulary and labelled training rows.
 
-A vocabulary made here has a proven size and is broadcast wherever it is joined, so that the rows of a
-frequent tag never meet in one task. Any other table passed as a vocabulary is joined as Spark sees fit.
+A vocabulary made here is measured. Within the library's bound it is broadcast wherever it is joined, so that the
+rows of a frequent tag never meet in one task; a larger one, as any other table, is joined as Spark sees fit.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tagwright.fixed_values import MOST_CLASSES, TRAIN_SHARE
+from tagwright.fixed_values import BROADCAST_BYTES, TRAIN_SHARE
 from tagwright.functions.keys import in_training
 from tagwright.functions.rows import filled
 from tagwright.session import fits_broadcast, written
@@ -30,27 +30,24 @@ def label_vocab(tags: DataFrame, k: int) -> DataFrame:
     top = tag_counts(tags).orderBy(F.desc("n"), "Tag").limit(k)
     # The window sees k rows only.
     rank = F.row_number().over(Window.orderBy(F.desc("n"), "Tag"))
-    vocab = top.select((rank - 1).alias("catId"), "Tag", "n")
-    return F.broadcast(vocab) if k <= MOST_CLASSES else vocab
+    vocab = written(top.select((rank - 1).alias("catId"), "Tag", "n"), "label-vocab")
+    return F.broadcast(vocab) if fits_broadcast(vocab, 32 + F.octet_length("Tag")) else vocab
 
 
 def class_list(vocab: DataFrame) -> list[tuple[int, str]]:
     """The vocabulary as (class id, tag) pairs; a model holds a few numbers for each of them."""
-    rows = vocab.select(F.col("catId").cast("int").alias("catId"), "Tag").orderBy("catId").take(MOST_CLASSES + 1)
-    return bounded([(row["catId"], row["Tag"]) for row in rows])
+    rows = vocab.select(F.col("catId").cast("int").alias("catId"), "Tag").orderBy("catId").collect()
+    return [(row["catId"], row["Tag"]) for row in rows]
 
 
 def class_table(classes: list[tuple[int, str]], spark: SparkSession) -> DataFrame:
     """``(catId, Tag)`` from (class id, tag) pairs."""
-    ids, names = [cat_id for cat_id, _ in classes], [tag for _, tag in bounded(classes)]
+    ids, names = [cat_id for cat_id, _ in classes], [tag for _, tag in classes]
     pairs = F.arrays_zip(F.lit(ids).cast("array<int>").alias("catId"), F.lit(names).cast("array<string>").alias("Tag"))
-    return F.broadcast(spark.range(1, numPartitions=1).select(F.inline(pairs)))
-
-
-def bounded(classes: list) -> list:
-    if len(classes) > MOST_CLASSES:
-        raise ValueError(f"a model can have {MOST_CLASSES} classes at most")
-    return classes
+    table = spark.range(1, numPartitions=1).select(F.inline(pairs))
+    # the list itself is at hand, so its size is known
+    size = sum(32 + len((tag or "").encode()) for tag in names)
+    return F.broadcast(table) if size <= BROADCAST_BYTES else table
 
 
 def select_tags(tags: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -91,13 +88,13 @@ def labelled_posts(posts: DataFrame, tags: DataFrame, vocab: DataFrame) -> DataF
     """``posts`` that have a tag of the vocabulary, once each, with their ``classes``.
 
     The classes are written and measured: if they are small they are broadcast and the texts stay in place,
-    else both sides are partitioned by post, and the texts need no sort.
+    else both sides are partitioned and sorted by post, in memory that can spill.
     """
     classes = written(post_classes(tags, vocab), "post-classes")
     row_bytes = 64 + F.octet_length(F.col("Id").cast("string")) + 32 * F.size("classes")
     if fits_broadcast(classes, row_bytes):
         return posts.join(F.broadcast(classes), "Id")
-    return posts.join(classes.hint("shuffle_hash"), "Id")
+    return posts.join(classes, "Id")
 
 
 def class_rows(labelled: DataFrame, *keep: str) -> DataFrame:

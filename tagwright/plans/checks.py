@@ -19,7 +19,8 @@ TAGS = """tags AS (
 VOCAB = """tag_n AS (SELECT Tag, count(*) AS n FROM tags GROUP BY Tag),
 vocab AS (
   SELECT CAST(row_number() OVER (ORDER BY n DESC, Tag) - 1 AS INTEGER) AS catId, Tag, n
-  FROM tag_n ORDER BY n DESC, Tag LIMIT 10)"""
+  FROM tag_n ORDER BY n DESC, Tag LIMIT 100)"""
+TOP_TAGS = VOCAB.replace("LIMIT 100", "LIMIT 10")
 
 IN_TRAINING = "CAST('0x' || substr(md5(CAST({id} AS VARCHAR)), 1, 8) AS UBIGINT) % 10 < 7"
 
@@ -158,7 +159,7 @@ CHECKS: dict[str, str] = {
     "posts_scan": "SELECT doc_id AS Id, text AS Body FROM documents",
     "json_posts": f"WITH {FULL_POSTS} SELECT * FROM full_posts",
     "csv_tags": f"WITH {TAGS} SELECT CAST(Id AS VARCHAR) AS Id, Tag FROM tags",
-    "csv_label_vocab": f"WITH {TAGS}, {VOCAB} SELECT catId, Tag FROM vocab",
+    "csv_label_vocab": f"WITH {TAGS}, {TOP_TAGS} SELECT catId, Tag FROM vocab",
     "decode_posts": f"WITH {USER_POSTS} SELECT Id, CAST(NULL AS VARCHAR) AS Title, Body, OwnerUserId FROM user_posts",
     "rejected_posts": "SELECT text AS value FROM conversations WHERE role <> 'user'",
     "normalize_submissions": f"""WITH {USER_POSTS}
@@ -166,8 +167,8 @@ SELECT Id, 'NA' AS Title, Body, OwnerUserId, '2024-01-01T10:20:30Z' AS CreationD
 FROM user_posts""",
     "post_tags": f"WITH {TAGS} SELECT Id, Tag FROM tags",
     "tag_counts": f"WITH {TAGS} SELECT Tag, count(*) AS n FROM tags GROUP BY Tag",
-    "label_vocab": f"WITH {TAGS}, {VOCAB} SELECT catId, Tag, n FROM vocab",
-    "select_tags": f"WITH {TAGS}, {VOCAB} SELECT Id, Tag FROM tags WHERE Tag IN (SELECT Tag FROM vocab)",
+    "label_vocab": f"WITH {TAGS}, {TOP_TAGS} SELECT catId, Tag, n FROM vocab",
+    "select_tags": f"WITH {TAGS}, {TOP_TAGS} SELECT Id, Tag FROM tags WHERE Tag IN (SELECT Tag FROM vocab)",
     "training_rows": f"""WITH {TAGS}, {VOCAB}
 SELECT t.Tag, d.text AS Body, t.Id FROM tags t JOIN vocab v USING (Tag) JOIN documents d ON d.doc_id = t.Id
 WHERE d.text IS NOT NULL""",
@@ -230,5 +231,10 @@ FROM (SELECT DISTINCT user_id AS Id FROM events) r LEFT JOIN documents d ON d.do
     "score_stream_plan": f"{SLOTTED} SELECT Id, Tag AS tags FROM predicted",
     "upsert_stream": f"""WITH {EVENT_UPDATES}
 SELECT * FROM updates QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "message_fates": f"""WITH {USER_POSTS}
+SELECT Id, Body, CAST(NULL AS VARCHAR) AS rejected, CAST(NULL AS VARCHAR) AS reason FROM user_posts
+UNION ALL SELECT NULL, NULL, text, 'not a JSON object' FROM conversations WHERE role <> 'user'""",
+    "upsert_ties": f"""WITH {POST_UPDATES}
+SELECT * EXCLUDE (turn) FROM updates QUALIFY row_number() OVER (PARTITION BY Id ORDER BY turn DESC) = 1""",
     "merge_stream": f"WITH {EVENT_UPDATES} " + merged(["event_type", "value", "props"], "user_id", "ts, event_id"),
 }

@@ -7,7 +7,6 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagwright.fixed_values import MOST_CLASSES
 from tagwright.operators.bayes import BayesModel
 from tagwright.operators.terms import ROW_OVERHEAD, TermTable
 from tagwright.plans.training import HashedModel
@@ -65,8 +64,7 @@ class ModelStore:
         if entry is None:
             raise LookupError(f"no complete model version {version} in {self.path}")
         folder = self._folder(version)
-        # A model has a bounded number of classes.
-        classes = self.spark.read.schema(CLASSES).parquet(f"{folder}/classes").orderBy("CatId").take(MOST_CLASSES)
+        classes = self.spark.read.schema(CLASSES).parquet(f"{folder}/classes").orderBy("CatId").collect()
         if entry["kind"] == "hashed":
             pipeline = PipelineModel.load(f"{folder}/stages")
             return HashedModel(pipeline, [(row["CatId"], row["Tag"]) for row in classes])

@@ -63,7 +63,7 @@ def csv_label_vocab(spark, sf_dir):
     """The vocabulary written as one column and numbered when read."""
     path = new_folder(spark, "labels")
     # One partition holds the few labels in order.
-    given.vocab(spark, sf_dir).coalesce(1).sortWithinPartitions("catId").select("Tag").write.csv(path)
+    given.vocab(spark, sf_dir, given.TOP_TAGS).coalesce(1).sortWithinPartitions("catId").select("Tag").write.csv(path)
     return files.read_label_vocab(spark, path)
 
 
@@ -98,12 +98,12 @@ def tag_counts(spark, sf_dir):
 
 @query
 def label_vocab(spark, sf_dir):
-    return labels.label_vocab(given.tags(spark, sf_dir), given.VOCAB_SIZE)
+    return labels.label_vocab(given.tags(spark, sf_dir), given.TOP_TAGS)
 
 
 @query
 def select_tags(spark, sf_dir):
-    return labels.select_tags(given.tags(spark, sf_dir), given.vocab(spark, sf_dir))
+    return labels.select_tags(given.tags(spark, sf_dir), given.vocab(spark, sf_dir, given.TOP_TAGS))
 
 
 @query
@@ -396,6 +396,26 @@ def upsert_stream(spark, sf_dir):
     return keyed_stream(spark, given.event_updates(spark, sf_dir), "user_id", ["ts", "event_id"], merge=False)
 
 
+@query
+def message_fates(spark, sf_dir):
+    """Every message with the reason why it cannot be tagged, null for those that can."""
+    fates = payload.with_reasons(given.messages(spark, sf_dir))
+    return fates.select("Id", "Body", F.when(F.col("reason").isNotNull(), F.col("value")).alias("rejected"), "reason")
+
+
+@query
+def upsert_ties(spark, sf_dir):
+    """Posts whose dates all tie, written in two batches, of which each has several writes of a post: the last stays."""
+    updates = given.post_updates(spark, sf_dir)
+    stored = keyed.stored_layout(updates, "turn")
+    table = KeyedTable(spark, new_folder(spark, "table"), schemas.STORED_POST, "Id", ["CreationDate"])
+    early = F.col("turn") < 2
+    for batch_id, batch in enumerate((stored.where(early), stored.where(~early))):
+        # as a topic gives them: a post in one partition, in order
+        table.write_batch(batch.repartition("Id").sortWithinPartitions("turn").drop("turn"), batch_id)
+    return table.read()
+
+
 @query
 def merge_stream(spark, sf_dir):
     return keyed_stream(spark, given.event_updates(spark, sf_dir), "user_id", ["ts", "event_id"], merge=True)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tagwright.operators.labels import class_list, class_table, label_vocab, unpivot_tags
 from tagwright.session import spread
 
-VOCAB_SIZE = 10
+VOCAB_SIZE = 100  # of the models
+TOP_TAGS = 10  # of the queries that show the cut itself
 
 SCHEMAS = {
     "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
@@ -39,9 +40,9 @@ def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return described.unionByName(unpivot_tags(judged, "doc_id", ["quality", "toxic"]))
 
 
-def vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+def vocab(spark: SparkSession, sf_dir: str, size: int = VOCAB_SIZE) -> DataFrame:
     """``(catId, Tag)`` of the most frequent tags, counted once and then a local table."""
-    return class_table(class_list(label_vocab(tags(spark, sf_dir), VOCAB_SIZE)), spark)
+    return class_table(class_list(label_vocab(tags(spark, sf_dir), size)), spark)
 
 
 def full_posts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import IDF, HashingTF, Tokenizer
@@ -15,6 +14,8 @@ from pyspark.sql import functions as F
 from tagwright.fixed_values import HASH_SLOTS, SMOOTHING
 from tagwright.functions.rows import filled
 from tagwright.operators.labels import class_list, class_rows, class_table, labelled_posts, select_tags, with_class
+from tagwright.session import written
+
 
 @dataclass(frozen=True)
 class HashedModel:
@@ -55,27 +56,24 @@ def fit_hashed(
 ) -> HashedModel:
     """Fit on posts ``(Body, classes)``, where ``classes`` lists each ``CatId`` with its number of tag rows.
 
-    Texts are hashed once per post, and the fits read the kept result. MLlib predicts the
+    Texts are hashed once per post, and the fits read the written result. MLlib predicts the
     position of a class among those it saw, so classes are numbered densely over those with training rows.
     """
     tokenizer = Tokenizer(inputCol="Body", outputCol="Words")
     hashing = HashingTF(inputCol="Words", outputCol="Features", numFeatures=slots)
     hashed = hashing.transform(tokenizer.transform(labelled)).select("Features", "classes")
-    hashed.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = class_rows(hashed, "Features")
-        seen = {row["CatId"] for row in rows.groupBy("CatId").count().collect()}
-        if not seen:
-            raise ValueError("no post has a tag of the vocabulary")
-        present = [(cat_id, tag) for cat_id, tag in classes if cat_id in seen]
-        place = F.array_position(F.lit([cat_id for cat_id, _ in present]), F.col("CatId")) - 1
-        dense = rows.select("Features", place.cast("double").alias("label"))
-        idf = IDF(inputCol="Features", outputCol="IDF_features").fit(dense)
-        bayes = NaiveBayes(
-            smoothing=smoothing, modelType="multinomial", labelCol="label", featuresCol="IDF_features"
-        ).fit(idf.transform(dense))
-    finally:
-        hashed.unpersist()
+    hashed = written(hashed, "hashed-posts")
+    rows = class_rows(hashed, "Features")
+    seen = {row["CatId"] for row in rows.groupBy("CatId").count().collect()}
+    if not seen:
+        raise ValueError("no post has a tag of the vocabulary")
+    present = [(cat_id, tag) for cat_id, tag in classes if cat_id in seen]
+    place = F.array_position(F.lit([cat_id for cat_id, _ in present]), F.col("CatId")) - 1
+    dense = rows.select("Features", place.cast("double").alias("label"))
+    idf = IDF(inputCol="Features", outputCol="IDF_features").fit(dense)
+    bayes = NaiveBayes(
+        smoothing=smoothing, modelType="multinomial", labelCol="label", featuresCol="IDF_features"
+    ).fit(idf.transform(dense))
     return HashedModel(PipelineModel([tokenizer, hashing, idf, bayes]), present)
 
 

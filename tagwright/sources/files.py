@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tagwright import schemas
-from tagwright.fixed_values import MOST_CLASSES
-from tagwright.operators.labels import bounded, class_table
+from tagwright.operators.labels import class_table
 
 
 def read_posts(spark: SparkSession, path: str, schema: StructType = schemas.POST) -> DataFrame:
@@ -24,8 +23,8 @@ def read_tags(spark: SparkSession, path: str) -> DataFrame:
 def read_label_vocab(spark: SparkSession, path: str) -> DataFrame:
     """``(catId, Tag)`` from a CSV column without a header, numbered from 0 by line.
 
-    A repeated tag counts with its last line. One file holds the labels, a bounded number of them.
+    A repeated tag counts with its last line. One file holds the labels.
     """
-    lines = bounded(spark.read.schema(schemas.LABEL).option("escape", '"').csv(path).take(MOST_CLASSES + 1))
+    lines = spark.read.schema(schemas.LABEL).option("escape", '"').csv(path).collect()
     last = {row["Tag"]: at for at, row in enumerate(lines) if row["Tag"] is not None}
     return class_table(sorted((at, tag) for tag, at in last.items()), spark)

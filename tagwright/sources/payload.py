@@ -17,7 +17,9 @@ def parsed(messages: DataFrame, schema: StructType = schemas.POST) -> DataFrame:
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": schemas.CORRUPT}
     others = [name for name in messages.columns if name != "value"]
     text = F.col("value").cast("string")
-    fields = messages.select(*others, text.alias("value"), F.from_json(text, with_corrupt, options).alias("post"))
+    # a list of one keeps Spark from parsing once for each place that names a field
+    once = F.explode_outer(F.array(F.from_json(text, with_corrupt, options)))
+    fields = messages.select(*others, text.alias("value"), once.alias("post"))
     return fields.select(*others, "value", "post.*")
 
 
@@ -37,6 +39,17 @@ def rejected_posts(messages: DataFrame, schema: StructType = schemas.POST) -> Da
     return parsed(messages, schema).where(~is_good()).select("value")
 
 
+def with_reasons(messages: DataFrame, schema: StructType = schemas.POST) -> DataFrame:
+    """The fields of each message with its ``value`` and the ``reason`` why it cannot be tagged, null if it can.
+
+    Every message gives one row: a part of them is tagged and the rest rejected, and none goes without a trace.
+    """
+    reason = (
+        F.when(~is_good(), "not a JSON object").when(F.col("Id").isNull(), "no Id").when(F.col("Body").isNull(), "no Body")
+    )
+    return parsed(messages, schema).withColumn("reason", reason).drop(schemas.CORRUPT)
+
+
 def encode(df: DataFrame, keep_nulls: bool = False, key: str = "Id") -> DataFrame:
     """``(key, value)`` messages: the row as JSON, by default without its null fields."""
     options = {"ignoreNullFields": "false" if keep_nulls else "true"}

@@ -4,6 +4,10 @@ A table is a folder with a log, one folder per batch, and snapshots that hold th
 Both keep rows together with their order, and the merge is a maximum, so it does not matter how often
 or in which grouping rows are merged: a batch written again overwrites its folder, and a snapshot only
 saves work. Snapshots are complete once their manifest row is written.
+
+The order of a row is that of the table's order columns, then its arrival: the batch, and the place among the
+rows that the batch's tasks read. A topic keeps a post in one partition, which one task reads in order, so of two
+writes that tie in the order columns the later one wins.
 """
 
 from __future__ import annotations
@@ -12,16 +16,20 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tagwright.operators.keyed import merge_newest_fields, newest, newest_fields, plain_fields
 from tagwright.session import fits_broadcast
 
 MANIFEST = "through BIGINT"
+ARRIVAL = ("arrived_batch", "arrived_at")
 
 
 class KeyedTable:
-    """Latest rows by ``key``. With ``merge``, fields that a row lacks keep their old value."""
+    """Latest rows by ``key``. With ``merge``, fields that a row lacks keep their old value.
+
+    Without ``order`` columns the order of arrival alone counts.
+    """
 
     def __init__(
         self, spark: SparkSession, path: str, schema: StructType, key: str, order: list[str], merge: bool = False
@@ -37,7 +45,8 @@ class KeyedTable:
     def state_schema(self) -> StructType:
         """What log and snapshots hold: the key, and structs that start with the order."""
         fields = {field.name: field for field in self.schema.fields}
-        order = [fields[name] for name in self.order]
+        arrival = [StructField(name, LongType()) for name in ARRIVAL]
+        order = [*[fields[name] for name in self.order], *arrival]
         values = [field for field in self.schema.fields if field.name != self.key and field.name not in self.order]
         if self.merge:
             states = [StructField(field.name, StructType([*order, field])) for field in values]
@@ -45,9 +54,10 @@ class KeyedTable:
             states = [StructField("newest", StructType([*order, *values]))]
         return StructType([fields[self.key], *states])
 
-    def _reduce(self, rows: DataFrame) -> DataFrame:
-        rows = rows.select(*self.schema.names)
-        return (newest_fields if self.merge else newest)(rows, self.key, self.order)
+    def _reduce(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        places = [F.lit(batch_id).cast("bigint"), F.monotonically_increasing_id()]
+        rows = rows.select(*self.schema.names, *[place.alias(name) for name, place in zip(ARRIVAL, places)])
+        return (newest_fields if self.merge else newest)(rows, self.key, [*self.order, *ARRIVAL])
 
     def _exists(self, path: str) -> bool:
         try:
@@ -61,7 +71,7 @@ class KeyedTable:
     def write_batch(self, rows: DataFrame, batch_id: int) -> None:
         """Put the rows of a batch into the log, one per key. Writing a batch again changes nothing."""
         if not rows.isEmpty():
-            self._reduce(rows).write.mode("overwrite").parquet(f"{self.path}/log/batch_id={batch_id}")
+            self._reduce(rows, batch_id).write.mode("overwrite").parquet(f"{self.path}/log/batch_id={batch_id}")
 
     def upsert(self, stream: DataFrame) -> DataStreamWriter:
         """A writer that feeds this table; give it a checkpoint and a trigger."""
