@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tagwright.llm.common import remainder, ship, texts, widened, without
+from tagwright.llm.common import leanly, remainder, ship, texts, widened, without
 from tagwright.session import written
 
 UNKNOWN = "und"
@@ -133,7 +133,7 @@ def gram_counts(labelled: DataFrame, label: str, text: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["label", "gram", "n"])
 
     source = labelled.select(F.col(label).alias("label"), F.col(text).alias("text"))
-    found = source.mapInArrow(work, "label string, gram long, n long")
+    found = source.mapInArrow(leanly(work), "label string, gram long, n long")
     return found.groupBy("label", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -186,7 +186,7 @@ def fit_languages(
                         names=["place", "plane", "mask"],
                     )
 
-        placed = masks.select("gram", "plane", "mask").mapInArrow(places, "place long, plane int, mask long")
+        placed = masks.select("gram", "plane", "mask").mapInArrow(leanly(places), "place long, plane int, mask long")
         slices = placed.groupBy("place", "plane").agg(F.bit_or("mask").alias("mask")).toArrow()
         plane, place = slices["plane"].to_numpy(), slices["place"].to_numpy()
         table[plane, place] = slices["mask"].to_numpy().view(np.uint64)
@@ -225,7 +225,7 @@ def identify(docs: DataFrame, model: LanguageFilter, text: str = "text") -> Data
                 [*batch.columns, *added], names=[*batch.schema.names, "lang_pred", "score"]
             )
 
-    return given.mapInArrow(work, widened(given.schema, lang_pred="string", score="double"))
+    return given.mapInArrow(leanly(work), widened(given.schema, lang_pred="string", score="double"))
 
 
 def held_out(key: Column) -> Column:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagwright.llm.common import ship, texts, widened
+from tagwright.llm.common import leanly, ship, texts, widened
 from tagwright.llm.components import components
 from tagwright.session import fits_broadcast, written
 
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame, key: str, text: str = "text", width: int = SHI
             fps = pa.array(np.array(found, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), fps], names=[key, "fp"])
 
-    return source.mapInArrow(work, widened(source.select(key).schema, fp="long"))
+    return source.mapInArrow(leanly(work), widened(source.select(key).schema, fp="long"))
 
 
 def _turned(fp: str, start: str) -> str:

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagwright.llm.common import remainder, ship, texts
+from tagwright.llm.common import leanly, remainder, ship, texts
 from tagwright.session import fits_broadcast, written
 
 # The words that the grammar knows by itself.
@@ -198,7 +198,7 @@ def learn_patterns(labelled: DataFrame, toxic: int, clean: int) -> tuple[dict[st
         return pa.RecordBatch.from_arrays(columns, names=["word", "clean", "toxic"])
 
     counted = labelled.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(
-        work, "word string, clean long, toxic long"
+        leanly(work), "word string, clean long, toxic long"
     )
     by_word = written(
         counted.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "toxic-words"
@@ -238,7 +238,7 @@ def clause_features(docs: DataFrame, grammar_of: Callable[[], Grammar], key: str
             )
 
     kinds = ", ".join(f"{name} double" for name in FEATURES)
-    return source.mapInArrow(work, f"`{key}` {source.schema[key].dataType.simpleString()}, {kinds}")
+    return source.mapInArrow(leanly(work), f"`{key}` {source.schema[key].dataType.simpleString()}, {kinds}")
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, steps: int = 50, penalty: float = 1.0) -> np.ndarray:
