@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import os
 import re
 from array import array
@@ -50,7 +49,6 @@ class WordTable:
         self.added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.names = added
         self.ids = HeldIds()
-        self.digest = hashlib.sha256(spec.encode()).hexdigest()
 
     def words(self, text: str) -> list[str]:
         """The parts of a text that are encoded by themselves, in order; joined they are the text."""

@@ -10,16 +10,15 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tagwright.llm import bpe, lm, lz, quality, sharding, simhash, token_files
 from tagwright.llm.components import components
 from tagwright.llm.encoding import decode, encode
-from tagwright.llm.langid import LanguageFilter, fit_languages, grams, identify
-from tagwright.llm.mixing import described, mix
+from tagwright.llm.langid import fit_languages, grams, identify
+from tagwright.llm.mixing import mix
 from tagwright.llm.queries import QUERIES
-from tagwright.llm.toxicity import Grammar, compose, GRAMMAR, fit_logistic
+from tagwright.llm.toxicity import GRAMMAR, Grammar, compose, fit_logistic
 from tagwright.session import new_folder
 from tests.conftest import SMALL
 
