@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,31 +13,53 @@ from tagwright.functions.rows import filled
 from tagwright.functions.text import inverse_frequency, term_rows
 from tagwright.operators.labels import class_list, class_table, labelled_posts, with_class
 from tagwright.operators.terms import ROW_OVERHEAD, TermTable
-from tagwright.session import written
+from tagwright.session import fits_broadcast, written
+
+
+# Classes are counted in blocks of this many, so that a term keeps room only for the blocks it was seen in.
+LANES = 16
+BLOCKS = "array<struct<block:int,tf:array<bigint>>>"
 
 
 def class_term_counts(posts: DataFrame, tags: DataFrame, vocab: DataFrame) -> DataFrame:
-    """``(term, CatId, tf, df)`` over the (post, tag) rows, in one pass over the texts.
+    """``(term, df, blocks)`` over the (post, tag) rows, in one pass over the texts.
 
-    Counts are whole numbers and partly summed before the shuffle. The null term's ``df``
-    is the number of rows of the class.
+    A block has the counts of ``LANES`` classes with following ids; only blocks in which the term was seen are
+    listed. Counts are whole numbers and partly summed before the shuffle. The null term counts rows.
     """
     labelled = labelled_posts(filled(posts.select("Id", "Body")), tags, vocab)
     rows = term_rows(labelled, "classes").withColumn("class", F.explode_outer("classes"))
-    n = F.col("class.n")
-    return rows.groupBy("term", F.col("class.CatId").alias("CatId")).agg(
-        F.sum(F.col("tf") * n).alias("tf"), F.sum(n).alias("df")
+    tf = F.coalesce("tf", F.lit(1)) * F.col("class.n")
+    lane = F.pmod("class.CatId", F.lit(LANES))
+    block = F.floor(F.col("class.CatId") / LANES).cast("int")
+    lanes = [F.coalesce(F.sum(F.when(lane == at, tf)), F.lit(0)) for at in range(LANES)]
+    by_block = rows.groupBy("term", block.alias("block")).agg(
+        F.sum("class.n").alias("df"), F.array(*lanes).alias("tf")
     )
+    blocks = F.collect_list(F.struct("block", "tf")).cast(BLOCKS)
+    return by_block.groupBy("term").agg(F.sum("df").alias("df"), blocks.alias("blocks"))
+
+
+def block_bytes() -> Column:
+    """What a row of a model's term table takes up besides the term."""
+    return F.lit(ROW_OVERHEAD) + (8 * LANES + 48) * F.size("blocks")
+
+
+def _doubles(values: list[float]) -> Column:
+    """A constant array, as one text that Spark reads once, however many values there are."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
 
 @dataclass(frozen=True)
 class BayesModel:
     """A fitted model: a term table on the cluster, and a few numbers per class.
 
-    ``terms`` has ``(term, df, idf, tf)``, where ``tf`` lists the counts of each class.
+    ``terms`` has ``(term, df, idf, blocks)``, where ``blocks`` lists the counts of the blocks of classes in which
+    the term was seen. ``places`` has the numbers by which blocks count the classes.
     """
 
     terms: TermTable
+    places: list[int]
     class_ids: list[int]
     tags: list[str]
     class_rows: list[int]
@@ -55,82 +77,103 @@ class BayesModel:
         unseen = self.terms.n_terms * self.smoothing
         return [math.log(weight + unseen) for weight in self.class_weights]
 
+    def classes(self) -> DataFrame:
+        """``(place, CatId, tags, log_total)``."""
+        rows = list(zip(self.places, self.class_ids, self.tags, self.log_totals))
+        return class_table(rows, self.terms.rows.sparkSession, "place INT, CatId INT, tags STRING, log_total DOUBLE")
+
     def log_likelihoods(self) -> DataFrame:
-        """``(term, CatId, weight, log_likelihood)`` for each term and class."""
-        per_class = F.arrays_zip(
-            F.lit(self.class_ids).alias("CatId"), F.col("tf").alias("tf"), F.lit(self.log_totals).alias("log_total")
-        )
-        rows = self.terms.rows.select("term", "idf", F.explode_outer(per_class).alias("c"))
-        weight = F.col("idf") * F.col("c.tf")
-        return rows.select(
+        """``(term, CatId, weight, log_likelihood)`` for each term and class that were seen together.
+
+        A row with a null term has what a class gives each of the terms that it lacks.
+        """
+        blocks = self.terms.rows.select("term", "idf", F.explode_outer("blocks").alias("b"))
+        counts = blocks.select("term", "idf", "b.block", F.posexplode_outer("b.tf").alias("lane", "n")).where("n > 0")
+        weight = F.col("idf") * F.col("n")
+        seen = counts.select("term", weight.alias("weight"), (F.col("block") * LANES + F.col("lane")).alias("place"))
+        classes = self.classes()
+        lacking = classes.select(F.lit(None).cast("string").alias("term"), F.lit(0.0).alias("weight"), "place")
+        return seen.unionByName(lacking).join(classes, "place").select(
             "term",
-            F.col("c.CatId").alias("CatId"),
-            weight.alias("weight"),
-            (F.ln(weight + self.smoothing) - F.col("c.log_total")).alias("log_likelihood"),
+            "CatId",
+            "weight",
+            (F.ln(F.col("weight") + self.smoothing) - F.col("log_total")).alias("log_likelihood"),
         )
 
+    def only(self, posts: DataFrame) -> "BayesModel":
+        """This model with the terms of ``posts`` only, written: it gives them the same scores.
+
+        If the distinct terms of the posts are few they are broadcast and the term table stays in place.
+        """
+        tokens = term_rows(filled(posts.select("Body"), "Body")).where("term IS NOT NULL")
+        wanted = written(tokens.select("term").distinct(), "wanted-terms")
+        if fits_broadcast(wanted, ROW_OVERHEAD + F.octet_length("term")):
+            wanted = F.broadcast(wanted)
+        found = written(self.terms.rows.join(wanted, "term", "left_semi"), "found-terms")
+        part = TermTable.measure(found, block_bytes())
+        # the scores depend on the number of all terms
+        return replace(self, terms=replace(part, n_terms=self.terms.n_terms))
+
     def scores(self, posts: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> DataFrame:
-        """``(Id, scores)``: the joint log likelihood of each class, for each post.
+        """``(Id, scores)``: for each post the joint log likelihood of the class at each place, -Infinity for none.
 
         A class's score is its prior, plus what all weight of the post would get for unseen terms,
-        plus a gain for each term seen in the class. Only the gains need the term table. Posts without
-        a known term keep the prior. ``Id`` must be unique.
+        plus a gain for each term seen in the class. Only the gains need the term table, and only blocks of classes
+        that share a term with the post have any. Posts without a known term keep the prior. ``Id`` must be unique.
         """
         lam = self.smoothing
-        gains = self.terms.rows.select(
-            "term",
-            "df",
-            "idf",
-            F.transform("tf", lambda n: F.ln((F.col("idf") * n + lam) / lam)).alias("gains"),
-        )
-        table = TermTable(gains, self.terms.n_terms, self.terms.n_bytes, self.terms.row_bytes)
+        gain = lambda n: F.ln((F.col("idf") * n + lam) / lam)
+        gains = F.transform("blocks", lambda b: F.struct(b["block"].alias("block"), F.transform(b["tf"], gain).alias("g")))
+        table = replace(self.terms, rows=self.terms.rows.select("term", "df", "idf", gains.alias("gains")))
         matched = table.attach(term_rows(filled(posts, "Body"), "Id"), max_broadcast)
-        x = F.col("tf") * F.col("idf")
-        places = range(len(self.class_ids))
-        sums = matched.groupBy("Id").agg(
-            F.coalesce(F.sum(x), F.lit(0.0)).alias("x"),
-            *[F.coalesce(F.sum(x * F.col("gains")[at]), F.lit(0.0)).alias(f"g{at}") for at in places],
-        )
-        unseen = [math.log(lam) - total for total in self.log_totals]
-        priors = self.log_priors
-        return sums.select(
-            "Id",
-            F.array(*[priors[at] + F.col("x") * unseen[at] + F.col(f"g{at}") for at in places]).alias("scores"),
+        x = (F.col("tf") * F.col("idf")).alias("x")
+        rows = matched.select("Id", x, F.posexplode_outer("gains").alias("at", "b"))
+        # the weight of a term counts once, whatever the number of its blocks
+        weight = F.sum(F.when(F.coalesce("at", F.lit(0)) == 0, F.col("x")))
+        lanes = [F.coalesce(F.sum(F.col("x") * F.col("b.g")[at]), F.lit(0.0)) for at in range(LANES)]
+        by_block = rows.groupBy("Id", F.col("b.block").alias("block")).agg(weight.alias("x"), F.array(*lanes).alias("g"))
+        seen = F.collect_list(F.when(F.col("block").isNotNull(), F.struct("block", "g")))
+        sums = by_block.groupBy("Id").agg(
+            F.coalesce(F.sum("x"), F.lit(0.0)).alias("x"), F.map_from_entries(seen).alias("seen")
         )
+        n_blocks = max(self.places) // LANES + 1
+        priors, unseen = [-math.inf] * n_blocks * LANES, [0.0] * n_blocks * LANES
+        for place, prior, total in zip(self.places, self.log_priors, self.log_totals):
+            priors[place], unseen[place] = prior, math.log(lam) - total
+        base = F.zip_with(_doubles(priors), _doubles(unseen), lambda prior, share: prior + F.col("x") * share)
+        nothing = _doubles([0.0] * LANES)
+
+        def scores_of(block: Column) -> Column:
+            part = F.slice("base", block * LANES + 1, LANES)
+            return F.zip_with(part, F.coalesce(F.try_element_at("seen", block), nothing), lambda a, b: a + b)
+
+        blocks = F.sequence(F.lit(0), F.lit(n_blocks - 1))
+        based = sums.select("Id", "seen", base.alias("base"))
+        return based.select("Id", F.flatten(F.transform(blocks, scores_of)).alias("scores"))
 
     def predict(self, posts: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> DataFrame:
-        """``(Id, CatId, tags, confidence, scores)``; of equal scores the lowest class wins."""
+        """``(Id, CatId, tags, confidence)``; of equal scores the lowest class wins."""
         scored = self.scores(posts, max_broadcast).withColumn("best", F.array_max("scores"))
-        place = F.array_position("scores", F.col("best"))
-        return scored.select(
+        chosen = scored.select(
             "Id",
-            self._at(self.class_ids, place).alias("CatId"),
-            self._at(self.tags, place).alias("tags"),
+            (F.array_position("scores", F.col("best")) - 1).cast("int").alias("place"),
             (1 / _total(F.transform("scores", lambda s: F.exp(s - F.col("best"))))).alias("confidence"),
-            "scores",
         )
+        return chosen.join(self.classes(), "place").select("Id", "CatId", "tags", "confidence")
 
     def score_rows(self, posts: DataFrame) -> DataFrame:
         """``(Id, CatId, tags, score, probability)`` for each post and class."""
-        best = F.array_max("scores")
-        scored = self.scores(posts).withColumn("best", best)
+        scored = self.scores(posts).withColumn("best", F.array_max("scores"))
         scored = scored.withColumn("total", _total(F.transform("scores", lambda s: F.exp(s - F.col("best")))))
-        per_class = F.arrays_zip(
-            F.lit(self.class_ids).alias("CatId"), F.lit(self.tags).alias("tags"), F.col("scores").alias("score")
-        )
-        rows = scored.select("Id", "best", "total", F.explode_outer(per_class).alias("c"))
-        return rows.select(
+        rows = scored.select("Id", "best", "total", F.posexplode_outer("scores").alias("place", "score"))
+        return rows.join(self.classes(), "place").select(
             "Id",
-            "c.CatId",
-            "c.tags",
-            "c.score",
-            (F.exp(F.col("c.score") - F.col("best")) / F.col("total")).alias("probability"),
+            "CatId",
+            "tags",
+            "score",
+            (F.exp(F.col("score") - F.col("best")) / F.col("total")).alias("probability"),
         )
 
-    @staticmethod
-    def _at(values: list, place: Column) -> Column:
-        return F.try_element_at(F.lit(values), place.cast("int"))
-
 
 def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda total, value: total + value)
@@ -144,43 +187,30 @@ def fit_bayes(posts: DataFrame, tags: DataFrame, vocab: DataFrame, smoothing: fl
     if smoothing <= 0:
         raise ValueError("smoothing must be positive")
     classes = class_list(vocab)
-    counts = class_term_counts(posts, tags, class_table(classes, posts.sparkSession))
-    per_class = [
-        F.coalesce(F.sum(F.when(F.col("CatId") == cat_id, F.coalesce("tf", "df"))), F.lit(0)) for cat_id, _ in classes
-    ]
-    table = written(
-        counts.groupBy("term").agg(F.sum("df").alias("df"), F.array(*per_class).alias("tf")), "class-terms"
-    )
-    # One row per class has it all: the null term's counts are the numbers of rows, and the weight of a
-    # class is the sum of idf * tf = ln(rows + 1) * tf - ln(df + 1) * tf over its terms.
-    known = F.col("term").isNotNull()
-    flat = table.select("term", "df", F.ln(F.col("df") + 1).alias("log_df"), F.posexplode_outer("tf").alias("at", "n"))
-    sums = flat.groupBy("at").agg(
-        F.max(F.when(~known, F.struct("df", "n"))).alias("rows"),
-        F.count("term").alias("n_terms"),
-        F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("text_bytes"),
-        F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("tf"),
-        F.coalesce(F.sum(F.when(known, F.col("log_df") * F.col("n"))), F.lit(0.0)).alias("log_df_tf"),
-    )
-    # At most one row per class of the bounded vocabulary.
-    by_class = sorted(sums.collect())
-    if not by_class:
+    places = class_table([(at, tag) for at, (_, tag) in enumerate(classes)], posts.sparkSession)
+    table = written(class_term_counts(posts, tags, places), "class-terms")
+    all_rows = table.where("term IS NULL").first()
+    if not all_rows:
         raise ValueError("no post has a tag of the vocabulary")
-    n_rows, n_terms = by_class[0]["rows"]["df"], by_class[0]["n_terms"]
-    seen = [row for row in by_class if row["rows"]["n"]]
-    terms = table.where(known).select(
-        "term",
-        "df",
-        inverse_frequency(F.lit(n_rows), F.col("df")).alias("idf"),
-        F.array(*[F.col("tf")[row["at"]] for row in seen]).alias("tf"),
+    idf = inverse_frequency(F.lit(all_rows["df"]), F.col("df"))
+    terms = table.where("term IS NOT NULL").select("term", "df", idf.alias("idf"), "blocks")
+    counts = table.select("term", idf.alias("idf"), F.explode_outer("blocks").alias("b"))
+    counts = counts.select("term", "idf", "b.block", F.posexplode_outer("b.tf").alias("lane", "n")).where("n > 0")
+    # The null term's counts are the numbers of rows.
+    known = F.col("term").isNotNull()
+    sums = counts.groupBy((F.col("block") * LANES + F.col("lane")).alias("place")).agg(
+        F.sum(F.when(~known, F.col("n"))).alias("n_rows"),
+        F.coalesce(F.sum(F.when(known, F.col("idf") * F.col("n"))), F.lit(0.0)).alias("weight"),
     )
-    width = ROW_OVERHEAD + 8 * len(seen)
+    # One row per class that was seen, as a model has a few numbers for each.
+    seen = sums.orderBy("place").collect()
     return BayesModel(
-        terms=TermTable(terms, n_terms, by_class[0]["text_bytes"] + n_terms * width, width),
-        class_ids=[classes[row["at"]][0] for row in seen],
-        tags=[classes[row["at"]][1] for row in seen],
-        class_rows=[row["rows"]["n"] for row in seen],
-        class_weights=[math.log(n_rows + 1) * row["tf"] - row["log_df_tf"] for row in seen],
+        terms=TermTable.measure(terms, block_bytes()),
+        places=[row["place"] for row in seen],
+        class_ids=[classes[row["place"]][0] for row in seen],
+        tags=[classes[row["place"]][1] for row in seen],
+        class_rows=[row["n_rows"] for row in seen],
+        class_weights=[row["weight"] for row in seen],
         smoothing=smoothing,
     )
 

@@ -6,6 +6,8 @@ rows of a frequent tag never meet in one task; a larger one, as any other table,
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,14 +42,14 @@ def class_list(vocab: DataFrame) -> list[tuple[int, str]]:
     return [(row["catId"], row["Tag"]) for row in rows]
 
 
-def class_table(classes: list[tuple[int, str]], spark: SparkSession) -> DataFrame:
-    """``(catId, Tag)`` from (class id, tag) pairs."""
-    ids, names = [cat_id for cat_id, _ in classes], [tag for _, tag in classes]
-    pairs = F.arrays_zip(F.lit(ids).cast("array<int>").alias("catId"), F.lit(names).cast("array<string>").alias("Tag"))
-    table = spark.range(1, numPartitions=1).select(F.inline(pairs))
+def class_table(classes: list[tuple], spark: SparkSession, schema: str = "catId INT, Tag STRING") -> DataFrame:
+    """``(catId, Tag)`` from (class id, tag) pairs, or other columns from longer rows."""
+    names = [field.split()[0] for field in schema.split(", ")]
+    listed = json.dumps([dict(zip(names, row)) for row in classes])
+    rows = F.from_json(F.lit(listed), f"array<struct<{schema.replace(' ', ':').replace(',:', ',')}>>")
+    table = spark.range(1, numPartitions=1).select(F.inline(rows))
     # the list itself is at hand, so its size is known
-    size = sum(32 + len((tag or "").encode()) for tag in names)
-    return F.broadcast(table) if size <= BROADCAST_BYTES else table
+    return F.broadcast(table) if len(listed) <= BROADCAST_BYTES else table
 
 
 def select_tags(tags: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -56,9 +58,12 @@ def select_tags(tags: DataFrame, vocab: DataFrame) -> DataFrame:
 
 
 def training_rows(tags: DataFrame, posts: DataFrame, vocab: DataFrame) -> DataFrame:
-    """One ``(Tag, Body, Id)`` row for each selected tag of each post, without nulls."""
-    chosen = select_tags(tags, vocab)
-    return chosen.join(filled(posts.select("Id", "Body")), "Id").select("Tag", "Body", "Id")
+    """One ``(Tag, Body, Id)`` row for each selected tag of each post, without nulls.
+
+    A post meets its gathered tags once, and is repeated for each of them after that.
+    """
+    labelled = labelled_posts(filled(posts.select("Id", "Body")), tags, vocab)
+    return with_tag(class_rows(labelled, "Id", "Body"), vocab, tag_column="Tag").select("Tag", "Body", "Id")
 
 
 def with_class(rows: DataFrame, vocab: DataFrame) -> DataFrame:

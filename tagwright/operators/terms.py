@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.feature import HashingTF, Tokenizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagwright.fixed_values import BROADCAST_BYTES, HASH_SLOTS
@@ -35,44 +35,46 @@ def document_frequency(posts: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class TermTable:
-    """A written table with one row per term, and its measured size."""
+    """A written table with one row per term, and its measured size.
+
+    ``levels`` has the bytes of the terms whose ``df`` has 1, 2, 3... binary digits, 63 at most.
+    """
 
     rows: DataFrame
     n_terms: int
-    n_bytes: int
-    row_bytes: int
+    levels: dict[int, int]
 
     @classmethod
-    def measure(cls, rows: DataFrame, row_bytes: int = ROW_OVERHEAD) -> "TermTable":
-        """Measure ``rows``, whose columns besides the term take ``row_bytes`` at most."""
-        size = rows.agg(
-            F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("text")
-        ).first()
-        return cls(rows, size["n"], size["text"] + size["n"] * row_bytes, row_bytes)
+    def measure(cls, rows: DataFrame, row_bytes: Column | int = ROW_OVERHEAD) -> "TermTable":
+        """Measure ``rows``, whose columns besides the term take ``row_bytes``."""
+        size = F.sum(F.octet_length("term") + (F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes))
+        levels = rows.groupBy(F.length(F.bin("df")).alias("bits")).agg(F.count("*").alias("n"), size.alias("n_bytes"))
+        found = levels.collect()
+        return cls(rows, sum(row["n"] for row in found), {row["bits"]: row["n_bytes"] for row in found})
+
+    @property
+    def n_bytes(self) -> int:
+        return sum(self.levels.values())
 
     def attach(self, tokens: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
         """Left join of ``tokens`` with this table on ``term``.
 
         A table within ``max_bytes`` is broadcast. Of a larger one the most frequent terms are
         broadcast, as many as fit, so that the bulk of the tokens stays in place; the other terms are rare
-        ones, and only their tokens are shuffled.
+        ones, and only their tokens are shuffled. Tokens without a term stay in place too.
         """
         if self.n_bytes <= max_bytes:
             return tokens.join(F.broadcast(self.rows), "term", "left")
         hot = self.rows.where(F.col("df") >= self.hot_df(max_bytes))
-        frequent = tokens.join(F.broadcast(hot), "term")
-        rare = tokens.join(F.broadcast(hot.select("term")), "term", "left_anti")
-        return frequent.unionByName(rare.join(self.rows.hint("merge"), "term", "left"))
+        in_place = tokens.join(F.broadcast(hot), "term", "left").where("df IS NOT NULL OR term IS NULL")
+        rare = tokens.where("term IS NOT NULL").join(F.broadcast(hot.select("term")), "term", "left_anti")
+        return in_place.unionByName(rare.join(self.rows.hint("merge"), "term", "left"))
 
     def hot_df(self, max_bytes: int) -> int:
         """The least power of two for which the terms of at least that ``df`` take ``max_bytes`` or less."""
-        size = F.sum(F.octet_length("term") + self.row_bytes)
-        levels = self.rows.groupBy(F.length(F.bin("df")).alias("bits")).agg(size.alias("n_bytes"))
-        # One row per length of a number in binary digits, 63 at most.
-        by_bits = {row["bits"]: row["n_bytes"] for row in levels.collect()}
         left, bits = max_bytes, 63
-        while bits and by_bits.get(bits, 0) <= left:
-            left -= by_bits.get(bits, 0)
+        while bits and self.levels.get(bits, 0) <= left:
+            left -= self.levels.get(bits, 0)
             bits -= 1
         return 2**bits
 

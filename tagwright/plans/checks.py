@@ -192,9 +192,9 @@ SELECT Id, term, round(tf * idf, 6) AS weight FROM tf JOIN idf USING (term)""",
 SELECT c.CatId, v.Tag, c.n_c AS n_rows, round(c.log_prior, 6) AS log_prior
 FROM classes c JOIN vocab v ON v.catId = c.CatId""",
     "class_term_weight": f"""{EXACT}
-SELECT c.CatId, idf.term, round(coalesce(weight, 0.0), 4) AS weight,
-  round(ln(coalesce(weight, 0.0) + 1.0) - log_total, 6) AS log_likelihood
-FROM idf CROSS JOIN classes c LEFT JOIN weights w ON w.CatId = c.CatId AND w.term = idf.term""",
+SELECT w.CatId, w.term, round(weight, 4) AS weight, round(ln(weight + 1.0) - log_total, 6) AS log_likelihood
+FROM weights w JOIN classes c ON c.CatId = w.CatId
+UNION ALL SELECT CatId, NULL, 0.0, round(-log_total, 6) FROM classes""",
     "nb_scores": f"{EXACT} SELECT Id, CatId, Tag AS tags, round(score, 4) AS score FROM scores",
     "class_posterior": f"{EXACT} SELECT Id, CatId, round(probability, 6) AS probability FROM posterior",
     "predict_class": f"{EXACT} SELECT Id, CatId, round(probability, 6) AS confidence FROM predicted",

@@ -7,12 +7,12 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagwright.operators.bayes import BayesModel
-from tagwright.operators.terms import ROW_OVERHEAD, TermTable
+from tagwright.operators.bayes import BayesModel, block_bytes
+from tagwright.operators.terms import TermTable
 from tagwright.plans.training import HashedModel
 
 MANIFEST = "version INT, kind STRING, smoothing DOUBLE"
-CLASSES = "CatId INT, Tag STRING, n_rows BIGINT, weight DOUBLE"
+CLASSES = "CatId INT, Tag STRING, place INT, n_rows BIGINT, weight DOUBLE"
 
 
 class ModelStore:
@@ -45,11 +45,11 @@ class ModelStore:
         folder = self._folder(version)
         if isinstance(model, HashedModel):
             model.pipeline.write().overwrite().save(f"{folder}/stages")
-            rows = [(cat_id, tag, None, None) for cat_id, tag in model.classes]
+            rows = [(cat_id, tag, None, None, None) for cat_id, tag in model.classes]
             kind, smoothing = "hashed", None
         else:
             model.terms.rows.write.mode("overwrite").parquet(f"{folder}/terms")
-            rows = list(zip(model.class_ids, model.tags, model.class_rows, model.class_weights))
+            rows = list(zip(model.class_ids, model.tags, model.places, model.class_rows, model.class_weights))
             kind, smoothing = "exact", model.smoothing
         self.spark.createDataFrame(rows, CLASSES).coalesce(1).write.mode("overwrite").parquet(f"{folder}/classes")
         entry = self.spark.createDataFrame([(version, kind, smoothing)], MANIFEST)
@@ -70,7 +70,8 @@ class ModelStore:
             return HashedModel(pipeline, [(row["CatId"], row["Tag"]) for row in classes])
         terms = self.spark.read.parquet(f"{folder}/terms")
         return BayesModel(
-            terms=TermTable.measure(terms, ROW_OVERHEAD + 8 * len(classes)),
+            terms=TermTable.measure(terms, block_bytes()),
+            places=[row["place"] for row in classes],
             class_ids=[row["CatId"] for row in classes],
             tags=[row["Tag"] for row in classes],
             class_rows=[row["n_rows"] for row in classes],

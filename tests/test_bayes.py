@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tagwright.operators import bayes, labels
 from tagwright.plans import relations
+from tagwright.plans.model_store import ModelStore
 from tests.conftest import MIDDLE
 
 POSTS = [
@@ -124,5 +125,43 @@ def test_agrees_with_mllib(spark):
 
 
 def test_log_likelihoods_sum_to_one(spark):
-    sums = fitted(spark).log_likelihoods().groupBy("CatId").agg(F.sum(F.exp("log_likelihood")).alias("p")).collect()
+    model = fitted(spark)
+    seen = F.count("term")
+    lacking = F.max(F.when(F.col("term").isNull(), F.exp("log_likelihood"))) * (model.terms.n_terms - seen)
+    total = F.sum(F.when(F.col("term").isNotNull(), F.exp("log_likelihood"))) + lacking
+    sums = model.log_likelihoods().groupBy("CatId").agg(total.alias("p")).collect()
     assert len(sums) == 3 and all(math.isclose(row["p"], 1.0, rel_tol=1e-9) for row in sums)
+
+
+def test_null_terms_stay_in_place(spark):
+    """Beyond the bound for broadcasts, only tokens with a term are joined by shuffle."""
+    posts = frame(spark, NEW)
+    plan = fitted(spark).scores(posts, max_broadcast=0)._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan[plan.index("Join LeftAnti") :]
+    assert "isnotnull" in joined and fitted(spark).scores(posts, max_broadcast=0).count() == len(NEW)
+
+
+def test_many_classes(spark, tmp_path):
+    """12,000 classes fit, are stored and score as the plain formula does."""
+    n = 12_000
+    posts = spark.range(n).select(
+        F.col("id").cast("string").alias("Id"), F.concat(F.lit("w"), F.col("id"), F.lit(" same")).alias("Body")
+    )
+    tags = spark.range(n).select(F.col("id").cast("string").alias("Id"), F.concat(F.lit("t"), F.col("id")).alias("Tag"))
+    vocab = labels.class_table([(at, f"t{at}") for at in range(n)], spark)
+    store = ModelStore(spark, str(tmp_path / "models"))
+    model = store.load(store.publish(bayes.fit_bayes(posts, tags, vocab)))
+    new = frame(spark, [(str(at), f"w{at} w{at}") for at in range(0, n, 599)] + [("x", "nothing")])
+    found = {row["Id"]: (row["tags"], row["confidence"]) for row in model.predict(new).collect()}
+    idf = math.log((n + 1) / 2)
+    gain = math.exp(2 * idf * math.log(idf + 1))
+    assert found.pop("x") == ("t0", pytest.approx(1 / n))
+    assert found.keys() == {str(at) for at in range(0, n, 599)}
+    assert all(tag == f"t{post}" and math.isclose(p, gain / (gain + n - 1)) for post, (tag, p) in found.items())
+
+
+def test_model_of_a_few_posts_gives_the_same_scores(spark):
+    model, new = fitted(spark), frame(spark, NEW)
+    part = model.only(new)
+    assert part.terms.n_bytes < model.terms.n_bytes
+    assert sorted(part.score_rows(new).collect()) == sorted(model.score_rows(new).collect())
