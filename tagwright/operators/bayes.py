@@ -13,7 +13,7 @@ from tagwright.functions.rows import filled
 from tagwright.functions.text import inverse_frequency, term_rows
 from tagwright.operators.labels import class_list, class_table, labelled_posts, with_class
 from tagwright.operators.terms import ROW_OVERHEAD, TermTable
-from tagwright.session import fits_broadcast, written
+from tagwright.session import fits_broadcast, new_folder, temporary, written
 
 
 # Classes are counted in blocks of this many, so that a term keeps room only for the blocks it was seen in.
@@ -188,7 +188,9 @@ def fit_bayes(posts: DataFrame, tags: DataFrame, vocab: DataFrame, smoothing: fl
         raise ValueError("smoothing must be positive")
     classes = class_list(vocab)
     places = class_table([(at, tag) for at, (_, tag) in enumerate(classes)], posts.sparkSession)
-    table = written(class_term_counts(posts, tags, places), "class-terms")
+    kept = new_folder(posts.sparkSession, "class-terms")
+    with temporary(posts.sparkSession):
+        table = written(class_term_counts(posts, tags, places), "class-terms", kept)
     all_rows = table.where("term IS NULL").first()
     if not all_rows:
         raise ValueError("no post has a tag of the vocabulary")

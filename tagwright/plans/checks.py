@@ -70,13 +70,15 @@ slots AS (SELECT term, CAST((h % {HASH_SLOTS} + {HASH_SLOTS}) % {HASH_SLOTS} AS
 slot_tf AS (SELECT Id, slot, CAST(sum(tf) AS BIGINT) AS tf FROM tf JOIN slots USING (term) GROUP BY Id, slot)"""
 
 
-def model(features: str, feature: str, hashed: bool) -> str:
-    """Training, scores of all classes and the best class, over ``features`` (Id, ``feature``, tf)."""
+HELD = "NOT " + IN_TRAINING
+
+
+def model(features: str, feature: str, hashed: bool, scored: str = HELD) -> str:
+    """Training, scores and best class of the ``scored`` posts, over ``features`` (Id, ``feature``, tf)."""
     n_features = str(HASH_SLOTS) if hashed else "(SELECT count(*) FROM idf)"
     # A hashed slot without a training row keeps a weight; a word without one is unknown.
     known = "LEFT JOIN idf" if hashed else "JOIN idf"
     unseen = "ln((SELECT n FROM n_rows) + 1.0)" if hashed else "0.0"
-    held = "NOT " + IN_TRAINING.format(id="Id")
     return f"""
 train AS (
   SELECT t.Id, v.catId AS CatId FROM tags t JOIN vocab v USING (Tag) JOIN documents d ON d.doc_id = t.Id
@@ -94,7 +96,7 @@ classes AS (
   SELECT CatId, n_c, ln(n_c + 1.0) - ln((SELECT n FROM n_rows) + (SELECT count(*) FROM class_n)) AS log_prior,
     ln(s_c + {n_features}) AS log_total
   FROM class_n JOIN class_w USING (CatId)),
-held AS (SELECT doc_id AS Id FROM documents WHERE text IS NOT NULL AND {held.replace('Id', 'doc_id')}),
+held AS (SELECT doc_id AS Id FROM documents WHERE text IS NOT NULL AND {scored.format(id='doc_id')}),
 x AS (
   SELECT f.Id, {feature}, f.tf * coalesce(idf, {unseen}) AS x FROM {features} f {known} USING ({feature})
   WHERE f.Id IN (SELECT Id FROM held)),
@@ -121,6 +123,17 @@ by_post AS (SELECT Id, max(CAST(prediction = CatId AS DOUBLE)) AS hit FROM true_
 
 EXACT = f"WITH {TAGS}, {VOCAB}, {TF}, {model('tf', 'term', hashed=False)}"
 SLOTTED = f"WITH {TAGS}, {VOCAB}, {HASHED}, {model('slot_tf', 'slot', hashed=True)}"
+
+
+def tagged(features: str, feature: str, hashed: bool, scored: str) -> str:
+    """The tag of each ``scored`` post."""
+    words = HASHED if hashed else TF
+    return f"""WITH {TAGS}, {VOCAB}, {words}, {model(features, feature, hashed, scored)}
+SELECT Id, Tag AS tags FROM predicted"""
+
+
+ALL_EXACT = tagged("tf", "term", False, "true")
+ALL_SLOTTED = tagged("slot_tf", "slot", True, "true")
 BASELINE = f"CAST({BASELINE_ACCURACY!r} AS DOUBLE)"
 
 FULL_POSTS = """full_posts AS (
@@ -226,9 +239,16 @@ SELECT * FROM updates QUALIFY row_number() OVER (PARTITION BY Id ORDER BY turn D
     + merged(["Title", "Body", "OwnerUserId", "CreationDate", "ClosedDate", "Score", "tag"], "Id", "turn"),
     "lookup_tag": """SELECT r.Id, d.lang AS tag
 FROM (SELECT DISTINCT user_id AS Id FROM events) r LEFT JOIN documents d ON d.doc_id = r.Id""",
-    "score_stream": f"{EXACT} SELECT Id, Tag AS tags FROM predicted",
-    "score_stream_hashed": f"{SLOTTED} SELECT Id, Tag AS tags FROM predicted",
-    "score_stream_plan": f"{SLOTTED} SELECT Id, Tag AS tags FROM predicted",
+    "score_stream": ALL_EXACT,
+    "score_stream_hashed": ALL_SLOTTED,
+    "score_stream_plan": ALL_SLOTTED,
+    "score_stream_refresh": f"""SELECT * FROM ({tagged('slot_tf', 'slot', True, IN_TRAINING)})
+UNION ALL SELECT * FROM ({tagged('tf', 'term', False, HELD)})""",
+    "stream_fates": f"""WITH {USER_POSTS}
+SELECT Id, Body, CAST(NULL AS VARCHAR) AS rejected, CAST(NULL AS VARCHAR) AS reason FROM user_posts
+UNION ALL SELECT NULL, NULL, text, 'not a JSON object' FROM conversations WHERE role <> 'user'""",
+    "upsert_replay": f"""WITH {EVENT_UPDATES}
+SELECT * FROM updates QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "upsert_stream": f"""WITH {EVENT_UPDATES}
 SELECT * FROM updates QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "message_fates": f"""WITH {USER_POSTS}

@@ -14,9 +14,9 @@ from tagwright.operators import bayes, evaluation, keyed, labels, terms
 from tagwright.plans import relations as given
 from tagwright.plans.model_store import ModelStore
 from tagwright.plans.training import HashedModel, evaluate, train_hashed, true_rows
-from tagwright.session import new_folder
+from tagwright.session import new_folder, spread
 from tagwright.sources import files, messages, payload, tables
-from tagwright.streaming.scoring import ModelFeed, batch_folders, score_batches, trigger
+from tagwright.streaming.scoring import ModelFeed, batch_folders, reject_folders, score_batches, score_messages, trigger
 from tagwright.streaming.upsert import KeyedTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,15 +181,17 @@ def tags_and_vocab(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     return given.tags(spark, sf_dir), given.vocab(spark, sf_dir)
 
 
-def fit_exact(spark, sf_dir) -> tuple[bayes.BayesModel, DataFrame]:
-    """A model of the training posts, and the held-out posts."""
+def fit_exact(spark, sf_dir) -> tuple[bayes.BayesModel, DataFrame, DataFrame, DataFrame]:
+    """A model of the training posts, the held-out posts, and all tags with the vocabulary."""
     training, held_out = labels.split_by_key(given.posts(spark, sf_dir))
-    return bayes.fit_bayes(training, *tags_and_vocab(spark, sf_dir)), held_out
+    tags, vocab = tags_and_vocab(spark, sf_dir)
+    return bayes.fit_bayes(training, tags, vocab), held_out, tags, vocab
 
 
-def fit_hashed(spark, sf_dir) -> tuple[HashedModel, DataFrame]:
+def fit_hashed(spark, sf_dir) -> tuple[HashedModel, DataFrame, DataFrame, DataFrame]:
     training, held_out = labels.split_by_key(given.posts(spark, sf_dir))
-    return train_hashed(training, *tags_and_vocab(spark, sf_dir)), held_out
+    tags, vocab = tags_and_vocab(spark, sf_dir)
+    return train_hashed(training, tags, vocab), held_out, tags, vocab
 
 
 @query
@@ -201,44 +203,44 @@ def class_prior(spark, sf_dir):
 
 @query
 def class_term_weight(spark, sf_dir):
-    model, _ = fit_exact(spark, sf_dir)
+    model, *_ = fit_exact(spark, sf_dir)
     return model.log_likelihoods().select("CatId", "term", rounded("weight", SCORE_DIGITS), rounded("log_likelihood"))
 
 
 @query
 def nb_scores(spark, sf_dir):
-    model, held_out = fit_exact(spark, sf_dir)
+    model, held_out, *_ = fit_exact(spark, sf_dir)
     return model.score_rows(held_out).select("Id", "CatId", "tags", rounded("score", SCORE_DIGITS))
 
 
 @query
 def class_posterior(spark, sf_dir):
-    model, held_out = fit_exact(spark, sf_dir)
+    model, held_out, *_ = fit_exact(spark, sf_dir)
     return model.score_rows(held_out).select("Id", "CatId", rounded("probability"))
 
 
 @query
 def predict_class(spark, sf_dir):
-    model, held_out = fit_exact(spark, sf_dir)
+    model, held_out, *_ = fit_exact(spark, sf_dir)
     return model.predict(held_out).select("Id", "CatId", rounded("confidence"))
 
 
 @query
 def predicted_tag(spark, sf_dir):
-    model, held_out = fit_exact(spark, sf_dir)
+    model, held_out, _, vocab = fit_exact(spark, sf_dir)
     predicted = model.predict(held_out).select("Id", "CatId")
-    return labels.with_tag(predicted, given.vocab(spark, sf_dir)).select("Id", "tags")
+    return labels.with_tag(predicted, vocab).select("Id", "tags")
 
 
 @query
 def nb_predict(spark, sf_dir):
-    model, held_out = fit_hashed(spark, sf_dir)
+    model, held_out, *_ = fit_hashed(spark, sf_dir)
     return model.predict(held_out).select("Id", "tags")
 
 
 @query
 def nb_confidence(spark, sf_dir):
-    model, held_out = fit_hashed(spark, sf_dir)
+    model, held_out, *_ = fit_hashed(spark, sf_dir)
     return model.predict(held_out, confidence=True).select("Id", "tags", rounded("confidence"))
 
 
@@ -246,8 +248,8 @@ def nb_confidence(spark, sf_dir):
 
 
 def exact_rows(spark, sf_dir) -> DataFrame:
-    model, held_out = fit_exact(spark, sf_dir)
-    return true_rows(model.predict(held_out), *tags_and_vocab(spark, sf_dir))
+    model, held_out, tags, vocab = fit_exact(spark, sf_dir)
+    return true_rows(model.predict(held_out), tags, vocab)
 
 
 @query
@@ -263,19 +265,19 @@ def accuracy_vs_baseline(spark, sf_dir):
 
 @query
 def accuracy_any(spark, sf_dir):
-    model, held_out = fit_exact(spark, sf_dir)
-    truth = labels.select_tags(*tags_and_vocab(spark, sf_dir))
+    model, held_out, tags, vocab = fit_exact(spark, sf_dir)
+    truth = labels.select_tags(tags, vocab)
     return evaluation.accuracy_any(model.predict(held_out), truth).select("n", rounded("accuracy"))
 
 
 @query
 def train_summary(spark, sf_dir):
     """Train, save, load and evaluate on held-out posts, with hashed terms."""
-    fitted, held_out = fit_hashed(spark, sf_dir)
+    fitted, held_out, tags, vocab = fit_hashed(spark, sf_dir)
     store = ModelStore(spark, new_folder(spark, "models"))
     version = store.publish(fitted)
     model = store.load(version)
-    summary = evaluate(model.predict(held_out), *tags_and_vocab(spark, sf_dir), BASELINE_ACCURACY)
+    summary = evaluate(model.predict(held_out), tags, vocab, BASELINE_ACCURACY)
     return summary.select(
         F.lit(version).alias("version"),
         F.lit(len(model.classes)).alias("n_classes"),
@@ -337,15 +339,16 @@ def lookup_tag(spark, sf_dir):
 # Streams
 
 
-def json_lines(spark, posts: DataFrame) -> str:
+def json_lines(spark, posts: DataFrame, path: str | None = None) -> str:
     """A folder of posts as messages, for a stream to read."""
-    path = new_folder(spark, "messages")
-    payload.encode(posts).select("value").write.text(path)
+    path = path or new_folder(spark, "messages")
+    payload.encode(posts).select("value").write.mode("append").text(path)
     return path
 
 
-def run_to_end(spark, writer) -> None:
-    started = trigger(writer.option("checkpointLocation", new_folder(spark, "stream")), once=True).start()
+def run_to_end(spark, writer, checkpoint: str | None = None) -> None:
+    folder = checkpoint or new_folder(spark, "stream")
+    started = trigger(writer.option("checkpointLocation", folder), once=True).start()
     started.awaitTermination()
 
 
@@ -361,19 +364,47 @@ def stream_tags(spark, model, posts: DataFrame) -> DataFrame:
 
 @query
 def score_stream(spark, sf_dir):
-    return stream_tags(spark, *fit_exact(spark, sf_dir))
+    return stream_tags(spark, fit_exact(spark, sf_dir)[0], given.posts(spark, sf_dir))
 
 
 @query
 def score_stream_hashed(spark, sf_dir):
-    return stream_tags(spark, *fit_hashed(spark, sf_dir))
+    return stream_tags(spark, fit_hashed(spark, sf_dir)[0], given.posts(spark, sf_dir))
+
+
+@query
+def score_stream_refresh(spark, sf_dir):
+    """A hashed model tags the training posts; an exact one, published while the stream rests, tags the held-out ones."""
+    store = ModelStore(spark, new_folder(spark, "models"))
+    feed = ModelFeed(store, refresh_seconds=0)
+    sink, path, state = [new_folder(spark, purpose) for purpose in ("tagged", "messages", "stream")]
+    for fit, posts in zip((fit_hashed, fit_exact), labels.split_by_key(given.posts(spark, sf_dir))):
+        store.publish(fit(spark, sf_dir)[0])
+        source = messages.post_stream(spark, "text", {"path": json_lines(spark, posts, path)})
+        run_to_end(spark, score_batches(payload.decode_posts(source), feed.current, batch_folders(sink)), state)
+    return messages.read_tagged(spark, sink).select(F.col("Id").cast("bigint").alias("Id"), "tags")
+
+
+@query
+def stream_fates(spark, sf_dir):
+    """Each message of a stream, tagged or rejected with a reason."""
+    model, *_ = fit_hashed(spark, sf_dir)
+    path, tagged, rejected = [new_folder(spark, purpose) for purpose in ("messages", "tagged", "rejected")]
+    given.messages(spark, sf_dir).write.parquet(path)
+    source = spark.readStream.schema("value STRING").parquet(path)
+    run_to_end(spark, score_messages(source, lambda: model, batch_folders(tagged), reject_folders(rejected)))
+    good = messages.read_tagged(spark, tagged).where("tags IS NOT NULL").select("Id", "Body")
+    bad = spark.read.schema("value STRING, reason STRING").parquet(rejected)
+    return good.unionByName(
+        bad.select(F.col("value").alias("rejected"), "reason"), allowMissingColumns=True
+    )
 
 
 @query
 def score_stream_plan(spark, sf_dir):
     """A fixed model inside the plan of the stream, without a batch function."""
-    model, held_out = fit_hashed(spark, sf_dir)
-    source = messages.post_stream(spark, "text", {"path": json_lines(spark, held_out)})
+    model, *_ = fit_hashed(spark, sf_dir)
+    source = messages.post_stream(spark, "text", {"path": json_lines(spark, given.posts(spark, sf_dir))})
     sink = new_folder(spark, "tagged")
     tagged = model.predict(payload.decode_posts(source))
     run_to_end(spark, messages.tagged_writer(tagged, "text", {"path": sink}))
@@ -383,8 +414,9 @@ def score_stream_plan(spark, sf_dir):
 def keyed_stream(spark, updates: DataFrame, key: str, order: list[str], merge: bool) -> DataFrame:
     """Feed ``updates`` to a keyed table as a stream of files, compact it, and read it."""
     path = new_folder(spark, "updates")
-    updates.repartition(4).write.parquet(path)
-    stream = spark.readStream.schema(updates.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    spread(updates, key).write.parquet(path)
+    at_once = spark.sparkContext.defaultParallelism
+    stream = spark.readStream.schema(updates.schema).option("maxFilesPerTrigger", at_once).parquet(path)
     table = KeyedTable(spark, new_folder(spark, "table"), updates.schema, key, order, merge)
     run_to_end(spark, table.upsert(stream))
     table.compact()
@@ -396,6 +428,19 @@ def upsert_stream(spark, sf_dir):
     return keyed_stream(spark, given.event_updates(spark, sf_dir), "user_id", ["ts", "event_id"], merge=False)
 
 
+@query
+def upsert_replay(spark, sf_dir):
+    """Two batches in any order of time, each written again: the first after the second, the second after a snapshot."""
+    updates = given.event_updates(spark, sf_dir)
+    table = KeyedTable(spark, new_folder(spark, "table"), updates.schema, "user_id", ["ts", "event_id"])
+    batches = labels.split_by_key(updates, "event_id")
+    for batch_id in (0, 1, 0):
+        table.write_batch(batches[batch_id], batch_id)
+    table.compact()
+    table.write_batch(batches[1], 1)
+    return table.read()
+
+
 @query
 def message_fates(spark, sf_dir):
     """Every message with the reason why it cannot be tagged, null for those that can."""

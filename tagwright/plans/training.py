@@ -11,10 +11,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagwright.fixed_values import HASH_SLOTS, SMOOTHING
+from tagwright.fixed_values import HASH_SLOTS, MODEL_BYTES, SMOOTHING
 from tagwright.functions.rows import filled
 from tagwright.operators.labels import class_list, class_rows, class_table, labelled_posts, select_tags, with_class
-from tagwright.session import written
+from tagwright.session import temporary, written
 
 
 @dataclass(frozen=True)
@@ -47,18 +47,33 @@ def train_hashed(
 ) -> HashedModel:
     """Fit tokenizer, hashed term frequency, IDF and Naive Bayes on the (post, tag) rows."""
     classes = class_list(vocab)
-    labelled = labelled_posts(filled(posts.select("Id", "Body")), tags, class_table(classes, posts.sparkSession))
-    return fit_hashed(labelled, classes, slots, smoothing)
+    known = class_table(classes, posts.sparkSession)
+    with temporary(posts.sparkSession):
+        return fit_hashed(labelled_posts(filled(posts.select("Id", "Body")), tags, known), classes, slots, smoothing)
 
 
 def fit_hashed(
-    labelled: DataFrame, classes: list[tuple[int, str]], slots: int = HASH_SLOTS, smoothing: float = SMOOTHING
+    labelled: DataFrame,
+    classes: list[tuple[int, str]],
+    slots: int = HASH_SLOTS,
+    smoothing: float = SMOOTHING,
+    max_bytes: int = MODEL_BYTES,
 ) -> HashedModel:
     """Fit on posts ``(Body, classes)``, where ``classes`` lists each ``CatId`` with its number of tag rows.
 
     Texts are hashed once per post, and the fits read the written result. MLlib predicts the
     position of a class among those it saw, so classes are numbered densely over those with training rows.
+
+    The model is dense: a number for each class and slot, on the driver and on every executor. If that takes over
+    ``max_bytes``, the fit is refused; the exact model has no such bound.
     """
+    with temporary(labelled.sparkSession):
+        return _fit_hashed(labelled, classes, slots, smoothing, max_bytes)
+
+
+def _fit_hashed(
+    labelled: DataFrame, classes: list[tuple[int, str]], slots: int, smoothing: float, max_bytes: int
+) -> HashedModel:
     tokenizer = Tokenizer(inputCol="Body", outputCol="Words")
     hashing = HashingTF(inputCol="Words", outputCol="Features", numFeatures=slots)
     hashed = hashing.transform(tokenizer.transform(labelled)).select("Features", "classes")
@@ -67,6 +82,8 @@ def fit_hashed(
     seen = {row["CatId"] for row in rows.groupBy("CatId").count().collect()}
     if not seen:
         raise ValueError("no post has a tag of the vocabulary")
+    if len(seen) * slots * 8 > max_bytes:
+        raise ValueError(f"a hashed model of {len(seen)} classes and {slots} slots takes over {max_bytes} bytes")
     present = [(cat_id, tag) for cat_id, tag in classes if cat_id in seen]
     place = F.array_position(F.lit([cat_id for cat_id, _ in present]), F.col("CatId")) - 1
     dense = rows.select("Features", place.cast("double").alias("label"))

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +14,10 @@ from pyspark.sql import functions as F
 from tagwright.fixed_values import BROADCAST_BYTES
 
 
+# The folder of the innermost ``temporary`` block.
+_TEMPORARY: ContextVar[str | None] = ContextVar("temporary", default=None)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, named by spark.checkpoint.dir.
 
@@ -28,13 +35,46 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path below the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/tagwright/{purpose}-{uuid.uuid4().hex}"
+    parent = _TEMPORARY.get() or f"{shared_folder(spark)}/tagwright"
+    return f"{parent}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _folder(spark: SparkSession, path: str):
+    """The file system of ``path`` and its name there."""
+    name = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return name.getFileSystem(spark._jsc.hadoopConfiguration()), name
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    files, name = _folder(spark, path)
+    files.delete(name, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """The names of the folders in ``path`` and when they were changed, in seconds since 1970."""
+    files, name = _folder(spark, path)
+    if not files.exists(name):
+        return []
+    inside = [entry for entry in files.listStatus(name) if entry.isDirectory()]
+    return [(entry.getPath().getName(), entry.getModificationTime() / 1000) for entry in inside]
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """What the block writes to new folders is deleted at its end, so nothing lazy may read it later."""
+    folder = new_folder(spark, "temporary")
+    outer = _TEMPORARY.set(folder)
+    try:
+        yield
+    finally:
+        _TEMPORARY.reset(outer)
+        delete(spark, folder)
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, so later jobs do not compute it again."""
     spark = df.sparkSession
-    path = new_folder(spark, purpose)
+    path = path or new_folder(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from tagwright.fixed_values import REFRESH_SECONDS, TRIGGER
+from tagwright.fixed_values import BROADCAST_BYTES, REFRESH_SECONDS, TRIGGER
 from tagwright.functions.rows import filled
 from tagwright.operators.bayes import BayesModel
 from tagwright.plans.model_store import ModelStore
 from tagwright.plans.training import HashedModel
+from tagwright.session import fits_broadcast, temporary, written
 from tagwright.sources.messages import write_tagged
+from tagwright.sources.payload import with_reasons
 
 
 def trigger(writer: DataStreamWriter, once: bool = False) -> DataStreamWriter:
@@ -23,13 +25,22 @@ def trigger(writer: DataStreamWriter, once: bool = False) -> DataStreamWriter:
 
 
 def tag_posts(model: HashedModel | BayesModel, posts: DataFrame) -> DataFrame:
-    """The posts of a batch with their predicted ``tags``. An id may come again with another text."""
+    """The posts of a batch with their predicted ``tags``. An id may come again with another text.
+
+    For an exact model the rows are written with a number, and their tags joined back by it: texts are neither
+    shuffled nor sorted while the tags of the batch are small enough to be broadcast.
+    """
     if isinstance(model, HashedModel):
         return model.predict(posts)
-    texts = filled(posts, "Id", "Body").withColumn("_text", F.struct("Id", F.sha2("Body", 256)))
-    distinct = texts.dropDuplicates(["_text"]).select(F.col("_text").alias("Id"), "Body")
-    predicted = model.predict(distinct).select(F.col("Id").alias("_text"), "tags")
-    return texts.join(predicted, "_text").select(*posts.columns, "tags")
+    numbered = filled(posts, "Id", "Body").withColumn("_row", F.monotonically_increasing_id())
+    texts = written(numbered, "batch")
+    if model.terms.n_bytes > BROADCAST_BYTES:
+        model = model.only(texts)
+    predicted = model.predict(texts.select(F.col("_row").alias("Id"), "Body"))
+    tags = written(predicted.select(F.col("Id").alias("_row"), "tags"), "batch-tags")
+    if fits_broadcast(tags, 32 + F.octet_length("tags")):
+        tags = F.broadcast(tags)
+    return texts.join(tags, "_row").select(*posts.columns, "tags")
 
 
 class ModelFeed:
@@ -62,16 +73,44 @@ def score_batches(
     """
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            if not batch.isEmpty():
+        if not batch.isEmpty():
+            with temporary(batch.sparkSession):
                 write(tag_posts(model(), batch), batch_id)
-        finally:
-            batch.unpersist()
 
     return posts.writeStream.foreachBatch(score)
 
 
+def score_messages(
+    messages: DataFrame,
+    model: Callable[[], HashedModel | BayesModel],
+    write: Callable[[DataFrame, int], None],
+    write_rejected: Callable[[DataFrame, int], None],
+) -> DataStreamWriter:
+    """As ``score_batches``, from undecoded messages: those that cannot be tagged go to ``write_rejected``.
+
+    Rejected rows are ``(value, reason)``; every message is either tagged or rejected.
+    """
+
+    def score(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        with temporary(batch.sparkSession):
+            fates = written(with_reasons(batch), "messages")
+            write_rejected(fates.where("reason IS NOT NULL").select("value", "reason"), batch_id)
+            write(tag_posts(model(), fates.where("reason IS NULL").drop("value", "reason")), batch_id)
+
+    return messages.writeStream.foreachBatch(score)
+
+
+def reject_folders(path: str) -> Callable[[DataFrame, int], None]:
+    """Write the rejected messages of each batch into its own folder below ``path``."""
+
+    def write(rejected: DataFrame, batch_id: int) -> None:
+        rejected.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
 def batch_folders(path: str, sink: str = "text") -> Callable[[DataFrame, int], None]:
     """Write each batch as messages into its own folder below ``path``."""
 

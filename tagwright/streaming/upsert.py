@@ -12,6 +12,8 @@ writes that tie in the order columns the later one wins.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.types import LongType, StructField, StructType
 
 from tagwright.operators.keyed import merge_newest_fields, newest, newest_fields, plain_fields
-from tagwright.session import fits_broadcast
+from tagwright.session import delete, fits_broadcast, subfolders
 
 MANIFEST = "through BIGINT"
 ARRIVAL = ("arrived_batch", "arrived_at")
@@ -133,3 +135,17 @@ class KeyedTable:
         entry = self.spark.range(1).select(F.lit(through).cast("bigint").alias("through"))
         entry.coalesce(1).write.mode("append").json(f"{self.path}/manifest")
         return through
+
+    def clean(self, older_than: float) -> list[str]:
+        """Delete log folders that the newest snapshot covers, and the snapshots before it.
+
+        Only folders that were last changed over ``older_than`` seconds ago go, so give more than the longest read takes.
+        """
+        done, before = self.snapshot(), time.time() - older_than
+        gone = []
+        for kind, last in (("log", done), ("snapshot", done - 1)):
+            for name, changed in subfolders(self.spark, f"{self.path}/{kind}"):
+                if "=" in name and int(name.split("=")[1]) <= last and changed < before:
+                    delete(self.spark, f"{self.path}/{kind}/{name}")
+                    gone.append(f"{kind}/{name}")
+        return gone

@@ -9,7 +9,15 @@ from tagwright.plans.model_store import ModelStore
 from tagwright.plans.training import train_hashed
 from tagwright.schemas import STORED_POST, TAGGED_POST
 from tagwright.sources import messages, payload
-from tagwright.streaming.scoring import ModelFeed, batch_folders, score_batches, tag_posts, trigger
+from tagwright.streaming.scoring import (
+    ModelFeed,
+    batch_folders,
+    reject_folders,
+    score_batches,
+    score_messages,
+    tag_posts,
+    trigger,
+)
 from tagwright.streaming.upsert import KeyedTable
 
 POSTS = [(str(n), text) for n, text in enumerate(["red apple", "red rose", "blue sky", "blue sea"])]
@@ -165,6 +173,47 @@ def test_batches_in_any_order_with_compaction(spark, tmp_path, monkeypatch, merg
     assert sorted(table.read().collect(), key=str) == sorted(expected.collect(), key=str)
 
 
+def test_clean_removes_what_a_snapshot_covers(spark, tmp_path):
+    table = keyed_table(spark, tmp_path, False)
+    for batch_id in range(4):
+        table.write_batch(spark.createDataFrame([(str(batch_id), "t", None, 1)], SCHEMA), batch_id)
+        if batch_id:
+            table.compact()
+    before = sorted(table.read().collect())
+    reading = table.read()
+    assert table.clean(older_than=3600) == [] and sorted(reading.collect()) == before
+    assert sorted(table.clean(older_than=-60)) == [
+        "log/batch_id=0", "log/batch_id=1", "log/batch_id=2", "snapshot/through=0", "snapshot/through=1"
+    ]
+    assert sorted(table.read().collect()) == before and len(before) == 4
+
+
+def test_texts_stay_in_place(spark):
+    """Neither the scores nor the tagged batch shuffle or sort the texts."""
+    rows = tag_posts(fit(spark, TAGS, exact=True), spark.createDataFrame(POSTS, "Id STRING, Body STRING"))
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan and "Sort" not in plan
+
+
+def test_terms_looked_up_for_the_batch(spark, monkeypatch):
+    from tagwright.streaming import scoring
+
+    monkeypatch.setattr(scoring, "BROADCAST_BYTES", 0)
+    rows = tag_posts(fit(spark, TAGS, exact=True), spark.createDataFrame(POSTS, "Id STRING, Body STRING"))
+    assert sorted((row["Id"], row["tags"]) for row in rows.collect()) == TAGS
+
+
+def test_every_message_is_tagged_or_rejected(spark, tmp_path):
+    model = fit(spark, TAGS, exact=True)
+    put(tmp_path / "in", "a", lines_of("02") + ["nope", '{"Id":"77"}', '{"Body":"sky"}'])
+    source = messages.post_stream(spark, "text", {"path": str(tmp_path / "in")})
+    bad = tmp_path / "bad"
+    run(score_messages(source, lambda: model, batch_folders(str(tmp_path / "out")), reject_folders(str(bad))), tmp_path)
+    assert tagged(spark, tmp_path / "out") == [TAGS[0], TAGS[2]]
+    reasons = sorted(map(tuple, spark.read.parquet(str(bad)).select("value", "reason").collect()))
+    assert reasons == [("nope", "not a JSON object"), ('{"Body":"sky"}', "no Id"), ('{"Id":"77"}', "no Body")]
+
+
 def test_empty_batch_leaves_nothing(spark, tmp_path):
     table = keyed_table(spark, tmp_path, False)
     table.write_batch(spark.createDataFrame([], SCHEMA), 0)

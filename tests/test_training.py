@@ -1,6 +1,7 @@
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 
+from tagwright import session
 from tagwright.operators import bayes, labels
 from tagwright.plans import relations, training
 from tagwright.plans.model_store import ModelStore
@@ -40,6 +41,22 @@ def test_posts_without_a_text_go(spark):
     assert tags_of(train(spark), rows) == {"2": "r"}
 
 
+def test_fits_leave_only_what_models_need(spark, posts):
+    folder = f"{session.shared_folder(spark)}/tagwright"
+    names = lambda: {name for name, _ in session.subfolders(spark, folder)}
+    before = names()
+    train(spark)
+    assert names() == before
+    bayes.fit_bayes(posts, spark.createDataFrame(TAGS, "Id STRING, Tag STRING"), labels.class_table(GAPS, spark))
+    assert [name.rsplit("-", 1)[0] for name in names() - before] == ["class-terms"]
+
+
+def test_dense_model_that_is_too_large(spark):
+    rows = spark.createDataFrame([("red", [(0, 1)])], "Body STRING, classes ARRAY<STRUCT<CatId: INT, n: BIGINT>>")
+    with pytest.raises(ValueError):
+        training.fit_hashed(rows, [(0, "r")], slots=100, max_bytes=799)
+
+
 def test_no_rows_to_train_on(spark):
     with pytest.raises(ValueError):
         train(spark, [("0", "other")])
