@@ -27,6 +27,9 @@ HEADLINE = [
     "term_frequency",
     "document_frequency",
     "idf",
+    "class_prior",
+    "class_term_weight",
+    "decode_posts",
     "tfidf",
     "hashing_tf",
     "nb_scores",
@@ -99,6 +102,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "cpus": int(cpus),
                 "sf": os.path.basename(sf_dir).removeprefix("sf"),
             }
         )

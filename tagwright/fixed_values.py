@@ -14,6 +14,5 @@ WHITESPACE = " \t\n\x0b\f\r"
 
 # Limit of what is sent to every executor. Larger tables are joined by shuffle.
 BROADCAST_BYTES = 64 * 1024 * 1024
-
 # Limit of a hashed model, which driver and executors hold whole.
 MODEL_BYTES = 256 * 1024 * 1024
