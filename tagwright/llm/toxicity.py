@@ -161,7 +161,8 @@ class Grammar:
         for spot in spots:
             if spot < done:
                 continue
-            before = max((low.rfind(mark, 0, spot) for mark in ".,;:!?\n|()\""), default=-1)
+            # the last clause ended with a mark, so nothing before it is read again
+            before = max(low.rfind(mark, max(0, done), spot) for mark in ".,;:!?\n|()\"")
             after = CLAUSE_END.search(low, spot)
             done = after.start() if after else len(low)
             weight, seen = self.clause(TOKEN.findall(low[before + 1 : done]))
