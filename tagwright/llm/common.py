@@ -46,6 +46,23 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{name}`") for name in df.columns if name.lower() not in taken])
 
 
+def nested(df: DataFrame, *added: Column, apart: tuple[str, ...] = ()) -> DataFrame:
+    """The columns of ``df`` as one struct ``given``, so that no added or helper column can clash with them.
+
+    Those named ``apart`` stay outside.
+    """
+    inside = F.struct(*[F.col(f"`{name}`") for name in df.columns if name not in apart])
+    return df.select(inside.alias("given"), *[F.col(f"`{name}`") for name in apart], *added)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def widened(schema: T.StructType, **added: str) -> T.StructType:
     """``schema`` and more columns, given as name and type."""
     more = [T.StructField(name, T._parse_datatype_string(kind)) for name, kind in added.items()]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tagwright.llm.blocks import by_range, coded, numbers_and_counts, packed, segments_for, unpacked, words_in
 from tagwright.llm.bpe import tokenizer_file, word_table
-from tagwright.llm.common import lean, ship, texts
+from tagwright.llm.common import lean, ship, texts, without
 
 
 def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -137,11 +137,13 @@ def texts_of(ids: list[bytes], listed: list[bytes]) -> list[str]:
 
 
 def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", text: str = "text") -> DataFrame:
-    """``encoded`` with the text of its ids in place of them.
+    """``encoded`` with the text of its ids.
 
     The table of pieces has one row per id of the vocabulary, so every task gets all of it and joins the pieces to
     the ids by position. Bytes that are no UTF-8 become the replacement character. No ids give an empty text.
+    A column of the input named like the added one is replaced.
     """
+    encoded = without(encoded, text)
     spark = encoded.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(piece_list(tokenizer_file(tokenizer)))

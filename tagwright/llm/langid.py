@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tagwright.llm.common import leanly, remainder, ship, texts, widened, without
+from tagwright.llm.common import leanly, nested, remainder, ship, texts, widened, without
 from tagwright.session import written
 
 UNKNOWN = "und"
@@ -243,7 +243,10 @@ def document_languages(docs: DataFrame) -> DataFrame:
 
 
 def in_known_language(docs: DataFrame, least: float = LEAST_COVER) -> DataFrame:
-    """The documents whose text has letters and whose language contains a share ``least`` of its n-grams."""
-    judged = identify(docs.withColumn("checked_text", F.col("text")), learned(docs), "checked_text")
+    """The documents whose text has letters and whose language contains a share ``least`` of its n-grams.
+
+    All columns stay as they are, whatever their names. An empty table gives no rows.
+    """
+    judged = identify(nested(docs, apart=("text",)), learned(docs))
     fine = judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return fine.select(*docs.columns)
+    return fine.select(*["text" if name == "text" else f"given.`{name}`" for name in docs.columns])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tagwright.llm.common import in_order, numbered, spread, without, word_count
+from tagwright.llm.common import in_order, nested, numbered, spread, without, word_count
 from tagwright.session import fits_broadcast, written
 
 SEED = 7
@@ -80,44 +80,44 @@ def mix(
     exponential key and may stand in any order: they are taken as often in all. An empty table gives no rows.
     Columns of the input named like an added one are replaced.
     """
-    given = without(docs, *ADDED, "mix_key", "mix_tie")
+    given = without(docs, *ADDED)
     sized = given.withColumn(size, F.coalesce(F.col(size), F.lit(0)).cast("long"))
     w = F.when(F.col(weight) > 0, F.col(weight)).otherwise(F.lit(0.5))
     row = F.xxhash64(*[F.col(f"`{name}`") for name in given.columns])
-    drawn = sized.withColumns(
-        {
-            "mix_last": F.col("source").isNull(),
-            "mix_key": -F.ln(uniform(*[F.col(k) for k in key], row, seed=seed)) / w,
-            "mix_tie": row,
-        }
+    drawn = nested(
+        sized,
+        F.col("source").isNull().alias("last"),
+        F.col("source").alias("source"),
+        (-F.ln(uniform(*[F.col(k) for k in key], row, seed=seed)) / w).alias("draw"),
+        row.alias("tie"),
+        F.col(size).alias("size"),
     )
-    order = ["mix_last", "source", "mix_key", *key, "mix_tie"]
-    placed = in_order(drawn, *order, purpose="mix-order")
-    parts = placed.groupBy("source", "part").agg(F.sum(size).alias("part_size"))
+    placed = in_order(drawn, "last", "source", "draw", *[f"given.`{k}`" for k in key], "tie", purpose="mix-order")
+    parts = placed.groupBy("source", "part").agg(F.sum("size").alias("part_size"))
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = written(
-        parts.select("source", "part", "part_size", F.coalesce(F.sum("part_size").over(earlier), F.lit(0)).alias("mix_start")),
+        parts.select("source", "part", "part_size", F.coalesce(F.sum("part_size").over(earlier), F.lit(0)).alias("start")),
         "mix-starts",
     )
     aims = targets(starts.groupBy("source").agg(F.sum("part_size").alias("source_size")), share, list(weights), most)
     aimed = starts.alias("s").join(aims.alias("a"), F.col("s.source").eqNullSafe(F.col("a.source"))).select(
-        F.col("s.source").alias("aim_source"), F.col("part").alias("aim_part"), "mix_start", "source_size", "target"
+        F.col("s.source").alias("aim_source"), F.col("part").alias("aim_part"), "start", "source_size", "target"
     )
     before = Window.partitionBy("part", "source").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    summed = placed.withColumn("mix_before", F.coalesce(F.sum(size).over(before), F.lit(0)))
+    summed = placed.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
     joined = summed.join(
         aimed, (F.col("part") == F.col("aim_part")) & F.col("source").eqNullSafe(F.col("aim_source"))
     )
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     left = F.col("target") - whole * F.col("source_size")
-    once_more = (F.col("mix_start") + F.col("mix_before") + F.col(size) / 2 <= left) & (F.col(size) > 0)
+    once_more = (F.col("start") + F.col("before") + F.col("size") / 2 <= left) & (F.col("size") > 0)
     epochs = whole + once_more.cast("int")
     return joined.select(
-        *given.columns,
+        "given.*",
         "source_size",
         "target",
         epochs.cast("int").alias("epochs"),
-        (epochs * F.col(size)).cast("long").alias("taken"),
+        (epochs * F.col("size")).cast("long").alias("taken"),
     )
 
 
@@ -141,7 +141,7 @@ def document_mix(docs: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """``docs`` as the mix takes them: a row for each epoch of a document, none for those it leaves out.
 
-    Rows with the same ``doc_id``, source and text are taken equally often. The number of epochs is sent to
+    All columns stay as they are. Rows with the same ``doc_id``, source and text are taken equally often. The number of epochs is sent to
     where the texts are if it fits the library's bound, else joined by shuffle.
     """
     mixed = mix(described(docs), ["doc_id"], "size", "quality").where("epochs > 0")
@@ -150,9 +150,9 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     if fits_broadcast(taken, 40 + F.coalesce(F.octet_length("mix_source"), F.lit(0))):
         taken = F.broadcast(taken)
     same = (
-        F.col("doc_id").eqNullSafe(F.col("mix_id"))
-        & F.col("source").eqNullSafe(F.col("mix_source"))
-        & (F.xxhash64("text") == F.col("mix_hash"))
+        F.col("given.doc_id").eqNullSafe(F.col("mix_id"))
+        & F.col("given.source").eqNullSafe(F.col("mix_source"))
+        & (F.xxhash64("given.text") == F.col("mix_hash"))
     )
     times = F.explode(F.array_repeat(F.lit(0), F.col("mix_epochs")))
-    return docs.join(taken, same).select(*docs.columns, times.alias("mix_time")).drop("mix_time")
+    return nested(docs).join(taken, same).select("given", times.alias("time")).select("given.*")

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagwright.llm.common import hash_sample, without
+from tagwright.llm.common import hash_sample, unused, without
 from tagwright.session import spread, written
 
 WINDOW = 3
@@ -209,7 +209,8 @@ def document_quality(docs: DataFrame) -> DataFrame:
 
 
 def passing(docs: DataFrame) -> DataFrame:
-    """The documents that fail no rule."""
+    """The documents that fail no rule; all columns stay as they are, whatever their names."""
     source = spread(docs)
-    judged = cascade(source, rule_order(source))
-    return judged.where("failed_rule IS NULL").drop("failed_rule")
+    failed = unused(docs, "failed_rule")
+    judged = cascade(source, rule_order(source), failed=failed)
+    return judged.where(F.col(failed).isNull()).drop(failed)

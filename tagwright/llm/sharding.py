@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagwright.llm.common import numbered, ship, spread, without
+from tagwright.llm.common import nested, numbered, ship, spread, without
 
 ROUNDS = 6
 SEED = 20240229
@@ -92,20 +92,19 @@ def shard_rows(rows: DataFrame, shards: int, order: list[str], seed: int = SEED)
     given = without(rows, "row", "shard", "slot")
     # equal keys: the hash of the whole row decides, and rows equal in that too are the same
     tie = F.xxhash64(*[F.col(f"`{name}`") for name in given.columns])
-    keyed = given.withColumn("shard_tie", tie)
-    keyed = numbered(keyed, *order, "shard_tie", number="row", purpose="shard-rows").drop("shard_tie")
+    keys = [f"given.`{name}`" for name in order]
+    keyed = numbered(nested(given, tie.alias("tie")), *keys, "tie", number="row", purpose="shard-rows")
     n = keyed.count()
     if n == 0:
-        return keyed.withColumns({"shard": F.lit(0), "slot": F.lit(0).cast("long")})
+        return keyed.select("given.*", "row", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
 
     @F.pandas_udf("long")
     def position(row: pd.Series) -> pd.Series:
         return pd.Series(permute(row.to_numpy(), n, seed))
 
-    placed = keyed.withColumn("shard_position", position("row"))
-    return placed.withColumns(
-        {"shard": (F.col("shard_position") % shards).cast("int"), "slot": F.expr(f"shard_position div {int(shards)}")}
-    ).drop("shard_position")
+    placed = keyed.withColumn("position", position("row"))
+    shard, slot = (F.col("position") % shards).cast("int"), F.expr(f"position div {int(shards)}")
+    return placed.select("given.*", "row", shard.alias("shard"), slot.alias("slot"))
 
 
 def document_shards(docs: DataFrame, shards: int = 16) -> DataFrame:

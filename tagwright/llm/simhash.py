@@ -170,7 +170,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     repeated = groups.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     repeated = written(repeated.select("doc_id"), "simhash-repeated")
     if repeated.isEmpty():
-        return kept
+        return kept.select(*docs.columns)
     alone = kept.join(repeated, "doc_id", "left_anti")
     least = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row"))
-    return alone.unionByName(least.select("row.*"))
+    return alone.unionByName(least.select("row.*")).select(*docs.columns)

@@ -10,8 +10,10 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tagwright.llm import bpe, lm, lz, quality, sharding, simhash, token_files
 from tagwright.llm.components import components
 from tagwright.llm.encoding import decode, encode
@@ -68,6 +70,38 @@ def test_awkward_rows_and_empty_tables(spark, odd, nothing, name):
     assert QUERIES[name](spark, nothing).count() == 0
 
 
+CLASHING = ["row", "shard", "slot", "part", "at", "place", "start", "before", "given", "tie", "position", "draw"]
+CLASHING += ["last", "epochs", "taken", "mix_id", "mix_hash", "time", "lang_pred", "score", "failed_rule", "rule_words", "fp"]
+
+
+def test_columns_with_names_of_helpers(spark, small):
+    docs = spark.createDataFrame(small).select("doc_id", "text", "lang", "source", "n_chars")
+    docs = docs.withColumns({name: F.concat(F.lit(name), F.col("doc_id").cast("string")) for name in CLASHING})
+    expected = {row["doc_id"]: row for row in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, SMALL)
+        assert kept.columns == docs.columns, name
+        rows = kept.collect()
+        assert rows and all(row == expected[row["doc_id"]] for row in rows), name
+    untouched = [name for name in docs.columns if name not in ("row", "shard", "slot")]
+    placed = sharding.shard_rows(docs, 4, ["part", "doc_id"])
+    assert placed.columns == [*untouched, "row", "shard", "slot"]
+    rows = placed.collect()
+    assert sorted(row["row"] for row in rows) == list(range(len(small)))
+    assert all(row[name] == expected[row["doc_id"]][name] for row in rows for name in untouched)
+    found = decode(encode(docs, PATH).withColumn("text", F.lit("old")), PATH).collect()
+    assert all(row["text"] == expected[row["doc_id"]]["text"] for row in found)
+
+
+@pytest.mark.parametrize("at", range(4))
+def test_stages_on_awkward_rows_and_empty_tables(spark, odd, nothing, at):
+    name, stage = corpus_pipeline.STAGES[at]
+    given = spark.read.parquet(f"{odd}/documents.parquet")
+    rows = stage(spark, given, odd).collect()
+    assert set(rows) <= set(given.collect()), name
+    assert stage(spark, spark.read.parquet(f"{nothing}/documents.parquet"), nothing).count() == 0
+
+
 def test_shards(spark, small):
     for n in (1, 2, 3, 17, 1000):
         places = sharding.permute(np.arange(n), n)
@@ -357,6 +391,31 @@ def test_grammar_weighs_clauses():
     assert compose(GRAMMAR).step(0, "other", 0.0) == (0, 0.0)
 
 
+def test_clauses_of_long_texts(monkeypatch):
+    grammar = Grammar({"fool": 2.0}, {})
+    clauses = ["you fool", "what a fool", "nothing here", "she said you fool", "not a fool"]
+    rng = np.random.default_rng(5)
+    text = "".join(clauses[at] + rng.choice([". ", "! ", ", ", "\n"]) for at in rng.integers(0, 5, 400))
+    weights = [grammar.clause(re.findall(r"\w+", part))[0] for part in re.split(r"[.!,\n]", text) if "fool" in part]
+    assert np.allclose(grammar.features(text)[:2], [np.log1p(sum(weights)), max(weights)])
+    # every clause is looked for among what follows the one before, so the work grows with the text
+    read = []
+
+    class Counting(str):
+        def lower(self):
+            return self
+
+        def rfind(self, mark, start, stop):
+            read.append(stop - start)
+            return str.rfind(self, mark, start, stop)
+
+    monkeypatch.setattr(grammar, "finder", type("Finder", (), {"__len__": lambda _: 1, "iter": lambda _, low: [
+        (found.end() - 1, 4) for found in re.finditer("fool", low)
+    ]})())
+    assert grammar.features(Counting(text)) == Grammar({"fool": 2.0}, {}).features(text)
+    assert sum(read) <= 11 * len(text)
+
+
 def test_logistic():
     random = np.random.default_rng(0)
     x = random.normal(size=(500, 2))
