@@ -6,6 +6,7 @@ Kafka needs the connector package of the cluster; a folder of text files stands
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tagwright import schemas
@@ -18,12 +19,16 @@ def kafka(brokers: str, topic: str, **more: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": brokers, "subscribe": topic, "startingOffsets": "earliest", **more}
 
 
-def post_stream(spark: SparkSession, source: str, options: dict[str, str]) -> DataFrame:
-    """The ``value`` texts of a stream; ``source`` is ``kafka`` or ``text`` (one message per line)."""
+def post_stream(spark: SparkSession, source: str, options: dict[str, str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """The ``value`` texts of a stream; ``source`` is ``kafka`` or ``text`` (one message per line).
+
+    ``keep`` names further columns of the source, such as ``partition``, ``offset`` and ``timestamp`` of a topic. Decoding
+    carries them along, so they can be order columns of a keyed table; drop them before a row is written as a message.
+    """
     reader = spark.readStream.format(source).options(**options)
     if source == "text":
         reader = reader.schema("value STRING")
-    return reader.load().selectExpr("CAST(value AS STRING) AS value")
+    return reader.load().select(F.col("value").cast("string").alias("value"), *keep)
 
 
 def tagged_post_stream(spark: SparkSession, source: str, options: dict[str, str]) -> DataFrame:

@@ -250,3 +250,18 @@ def test_reader_sees_only_filled_log(spark, tmp_path):
     table.write_batch(spark.createDataFrame([("1", "t", None, 1)], SCHEMA), 7)
     assert table.read().select("Id", "Title", "tag", "seq").collect() == [("1", "t", None, 1)]
     assert table.read().where(F.col("Id") == "2").count() == 0
+
+
+def test_columns_of_the_source_order_writes(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    # the file that is named later has the last write, whichever is read first
+    (folder / "b.txt").write_text('{"Id":"1","tags":"java"}\nnope\n')
+    (folder / "a.txt").write_text('{"Id":"1","tags":"python"}\n{"Id":"2","tags":"c"}\n')
+    stream = messages.post_stream(spark, "text", {"path": str(folder)}, keep=("_metadata.file_name",))
+    decoded = payload.decode_posts(stream, TAGGED_POST).select("file_name", "Id", "tags")
+    assert messages.post_stream(spark, "text", {"path": str(folder)}).columns == ["value"]
+    table = KeyedTable(spark, str(tmp_path / "table"), decoded.schema, "Id", ["file_name"])
+    query = trigger(table.upsert(decoded).option("checkpointLocation", str(tmp_path / "state")), once=True).start()
+    assert query.awaitTermination(60)
+    assert sorted((row["Id"], row["tags"]) for row in table.read().collect()) == [("1", "java"), ("2", "c")]
