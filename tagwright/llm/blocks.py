@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagwright.llm.common import lean
-from tagwright.session import new_folder
 
 BLOCK_CHARACTERS = 1 << 23  # a longer text is a block of its own
 SEGMENT_CHARACTERS = 1 << 24  # of text for each range of hashes
@@ -216,10 +215,9 @@ def coded(
     return docs.mapInArrow(work, ROWS)
 
 
-def stored(rows: DataFrame, purpose: str) -> dict[int, DataFrame]:
-    """The rows written once, as one table per kind."""
+def stored(rows: DataFrame, path: str) -> dict[int, DataFrame]:
+    """The rows written once to ``path``, as one table per kind, each in a folder of its own."""
     spark = rows.sparkSession
-    path = new_folder(spark, purpose)
     rows.write.partitionBy("kind").parquet(path)
     read = lambda kind: spark.read.schema(ROWS).parquet(path).where(F.col("kind") == kind)
     return {kind: read(kind) for kind in KINDS}

@@ -30,14 +30,13 @@ from tagwright.llm.blocks import (
     unpacked,
     words_in,
 )
-from tagwright.llm.common import remainder, ship, texts
-from tagwright.session import written
+from tagwright.llm.common import lean, remainder, ship, texts
+from tagwright.session import delete, new_folder, written
 
 END = b" "  # no word has a space
 LOG_BASE = 1.5  # of the quantised counts
 PROBES = 5
 BITS_PER_ENTRY = 10  # about one false answer in a hundred for each level
-FILTER_BYTES = 1 << 25  # the most that is sent to the workers
 LEAST_PAIRS = 2  # a pair of words is entered if it was seen as often
 PAIR_SHARE = 0.3  # of the probability that comes from pairs
 KEPT_BITS = 48  # of the hash of an n-gram
@@ -92,75 +91,80 @@ def entry_bits(keys: np.ndarray, level: int, bits: int) -> Iterator[np.ndarray]:
 
 @dataclass(frozen=True)
 class CountFilter:
-    """Quantised counts of n-grams as entries ``(n-gram, 1) .. (n-gram, level)`` of a Bloom filter.
+    """Quantised counts of the n-grams of a range of hashes as entries ``(n-gram, 1) .. (n-gram, level)`` of a Bloom filter."""
 
-    ``data`` has ``bits`` for each segment; ``tokens`` and ``distinct`` are those of the training texts. No word
-    below the level ``least_single`` and no pair below ``least_pair`` was entered.
-    """
-
-    segments: int
     bits: int
     data: np.ndarray
-    tokens: int
-    distinct: int
-    least_single: int = 1
-    least_pair: int = 1
 
-    def levels(self, keys: np.ndarray, least: int) -> np.ndarray:
+    def levels(self, keys: np.ndarray) -> np.ndarray:
         """Probe level after level until one is not there; an n-gram that is not in the filter has level 0.
 
-        A true level is never missed. A false answer adds one to it, for about one n-gram of a hundred; one
-        that ends below the ``least`` level entered is known to be false.
+        A true level is never missed. A false answer adds one to it, for about one n-gram of a hundred.
         """
         found = np.zeros(len(keys), np.int64)
         alive = np.arange(len(keys)) if self.bits else np.empty(0, np.int64)
         for level in range(1, LEVELS):
             own = keys[alive]
-            base = segment_of(own, self.segments) * np.uint64(self.bits)
             kept = np.arange(len(alive))
             for place in entry_bits(own, level, self.bits) if len(alive) else ():
-                spot = base[kept] + place[kept]
+                spot = place[kept]
                 kept = kept[(self.data[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1 == 1]
             alive = alive[kept]
             if not len(alive):
                 break
             found[alive] = level
-        return np.where(found < least, 0, found)
+        return found
+
+
+def build_filter(keys: np.ndarray, levels: np.ndarray) -> CountFilter:
+    """The filter of all the given n-grams, as large as their entries need."""
+    bits = 64 * -(-int(levels.sum()) * BITS_PER_ENTRY // 64)
+    flags = np.zeros(bits, bool)
+    for level in range(1, int(levels.max(initial=0)) + 1):
+        for place in entry_bits(keys[levels >= level], level, bits):
+            flags[place] = True
+    return CountFilter(bits, np.packbits(flags, bitorder="little"))
+
+
+@dataclass(frozen=True)
+class Totals:
+    """Tokens and distinct words of the training texts."""
+
+    tokens: int
+    distinct: int
 
     def single(self, counts: np.ndarray) -> np.ndarray:
         return (counts + 0.5) / (self.tokens + 0.5 * (self.distinct + 1))
 
-    def log_probabilities(self, first: np.ndarray, first_counts: np.ndarray, second: np.ndarray, alone: np.ndarray):
-        """log10 of the probability of each word after the word before it.
 
-        ``first`` and ``second`` are word hashes, ``first_counts`` the counts of the words before and ``alone`` the
-        probability of each word by itself. A pair adds its share of the word before; a word that was never seen
-        before another one leaves all to ``alone``.
-        """
-        pairs = count_of(self.levels(pair_keys(first, second), self.least_pair))
-        share = np.minimum(1.0, pairs / np.maximum(first_counts, 1.0))
-        both = PAIR_SHARE * share + (1 - PAIR_SHARE) * alone
-        return np.log10(np.where(first_counts > 0, both, alone))
+def log_probabilities(pairs: np.ndarray, first: np.ndarray, alone: np.ndarray) -> np.ndarray:
+    """log10 of the probability of each word after the word before it.
+
+    ``pairs`` and ``first`` are the counts of the two words together and of the word before, and ``alone`` is the
+    probability of each word by itself. A pair adds its share of the word before; a word that was never seen
+    before another one leaves all to ``alone``.
+    """
+    share = np.minimum(1.0, pairs / np.maximum(first, 1.0))
+    both = PAIR_SHARE * share + (1 - PAIR_SHARE) * alone
+    return np.log10(np.where(first > 0, both, alone))
 
 
 def ngram_rows(block: Block, segments: int) -> Iterator[pa.RecordBatch]:
-    """Sorted hashes and counts of the words and pairs of the block's training texts, a row per range of hashes.
+    """Sorted hashes of the words and pairs of the block with their counts in training texts, a row per range of hashes.
 
-    The lowest bit of a count tells pairs from single words.
+    The lowest bit of a count tells pairs from single words. The n-grams of held-out texts alone have count 0.
     """
-    trained = block.flagged()
-    if not trained:
-        return
     end = np.array([block.words.index(END)], np.uint32)
     keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
     parts = []
-    for part in batched(trained):
+    held = [codes for codes, flag in zip(block.codes, block.flags) if not flag]
+    for times, part in [*((1, part) for part in batched(block.flagged())), *((0, part) for part in batched(held))]:
         line = np.concatenate([end, *part])  # every text ends with END, which comes before the next one
         hashes = block.hashes[line] >> np.uint64(24)
-        parts.append(np.unique(pair_keys(hashes[:-1], hashes[1:]), return_counts=True))
-        parts.append(np.unique(single_keys(hashes[1:]), return_counts=True))
-        parts[-2] = parts[-2][0], parts[-2][1] * 2 + 1
-        parts[-1] = parts[-1][0], parts[-1][1] * 2
+        pairs, n = np.unique(pair_keys(hashes[:-1], hashes[1:]), return_counts=True)
+        parts.append((pairs, n * (2 * times) + 1))
+        singles, n = np.unique(single_keys(hashes[1:]), return_counts=True)
+        parts.append((singles, n * (2 * times)))
         if len(parts) >= 8:
             keys, counts = summed([(keys, counts), *parts])
             parts = []
@@ -202,43 +206,45 @@ def unpacked_keys(data: bytes) -> np.ndarray:
     return np.cumsum(np.concatenate([first, rest]), dtype=np.uint64)
 
 
-def summed_counts(ngrams: DataFrame) -> DataFrame:
-    """``(segment, keys, levels, singles, pairs)``: the n-grams of a range of hashes with their counts over all blocks.
+def ngram_levels(ngrams: DataFrame) -> DataFrame:
+    """``(block, at, data)``: for every row of n-grams the level of each, in the order of its keys.
 
-    ``singles`` and ``pairs`` have the number of n-grams at each level. A range holds a bounded part of the text.
-    Pairs that are too rare to enter a filter are counted, then left out.
+    The n-grams of a range of hashes are counted over all blocks and entered into the range's slice of the filter,
+    which is asked in the same task: no slice leaves it. A range holds a bounded part of the text, so a larger corpus
+    has more slices and each n-gram keeps its place. Pairs that are too rare to enter the filter have level 0.
     """
-
     least = int(level_of(np.array([LEAST_PAIRS]))[0])
 
-    def merge(key, table):
+    def answer(table: pa.Table) -> pa.Table:
+        lean()
         rows = table.to_pylist()
-        parts = [(unpacked_keys(row["data"]), unpacked(row["more"], np.uint32).astype(np.int64)) for row in rows]
-        keys, counts = summed(parts)
-        levels, paired = level_of(counts >> 1), counts & 1
-        entered = (paired == 0) | (levels >= least)
-        keys, levels, paired = keys[entered], levels[entered], paired[entered]
-        sizes = [np.bincount(levels[paired == kind], minlength=LEVELS)[:LEVELS].tolist() for kind in (0, 1)]
+        own = [unpacked_keys(row["data"]) for row in rows]
+        keys, counts = summed(
+            [(part, unpacked(row["more"], np.uint32).astype(np.int64)) for part, row in zip(own, rows)]
+        )
+        lows = np.where(counts & 1 == 1, least, 1)
+        levels = np.where(counts > 1, level_of(counts >> 1), 0)
+        entered = levels >= lows
+        found = build_filter(keys[entered], levels[entered]).levels(keys)
+        # an n-gram that ends below the least level entered is known not to be there
+        found = np.where(found < lows, 0, found).astype(np.uint8)
         return pa.table(
             {
-                "segment": pa.array([key[0].as_py()], pa.int32()),
-                "keys": pa.array([packed_keys(keys)], pa.binary()),
-                "levels": pa.array([squeezed((levels * 2 + paired).astype(np.uint8).tobytes())], pa.binary()),
-                "singles": [sizes[0]],
-                "pairs": [sizes[1]],
+                "block": pa.array([row["block"] for row in rows], pa.int64()),
+                "at": pa.array([row["at"] for row in rows], pa.int32()),
+                "data": pa.array([squeezed(found[np.searchsorted(keys, part)].tobytes()) for part in own], pa.binary()),
             }
         )
 
-    grouped = ngrams.select(F.col("at").alias("segment"), "data", "more").groupBy("segment")
-    schema = "segment int, keys binary, levels binary, singles array<long>, pairs array<long>"
-    return written(grouped.applyInArrow(merge, schema), "lm-counts")
+    grouped = ngrams.select(F.col("at").alias("segment"), "block", "at", "data", "more").groupBy("segment")
+    return grouped.applyInArrow(answer, "block long, at int, data binary")
 
 
 def least_levels(singles: list[int], pairs: list[int], most: int) -> tuple[int, int, int]:
     """The least levels of words and pairs that enter the filter, and the number of entries.
 
     Pairs below ``LEAST_PAIRS`` never do. If there are more than ``most`` entries, the rarest pairs are left to the
-    words they are made of, then the rarest words to unseen ones.
+    words they are made of, then the rarest words to unseen ones. Scores set no such bound and do not ask this.
     """
     entries = lambda sizes, least: sum(level * n for level, n in enumerate(sizes) if level >= least)
     single, pair = 1, int(level_of(np.array([LEAST_PAIRS]))[0])
@@ -250,52 +256,30 @@ def least_levels(singles: list[int], pairs: list[int], most: int) -> tuple[int,
     return single, pair, total
 
 
-def build_filter(counted: DataFrame, segments: int, tokens: int, distinct: int) -> CountFilter:
-    """The filter of all counted n-grams, at most ``FILTER_BYTES`` large; each segment is made by itself."""
-    sizes = counted.select(F.posexplode(F.arrays_zip("singles", "pairs")).alias("level", "n"))
-    sums = {
-        row["level"]: row
-        for row in sizes.groupBy("level").agg(F.sum("n.singles").alias("s"), F.sum("n.pairs").alias("p")).collect()
-    }
-    singles, pairs = ([sums[level][name] if level in sums else 0 for level in range(LEVELS)] for name in "sp")
-    single, pair, entries = least_levels(singles, pairs, FILTER_BYTES * 8 // BITS_PER_ENTRY)
-    if not entries:
-        return CountFilter(segments, 0, np.empty(0, np.uint8), tokens, distinct)
-    bits = 64 * max(1, -(-entries * BITS_PER_ENTRY // (64 * segments)))
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                keys = unpacked_keys(row["keys"])
-                marked = np.frombuffer(stretched(row["levels"]), np.uint8).astype(np.int64)
-                levels, paired = marked >> 1, marked & 1
-                levels = np.where(levels >= np.where(paired == 1, pair, single), levels, 0)
-                flags = np.zeros(bits, bool)
-                for level in range(1, int(levels.max(initial=0)) + 1):
-                    for place in entry_bits(keys[levels >= level], level, bits):
-                        flags[place] = True
-                data = np.packbits(flags, bitorder="little").tobytes()
-                yield pa.RecordBatch.from_pydict({"segment": pa.array([row["segment"]], pa.int32()), "data": [data]})
-
-    slices = counted.select("segment", "keys", "levels").mapInArrow(fill, "segment int, data binary").toArrow()
-    data = np.zeros((segments, bits // 8), np.uint8)
-    for segment, part in zip(slices["segment"].to_pylist(), slices["data"]):
-        data[segment] = np.frombuffer(part.as_buffer(), np.uint8)
-    return CountFilter(segments, bits, data.reshape(-1), tokens, distinct, single, pair)
-
-
 SCORES = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 )
 
 
-def line_scores(model: CountFilter, hashes, counts, held, end: int, line: np.ndarray, lengths: np.ndarray):
+class Levels:
+    """The levels of the n-grams of a block, found by their keys."""
+
+    def __init__(self, keys: np.ndarray, levels: np.ndarray):
+        self.keys, self.levels = keys, levels
+
+    def counts(self, keys: np.ndarray) -> np.ndarray:
+        distinct, place = np.unique(keys, return_inverse=True)
+        return count_of(self.levels[np.searchsorted(self.keys, distinct)].astype(np.int64))[place]
+
+
+def line_scores(totals: Totals, found: Levels, hashes, counts, held, end: int, line: np.ndarray, lengths: np.ndarray):
     """Known tokens, base and score of documents of the given lengths, one after the other as numbers of words."""
     starts = np.cumsum(lengths) - lengths
     before = np.concatenate([[end], line[:-1]])
     before[starts] = end
-    logs = model.log_probabilities(hashes[before], held[before], hashes[line], model.single(held[line]))
-    base = np.log10(model.single(counts[line]))
+    pairs = found.counts(pair_keys(hashes[before], hashes[line]))
+    logs = log_probabilities(pairs, held[before], totals.single(held[line]))
+    base = np.log10(totals.single(counts[line]))
     return tuple(np.add.reduceat(x, starts) for x in ((counts[line] > 0).astype(np.int64), base, logs))
 
 
@@ -325,7 +309,8 @@ def score_texts(docs: DataFrame, learns: Column, key: str = "doc_id", text: str
 
     A-Z are lower-cased; the tokens are the words and one end for each text. The base is exact: each
     distinct word's count is joined to the blocks that have it. ``score`` is that of a model of words and
-    pairs of words whose quantised counts stand in a Bloom filter that every worker has.
+    pairs of words whose quantised counts stand in a Bloom filter, a slice for each range of hashes; the distinct
+    n-grams of each block are asked where their slice is made and the answers joined to the block.
 
     A null text is an empty one: it has the end as its only token. Rows that repeat a key stay, null
     keys count as empty text for the caller's split, and an empty table gives no rows. Without training texts
@@ -347,28 +332,36 @@ def score_texts(docs: DataFrame, learns: Column, key: str = "doc_id", text: str
         yield row_of(HASHES, block.number, at=block.words.index(END), data=packed_hashes(block.hashes))
         yield from ngram_rows(block, segments)
 
-    tables = stored(coded(source, split, rows), "lm-blocks")
+    path = new_folder(spark, "lm-blocks")
+    tables = stored(coded(source, split, rows), path)
     totals = word_totals(tables[WORDS])
+    delete(spark, f"{path}/kind={WORDS}")  # the totals are written, so no one reads the words again
     both = [F.coalesce(F.sum(name), F.lit(0)) for name in ("tokens", "distinct")]
-    tokens, distinct = totals.agg(*both).first()
-    model = build_filter(summed_counts(tables[NGRAMS]), segments, tokens, distinct)
-    shared = spark.sparkContext.broadcast(model)
+    trained = Totals(*totals.agg(*both).first())
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        own = shared.value
-        given = left.to_pylist()
+        given, joined = left.to_pylist(), right.to_pylist()
         marked = next(row for row in given if row["kind"] == HASHES)
         hashes, end = unpacked_hashes(marked["data"]), marked["at"]
         counts = np.zeros(len(hashes), np.int64)
-        for row in right.to_pylist():
-            counts[numbers_and_counts(row["extra"])[0]] = unpacked(row["data"], np.uint64)
-        held = count_of(own.levels(single_keys(hashes), own.least_single))
+        for row in joined:
+            if row["kind"] == WORDS:
+                counts[numbers_and_counts(row["extra"])[0]] = unpacked(row["data"], np.uint64)
+        lines = [
+            (row, unpacked(row["data"], np.uint32), unpacked(row["more"], np.uint32).astype(np.int64))
+            for row in given
+            if row["kind"] == DOCUMENTS
+        ]
+        keys = [np.unique(single_keys(hashes))]
+        for _, line, _ in lines:  # every text ends with END
+            keys.append(np.unique(pair_keys(hashes[np.concatenate([[end], line[:-1]])], hashes[line])))
+        answers = sorted((row for row in joined if row["kind"] == NGRAMS), key=lambda row: row["at"])
+        levels = np.frombuffer(b"".join(stretched(row["data"]) for row in answers), np.uint8)
+        found = Levels(np.unique(np.concatenate(keys)), levels)  # ranges in order have the keys in order
+        held = found.counts(single_keys(hashes))
         parts = []
-        for row in given:
-            if row["kind"] != DOCUMENTS:
-                continue
-            line, lengths = unpacked(row["data"], np.uint32), unpacked(row["more"], np.uint32).astype(np.int64)
-            known, base, logs = line_scores(own, hashes, counts, held, end, line, lengths)
+        for row, line, lengths in lines:
+            known, base, logs = line_scores(trained, found, hashes, counts, held, end, line, lengths)
             parts.append(
                 pa.table(
                     {
@@ -376,7 +369,7 @@ def score_texts(docs: DataFrame, learns: Column, key: str = "doc_id", text: str
                         "held_out": pa.array([not flag for flag in row["flags"]], pa.bool_()),
                         "n_tokens": lengths,
                         "n_known": known,
-                        "train_tokens": np.full(len(lengths), own.tokens, np.int64),
+                        "train_tokens": np.full(len(lengths), trained.tokens, np.int64),
                         "base_score": base,
                         "score": logs,
                     }
@@ -386,7 +379,10 @@ def score_texts(docs: DataFrame, learns: Column, key: str = "doc_id", text: str
 
     columns = ("kind", "block", "at", "keys", "flags", "data", "more")
     left = tables[DOCUMENTS].select(*columns).unionByName(tables[HASHES].select(*columns))
-    return left.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(score, SCORES)
+    worded = totals.select(F.lit(WORDS).alias("kind"), "block", F.lit(0).alias("at"), "data", "extra")
+    answers = ngram_levels(tables[NGRAMS]).withColumns({"kind": F.lit(NGRAMS), "extra": F.lit(None).cast("binary")})
+    right = worded.unionByName(answers)
+    return left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(score, SCORES)
 
 
 def packed_hashes(hashes: np.ndarray) -> bytes:

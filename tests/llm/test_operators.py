@@ -218,6 +218,26 @@ def test_counts_in_the_filter():
     assert lm.least_levels([0, 10, 5], [0, 7, 3, 1], 23)[:2] == (1, 3)
 
 
+def test_lm_leaves_no_ngram_out(spark, monkeypatch):
+    from tagwright.llm import blocks
+
+    scores = lambda: {row["doc_id"]: row["score"] for row in QUERIES["op4_lm_score"](spark, SMALL).collect()}
+    whole = scores()
+    monkeypatch.setattr(lm, "FILTER_BYTES", 1 << 14, raising=False)  # a bound on the whole filter, if there is one
+    assert scores() == whole
+    monkeypatch.setattr(blocks, "SEGMENT_CHARACTERS", 1 << 12)  # more slices answer the same, but for false hits
+    sliced = scores()
+    assert max(abs(sliced[key] - whole[key]) for key in whole) <= 0.02 * max(map(abs, whole.values()))
+
+
+def test_slice_holds_all_levels():
+    keys = np.unique(lm.shortened(np.arange(5000, dtype=np.uint64)))
+    levels = 1 + np.arange(4000) % 9
+    found = lm.build_filter(keys[:4000], levels).levels(keys)
+    assert (found[:4000] >= levels).all() and (found[:4000] > levels).mean() < 0.03 and (found[4000:] > 0).mean() < 0.03
+    assert lm.build_filter(keys[:0], levels[:0]).levels(keys).tolist() == [0] * len(keys)
+
+
 def test_ids_and_texts(spark, small):
     tokenizer = Tokenizer.from_file(PATH)
     rows = {row["doc_id"]: row for row in QUERIES["op5_bpe"](spark, SMALL).collect()}
