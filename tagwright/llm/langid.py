@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tagwright.llm.common import leanly, nested, remainder, ship, texts, widened, without
+from tagwright.llm.common import leanly, remainder, ship, texts, widened, without
 from tagwright.session import written
 
 UNKNOWN = "und"
@@ -23,7 +23,8 @@ LEAST_COUNT = 2  # of an n-gram in a language
 LEAST_SHARE = 0.2  # of the n-gram's frequency in the language where it is most frequent
 AT_ONCE = 1 << 20  # characters worked on together
 HELD_COUNTS = 1 << 20  # distinct n-grams a task holds before it hands them on
-LEAST_COVER = 0.3  # a document is kept if its language knows this share of its n-grams
+LOW, HIGH = 0.01, 0.99  # quantiles of the scores of labelled documents under their own and the best other language
+SCORE_STEPS = 1000  # in which these scores are counted
 
 
 @cache
@@ -242,11 +243,82 @@ def document_languages(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def in_known_language(docs: DataFrame, least: float = LEAST_COVER) -> DataFrame:
-    """The documents whose text has letters and whose language contains a share ``least`` of its n-grams.
+def score_counts(labelled: DataFrame, model: LanguageFilter, label: str = "lang", text: str = "text") -> DataFrame:
+    """``(language, step, n)``: how many labelled texts have which score, in steps of one in ``SCORE_STEPS``.
 
-    All columns stay as they are, whatever their names. An empty table gives no rows.
+    ``language`` is the number of their own one, under which the score is; -1 has the scores of the same texts under the
+    best of the other languages. Texts without letters, or with a label that ``model`` lacks, do not count.
     """
-    judged = identify(nested(docs, apart=("text",)), learned(docs))
-    fine = judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
-    return fine.select(*["text" if name == "text" else f"given.`{name}`" for name in docs.columns])
+    spark = labelled.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(model)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = {name: number for number, name in enumerate(shared.value.languages)}
+        counts = np.zeros((len(numbers) + 1, SCORE_STEPS + 1), np.int64)  # the last row is that of -1
+        for batch in batches:
+            counted, total = shared.value.hits(batch.column(1).to_pylist())
+            steps = np.floor(np.clip(counted / np.maximum(total, 1)[:, None], 0, 1) * SCORE_STEPS).astype(np.int64)
+            own = np.array([numbers[name] for name in batch.column(0).to_pylist()], np.int64)
+            has = np.flatnonzero(total > 0)
+            np.add.at(counts, (own[has], steps[has, own[has]]), 1)
+            steps[np.arange(len(own)), own] = 0
+            np.add.at(counts, (-1, steps[has].max(axis=1)), 1)
+        language, step = np.nonzero(counts)
+        columns = [np.where(language == len(numbers), -1, language), step, counts[language, step]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["language", "step", "n"])
+
+    taught = labelled.where(F.col(label).isin(*model.languages)).select(
+        F.col(label).alias("label"), F.coalesce(F.col(text), F.lit("")).alias("text")
+    )
+    found = taught.mapInArrow(leanly(work), "language long, step long, n long")
+    return found.groupBy("language", "step").agg(F.sum("n").alias("n"))
+
+
+def least_covers(labelled: DataFrame, model: LanguageFilter, label: str = "lang", text: str = "text") -> np.ndarray:
+    """For each language the least score of a document that is taken to be in it.
+
+    It lies halfway between the scores that labelled texts get under their own language (the quantile ``LOW`` of that
+    language) and those they get under the best other one (``HIGH``, of all), as a text in a language that nobody
+    taught does; but never above the former. All given texts count, which should be others than ``model``
+    learned from. A language without any is given the lowest of the others.
+    """
+    counts = {number: np.zeros(SCORE_STEPS + 1, np.int64) for number in range(-1, len(model.languages))}
+    for row in score_counts(labelled, model, label, text).collect():
+        counts[row["language"]][row["step"]] = row["n"]
+    quantile = lambda n, share: np.searchsorted(np.cumsum(n), max(1.0, share * n.sum())) / SCORE_STEPS if n.any() else np.nan
+    other = np.nan_to_num(quantile(counts.pop(-1), HIGH))
+    own = np.array([quantile(counts[number], LOW) for number in range(len(model.languages))])
+    own = np.where(np.isnan(own), np.nanmin(own, initial=1.0), own)
+    return np.minimum(own, (own + other) / 2)
+
+
+def in_known_language(docs: DataFrame, least: float | None = None) -> DataFrame:
+    """The documents whose text has letters and whose language contains enough of its n-grams.
+
+    Without ``least``, a share for all languages, that is the share which ``least_covers`` finds on the held-out
+    documents, less the standard deviation of a share of so few n-grams as the text has. All columns stay as
+    they are, whatever their names. An empty table gives no rows.
+    """
+    spark = docs.sparkSession
+    model = learned(docs)
+    if not model.languages:
+        return docs.limit(0)
+    if least is None:
+        covers = least_covers(docs.where(held_out(F.col("doc_id"))).select("lang", "text"), model)
+    else:
+        covers = np.full(len(model.languages), least)
+    shared = spark.sparkContext.broadcast((model, covers))
+    at = docs.columns.index("text")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, covers = shared.value
+        for batch in batches:
+            counted, total = own.hits([content or "" for content in batch.column(at).to_pylist()])
+            score = np.clip(counted.max(axis=1) / np.maximum(total, 1), 0.0, 1.0)
+            cover = covers[counted.argmax(axis=1)]
+            if least is None:
+                cover = cover - np.sqrt(cover * (1 - cover) / np.maximum(total, 1))
+            yield batch.filter(pa.array((total > 0) & (score >= cover)))
+
+    return docs.mapInArrow(leanly(work), docs.schema)

@@ -17,7 +17,7 @@ import corpus_pipeline
 from tagwright.llm import bpe, lm, lz, quality, sharding, simhash, token_files
 from tagwright.llm.components import components
 from tagwright.llm.encoding import decode, encode
-from tagwright.llm.langid import fit_languages, grams, identify
+from tagwright.llm.langid import fit_languages, grams, identify, in_known_language
 from tagwright.llm.mixing import mix
 from tagwright.llm.queries import QUERIES
 from tagwright.llm.toxicity import GRAMMAR, Grammar, compose, fit_logistic
@@ -166,6 +166,14 @@ def test_languages(spark):
     assert all(0 <= row["score"] <= 1 for row in rows)
 
 
+@pytest.mark.parametrize("out", ["en", "fr", "de", "es"])
+def test_documents_in_a_language_nobody_taught_go(spark, small, out):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    taught = docs.withColumn("lang", F.when(F.col("lang") != out, F.col("lang")))
+    kept = {row["doc_id"] for row in in_known_language(taught).collect()}
+    assert kept == {row["doc_id"] for row in small if row["lang"] != out}
+
+
 def test_windows_of_long_texts_are_found_once(monkeypatch):
     import tagwright.llm.langid as langid
 
