@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tagwright.session import spread, written
+from tagwright.session import fits_broadcast, spread, written
 
 # The white space that separates words.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -111,6 +111,29 @@ def numbered(df: DataFrame, *keys: str, number: str = "row", purpose: str = "num
     return placed.join(F.broadcast(starts), "part").select(*df.columns, (F.col("start") + F.col("at")).alias(number))
 
 
+MOST_HOT = 10_000
+
+
+def attach(df: DataFrame, table: DataFrame, keys: list[str], count: str, row_bytes: int = 128) -> DataFrame:
+    """``df`` with the other columns of ``table``, which has one row per key and in ``count`` how many rows ``df`` has of it.
+
+    Null keys meet each other. Both must be written tables. A table within the library's bound is broadcast.
+    Of a larger one the keys with more than one in ``MOST_HOT`` of all rows are, of which there are fewer than
+    that many; the rest meets by shuffle, so no task gets a larger share of the rows through its key.
+    """
+    named = table.select(*[F.col(key).alias(f"_{key}") for key in keys], *[n for n in table.columns if n not in (*keys, count)], count)
+    same = lambda: [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys]
+    added = [name for name in table.columns if name not in (*keys, count)]
+    if fits_broadcast(table, F.lit(row_bytes)):
+        return df.join(F.broadcast(named), same()).select(*df.columns, *added)
+    total = table.agg(F.sum(count)).first()[0]
+    hot = named.where(F.col(count) * MOST_HOT > total)
+    cold = named.where(F.col(count) * MOST_HOT <= total)
+    in_place = df.join(F.broadcast(hot), same()).select(*df.columns, *added)
+    rest = df.join(F.broadcast(hot.select(*[f"_{key}" for key in keys])), same(), "left_anti")
+    return in_place.unionByName(rest.join(cold.hint("merge"), same()).select(*df.columns, *added))
+
+
 def hash_sample(docs: DataFrame, text: str, rows: int) -> DataFrame:
     """About ``rows`` texts, at most, picked by a hash of each text alone; all if there are no more.
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tagwright.llm.checks import CHECKS as CHECKS
 from tagwright.llm.common import documents
 from tagwright.llm.encoding import document_encoding
 from tagwright.llm.langid import document_languages
@@ -18,6 +19,7 @@ from tagwright.llm.sharding import document_shards
 from tagwright.llm.simhash import near_duplicates
 from tagwright.llm.token_files import document_tokens
 from tagwright.llm.toxicity import document_toxicity
+from tagwright.llm.vector_codes import compressed_vectors
 from tagwright.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +68,10 @@ def op10_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return successor_fingerprints(documents(spark, sf_dir))
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compressed_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
@@ -77,5 +83,5 @@ QUERIES: dict[str, Query] = {
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_lz_fingerprint": op10_lz_fingerprint,
+    "op12_vector_codes": op12_vector_codes,
 }
-CHECKS: dict[str, str] = {}
