@@ -45,4 +45,47 @@ digest AS (
 SELECT vec_id, label, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
 FROM coded, digest"""
 
-CHECKS: dict[str, str] = {"op12_vector_codes": VECTOR_CODES}
+
+
+def crc32(text: str) -> str:
+    """The unsigned crc32 of an ASCII text, bit by bit."""
+    codes = f"list_transform(string_split({text}, ''), lambda mark: CAST(ascii(mark) AS UBIGINT))"
+    step = "xor(s >> 1, (s & 1) * 3988292384::UBIGINT)"
+    byte = f"list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]), lambda s, z: {step})"
+    return f"xor(list_reduce(list_prepend(4294967295::UBIGINT, {codes}), lambda a, b: {byte}), 4294967295::UBIGINT)"
+
+
+# A path is the digests of its turns one after the other, 32 characters each.
+PREFIX_TRIE = f"""WITH turns AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i,
+    md5(md5(coalesce(role, '')) || md5(coalesce(text, ''))) AS digest,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT c, c - ((c % 20) + 20) % 20 AS base, {crc32('CAST(c AS VARCHAR)')} % 4 AS h FROM (SELECT DISTINCT c FROM turns)),
+built AS (
+  SELECT v.c, 0 AS own, t.i, digest, words FROM convs v JOIN turns t ON t.c = v.base AND t.i <= v.h
+  UNION ALL SELECT v.c, 1, t.i, digest, words FROM convs v JOIN turns t ON t.c = v.c AND t.i > v.h),
+paths AS (
+  SELECT c, row_number() OVER place AS depth, string_agg(digest, '') OVER place AS path, words
+  FROM built WINDOW place AS (PARTITION BY c ORDER BY own, i)
+  UNION ALL SELECT c, 0, '', 0 FROM convs),
+lengths AS (SELECT c, max(depth) AS length FROM paths GROUP BY c),
+nodes AS (
+  SELECT path, any_value(depth) AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE depth = length) AS ends
+  FROM paths JOIN lengths USING (c) GROUP BY path),
+children AS (SELECT left(path, 32 * (depth - 1)) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+valued AS (
+  SELECT v.*, coalesce(k.n, 0) AS n_children, CAST(k.n IS NULL AS INT) AS leaf, (n_convs - 1) * words AS saved
+  FROM nodes v LEFT JOIN children k ON k.path = v.path),
+subtrees AS (
+  SELECT left(path, 32 * up) AS path, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT path, leaf, saved, unnest(range(depth + 1)) AS up FROM valued) GROUP BY 1)
+SELECT v.conv_id, CAST(v.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(v.n_convs AS BIGINT) AS n_convs,
+  CAST(v.n_children AS BIGINT) AS n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+  CAST(s.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(v.ends, '')) AS ends_sha256
+FROM valued v JOIN subtrees s ON s.path = v.path
+LEFT JOIN nodes p ON v.depth > 0 AND p.path = left(v.path, 32 * (v.depth - 1))"""
+
+CHECKS: dict[str, str] = {"op11_prefix_trie": PREFIX_TRIE, "op12_vector_codes": VECTOR_CODES}

@@ -14,6 +14,7 @@ from tagwright.llm.langid import document_languages
 from tagwright.llm.lm import document_scores
 from tagwright.llm.lz import successor_fingerprints
 from tagwright.llm.mixing import document_mix
+from tagwright.llm.prefix_trie import conversation_trie
 from tagwright.llm.quality import document_quality
 from tagwright.llm.sharding import document_shards
 from tagwright.llm.simhash import near_duplicates
@@ -68,6 +69,10 @@ def op10_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return successor_fingerprints(documents(spark, sf_dir))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compressed_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -83,5 +88,6 @@ QUERIES: dict[str, Query] = {
     "op8_token_files": op8_token_files,
     "op9_toxicity": op9_toxicity,
     "op10_lz_fingerprint": op10_lz_fingerprint,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_vector_codes": op12_vector_codes,
 }
