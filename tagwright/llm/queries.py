@@ -14,6 +14,7 @@ from tagwright.llm.langid import document_languages
 from tagwright.llm.lm import document_scores
 from tagwright.llm.lz import successor_fingerprints
 from tagwright.llm.mixing import document_mix
+from tagwright.llm.packing import document_packing
 from tagwright.llm.prefix_trie import conversation_trie
 from tagwright.llm.quality import document_quality
 from tagwright.llm.sharding import document_shards
@@ -77,6 +78,10 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compressed_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_packing(documents(spark, sf_dir), TOKENIZER)
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
@@ -90,4 +95,5 @@ QUERIES: dict[str, Query] = {
     "op10_lz_fingerprint": op10_lz_fingerprint,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_vector_codes": op12_vector_codes,
+    "op13_packing": op13_packing,
 }
