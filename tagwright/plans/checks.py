@@ -257,4 +257,11 @@ UNION ALL SELECT NULL, NULL, text, 'not a JSON object' FROM conversations WHERE
     "upsert_ties": f"""WITH {POST_UPDATES}
 SELECT * EXCLUDE (turn) FROM updates QUALIFY row_number() OVER (PARTITION BY Id ORDER BY turn DESC) = 1""",
     "merge_stream": f"WITH {EVENT_UPDATES} " + merged(["event_type", "value", "props"], "user_id", "ts, event_id"),
+    "upsert_levels": f"""WITH {EVENT_UPDATES}
+SELECT * FROM updates QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
+    "merge_levels": f"WITH {EVENT_UPDATES} " + merged(["event_type", "value", "props"], "user_id", "ts, event_id"),
+    "lookup_in_levels": """SELECT r.Id, d.lang AS tag
+FROM (SELECT DISTINCT user_id AS Id FROM events) r LEFT JOIN documents d ON d.doc_id = r.Id""",
+    "lookup_newest_user": """SELECT doc_id AS Id, lang AS tag FROM documents
+WHERE doc_id = (SELECT user_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 1)""",
 }

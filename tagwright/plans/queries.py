@@ -16,6 +16,7 @@ from tagwright.plans.model_store import ModelStore
 from tagwright.plans.training import HashedModel, evaluate, train_hashed, true_rows
 from tagwright.session import new_folder, spread
 from tagwright.sources import files, messages, payload, tables
+from tagwright.streaming.levels import LeveledTable
 from tagwright.streaming.scoring import ModelFeed, batch_folders, reject_folders, score_batches, score_messages, trigger
 from tagwright.streaming.upsert import KeyedTable
 
@@ -464,3 +465,52 @@ def upsert_ties(spark, sf_dir):
 @query
 def merge_stream(spark, sf_dir):
     return keyed_stream(spark, given.event_updates(spark, sf_dir), "user_id", ["ts", "event_id"], merge=True)
+
+
+def leveled_table(spark, updates: DataFrame, key: str, order: list[str], merge: bool = False) -> LeveledTable:
+    """A table fed by five batches and compacted after three of them; the last two batches touch half of the buckets.
+
+    The levels are small, so that they fill up and are merged at any number of rows.
+    """
+    table = LeveledTable(
+        spark, new_folder(spark, "levels"), updates.schema, key, order, merge, buckets=8, fanout=4, level_rows=64
+    )
+    low = table.bucket_of(F.col(key)) < 4
+    place = F.pmod(F.xxhash64(*order), F.lit(3)).cast("int")
+    numbered = updates.withColumn("_batch", F.when(low, place).otherwise(F.lit(3) + place % 2))
+    for batch_id in range(5):
+        table.write_batch(numbered.where(F.col("_batch") == batch_id).drop("_batch"), batch_id)
+        if batch_id != 2:
+            table.compact()
+    return table
+
+
+@query
+def upsert_levels(spark, sf_dir):
+    return leveled_table(spark, given.event_updates(spark, sf_dir), "user_id", ["ts", "event_id"]).read()
+
+
+@query
+def merge_levels(spark, sf_dir):
+    return leveled_table(spark, given.event_updates(spark, sf_dir), "user_id", ["ts", "event_id"], merge=True).read()
+
+
+def stored_in_levels(spark, sf_dir) -> LeveledTable:
+    """The stored posts; each was stored without a tag before."""
+    posts = given.stored_posts(spark, sf_dir)
+    twice = posts.withColumn("seq", F.lit(1)).unionByName(posts.select("Id", F.lit(None).cast("string").alias("tag"), F.lit(0).alias("seq")))
+    return leveled_table(spark, twice, "Id", ["seq"])
+
+
+@query
+def lookup_in_levels(spark, sf_dir):
+    """The stored tag of every post that a user id in the events asks for, from the buckets that hold them."""
+    requests = given.table(spark, sf_dir, "events").select(F.col("user_id").alias("Id"))
+    return stored_in_levels(spark, sf_dir).lookup(requests).select("Id", "tag")
+
+
+@query
+def lookup_newest_user(spark, sf_dir):
+    """The stored tag of the one post that the newest event asks for, by its id alone."""
+    newest = given.table(spark, sf_dir, "events").orderBy(F.desc("ts"), F.desc("event_id")).select("user_id").first()
+    return stored_in_levels(spark, sf_dir).get(newest["user_id"] if newest else None).select("Id", "tag")

@@ -50,6 +50,11 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(name, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, name = _folder(spark, path)
+    return files.exists(name)
+
+
 def subfolders(spark: SparkSession, path: str) -> list[tuple[str, float]]:
     """The names of the folders in ``path`` and when they were changed, in seconds since 1970."""
     files, name = _folder(spark, path)
