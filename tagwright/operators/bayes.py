@@ -16,33 +16,35 @@ from tagwright.operators.terms import ROW_OVERHEAD, TermTable
 from tagwright.session import fits_broadcast, new_folder, temporary, written
 
 
-# Classes are counted in blocks of this many, so that a term keeps room only for the blocks it was seen in.
-LANES = 16
-BLOCKS = "array<struct<block:int,tf:array<bigint>>>"
+SEEN = "array<struct<place:int,n:bigint>>"
+# Scores are put together from so many classes at a time.
+STEP = 128
 
 
 def class_term_counts(posts: DataFrame, tags: DataFrame, vocab: DataFrame) -> DataFrame:
-    """``(term, df, blocks)`` over the (post, tag) rows, in one pass over the texts.
+    """``(term, df, seen)`` over the (post, tag) rows, in one pass over the texts.
 
-    A block has the counts of ``LANES`` classes with following ids; only blocks in which the term was seen are
-    listed. Counts are whole numbers and partly summed before the shuffle. The null term counts rows.
+    ``seen`` lists the classes in which the term was seen with its count there; ``df`` counts rows. Counts are whole numbers,
+    summed by (term, class) in the tasks before anything is shuffled. The null term counts rows.
     """
     labelled = labelled_posts(filled(posts.select("Id", "Body")), tags, vocab)
     rows = term_rows(labelled, "classes").withColumn("class", F.explode_outer("classes"))
     tf = F.coalesce("tf", F.lit(1)) * F.col("class.n")
-    lane = F.pmod("class.CatId", F.lit(LANES))
-    block = F.floor(F.col("class.CatId") / LANES).cast("int")
-    lanes = [F.coalesce(F.sum(F.when(lane == at, tf)), F.lit(0)) for at in range(LANES)]
-    by_block = rows.groupBy("term", block.alias("block")).agg(
-        F.sum("class.n").alias("df"), F.array(*lanes).alias("tf")
+    by_class = rows.groupBy("term", F.col("class.CatId").alias("place")).agg(
+        F.sum("class.n").alias("df"), F.sum(tf).alias("n")
     )
-    blocks = F.collect_list(F.struct("block", "tf")).cast(BLOCKS)
-    return by_block.groupBy("term").agg(F.sum("df").alias("df"), blocks.alias("blocks"))
+    return by_term(by_class)
 
 
-def block_bytes() -> Column:
+def by_term(by_class: DataFrame) -> DataFrame:
+    """``(term, df, seen)`` from ``(term, place, df, n)``, one row per term and class."""
+    seen = F.collect_list(F.struct("place", "n")).cast(SEEN)
+    return by_class.groupBy("term").agg(F.sum("df").alias("df"), seen.alias("seen"))
+
+
+def term_bytes() -> Column:
     """What a row of a model's term table takes up besides the term."""
-    return F.lit(ROW_OVERHEAD) + (8 * LANES + 48) * F.size("blocks")
+    return F.lit(ROW_OVERHEAD) + 24 * F.size("seen")
 
 
 def _doubles(values: list[float]) -> Column:
@@ -54,8 +56,8 @@ def _doubles(values: list[float]) -> Column:
 class BayesModel:
     """A fitted model: a term table on the cluster, and a few numbers per class.
 
-    ``terms`` has ``(term, df, idf, blocks)``, where ``blocks`` lists the counts of the blocks of classes in which
-    the term was seen. ``places`` has the numbers by which blocks count the classes.
+    ``terms`` has ``(term, df, idf, seen)``, where ``seen`` lists the counts of the classes in which the term was
+    seen. ``places`` has the numbers by which the lists name the classes.
     """
 
     terms: TermTable
@@ -87,10 +89,9 @@ class BayesModel:
 
         A row with a null term has what a class gives each of the terms that it lacks.
         """
-        blocks = self.terms.rows.select("term", "idf", F.explode_outer("blocks").alias("b"))
-        counts = blocks.select("term", "idf", "b.block", F.posexplode_outer("b.tf").alias("lane", "n")).where("n > 0")
-        weight = F.col("idf") * F.col("n")
-        seen = counts.select("term", weight.alias("weight"), (F.col("block") * LANES + F.col("lane")).alias("place"))
+        counts = self.terms.rows.select("term", "idf", F.explode_outer("seen").alias("c"))
+        weight = F.col("idf") * F.col("c.n")
+        seen = counts.select("term", weight.alias("weight"), F.col("c.place").alias("place"))
         classes = self.classes()
         lacking = classes.select(F.lit(None).cast("string").alias("term"), F.lit(0.0).alias("weight"), "place")
         return seen.unionByName(lacking).join(classes, "place").select(
@@ -110,7 +111,7 @@ class BayesModel:
         if fits_broadcast(wanted, ROW_OVERHEAD + F.octet_length("term")):
             wanted = F.broadcast(wanted)
         found = written(self.terms.rows.join(wanted, "term", "left_semi"), "found-terms")
-        part = TermTable.measure(found, block_bytes())
+        part = TermTable.measure(found, term_bytes())
         # the scores depend on the number of all terms
         return replace(self, terms=replace(part, n_terms=self.terms.n_terms))
 
@@ -118,38 +119,37 @@ class BayesModel:
         """``(Id, scores)``: for each post the joint log likelihood of the class at each place, -Infinity for none.
 
         A class's score is its prior, plus what all weight of the post would get for unseen terms,
-        plus a gain for each term seen in the class. Only the gains need the term table, and only blocks of classes
+        plus a gain for each term seen in the class. Only the gains need the term table, and only classes
         that share a term with the post have any. Posts without a known term keep the prior. ``Id`` must be unique.
         """
         lam = self.smoothing
-        gain = lambda n: F.ln((F.col("idf") * n + lam) / lam)
-        gains = F.transform("blocks", lambda b: F.struct(b["block"].alias("block"), F.transform(b["tf"], gain).alias("g")))
-        table = replace(self.terms, rows=self.terms.rows.select("term", "df", "idf", gains.alias("gains")))
+        gain = lambda c: F.struct(c["place"].alias("place"), F.ln((F.col("idf") * c["n"] + lam) / lam).alias("g"))
+        table = replace(self.terms, rows=self.terms.rows.select("term", "df", "idf", F.transform("seen", gain).alias("gains")))
         matched = table.attach(term_rows(filled(posts, "Body"), "Id"), max_broadcast)
         x = (F.col("tf") * F.col("idf")).alias("x")
-        rows = matched.select("Id", x, F.posexplode_outer("gains").alias("at", "b"))
-        # the weight of a term counts once, whatever the number of its blocks
+        rows = matched.select("Id", x, F.posexplode_outer("gains").alias("at", "c"))
+        # the weight of a term counts once, whatever the number of its classes
         weight = F.sum(F.when(F.coalesce("at", F.lit(0)) == 0, F.col("x")))
-        lanes = [F.coalesce(F.sum(F.col("x") * F.col("b.g")[at]), F.lit(0.0)) for at in range(LANES)]
-        by_block = rows.groupBy("Id", F.col("b.block").alias("block")).agg(weight.alias("x"), F.array(*lanes).alias("g"))
-        seen = F.collect_list(F.when(F.col("block").isNotNull(), F.struct("block", "g")))
-        sums = by_block.groupBy("Id").agg(
-            F.coalesce(F.sum("x"), F.lit(0.0)).alias("x"), F.map_from_entries(seen).alias("seen")
+        by_class = rows.groupBy("Id", F.col("c.place").alias("place")).agg(
+            weight.alias("x"), F.sum(F.col("x") * F.col("c.g")).alias("g")
         )
-        n_blocks = max(self.places) // LANES + 1
-        priors, unseen = [-math.inf] * n_blocks * LANES, [0.0] * n_blocks * LANES
+        seen = F.collect_list(F.when(F.col("place").isNotNull(), F.struct("place", "g")))
+        sums = by_class.groupBy("Id").agg(F.coalesce(F.sum("x"), F.lit(0.0)).alias("x"), seen.alias("seen"))
+        n_places = max(self.places) + 1
+        priors, unseen = [-math.inf] * n_places, [0.0] * n_places
         for place, prior, total in zip(self.places, self.log_priors, self.log_totals):
             priors[place], unseen[place] = prior, math.log(lam) - total
         base = F.zip_with(_doubles(priors), _doubles(unseen), lambda prior, share: prior + F.col("x") * share)
-        nothing = _doubles([0.0] * LANES)
+        # the gains by steps of classes, so that a lookup goes through few of them
+        step_of = lambda step: F.map_from_entries(F.filter("seen", lambda c: F.floor(c["place"] / STEP) == step))
+        steps = F.transform(F.sequence(F.lit(0), F.lit((n_places - 1) // STEP)), step_of)
+        gained = sums.select("Id", base.alias("base"), steps.alias("steps"))
 
-        def scores_of(block: Column) -> Column:
-            part = F.slice("base", block * LANES + 1, LANES)
-            return F.zip_with(part, F.coalesce(F.try_element_at("seen", block), nothing), lambda a, b: a + b)
+        def scores_of(gains: Column, step: Column) -> Column:
+            found = lambda at: F.coalesce(F.try_element_at(gains, step * STEP + at), F.lit(0.0))
+            return F.transform(F.slice("base", step * STEP + 1, STEP), lambda value, at: value + found(at))
 
-        blocks = F.sequence(F.lit(0), F.lit(n_blocks - 1))
-        based = sums.select("Id", "seen", base.alias("base"))
-        return based.select("Id", F.flatten(F.transform(blocks, scores_of)).alias("scores"))
+        return gained.select("Id", F.flatten(F.transform("steps", scores_of)).alias("scores"))
 
     def predict(self, posts: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> DataFrame:
         """``(Id, CatId, tags, confidence)``; of equal scores the lowest class wins."""
@@ -195,19 +195,18 @@ def fit_bayes(posts: DataFrame, tags: DataFrame, vocab: DataFrame, smoothing: fl
     if not all_rows:
         raise ValueError("no post has a tag of the vocabulary")
     idf = inverse_frequency(F.lit(all_rows["df"]), F.col("df"))
-    terms = table.where("term IS NOT NULL").select("term", "df", idf.alias("idf"), "blocks")
-    counts = table.select("term", idf.alias("idf"), F.explode_outer("blocks").alias("b"))
-    counts = counts.select("term", "idf", "b.block", F.posexplode_outer("b.tf").alias("lane", "n")).where("n > 0")
+    terms = table.where("term IS NOT NULL").select("term", "df", idf.alias("idf"), "seen")
+    counts = table.select("term", idf.alias("idf"), F.explode_outer("seen").alias("c"))
     # The null term's counts are the numbers of rows.
     known = F.col("term").isNotNull()
-    sums = counts.groupBy((F.col("block") * LANES + F.col("lane")).alias("place")).agg(
-        F.sum(F.when(~known, F.col("n"))).alias("n_rows"),
-        F.coalesce(F.sum(F.when(known, F.col("idf") * F.col("n"))), F.lit(0.0)).alias("weight"),
+    sums = counts.groupBy(F.col("c.place").alias("place")).agg(
+        F.sum(F.when(~known, F.col("c.n"))).alias("n_rows"),
+        F.coalesce(F.sum(F.when(known, F.col("idf") * F.col("c.n"))), F.lit(0.0)).alias("weight"),
     )
     # One row per class that was seen, as a model has a few numbers for each.
     seen = sums.orderBy("place").collect()
     return BayesModel(
-        terms=TermTable.measure(terms, block_bytes()),
+        terms=TermTable.measure(terms, term_bytes()),
         places=[row["place"] for row in seen],
         class_ids=[classes[row["place"]][0] for row in seen],
         tags=[classes[row["place"]][1] for row in seen],

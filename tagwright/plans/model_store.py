@@ -7,7 +7,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagwright.operators.bayes import BayesModel, block_bytes
+from tagwright.operators.bayes import BayesModel, term_bytes
 from tagwright.operators.terms import TermTable
 from tagwright.plans.training import HashedModel
 
@@ -70,7 +70,7 @@ class ModelStore:
             return HashedModel(pipeline, [(row["CatId"], row["Tag"]) for row in classes])
         terms = self.spark.read.parquet(f"{folder}/terms")
         return BayesModel(
-            terms=TermTable.measure(terms, block_bytes()),
+            terms=TermTable.measure(terms, term_bytes()),
             places=[row["place"] for row in classes],
             class_ids=[row["CatId"] for row in classes],
             tags=[row["Tag"] for row in classes],
