@@ -101,17 +101,23 @@ class BayesModel:
             (F.ln(F.col("weight") + self.smoothing) - F.col("log_total")).alias("log_likelihood"),
         )
 
-    def only(self, posts: DataFrame) -> "BayesModel":
+    def kept_in_place(self, max_bytes: int = BROADCAST_BYTES // 2) -> DataFrame:
+        """The rows of the most frequent terms, as many as take ``max_bytes``, for ``only``: most tokens are theirs."""
+        return self.terms.rows.where(F.col("df") >= self.terms.hot_df(max_bytes))
+
+    def only(self, posts: DataFrame, in_place: DataFrame | None = None) -> "BayesModel":
         """This model with the terms of ``posts`` only, written: it gives them the same scores.
 
-        If the distinct terms of the posts are few they are broadcast and the term table stays in place.
+        Terms of ``in_place``, a bounded part of the table, are not looked up again. The others are looked up in the
+        buckets that they fall into.
         """
-        tokens = term_rows(filled(posts.select("Body"), "Body")).where("term IS NOT NULL")
-        wanted = written(tokens.select("term").distinct(), "wanted-terms")
-        if fits_broadcast(wanted, ROW_OVERHEAD + F.octet_length("term")):
-            wanted = F.broadcast(wanted)
-        found = written(self.terms.rows.join(wanted, "term", "left_semi"), "found-terms")
-        part = TermTable.measure(found, term_bytes())
+        tokens = term_rows(filled(posts.select("Body"), "Body")).where("term IS NOT NULL").select("term").distinct()
+        if in_place is not None:
+            tokens = tokens.join(F.broadcast(in_place.select("term")), "term", "left_anti")
+        found = self.terms.of_terms(written(tokens, "wanted-terms"))
+        if in_place is not None:
+            found = found.unionByName(in_place)
+        part = TermTable.measure(written(found, "found-terms"), term_bytes())
         # the scores depend on the number of all terms
         return replace(self, terms=replace(part, n_terms=self.terms.n_terms))
 
@@ -124,7 +130,8 @@ class BayesModel:
         """
         lam = self.smoothing
         gain = lambda c: F.struct(c["place"].alias("place"), F.ln((F.col("idf") * c["n"] + lam) / lam).alias("g"))
-        table = replace(self.terms, rows=self.terms.rows.select("term", "df", "idf", F.transform("seen", gain).alias("gains")))
+        gains = F.transform("seen", gain).alias("gains")
+        table = replace(self.terms, rows=self.terms.rows.select("term", "df", "idf", gains))
         matched = table.attach(term_rows(filled(posts, "Body"), "Id"), max_broadcast)
         x = (F.col("tf") * F.col("idf")).alias("x")
         rows = matched.select("Id", x, F.posexplode_outer("gains").alias("at", "c"))

@@ -11,12 +11,17 @@ from pyspark.sql import functions as F
 from tagwright.fixed_values import BROADCAST_BYTES, HASH_SLOTS
 from tagwright.functions.rows import filled
 from tagwright.functions.text import inverse_frequency, term_rows, words
-from tagwright.session import written
+from tagwright.session import fits_broadcast, written
 
 # What a row of a term table takes up besides the term and its arrays, in bytes.
 ROW_OVERHEAD = 64
 
 
+def term_bucket(term: Column, buckets: int) -> Column:
+    """The bucket of a term in a stored table."""
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
 def tokenize(posts: DataFrame) -> DataFrame:
     return filled(posts, "Body").withColumn("Words", words(F.col("Body")))
 
@@ -37,20 +42,22 @@ def document_frequency(posts: DataFrame) -> DataFrame:
 class TermTable:
     """A written table with one row per term, and its measured size.
 
-    ``levels`` has the bytes of the terms whose ``df`` has 1, 2, 3... binary digits, 63 at most.
+    ``levels`` has the bytes of the terms whose ``df`` has 1, 2, 3... binary digits, 63 at most. A table in
+    ``buckets`` is stored in folders by ``bucket``, a hash of the term, and its rows have that column.
     """
 
     rows: DataFrame
     n_terms: int
     levels: dict[int, int]
+    buckets: int = 0
 
     @classmethod
-    def measure(cls, rows: DataFrame, row_bytes: Column | int = ROW_OVERHEAD) -> "TermTable":
+    def measure(cls, rows: DataFrame, row_bytes: Column | int = ROW_OVERHEAD, buckets: int = 0) -> "TermTable":
         """Measure ``rows``, whose columns besides the term take ``row_bytes``."""
         size = F.sum(F.octet_length("term") + (F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes))
         levels = rows.groupBy(F.length(F.bin("df")).alias("bits")).agg(F.count("*").alias("n"), size.alias("n_bytes"))
         found = levels.collect()
-        return cls(rows, sum(row["n"] for row in found), {row["bits"]: row["n_bytes"] for row in found})
+        return cls(rows, sum(row["n"] for row in found), {row["bits"]: row["n_bytes"] for row in found}, buckets)
 
     @property
     def n_bytes(self) -> int:
@@ -70,6 +77,20 @@ class TermTable:
         rare = tokens.where("term IS NOT NULL").join(F.broadcast(hot.select("term")), "term", "left_anti")
         return in_place.unionByName(rare.join(self.rows.hint("merge"), "term", "left"))
 
+    def of_terms(self, wanted: DataFrame) -> DataFrame:
+        """The rows of the terms of ``wanted`` (term, a written table of distinct ones).
+
+        Of a table in buckets only those are read into which a wanted term falls. If ``wanted`` is small it is
+        broadcast and the table stays in place.
+        """
+        rows = self.rows
+        if self.buckets:
+            hit = wanted.select(term_bucket(F.col("term"), self.buckets).alias("bucket")).distinct().collect()
+            rows = rows.where(F.col("bucket").isin([row["bucket"] for row in hit]))
+        if fits_broadcast(wanted, ROW_OVERHEAD + F.octet_length("term")):
+            wanted = F.broadcast(wanted)
+        return rows.join(wanted, "term", "left_semi")
+
     def hot_df(self, max_bytes: int) -> int:
         """The least power of two for which the terms of at least that ``df`` take ``max_bytes`` or less."""
         left, bits = max_bytes, 63

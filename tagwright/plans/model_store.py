@@ -7,20 +7,24 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagwright.operators.bayes import BayesModel, term_bytes
-from tagwright.operators.terms import TermTable
+from tagwright.operators.bayes import SEEN, BayesModel, term_bytes
+from tagwright.operators.terms import TermTable, term_bucket
 from tagwright.plans.training import HashedModel
 
-MANIFEST = "version INT, kind STRING, smoothing DOUBLE"
+MANIFEST = "version INT, kind STRING, smoothing DOUBLE, buckets INT"
+BUCKET_BYTES = 8 << 20
+MOST_BUCKETS = 1 << 16
+TERMS = f"term STRING, df BIGINT, idf DOUBLE, seen {SEEN}, bucket INT"
 CLASSES = "CatId INT, Tag STRING, place INT, n_rows BIGINT, weight DOUBLE"
 
 
 class ModelStore:
     """Models below one folder of a file system that the cluster shares."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, bucket_bytes: int = BUCKET_BYTES):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.bucket_bytes = bucket_bytes
 
     def versions(self) -> DataFrame | None:
         """The manifest, or None while nothing was published."""
@@ -46,16 +50,23 @@ class ModelStore:
         if isinstance(model, HashedModel):
             model.pipeline.write().overwrite().save(f"{folder}/stages")
             rows = [(cat_id, tag, None, None, None) for cat_id, tag in model.classes]
-            kind, smoothing = "hashed", None
+            kind, smoothing, buckets = "hashed", None, None
         else:
-            model.terms.rows.write.mode("overwrite").parquet(f"{folder}/terms")
+            buckets = min(MOST_BUCKETS, 1 + model.terms.n_bytes // self.bucket_bytes)
+            self._write_terms(model.terms.rows, f"{folder}/terms", buckets)
             rows = list(zip(model.class_ids, model.tags, model.places, model.class_rows, model.class_weights))
             kind, smoothing = "exact", model.smoothing
         self.spark.createDataFrame(rows, CLASSES).coalesce(1).write.mode("overwrite").parquet(f"{folder}/classes")
-        entry = self.spark.createDataFrame([(version, kind, smoothing)], MANIFEST)
+        entry = self.spark.createDataFrame([(version, kind, smoothing, buckets)], MANIFEST)
         entry.coalesce(1).write.mode("append").json(f"{self.path}/manifest")
         return version
 
+    def _write_terms(self, terms: DataFrame, path: str, buckets: int) -> None:
+        """Write a term table into folders by bucket, so that a few terms are found without reading the rest."""
+        placed = terms.select("term", "df", "idf", "seen", term_bucket(F.col("term"), buckets).alias("bucket"))
+        dealt = placed.repartition(buckets, "bucket").sortWithinPartitions("bucket", "term")
+        dealt.write.mode("overwrite").partitionBy("bucket").parquet(path)
+
     def load(self, version: int | None = None) -> HashedModel | BayesModel:
         """A complete version with its labels, by default the newest."""
         version = self.latest() if version is None else version
@@ -68,9 +79,9 @@ class ModelStore:
         if entry["kind"] == "hashed":
             pipeline = PipelineModel.load(f"{folder}/stages")
             return HashedModel(pipeline, [(row["CatId"], row["Tag"]) for row in classes])
-        terms = self.spark.read.parquet(f"{folder}/terms")
+        terms = self.spark.read.schema(TERMS).parquet(f"{folder}/terms")
         return BayesModel(
-            terms=TermTable.measure(terms, term_bytes()),
+            terms=TermTable.measure(terms, term_bytes(), entry["buckets"]),
             places=[row["place"] for row in classes],
             class_ids=[row["CatId"] for row in classes],
             tags=[row["Tag"] for row in classes],

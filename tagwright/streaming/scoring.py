@@ -24,18 +24,33 @@ def trigger(writer: DataStreamWriter, once: bool = False) -> DataStreamWriter:
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=TRIGGER)
 
 
+# The frequent terms of the models in use, held by the executors from batch to batch.
+_IN_PLACE: dict[int, tuple[BayesModel, DataFrame]] = {}
+
+
+def frequent_terms(model: BayesModel) -> DataFrame:
+    """The frequent terms of ``model``, read once and then held for the next batches; of one model at a time."""
+    if id(model) not in _IN_PLACE:
+        for _, old in _IN_PLACE.values():
+            old.unpersist()
+        _IN_PLACE.clear()
+        _IN_PLACE[id(model)] = model, model.kept_in_place().persist()
+    return _IN_PLACE[id(model)][1]
+
+
 def tag_posts(model: HashedModel | BayesModel, posts: DataFrame) -> DataFrame:
     """The posts of a batch with their predicted ``tags``. An id may come again with another text.
 
     For an exact model the rows are written with a number, and their tags joined back by it: texts are neither
-    shuffled nor sorted while the tags of the batch are small enough to be broadcast.
+    shuffled nor sorted while the tags of the batch are small enough to be broadcast. Of a term table too large for
+    that, the frequent terms stay in place between batches and the others are read from the buckets that they fall into.
     """
     if isinstance(model, HashedModel):
         return model.predict(posts)
     numbered = filled(posts, "Id", "Body").withColumn("_row", F.monotonically_increasing_id())
     texts = written(numbered, "batch")
     if model.terms.n_bytes > BROADCAST_BYTES:
-        model = model.only(texts)
+        model = model.only(texts, frequent_terms(model))
     predicted = model.predict(texts.select(F.col("_row").alias("Id"), "Body"))
     tags = written(predicted.select(F.col("Id").alias("_row"), "tags"), "batch-tags")
     if fits_broadcast(tags, 32 + F.octet_length("tags")):

@@ -6,7 +6,7 @@ from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import IDF, CountVectorizer, Tokenizer
 from pyspark.sql import functions as F
 
-from tagwright.operators import bayes, labels
+from tagwright.operators import bayes, labels, terms
 from tagwright.plans import relations
 from tagwright.plans.model_store import ModelStore
 from tests.conftest import MIDDLE
@@ -165,3 +165,33 @@ def test_model_of_a_few_posts_gives_the_same_scores(spark):
     part = model.only(new)
     assert part.terms.n_bytes < model.terms.n_bytes
     assert sorted(part.score_rows(new).collect()) == sorted(model.score_rows(new).collect())
+
+
+def test_a_batch_reads_the_buckets_of_its_terms(spark, tmp_path):
+    """Of a stored model in buckets only those are read into which the batch's rare terms fall."""
+    store = ModelStore(spark, str(tmp_path / "models"), bucket_bytes=100)
+    model = store.load(store.publish(fitted(spark)))
+    assert model.terms.buckets > 8
+    wanted = frame(spark, [("far",), ("cat",), ("unknown",)], "term STRING")
+    buckets = {row["b"] for row in wanted.select(terms.term_bucket(F.col("term"), model.terms.buckets).alias("b")).collect()}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = model.terms.of_terms(wanted)
+        assert sorted(row["term"] for row in found.collect()) == ["cat", "far"]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    leaves = found._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [leaves.apply(at) for at in range(leaves.size()) if "FileScan" in leaves.apply(at).nodeName() or "Scan parquet" in leaves.apply(at).nodeName()]
+    stored = {int(path.name.split("=")[1]) for path in tmp_path.glob("models/v=1/terms/bucket=*")}
+    assert [scan.metrics().apply("numPartitions").value() for scan in scans] == [len(buckets & stored)]
+    assert len(stored) > len(buckets)
+
+
+@pytest.mark.parametrize("max_bytes", [0, 200, 10**6])
+def test_terms_in_place_are_not_looked_up(spark, tmp_path, max_bytes):
+    store = ModelStore(spark, str(tmp_path / "models"), bucket_bytes=100)
+    model, new = store.load(store.publish(fitted(spark))), frame(spark, NEW)
+    in_place = model.kept_in_place(max_bytes)
+    assert (in_place.count() == 0) == (max_bytes == 0) and in_place.count() <= model.terms.n_terms
+    part = model.only(new, in_place)
+    assert sorted(part.score_rows(new).collect()) == sorted(fitted(spark).score_rows(new).collect())

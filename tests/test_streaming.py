@@ -265,3 +265,24 @@ def test_columns_of_the_source_order_writes(spark, tmp_path):
     query = trigger(table.upsert(decoded).option("checkpointLocation", str(tmp_path / "state")), once=True).start()
     assert query.awaitTermination(60)
     assert sorted((row["Id"], row["tags"]) for row in table.read().collect()) == [("1", "java"), ("2", "c")]
+
+
+def test_trigger_runs_every_few_seconds(spark, tmp_path):
+    """The writer asks for batches ten seconds apart, and holds no frequent terms of an older model."""
+    rows = spark.readStream.format("rate").load().writeStream.format("noop")
+    started = trigger(rows.option("checkpointLocation", str(tmp_path / "state"))).start()
+    try:
+        described = started._jsq.sparkSession().streams().get(started.id)
+        assert "ProcessingTimeTrigger(10000)" in described.streamingQuery().trigger().toString()
+    finally:
+        started.stop()
+        started.awaitTermination(60)
+
+
+def test_frequent_terms_stay_between_batches(spark):
+    from tagwright.streaming import scoring
+
+    first, second = fit(spark, TAGS, exact=True), fit(spark, SWAPPED, exact=True)
+    held = scoring.frequent_terms(first)
+    assert scoring.frequent_terms(first) is held and held.is_cached
+    assert scoring.frequent_terms(second) is not held and not held.is_cached
