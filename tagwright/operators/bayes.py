@@ -198,13 +198,22 @@ def fit_bayes(posts: DataFrame, tags: DataFrame, vocab: DataFrame, smoothing: fl
     kept = new_folder(posts.sparkSession, "class-terms")
     with temporary(posts.sparkSession):
         table = written(class_term_counts(posts, tags, places), "class-terms", kept)
+    return model_of(table, classes, smoothing)
+
+
+def model_of(table: DataFrame, classes: list[tuple[int, str]], smoothing: float = SMOOTHING) -> BayesModel:
+    """The model of counts ``(term, df, seen)``, a written table, whose places are those of ``classes`` (class id, tag).
+
+    The null term's counts are the numbers of rows. Classes without any are left out.
+    """
+    if smoothing <= 0:
+        raise ValueError("smoothing must be positive")
     all_rows = table.where("term IS NULL").first()
     if not all_rows:
         raise ValueError("no post has a tag of the vocabulary")
     idf = inverse_frequency(F.lit(all_rows["df"]), F.col("df"))
     terms = table.where("term IS NOT NULL").select("term", "df", idf.alias("idf"), "seen")
     counts = table.select("term", idf.alias("idf"), F.explode_outer("seen").alias("c"))
-    # The null term's counts are the numbers of rows.
     known = F.col("term").isNotNull()
     sums = counts.groupBy(F.col("c.place").alias("place")).agg(
         F.sum(F.when(~known, F.col("c.n"))).alias("n_rows"),

@@ -14,6 +14,7 @@ from tagwright.operators import bayes, evaluation, keyed, labels, terms
 from tagwright.plans import relations as given
 from tagwright.plans.model_store import ModelStore
 from tagwright.plans.training import HashedModel, evaluate, train_hashed, true_rows
+from tagwright.plans.training_state import TrainingState
 from tagwright.session import new_folder, spread
 from tagwright.sources import files, messages, payload, tables
 from tagwright.streaming.levels import LeveledTable
@@ -208,6 +209,21 @@ def class_term_weight(spark, sf_dir):
     return model.log_likelihoods().select("CatId", "term", rounded("weight", SCORE_DIGITS), rounded("log_likelihood"))
 
 
+@query
+def class_term_weight_added(spark, sf_dir):
+    """The weights of a model whose training posts came in three batches, the sums of the first two put together."""
+    training, _ = labels.split_by_key(given.posts(spark, sf_dir))
+    tags, vocab = tags_and_vocab(spark, sf_dir)
+    state = TrainingState(spark, new_folder(spark, "training"))
+    batch = F.pmod(F.xxhash64("Id"), F.lit(3))
+    for batch_id in range(3):
+        ids = tags.where(batch == batch_id)
+        state.add(training.where(batch == batch_id), ids, batch_id)
+    state.compact()
+    likelihoods = state.model(vocab).log_likelihoods()
+    return likelihoods.select("CatId", "term", rounded("weight", SCORE_DIGITS), rounded("log_likelihood"))
+
+
 @query
 def nb_scores(spark, sf_dir):
     model, held_out, *_ = fit_exact(spark, sf_dir)
