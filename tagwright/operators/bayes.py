@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagwright.fixed_values import BROADCAST_BYTES, SMOOTHING
+from tagwright.fixed_values import BROADCAST_BYTES, HASH_SLOTS, SMOOTHING
 from tagwright.functions.rows import filled
 from tagwright.functions.text import inverse_frequency, term_rows
 from tagwright.operators.labels import class_list, class_table, labelled_posts, with_class
-from tagwright.operators.terms import ROW_OVERHEAD, TermTable
+from tagwright.operators.terms import ROW_OVERHEAD, TermTable, slot_rows
 from tagwright.session import fits_broadcast, new_folder, temporary, written
 
 
@@ -27,8 +28,12 @@ def class_term_counts(posts: DataFrame, tags: DataFrame, vocab: DataFrame) -> Da
     ``seen`` lists the classes in which the term was seen with its count there; ``df`` counts rows. Counts are whole numbers,
     summed by (term, class) in the tasks before anything is shuffled. The null term counts rows.
     """
-    labelled = labelled_posts(filled(posts.select("Id", "Body")), tags, vocab)
-    rows = term_rows(labelled, "classes").withColumn("class", F.explode_outer("classes"))
+    return class_counts(labelled_posts(filled(posts.select("Id", "Body")), tags, vocab), term_rows)
+
+
+def class_counts(labelled: DataFrame, rows_of: Callable[..., DataFrame]) -> DataFrame:
+    """As ``class_term_counts``, from posts with their ``classes``; ``rows_of`` gives a post's ``(term, tf)`` rows."""
+    rows = rows_of(labelled, "classes").withColumn("class", F.explode_outer("classes"))
     tf = F.coalesce("tf", F.lit(1)) * F.col("class.n")
     by_class = rows.groupBy("term", F.col("class.CatId").alias("place")).agg(
         F.sum("class.n").alias("df"), F.sum(tf).alias("n")
@@ -58,6 +63,9 @@ class BayesModel:
 
     ``terms`` has ``(term, df, idf, seen)``, where ``seen`` lists the counts of the classes in which the term was
     seen. ``places`` has the numbers by which the lists name the classes.
+
+    With ``slots`` the terms are the numbers of so many hashed slots, as texts. Then every slot is a term of the model,
+    and one without a training row has a weight too, as in MLlib.
     """
 
     terms: TermTable
@@ -67,6 +75,11 @@ class BayesModel:
     class_rows: list[int]
     class_weights: list[float]
     smoothing: float
+    slots: int = 0
+
+    def rows_of(self, posts: DataFrame, *keep: str) -> DataFrame:
+        """One row ``(*keep, term, tf)`` for each distinct term of each post, and one with a null term per post."""
+        return slot_rows(posts, *keep, slots=self.slots) if self.slots else term_rows(posts, *keep)
 
     @property
     def log_priors(self) -> list[float]:
@@ -76,7 +89,7 @@ class BayesModel:
     @property
     def log_totals(self) -> list[float]:
         """What a class's log likelihoods are divided by, as a logarithm."""
-        unseen = self.terms.n_terms * self.smoothing
+        unseen = (self.slots or self.terms.n_terms) * self.smoothing
         return [math.log(weight + unseen) for weight in self.class_weights]
 
     def classes(self) -> DataFrame:
@@ -111,7 +124,7 @@ class BayesModel:
         Terms of ``in_place``, a bounded part of the table, are not looked up again. The others are looked up in the
         buckets that they fall into.
         """
-        tokens = term_rows(filled(posts.select("Body"), "Body")).where("term IS NOT NULL").select("term").distinct()
+        tokens = self.rows_of(filled(posts.select("Body"), "Body")).where("term IS NOT NULL").select("term").distinct()
         if in_place is not None:
             tokens = tokens.join(F.broadcast(in_place.select("term")), "term", "left_anti")
         found = self.terms.of_terms(written(tokens, "wanted-terms"))
@@ -132,8 +145,11 @@ class BayesModel:
         gain = lambda c: F.struct(c["place"].alias("place"), F.ln((F.col("idf") * c["n"] + lam) / lam).alias("g"))
         gains = F.transform("seen", gain).alias("gains")
         table = replace(self.terms, rows=self.terms.rows.select("term", "df", "idf", gains))
-        matched = table.attach(term_rows(filled(posts, "Body"), "Id"), max_broadcast)
-        x = (F.col("tf") * F.col("idf")).alias("x")
+        matched = table.attach(self.rows_of(filled(posts, "Body"), "Id"), max_broadcast)
+        idf = F.col("idf")
+        if self.slots:
+            idf = F.when(F.col("term").isNotNull(), F.coalesce(idf, F.lit(math.log(sum(self.class_rows) + 1))))
+        x = (F.col("tf") * idf).alias("x")
         rows = matched.select("Id", x, F.posexplode_outer("gains").alias("at", "c"))
         # the weight of a term counts once, whatever the number of its classes
         weight = F.sum(F.when(F.coalesce("at", F.lit(0)) == 0, F.col("x")))
@@ -201,6 +217,25 @@ def fit_bayes(posts: DataFrame, tags: DataFrame, vocab: DataFrame, smoothing: fl
     return model_of(table, classes, smoothing)
 
 
+def fit_slots(
+    posts: DataFrame, tags: DataFrame, vocab: DataFrame, slots: int = HASH_SLOTS, smoothing: float = SMOOTHING
+) -> BayesModel:
+    """As ``fit_bayes`` over hashed slots: what MLlib's hashed model gives, for any number of classes.
+
+    Only pairs of slot and class that were seen are kept, on the cluster, so nothing is dense in their product.
+    """
+    if smoothing <= 0:
+        raise ValueError("smoothing must be positive")
+    classes = class_list(vocab)
+    places = class_table([(at, tag) for at, (_, tag) in enumerate(classes)], posts.sparkSession)
+    kept = new_folder(posts.sparkSession, "class-slots")
+    with temporary(posts.sparkSession):
+        labelled = labelled_posts(filled(posts.select("Id", "Body")), tags, places)
+        rows_of = lambda df, *keep: slot_rows(df, *keep, slots=slots)
+        table = written(class_counts(labelled, rows_of), "class-slots", kept)
+    return replace(model_of(table, classes, smoothing), slots=slots)
+
+
 def model_of(table: DataFrame, classes: list[tuple[int, str]], smoothing: float = SMOOTHING) -> BayesModel:
     """The model of counts ``(term, df, seen)``, a written table, whose places are those of ``classes`` (class id, tag).
 

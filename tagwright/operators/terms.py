@@ -129,3 +129,12 @@ def vector_entries(df: DataFrame, vector: str, *keep: str) -> DataFrame:
     stored = df.select(*keep, F.unwrap_udt(vector).alias("v"))
     entries = F.arrays_zip(F.col("v.indices").alias("slot"), F.col("v.values").alias("value"))
     return stored.select(*keep, F.explode_outer(entries).alias("e")).where("e IS NOT NULL").select(*keep, "e.*")
+
+
+def slot_rows(posts: DataFrame, *keep: str, slots: int = HASH_SLOTS) -> DataFrame:
+    """``(*keep, term, tf)`` for each hashed slot of each post, the slot as text, and one row with a null term per post."""
+    stored = hashed_features(posts, slots).select(*keep, F.unwrap_udt("Features").alias("v"))
+    entry = lambda slot, value: F.struct(slot.cast("string").alias("term"), value.cast("bigint").alias("tf"))
+    entries = F.zip_with("v.indices", "v.values", entry)
+    post = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(None).cast("bigint").alias("tf")))
+    return stored.select(*keep, F.explode_outer(F.concat(entries, post)).alias("e")).select(*keep, "e.*")

@@ -265,4 +265,5 @@ FROM (SELECT DISTINCT user_id AS Id FROM events) r LEFT JOIN documents d ON d.do
     "lookup_newest_user": """SELECT doc_id AS Id, lang AS tag FROM documents
 WHERE doc_id = (SELECT user_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 1)""",
 }
+CHECKS["nb_predict_sparse"] = CHECKS["nb_confidence"]
 CHECKS["class_term_weight_added"] = CHECKS["class_term_weight"]

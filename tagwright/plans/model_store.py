@@ -11,7 +11,7 @@ from tagwright.operators.bayes import SEEN, BayesModel, term_bytes
 from tagwright.operators.terms import TermTable, term_bucket
 from tagwright.plans.training import HashedModel
 
-MANIFEST = "version INT, kind STRING, smoothing DOUBLE, buckets INT"
+MANIFEST = "version INT, kind STRING, smoothing DOUBLE, buckets INT, slots INT"
 BUCKET_BYTES = 8 << 20
 MOST_BUCKETS = 1 << 16
 TERMS = f"term STRING, df BIGINT, idf DOUBLE, seen {SEEN}, bucket INT"
@@ -50,14 +50,14 @@ class ModelStore:
         if isinstance(model, HashedModel):
             model.pipeline.write().overwrite().save(f"{folder}/stages")
             rows = [(cat_id, tag, None, None, None) for cat_id, tag in model.classes]
-            kind, smoothing, buckets = "hashed", None, None
+            kind, smoothing, buckets, slots = "hashed", None, None, None
         else:
             buckets = min(MOST_BUCKETS, 1 + model.terms.n_bytes // self.bucket_bytes)
             self._write_terms(model.terms.rows, f"{folder}/terms", buckets)
             rows = list(zip(model.class_ids, model.tags, model.places, model.class_rows, model.class_weights))
-            kind, smoothing = "exact", model.smoothing
+            kind, smoothing, slots = "exact", model.smoothing, model.slots
         self.spark.createDataFrame(rows, CLASSES).coalesce(1).write.mode("overwrite").parquet(f"{folder}/classes")
-        entry = self.spark.createDataFrame([(version, kind, smoothing, buckets)], MANIFEST)
+        entry = self.spark.createDataFrame([(version, kind, smoothing, buckets, slots)], MANIFEST)
         entry.coalesce(1).write.mode("append").json(f"{self.path}/manifest")
         return version
 
@@ -88,4 +88,5 @@ class ModelStore:
             class_rows=[row["n_rows"] for row in classes],
             class_weights=[row["weight"] for row in classes],
             smoothing=entry["smoothing"],
+            slots=entry["slots"],
         )

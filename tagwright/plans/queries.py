@@ -255,6 +255,14 @@ def nb_predict(spark, sf_dir):
     return model.predict(held_out).select("Id", "tags")
 
 
+@query
+def nb_predict_sparse(spark, sf_dir):
+    """The tags of the hashed model, fitted over the seen pairs of slot and class only."""
+    training, held_out = labels.split_by_key(given.posts(spark, sf_dir))
+    model = bayes.fit_slots(training, *tags_and_vocab(spark, sf_dir))
+    return model.predict(held_out).select("Id", "tags", rounded("confidence"))
+
+
 @query
 def nb_confidence(spark, sf_dir):
     model, held_out, *_ = fit_hashed(spark, sf_dir)

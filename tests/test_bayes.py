@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tagwright.operators import bayes, labels, terms
 from tagwright.plans import relations
 from tagwright.plans.model_store import ModelStore
+from tagwright.plans.training import train_hashed
 from tests.conftest import MIDDLE
 
 POSTS = [
@@ -195,3 +196,49 @@ def test_terms_in_place_are_not_looked_up(spark, tmp_path, max_bytes):
     assert (in_place.count() == 0) == (max_bytes == 0) and in_place.count() <= model.terms.n_terms
     part = model.only(new, in_place)
     assert sorted(part.score_rows(new).collect()) == sorted(fitted(spark).score_rows(new).collect())
+
+
+def test_slots_agree_with_mllib(spark, tmp_path):
+    """The model over hashed slots gives every held-out document the class and probabilities of MLlib's."""
+    training, held = labels.split_by_key(relations.posts(spark, MIDDLE))
+    tags, vocab = relations.tags(spark, MIDDLE), relations.vocab(spark, MIDDLE)
+    store = ModelStore(spark, str(tmp_path / "models"))
+    sparse = store.load(store.publish(bayes.fit_slots(training, tags, vocab, slots=500)))
+    found = {row["Id"]: (row["tags"], row["confidence"]) for row in sparse.predict(held).collect()}
+    dense = train_hashed(training, tags, vocab, slots=500).predict(held, confidence=True)
+    expected = {row["Id"]: (row["tags"], row["confidence"]) for row in dense.collect()}
+    assert found.keys() == expected.keys()
+    for post, (tag, share) in expected.items():
+        assert found[post][0] == tag and math.isclose(found[post][1], share, rel_tol=1e-6)
+
+
+def test_slots_of_many_classes(spark):
+    """12,000 classes over 20,000 slots, a product that a dense model refuses: fitted and scored by the plain formula."""
+    n, slots = 12_000, 20_000
+    posts = spark.range(n).select(
+        F.col("id").cast("string").alias("Id"), F.concat(F.lit("w"), F.col("id"), F.lit(" same")).alias("Body")
+    )
+    tags = spark.range(n).select(F.col("id").cast("string").alias("Id"), F.concat(F.lit("t"), F.col("id")).alias("Tag"))
+    vocab = labels.class_table([(at, f"t{at}") for at in range(n)], spark)
+    with pytest.raises(ValueError, match="12000 classes and 20000 slots"):
+        train_hashed(posts, tags, vocab, slots=slots)
+    model = bayes.fit_slots(posts, tags, vocab, slots=slots)
+    names = [f"w{at}" for at in range(0, n, 599)]
+    hashed = terms.hashed_features(frame(spark, [(f"w{at}", f"w{at}") for at in range(n)] + [("same", "same"), ("x", "zzz")]), slots)
+    slot = {row["Id"]: int(row["slot"]) for row in terms.vector_entries(hashed, "Features", "Id").collect()}
+    own = [Counter([slot[f"w{at}"], slot["same"]]) for at in range(n)]
+    df = Counter(one for counted in own for one in counted)
+    idf = lambda one: math.log((n + 1) / (df[one] + 1))
+    weights = [{one: tf * idf(one) for one, tf in counted.items()} for counted in own]
+    totals = [math.log(sum(weight.values()) + slots) for weight in weights]
+    new = frame(spark, [(name, f"{name} zzz") for name in names])
+    found = {row["Id"]: row["tags"] for row in model.predict(new).collect()}
+    for name in names:
+        asked = Counter([slot[name], slot["x"]])
+        scores = [
+            sum(tf * idf(one) * (math.log(weight.get(one, 0.0) + 1) - total) for one, tf in asked.items())
+            for weight, total in zip(weights, totals)
+        ]
+        best = max(scores)
+        assert scores[int(found[name][1:])] == pytest.approx(best, abs=1e-9)
+    assert found.keys() == set(names)
