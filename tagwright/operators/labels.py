@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tagwright.fixed_values import BROADCAST_BYTES, TRAIN_SHARE
-from tagwright.functions.keys import in_training
+from tagwright.functions.keys import in_training, key_part
 from tagwright.functions.rows import filled
 from tagwright.session import fits_broadcast, written
 
@@ -123,6 +123,12 @@ def split_by_key(df: DataFrame, key: str = "Id", share: float = TRAIN_SHARE) ->
     return df.where(chosen), df.where(~chosen)
 
 
+def split_parts(df: DataFrame, shares: list[float], key: str = "Id") -> list[DataFrame]:
+    """The rows of each of ``shares`` and the rest, one after the other; all rows of a key fall into one part."""
+    parted = df.withColumn("_part", key_part(F.col(key), shares))
+    return [parted.where(F.col("_part") == at).drop("_part") for at in range(len(shares) + 1)]
+
+
 def tag_sets(tags: DataFrame) -> DataFrame:
     """``(Id, tags)``: the distinct tags of each post in order."""
     return filled(tags).groupBy("Id").agg(F.sort_array(F.collect_set("Tag")).alias("tags"))

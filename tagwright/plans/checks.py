@@ -6,6 +6,8 @@ while the queries rearrange it.
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from tagwright.fixed_values import BASELINE_ACCURACY, HASH_SLOTS
 
 SPACE = r"[ \t\n\x0B\f\r]"
@@ -189,6 +191,10 @@ WHERE d.text IS NOT NULL""",
 SELECT t.Tag, t.Id, CAST(v.catId AS DOUBLE) AS CatId FROM tags t JOIN vocab v USING (Tag)""",
     "tag_sets": f"WITH {TAGS} SELECT Id, string_agg(DISTINCT Tag, ',' ORDER BY Tag) AS tags FROM tags GROUP BY Id",
     "split_by_key": f"SELECT doc_id AS Id, {IN_TRAINING.format(id='doc_id')} AS in_training FROM documents",
+    "split_parts": f"""SELECT doc_id AS Id,
+  CASE WHEN place < {int(7.5 * 2**56)} THEN 0 WHEN place < {round(Fraction("7.9") * 2**56)} THEN 1 ELSE 2 END AS part
+FROM (SELECT doc_id, CAST(CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS UBIGINT) % 10 AS BIGINT) * {2**56}
+  + CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 9, 14) AS BIGINT) AS place FROM documents)""",
     "preview_posts": "SELECT doc_id AS Id, text AS Body FROM documents ORDER BY doc_id LIMIT 4",
     "tokenize": f"""WITH {WORDS}
 SELECT Id, len(words) AS n_words, coalesce(array_to_string(words, ' '), '') AS words FROM words""",
@@ -265,5 +271,7 @@ FROM (SELECT DISTINCT user_id AS Id FROM events) r LEFT JOIN documents d ON d.do
     "lookup_newest_user": """SELECT doc_id AS Id, lang AS tag FROM documents
 WHERE doc_id = (SELECT user_id FROM events ORDER BY ts DESC, event_id DESC LIMIT 1)""",
 }
+CHECKS["score_stream_recovered"] = CHECKS["score_stream_once"] = ALL_SLOTTED
+CHECKS["upsert_recovered"] = CHECKS["upsert_stream"]
 CHECKS["nb_predict_sparse"] = CHECKS["nb_confidence"]
 CHECKS["class_term_weight_added"] = CHECKS["class_term_weight"]

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from tagwright import schemas
 from tagwright.fixed_values import BASELINE_ACCURACY
-from tagwright.functions.keys import in_training
+from tagwright.functions.keys import in_training, key_part
 from tagwright.operators import bayes, evaluation, keyed, labels, terms
 from tagwright.plans import relations as given
 from tagwright.plans.model_store import ModelStore
@@ -18,7 +20,15 @@ from tagwright.plans.training_state import TrainingState
 from tagwright.session import new_folder, spread
 from tagwright.sources import files, messages, payload, tables
 from tagwright.streaming.levels import LeveledTable
-from tagwright.streaming.scoring import ModelFeed, batch_folders, reject_folders, score_batches, score_messages, trigger
+from tagwright.streaming.scoring import (
+    ModelFeed,
+    appended,
+    batch_folders,
+    reject_folders,
+    score_batches,
+    score_messages,
+    trigger,
+)
 from tagwright.streaming.upsert import KeyedTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,6 +140,13 @@ def split_by_key(spark, sf_dir):
     return ids.select("Id", in_training(F.col("Id")).alias("in_training"))
 
 
+@query
+def split_parts(spark, sf_dir):
+    """Three parts at once, of shares that are no tenths."""
+    ids = given.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("Id"))
+    return ids.select("Id", key_part(F.col("Id"), [0.75, 0.04]).alias("part"))
+
+
 @query
 def preview_posts(spark, sf_dir):
     """The first four posts by id."""
@@ -392,6 +409,74 @@ def score_stream(spark, sf_dir):
     return stream_tags(spark, fit_exact(spark, sf_dir)[0], given.posts(spark, sf_dir))
 
 
+class Stopped(RuntimeError):
+    """The fault of the recovery queries."""
+
+
+def stopping_once(write: Callable[[DataFrame, int], None], at: int = 0) -> Callable[[DataFrame, int], None]:
+    """``write``, but the first time that batch ``at`` is written it stops then, before the stream commits the batch."""
+    stopped = []
+
+    def write_and_stop(rows: DataFrame, batch_id: int) -> None:
+        write(rows, batch_id)
+        if batch_id == at and not stopped:
+            stopped.append(batch_id)
+            raise Stopped("between the write and the commit")
+
+    return write_and_stop
+
+
+def run_and_recover(spark, start: Callable[[], DataStreamWriter]) -> None:
+    """Run a stream to its end, starting it again from its checkpoint after a fault."""
+    checkpoint = new_folder(spark, "stream")
+    try:
+        run_to_end(spark, start(), checkpoint)
+    except StreamingQueryException as fault:
+        if Stopped.__name__ not in str(fault):
+            raise
+        run_to_end(spark, start(), checkpoint)
+
+
+def recovered_tags(spark, sf_dir, write: Callable[[DataFrame, int], None]) -> None:
+    """All posts tagged by a stream of several batches that stops once after a write and is started again."""
+    model, *_ = fit_hashed(spark, sf_dir)
+    path = json_lines(spark, given.posts(spark, sf_dir))
+    options = {"path": path, "maxFilesPerTrigger": str(spark.sparkContext.defaultParallelism)}
+    stopping = stopping_once(write)
+    posts = lambda: payload.decode_posts(messages.post_stream(spark, "text", options))
+    run_and_recover(spark, lambda: score_batches(posts(), lambda: model, stopping))
+
+
+@query
+def score_stream_recovered(spark, sf_dir):
+    """A folder per batch: the batch that ran twice is written over."""
+    sink = new_folder(spark, "tagged")
+    recovered_tags(spark, sf_dir, batch_folders(sink))
+    return messages.read_tagged(spark, sink).select(F.col("Id").cast("bigint").alias("Id"), "tags")
+
+
+@query
+def score_stream_once(spark, sf_dir):
+    """A sink that only appends: the batch that ran twice is there twice, and read once by the identities of its messages."""
+    sink = new_folder(spark, "tagged")
+    recovered_tags(spark, sf_dir, appended(sink))
+    return messages.read_once(spark.read.text(sink)).select(F.col("Id").cast("bigint").alias("Id"), "tags")
+
+
+@query
+def upsert_recovered(spark, sf_dir):
+    """A keyed table in levels, fed by a stream that stops once after it has written a batch and is started again."""
+    updates = given.event_updates(spark, sf_dir)
+    path = new_folder(spark, "updates")
+    spread(updates, "user_id").write.parquet(path)
+    table = LeveledTable(spark, new_folder(spark, "levels"), updates.schema, "user_id", ["ts", "event_id"], buckets=8)
+    stopping = stopping_once(table.write_batch)
+    reader = spark.readStream.schema(updates.schema).option("maxFilesPerTrigger", spark.sparkContext.defaultParallelism)
+    run_and_recover(spark, lambda: reader.parquet(path).writeStream.foreachBatch(stopping))
+    table.compact()
+    return table.read()
+
+
 @query
 def score_stream_hashed(spark, sf_dir):
     return stream_tags(spark, fit_hashed(spark, sf_dir)[0], given.posts(spark, sf_dir))

@@ -9,6 +9,7 @@ def text_fields(*names: str) -> StructType:
 
 POST = text_fields("Id", "Title", "Body", "OwnerUserId", "CreationDate", "ClosedDate", "Score")
 TAGGED_POST = text_fields(*POST.names, "tags")
+IDENTIFIED_POST = text_fields(*TAGGED_POST.names, "message")
 STORED_POST = text_fields(*POST.names, "tag")
 TAG = text_fields("Id", "Tag")
 LABEL = text_fields("Tag")

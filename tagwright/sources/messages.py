@@ -41,16 +41,52 @@ def read_tagged(spark: SparkSession, path: str) -> DataFrame:
     return decode_posts(spark.read.text(path), schemas.TAGGED_POST)
 
 
-def write_tagged(df: DataFrame, sink: str, options: dict[str, str]) -> None:
+def with_identity(df: DataFrame, batch_id: int) -> DataFrame:
+    """``df`` with the ``message`` that each row is: its batch, its place there and a hash of its content.
+
+    A batch that runs again reads the same rows in the same order, so its messages get the same identities. Should a source
+    break that, the hash differs and a message comes twice rather than being taken for another.
+    """
+    place = F.monotonically_increasing_id().cast("string")
+    content = F.hex(F.xxhash64(F.to_json(F.struct(*df.columns))))
+    return df.withColumn("message", F.concat_ws("-", F.lit(str(batch_id)), place, content))
+
+
+def write_tagged(
+    df: DataFrame, sink: str, options: dict[str, str], batch_id: int | None = None, mode: str = "overwrite"
+) -> None:
     """Write rows as JSON messages from the executors; the post id is the message key in Kafka.
 
-    For files, ``options`` has a ``path``, which is overwritten, so a repeated batch leaves one copy.
+    For files, ``options`` has a ``path``, which is overwritten, so a repeated batch leaves one copy; with the
+    ``mode`` append they keep all that was ever written, as a topic does. With a ``batch_id`` a message carries its
+    identity, by which ``read_once`` and ``stream_once`` tell a repeated batch from new messages.
     """
-    messages = encode(df)
+    messages = encode(df if batch_id is None else with_identity(df, batch_id))
     if sink == "kafka":
         messages.write.format("kafka").options(**{"topic": TAGGED_TOPIC, **options}).save()
     else:
-        messages.select("value").write.mode("overwrite").format(sink).options(**options).save()
+        messages.select("value").write.mode(mode).format(sink).options(**options).save()
+
+
+def read_once(messages: DataFrame) -> DataFrame:
+    """The tagged posts among ``messages`` (value), each identity once; messages without one all stay.
+
+    Copies are equal, so it does not matter which one is taken.
+    """
+    posts = decode_posts(messages, schemas.IDENTIFIED_POST)
+    named = posts.where("message IS NOT NULL").dropDuplicates(["message"])
+    return named.unionByName(posts.where("message IS NULL")).drop("message")
+
+
+def stream_once(messages: DataFrame, time: str, within: str) -> DataFrame:
+    """As ``read_once`` on a stream of ``(value, time)``, if a batch is repeated ``within`` an interval of ``time``.
+
+    Identities are remembered for that interval only, so the state does not grow with the topic.
+    """
+    posts = decode_posts(messages, schemas.IDENTIFIED_POST).withWatermark(time, within)
+    # without an identity a message is a copy of nothing
+    known = F.coalesce("message", F.expr("uuid()"))
+    return posts.withColumn("message", known).dropDuplicatesWithinWatermark(["message"]).drop("message")
 
 
 def tagged_writer(df: DataFrame, sink: str, options: dict[str, str]) -> DataStreamWriter:

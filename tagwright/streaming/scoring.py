@@ -133,3 +133,12 @@ def batch_folders(path: str, sink: str = "text") -> Callable[[DataFrame, int], N
         write_tagged(tagged, sink, {"path": f"{path}/batch_id={batch_id}"})
 
     return write
+
+
+def appended(path: str, sink: str = "text") -> Callable[[DataFrame, int], None]:
+    """Append each batch to the messages in ``path``, as a topic does; a repeated batch is told by its messages' identities."""
+
+    def write(tagged: DataFrame, batch_id: int) -> None:
+        write_tagged(tagged, sink, {"path": path}, batch_id, mode="append")
+
+    return write

@@ -1,8 +1,9 @@
+import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from tagwright import session
-from tagwright.functions.keys import in_training
+from tagwright.functions.keys import in_training, key_bucket
 from tagwright.operators import evaluation, labels
 
 TAGS = [("1", "x"), ("1", "y"), ("2", "x"), ("3", "z"), ("3", None), (None, "x"), ("4", "z"), ("5", "rare")]
@@ -87,3 +88,27 @@ def test_accuracy_equals_the_evaluator(spark):
 def test_accuracy_any_accepts_each_true_tag(spark):
     predicted = spark.createDataFrame([("1", "y"), ("2", "y"), ("8", "x")], "Id STRING, tags STRING")
     assert evaluation.accuracy_any(predicted, tags(spark)).first() == (2, 0.5)
+
+
+@pytest.mark.parametrize("share", [0.0, 0.04, 0.333, 0.7, 0.75, 1.0])
+def test_any_share_is_met(spark, share):
+    """Within four standard deviations of the share, and equal to the old buckets where they are enough."""
+    n = 20000
+    ids = spark.range(n).select(F.col("id").alias("Id"))
+    found = ids.where(in_training(F.col("Id"), share)).count()
+    assert abs(found - n * share) <= 4 * (n * share * (1 - share)) ** 0.5
+    if share == 0.7:
+        assert ids.where(in_training(F.col("Id"), share) != (key_bucket(F.col("Id")) < 7)).count() == 0
+
+
+def test_parts_cover_all_keys_once(spark):
+    rows = spark.range(5000).select((F.col("id") % 1000).alias("Id"), F.col("id").alias("n"))
+    parts = labels.split_parts(rows, [0.75, 0.04])
+    ids = [{row["Id"] for row in part.collect()} for part in parts]
+    assert sum(part.count() for part in parts) == 5000 and [part.columns for part in parts] == [["Id", "n"]] * 3
+    assert sum(map(len, ids)) == len(set.union(*ids)) == 1000
+    assert ids[0] == {row["Id"] for row in rows.where(in_training(F.col("Id"), 0.75)).collect()}
+    assert 20 <= len(ids[1]) <= 65
+    for bad in ([-0.1], [0.8, 0.3]):
+        with pytest.raises(ValueError):
+            labels.split_parts(rows, bad)

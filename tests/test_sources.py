@@ -2,6 +2,7 @@ import datetime
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
 from tagwright import schemas
@@ -104,3 +105,61 @@ def test_table_is_reset_on_request_only(spark, tmp_path):
     assert spark.table(make(False)).count() == 1
     assert spark.table(make(True)).count() == 0
     assert spark.table(name).columns == schemas.STORED_POST.names
+
+
+@pytest.mark.parametrize("n_files", [1, 3])
+def test_label_lines_are_counted_across_blocks(spark, tmp_path, n_files):
+    """A file of many blocks, read by several tasks: the line numbers are those of the file."""
+    lines = [f"tag {at % 700}" if at % 5 else f'"a ""quoted"" {at}"' for at in range(3000)]
+    folder = tmp_path / "labels"
+    folder.mkdir()
+    step = len(lines) // n_files
+    for at in range(n_files):
+        write(folder / f"part-{at}.csv", "\n".join(lines[at * step : (at + 1) * step]) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        vocab = files.read_label_vocab(spark, str(folder))
+        found = {row["Tag"]: row["catId"] for row in vocab.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found == {line.strip('"').replace('""', '"'): at for at, line in enumerate(lines)}
+
+
+def test_label_lines_are_not_collected(spark, tmp_path, monkeypatch):
+    """The driver sees the size of the vocabulary and none of its lines."""
+    path = write(tmp_path / "labels.csv", "".join(f"tag {at}\n" for at in range(50)))
+    plain, sizes = DataFrame.collect, []
+    monkeypatch.setattr(DataFrame, "collect", lambda self: sizes.append(found := plain(self)) or found)
+    vocab = files.read_label_vocab(spark, path)
+    assert all(len(rows) <= 1 for rows in sizes)
+    assert vocab.count() == 50
+
+
+def test_a_batch_written_twice_is_read_once(spark, tmp_path):
+    rows = [(str(n % 7), f"text {n % 5}", "java") for n in range(40)]  # some posts are equal and must all stay
+    frame = spark.createDataFrame(rows, "Id STRING, Body STRING, tags STRING").coalesce(2)
+    path = str(tmp_path / "topic")
+    for batch_id in (0, 1, 1):
+        messages.write_tagged(frame, "text", {"path": path}, batch_id, mode="append")
+    messages.write_tagged(frame.limit(2), "text", {"path": path}, mode="append")  # without identities
+    topic = spark.read.text(path)
+    assert topic.count() == 3 * 40 + 2
+    once = messages.read_once(topic)
+    assert once.columns == schemas.TAGGED_POST.names and once.count() == 2 * 40 + 2
+    expected = sorted(rows * 2 + [tuple(row) for row in frame.limit(2).collect()])
+    assert sorted(map(tuple, once.select("Id", "Body", "tags").collect())) == expected
+
+
+def test_a_stream_takes_each_message_once(spark, tmp_path):
+    frame = spark.createDataFrame([(str(n), "b", "java") for n in range(9)], "Id STRING, Body STRING, tags STRING")
+    path, sink = str(tmp_path / "topic"), str(tmp_path / "out")
+    for batch_id in (0, 0):
+        messages.write_tagged(frame, "text", {"path": path}, batch_id, mode="append")
+    messages.write_tagged(frame, "text", {"path": path}, mode="append")
+    source = spark.readStream.schema("value STRING").option("maxFilesPerTrigger", "1").text(path)
+    timed = source.select("value", F.col("_metadata.file_modification_time").alias("time"))
+    writer = messages.stream_once(timed, "time", "1 hour").writeStream.format("parquet").option("path", sink)
+    writer.option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination(120)
+    assert spark.read.parquet(sink).count() == 2 * 9
