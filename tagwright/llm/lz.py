@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tagwright.llm.common import ship, texts
+from tagwright.session import written
 
 SIGNATURE = 128  # least hashes kept of a phrase set
 BASE = 0x5851F42D4C957F2D  # odd, so it has an inverse modulo 2**64
 INVERSE = pow(BASE, -1, 1 << 64)
-ROWS_PER_PART = 8192
-BYTES_PER_PART = 1 << 25
+RANGE_BYTES = 1 << 28  # of text, at most on average
+RANGES_PER_CORE = 4  # at least
 
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
@@ -38,41 +41,80 @@ class Parse:
     ``ends`` are the ends of the phrases. What is left at the end of a text is a phrase already and adds nothing.
     """
 
-    __slots__ = ("known", "start", "ends")
-
-    def __init__(self, known: set[str] | None = None, start: int = 0, ends: list[int] | None = None):
-        self.known = known if known is not None else set()
-        self.start = start
-        self.ends = ends if ends is not None else []
-
-    def copy(self) -> "Parse":
-        return Parse(set(self.known), self.start, list(self.ends))
-
-    def run(self, text: str, begin: int, stop: int) -> "Parse":
-        """Read on from ``begin`` to ``stop``."""
-        known, start, ends = self.known, self.start, self.ends
-        add, note = known.add, ends.append
-        for end in range(begin + 1, stop + 1):
+    __slots__ = ("known", "start", "ends", "usual")
+
+    def __init__(self) -> None:
+        self.known: set[str] = set()
+        self.start = 0
+        self.ends: list[int] = []
+        self.usual = 32  # eight times the usual length of a phrase
+
+    def run(self, text: str, stop: int) -> "Parse":
+        """Read on to ``stop``.
+
+        All shorter beginnings of a phrase are in the dictionary, so its length is found from the usual one, up or down.
+        """
+        known, start, usual = self.known, self.start, self.usual
+        add, note = known.add, self.ends.append
+        while True:
+            end = start + (usual >> 3)
+            if end > stop:
+                break
+            piece = text[start:end]
+            if piece in known:
+                end += 1
+                while end <= stop:
+                    piece = text[start:end]
+                    if piece not in known:
+                        break
+                    end += 1
+                else:
+                    break  # what is left is a phrase
+            else:
+                end -= 1
+                while end > start:
+                    shorter = text[start:end]
+                    if shorter in known:
+                        break
+                    piece = shorter
+                    end -= 1
+                end += 1
+            add(piece)
+            note(end)
+            usual += end - start - (usual >> 3)  # stays at 8 or more
+            start = end
+        for end in range(start + 1, stop + 1):
             piece = text[start:end]
             if piece not in known:
                 add(piece)
                 note(end)
                 start = end
-        self.start = start
+        self.start, self.usual = start, usual
         return self
 
+    def handed_on(self, copied: bool = False) -> "Parse":
+        """A parse that reads on from here with this dictionary, or a copy of it; the phrases so far stay here."""
+        other = Parse()
+        other.known, other.start, other.usual = self.known.copy() if copied else self.known, self.start, self.usual
+        return other
 
-def phrase_hashes(text: str, ends: list[int]) -> np.ndarray:
-    """A hash of every phrase, from the prefix sums of a polynomial."""
+
+def phrase_hashes(text: str, begin: int, ends: list[int]) -> np.ndarray:
+    """A hash of every phrase from ``begin`` on, from the prefix sums of a polynomial."""
     if not ends:
         return np.empty(0, np.uint64)
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+    part = text[begin : ends[-1]]
+    points = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
     powers, inverses = _powers_up_to(len(points))
-    stop = np.array(ends)
-    start = np.concatenate([[0], stop[:-1]])
+    edges = np.empty(len(ends) + 1, np.int64)
+    edges[0] = 0
+    edges[1:] = array("q", ends)
+    edges[1:] -= begin
     with np.errstate(over="ignore"):
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(points * powers[: len(points)], dtype=np.uint64)])
-        x = (sums[stop] - sums[start]) * inverses[start] + (stop - start).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        sums = np.zeros(len(points) + 1, np.uint64)
+        np.cumsum((points + np.uint64(1)) * powers[: len(points)], out=sums[1:])
+        sums = sums[edges]
+        x = (sums[1:] - sums[:-1]) * inverses[edges[:-1]] + np.diff(edges).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         return x ^ (x >> np.uint64(31))
@@ -82,7 +124,10 @@ def signature(hashes: np.ndarray, size: int = SIGNATURE) -> np.ndarray:
     """The least hashes in order, of which the upper 32 bits are kept."""
     if len(hashes) > 4 * size:
         hashes = np.partition(hashes, 2 * size)[: 2 * size]
-    return (np.unique(hashes)[:size] >> np.uint64(32)).astype(np.uint32)
+    ordered = np.sort(hashes)
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return (ordered[new][:size] >> np.uint64(32)).astype(np.uint32)
 
 
 def as_text(signed: np.ndarray) -> str:
@@ -98,41 +143,35 @@ def likeness(one: np.ndarray, other: np.ndarray, size: int = SIGNATURE) -> float
     """Share of common phrases, estimated from two signatures; 1 for two empty texts, 0 if one is empty."""
     if not len(one) or not len(other):
         return float(len(one) == len(other))
-    least = np.union1d(one, other)[:size]
-    both = np.isin(least, one, assume_unique=True) & np.isin(least, other)
-    return float(both.mean())
+    # each has a hash once, so the common ones come twice
+    ordered = np.sort(np.concatenate([one, other]))
+    again = ordered[1:] == ordered[:-1]
+    firsts = np.flatnonzero(np.concatenate([[True], ~again]))[:size]
+    return float(np.concatenate([again, [False]])[firsts].mean())
 
 
 def fingerprint(text: str) -> str:
-    parse = Parse().run(text, 0, len(text))
-    return as_text(signature(phrase_hashes(text, parse.ends)))
-
-
-def with_fingerprint(docs: DataFrame, text: str = "text", name: str = "fingerprint") -> DataFrame:
-    """``docs`` with the fingerprint of every text; equal texts have equal ones, a null text that of an empty one."""
-    ship(docs.sparkSession)
-
-    @F.pandas_udf("string")
-    def of(content):
-        return content.fillna("").map(fingerprint)
-
-    return docs.withColumn(name, of(F.col(text)))
+    parse = Parse().run(text, len(text))
+    return as_text(signature(phrase_hashes(text, 0, parse.ends)))
 
 
 class _Seen:
-    """What is kept of a document until its successor comes."""
+    """What is kept of a document until its successor comes: its signature, and parse and hashes of its first half."""
 
     def __init__(self, key, text: str):
         self.key, self.text, self.n = key, text, len(text)
         self.cut = self.n - self.n // 2
-        self.half = Parse().run(text, 0, self.cut)
-        whole = self.half.copy().run(text, self.cut, self.n)
-        self.signed = signature(phrase_hashes(text, whole.ends))
+        self.half = Parse().run(text, self.cut)
+        self.hashes = phrase_hashes(text, 0, self.half.ends)
+        self.signed = self._signed(self.half.handed_on(copied=True).run(text, self.n), text)
+
+    def _signed(self, rest: Parse, text: str) -> np.ndarray:
+        """The signature of a text whose first half this is, after ``rest`` has read on."""
+        return signature(np.concatenate([self.hashes, phrase_hashes(text, self.half.start, rest.ends)]))
 
     def row(self, after: "_Seen") -> tuple:
         edited = self.text[: self.cut] + after.text[: self.n - self.cut]
-        parse = self.half.run(edited, self.cut, len(edited))
-        signed = signature(phrase_hashes(edited, parse.ends))
+        signed = self._signed(self.half.handed_on().run(edited, len(edited)), edited)
         return (
             self.key,
             self.n,
@@ -166,8 +205,9 @@ def _part_of(key: str, bounds: list[int]) -> Column:
     if not bounds:
         return F.lit(0)
     steps = [1 << bit for bit in reversed(range(len(bounds).bit_length()))]
-    array = F.array(*[F.lit(bound) for bound in bounds])
-    reached = lambda at, step: (at + step <= len(bounds)) & (F.get(array, at + step - 1) <= F.col(key))
+    # one text, which Spark reads once, however many bounds there are
+    array_of = F.split(F.lit(",".join(map(str, bounds))), ",").cast("array<bigint>")
+    reached = lambda at, step: (at + step <= len(bounds)) & (F.get(array_of, at + step - 1) <= F.col(key))
     return F.aggregate(
         F.array(*map(F.lit, steps)), F.lit(0), lambda at, step: F.when(reached(at, step), at + step).otherwise(at)
     )
@@ -178,29 +218,35 @@ def successor_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "te
 
     The next document is that with the next greater key, after the last the first; null keys come first and rows
     that tie are ordered by a hash of the text. The last half of a text is replaced by as many characters from the
-    start of the next one. Both parses share the first half.
+    start of the next one. Both parses share the first half. A text of any length is parsed whole.
 
-    Texts are shuffled once, to ranges of keys. The first document of each range is also sent to the range
-    before. An empty table gives no rows.
+    Texts are shuffled once, to ranges of keys, of which each is a task and streams. The first document of each range
+    is also sent to the range before: the driver keeps a bound, one number, for each range, and the table of
+    first documents has a row for each. An empty table gives no rows.
     """
     spark = docs.sparkSession
     ship(spark)
     source = texts(docs, key, text=text).select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     rows, size = source.agg(F.count(F.lit(1)), F.sum(F.octet_length("text").cast("long"))).first()
-    count = max(1, -(-rows // ROWS_PER_PART), -(-(size or 0) // BYTES_PER_PART))
+    if not rows:
+        return spark.createDataFrame([], ROW)
+    count = max(RANGES_PER_CORE * spark.sparkContext.defaultParallelism, -(-size // RANGE_BYTES))
     shares = [part / count for part in range(1, count)]
-    bounds: list[int] = []
-    if shares:
-        found = source.agg(F.percentile_approx("key", shares, max(10_000, 20 * count))).first()[0] or []
-        bounds = sorted(set(found))
+    found = source.agg(F.percentile_approx("key", shares, max(10_000, 4 * count))).first()[0] or []
+    bounds = sorted(set(found))
     dealt = source.withColumn("part", _part_of("key", bounds)).withColumn("tie", F.xxhash64("text"))
-    # one row per range: its first document
+    # one row per range: its first document, and the filled range before, of the first range the last
     heads = dealt.groupBy("part").agg(F.min(F.struct(F.col("key").isNotNull(), "key", "tie")).alias("first"))
-    heads = heads.select("part", "first.key", "first.tie").orderBy("part").collect()
-    if not heads:
-        return spark.createDataFrame([], ROW)
-    before = [(one["key"], one["tie"], heads[at - 1]["part"]) for at, one in enumerate(heads)]
-    firsts = spark.createDataFrame(before, "head_key long, head_tie long, head_part int")
+    in_turn = Window.orderBy("part")
+    last = F.last("part").over(in_turn.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    firsts = written(
+        heads.select(
+            F.col("first.key").alias("head_key"),
+            F.col("first.tie").alias("head_tie"),
+            F.coalesce(F.lag("part").over(in_turn), last).alias("head_part"),
+        ),
+        "range-heads",
+    )
     marked = dealt.join(
         F.broadcast(firsts), F.col("key").eqNullSafe(F.col("head_key")) & (F.col("tie") == F.col("head_tie")), "left"
     )
@@ -209,22 +255,22 @@ def successor_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "te
     sent = marked.select(
         "key", "text", "tie", F.explode(F.when(F.col("head_part").isNull(), F.array(own)).otherwise(F.array(own, other))).alias("to")
     ).select("to.part", "to.follows", "key", "tie", "text")
-    lined = sent.repartition(len(bounds) + 1, "part").sortWithinPartitions("part", "follows", "key", "tie")
+    lined = sent.repartitionById(len(bounds) + 1, F.col("part")).sortWithinPartitions("part", "follows", "key", "tie")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: _Seen | None = None
         last_part = None
         for batch in batches:
             done = []
-            for part, follows, key_, content in zip(*[column.to_pylist() for column in batch.columns]):
+            for part, follows, key_, content in zip(*batch.columns):
                 if part != last_part:
                     last, last_part = None, part
-                if follows and last is None:
+                if follows.as_py() and last is None:
                     continue  # a repeat of the first document of the next range
-                seen = _Seen(key_, content)
+                seen = _Seen(key_.as_py(), content.as_py())
                 if last is not None:
                     done.append(last.row(seen))
-                last = None if follows else seen
+                last = None if follows.as_py() else seen
             if done:
                 yield pa.RecordBatch.from_pylist([dict(zip(ROW_ARROW.names, one)) for one in done], schema=ROW_ARROW)
 
