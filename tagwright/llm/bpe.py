@@ -11,6 +11,7 @@ from pathlib import Path
 from tokenizers import Tokenizer
 
 HELD_WORDS = 1_000_000  # words whose ids a Python worker keeps at a time
+WORDS_AT_ONCE = 4096
 # The characters that the pattern of the tokenizers counts as white space.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 LATIN = "A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\u024f"
@@ -60,8 +61,12 @@ class WordTable:
         return found
 
     def encode_words(self, words: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [array("I", one.ids).tobytes() for one in encoded]
+        """The ids of each word. Few are encoded at a time, as what the library gives takes far more room than the ids."""
+        found = []
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            encoded = self.tokenizer.encode_batch_fast(words[at : at + WORDS_AT_ONCE], add_special_tokens=False)
+            found += [array("I", one.ids).tobytes() for one in encoded]
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of whole texts; each word that the worker does not hold is encoded once."""

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tagwright.llm.blocks import by_range, coded, numbers_and_counts, packed, segments_for, unpacked, words_in
 from tagwright.llm.bpe import tokenizer_file, word_table
-from tagwright.llm.common import lean, ship, texts, without
+from tagwright.llm.common import lean, ship, without
+from tagwright.session import spread
 
 
 def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -59,9 +60,13 @@ def encode(
     ship(spark)
     spec = tokenizer_file(tokenizer)
     shared = spark.sparkContext.broadcast((spec, piece_list(spec) if decoded else []))
-    source = texts(docs, key, text=text).select(
-        F.col(key).cast("long").alias("key"), F.lit(False).alias("flag"), F.col(text).alias("text")
+    given = docs.select(
+        F.col(key).cast("long").alias("key"), F.lit(False).alias("flag"), F.coalesce(F.col(text), F.lit("")).alias("text")
     )
+    source = spread(given, "key", "text")
+    if source is not given:
+        # both passes must read the rows of a task in one order, which a shuffle alone does not give
+        source = source.sortWithinPartitions("key", F.xxhash64("text"))
     segments = segments_for(source, "text")
 
     def split():

@@ -71,6 +71,11 @@ def _windows(pieces: list[str], owners: list[int]) -> tuple[np.ndarray, np.ndarr
     return codes[inside], owner[inside]
 
 
+def lettered(docs: list[str]) -> np.ndarray:
+    """Whether a text has a letter; marks alone are none."""
+    return np.fromiter((any(map(str.isalpha, text)) for text in docs), bool, len(docs))
+
+
 def probes(codes: np.ndarray, positions: int) -> np.ndarray:
     """The places of each code in the filter, one row per probe."""
     with np.errstate(over="ignore"):
@@ -217,8 +222,9 @@ def identify(docs: DataFrame, model: LanguageFilter, text: str = "text") -> Data
             contents = [content or "" for content in batch.column(at).to_pylist()]
             counted, total = own.hits(contents)
             if own.languages:
-                best = np.where(total > 0, counted.argmax(axis=1), len(own.languages))
-                score = counted.max(axis=1) / np.maximum(total, 1)
+                has = lettered(contents)
+                best = np.where(has, counted.argmax(axis=1), len(own.languages))
+                score = np.where(has, counted.max(axis=1) / np.maximum(total, 1), 0.0)
             else:
                 best, score = np.zeros(len(contents), np.int64), np.zeros(len(contents))
             added = [pa.array(names[best], pa.string()), pa.array(np.clip(score, 0.0, 1.0))]
@@ -298,7 +304,8 @@ def in_known_language(docs: DataFrame, least: float | None = None) -> DataFrame:
 
     Without ``least``, a share for all languages, that is the share which ``least_covers`` finds on the held-out
     documents, less the standard deviation of a share of so few n-grams as the text has. All columns stay as
-    they are, whatever their names. An empty table gives no rows.
+    they are, whatever their names. An empty table gives no rows; so does one without any label, as no language
+    is known then.
     """
     spark = docs.sparkSession
     model = learned(docs)
@@ -314,11 +321,12 @@ def in_known_language(docs: DataFrame, least: float | None = None) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, covers = shared.value
         for batch in batches:
-            counted, total = own.hits([content or "" for content in batch.column(at).to_pylist()])
+            contents = [content or "" for content in batch.column(at).to_pylist()]
+            counted, total = own.hits(contents)
             score = np.clip(counted.max(axis=1) / np.maximum(total, 1), 0.0, 1.0)
             cover = covers[counted.argmax(axis=1)]
             if least is None:
                 cover = cover - np.sqrt(cover * (1 - cover) / np.maximum(total, 1))
-            yield batch.filter(pa.array((total > 0) & (score >= cover)))
+            yield batch.filter(pa.array(lettered(contents) & (score >= cover)))
 
     return docs.mapInArrow(leanly(work), docs.schema)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagwright.llm.common import leanly, ship, texts, widened
+from tagwright.llm.common import leanly, nested, ship, texts, widened
 from tagwright.llm.components import components
 from tagwright.session import fits_broadcast, written
 
@@ -157,20 +157,26 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without near-copies: of each component the document with the least ``doc_id`` stays.
+    """``docs`` without near-copies: of each component the row with the least ``doc_id`` and text hash stays.
 
-    Of rows that repeat a ``doc_id`` the least row stays. Rows without a ``doc_id`` cannot be told apart and stay.
-    The ids to drop are sent to all tasks if their measured size is within the library's bound, else joined by shuffle.
+    Rows are told apart by id and text, so rows that repeat an id with another text are judged each by its own text; rows without an
+    id come last. Of rows equal in both the least row stays. The rows to drop are sent to all tasks if their
+    measured size is within the library's bound, else joined by shuffle. An empty table gives no rows.
     """
-    groups = written(near_duplicates(docs), "simhash-groups")
-    dropped = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    if fits_broadcast(dropped, F.lit(16)):
+    content = F.xxhash64(F.coalesce("text", F.lit("")))
+    who = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), content.alias("content"))
+    groups = written(near_duplicates(docs.select(who.alias("who"), "text"), "who"), "simhash-groups")
+    dropped = groups.where(F.col("who") != F.col("component_id")).select("who").distinct()
+    if fits_broadcast(dropped, F.lit(32)):
         dropped = F.broadcast(dropped)
-    kept = docs.join(dropped, "doc_id", "left_anti")
-    repeated = groups.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    repeated = written(repeated.select("doc_id"), "simhash-repeated")
+    marked = nested(docs, who.alias("who"))
+    kept = marked.join(dropped, "who", "left_anti")
+    repeated = groups.groupBy("who").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = written(repeated.select("who"), "simhash-repeated")
     if repeated.isEmpty():
-        return kept.select(*docs.columns)
-    alone = kept.join(repeated, "doc_id", "left_anti")
-    least = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row"))
-    return alone.unionByName(least.select("row.*")).select(*docs.columns)
+        return kept.select("given.*")
+    if fits_broadcast(repeated, F.lit(32)):
+        repeated = F.broadcast(repeated)
+    alone = kept.join(repeated, "who", "left_anti").select("given")
+    least = kept.join(repeated, "who", "left_semi").groupBy("who").agg(F.min("given").alias("given")).select("given")
+    return alone.unionByName(least).select("given.*")
