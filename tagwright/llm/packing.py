@@ -29,6 +29,7 @@ POPULATION = 4
 GENERATIONS = 8  # of an epoch
 EPOCHS = 3
 GROUP_BITS = 20
+ISLANDS_PER_TASK = 32  # rows are few and small, but each takes a fraction of a second
 STATE = "block long, island int, sizes array<int>, least int, packings array<binary>, n_groups int, squares long"
 ARROW = pa.schema(
     [
@@ -86,8 +87,9 @@ def _state(block: int, island: int, sizes: list[int], least: int, found: list[Pa
     return pa.RecordBatch.from_pylist([row], schema=ARROW)
 
 
-def _settled(blocks: DataFrame, capacity: int) -> DataFrame:
+def _settled(blocks: DataFrame, n_blocks: int, capacity: int) -> DataFrame:
     """``(block, best)``: the packing of each block ``(block, sizes)`` after all epochs, from its best island."""
+    n_tasks = 1 + n_blocks * ISLANDS // ISLANDS_PER_TASK
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -111,14 +113,15 @@ def _settled(blocks: DataFrame, capacity: int) -> DataFrame:
         return work
 
     islands = blocks.select("*", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island"))
-    islands = islands.select("block", "island", "sizes").repartition("block", "island")
+    islands = islands.select("block", "island", "sizes").repartition(n_tasks, "block", "island")
     state = written(islands.mapInArrow(start, STATE), "islands")
     for epoch in range(1, EPOCHS):
         # a block whose best island is proven best rests
         open_blocks = state.groupBy("block").agg(F.min(F.col("n_groups") - F.col("least")).alias("over")).where("over > 0")
         going = state.join(open_blocks.select("block"), "block")
         migrants = going.select("block", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).alias("island"), F.col("packings")[0].alias("migrant"))
-        moved = written(going.join(migrants, ["block", "island"]).mapInArrow(go_on(epoch), STATE), "islands")
+        met = going.join(migrants, ["block", "island"]).repartition(n_tasks, "block", "island")
+        moved = written(met.mapInArrow(go_on(epoch), STATE), "islands")
         if moved.isEmpty():
             break
         resting = state.join(open_blocks.select("block"), "block", "left_anti")
@@ -134,7 +137,7 @@ def _packed_once(items: DataFrame, n_items: int, capacity: int, first_block: int
     listed = F.sort_array(F.collect_list(F.struct("number", F.col("size").cast("int").alias("size"))))
     blocks = dealt.groupBy("block").agg(listed.alias("items"))
     blocks = written(blocks.select("block", F.col("items.number").alias("numbers"), F.col("items.size").alias("sizes")), "blocks")
-    best = _settled(blocks.select("block", "sizes"), capacity)
+    best = _settled(blocks.select("block", "sizes"), n_blocks, capacity)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
