@@ -24,6 +24,20 @@ def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.
     return values[shift + np.arange(total)]
 
 
+def word_values(worded: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ids of all words of a block one after the other, and where those of each number start and how many they are."""
+    rows = worded.to_pylist()
+    numbers = [numbers_and_counts(row["extra"])[0] for row in rows]
+    sizes = [unpacked(row["more"], np.uint32) for row in rows]
+    values = np.concatenate([np.empty(0, np.uint32), *[unpacked(row["data"], np.uint32) for row in rows]])
+    order = np.concatenate([np.empty(0, np.int64), *numbers]).astype(np.int64)
+    flat = np.concatenate([np.empty(0, np.uint32), *sizes]).astype(np.int64)
+    starts, lengths = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+    starts[order] = np.cumsum(flat) - flat
+    lengths[order] = flat
+    return values, starts, lengths
+
+
 def word_ids(words: DataFrame, spec: str) -> DataFrame:
     """The ids of the words of each row, and how many each has; every distinct word is encoded once."""
     shared = words.sparkSession.sparkContext.broadcast(spec)
@@ -76,29 +90,28 @@ def encode(
     words = coded(source, split, lambda block: block.word_rows(segments))
     documents = coded(source, split, lambda block: block.document_rows())
 
+    nothing = pa.schema(
+        [(key, pa.int64()), ("ids", pa.binary()), *([(decoded, pa.string())] if decoded else [])]
+    ).empty_table()
+
     def put(numbered: pa.Table, worded: pa.Table) -> pa.Table:
         lean()
-        rows = worded.to_pylist()
-        numbers = [numbers_and_counts(row["extra"])[0] for row in rows]
-        sizes = [unpacked(row["more"], np.uint32) for row in rows]
-        values = np.concatenate([np.empty(0, np.uint32), *[unpacked(row["data"], np.uint32) for row in rows]])
-        order = np.concatenate([np.empty(0, np.int64), *numbers]).astype(np.int64)
-        flat = np.concatenate([np.empty(0, np.uint32), *sizes]).astype(np.int64)
-        starts, lengths = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
-        starts[order] = np.cumsum(flat) - flat
-        lengths[order] = flat
-        keys, found = [], []
-        for row in numbered.to_pylist():
+        values, starts, lengths = word_values(worded)
+        rows_of = lambda table: (row for batch in table.to_batches(max_chunksize=1) for row in batch.to_pylist())
+        parts = []
+        for row in rows_of(numbered):
             codes = unpacked(row["data"], np.uint32)
             own = lengths[codes]
             line = gathered(values, starts[codes], own).astype("<u4").tobytes()
             ends = np.concatenate([[0], np.cumsum(own)])[np.cumsum(unpacked(row["more"], np.uint32))] * 4
-            keys += row["keys"]
-            found += [line[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
-        columns = {key: pa.array(keys, pa.int64()), "ids": pa.array(found, pa.binary())}
-        if decoded:
-            columns[decoded] = pa.array(texts_of(found, shared.value[1]), pa.string())
-        return pa.table(columns)
+            found = [line[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+            columns = {key: pa.array(row["keys"], pa.int64()), "ids": pa.array(found, pa.binary())}
+            if decoded:
+                columns[decoded] = pa.array(texts_of(found, shared.value[1]), pa.string())
+            parts.append(pa.record_batch(columns))
+        del values, starts, lengths
+        lean()
+        return pa.Table.from_batches(parts) if parts else nothing
 
     left = documents.select("block", "keys", "data", "more")
     both = left.groupBy("block").cogroup(word_ids(words, spec).groupBy("block"))
