@@ -141,18 +141,43 @@ def document_mix(docs: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """``docs`` as the mix takes them: a row for each epoch of a document, none for those it leaves out.
 
-    All columns stay as they are. Rows with the same ``doc_id``, source and text are taken equally often. The number of epochs is sent to
-    where the texts are if it fits the library's bound, else joined by shuffle.
+    All columns stay as they are. Rows with the same ``doc_id``, source and text share what the mix takes of them: each gets as many
+    epochs as the others, or one more. Null ids, sources and texts are values like others. The number of epochs is sent to
+    where the texts are if it fits the library's bound, else joined by shuffle. An empty table gives no rows.
     """
-    mixed = mix(described(docs), ["doc_id"], "size", "quality").where("epochs > 0")
-    taken = mixed.groupBy("doc_id", "source", "text_hash").agg(F.max("epochs").alias("mix_epochs"))
-    taken = written(taken.toDF("mix_id", "mix_source", "mix_hash", "mix_epochs"), "mix-epochs")
-    if fits_broadcast(taken, 40 + F.coalesce(F.octet_length("mix_source"), F.lit(0))):
+    mixed = mix(described(docs), ["doc_id"], "size", "quality")
+    taken = mixed.groupBy("doc_id", "source", "text_hash").agg(F.sum("epochs"), F.count(F.lit(1)))
+    taken = taken.toDF("mix_id", "mix_source", "mix_hash", "mix_epochs", "mix_rows").where("mix_epochs > 0")
+    taken = written(taken, "mix-epochs")
+    repeated = not taken.where("mix_rows > 1").isEmpty()
+    if fits_broadcast(taken, 48 + F.coalesce(F.octet_length("mix_source"), F.lit(0))):
         taken = F.broadcast(taken)
     same = (
         F.col("given.doc_id").eqNullSafe(F.col("mix_id"))
         & F.col("given.source").eqNullSafe(F.col("mix_source"))
         & (F.xxhash64("given.text") == F.col("mix_hash"))
     )
-    times = F.explode(F.array_repeat(F.lit(0), F.col("mix_epochs")))
-    return nested(docs).join(taken, same).select("given", times.alias("time")).select("given.*")
+    met = nested(docs).join(taken, same)
+    epochs = met.where("mix_rows = 1").select("given", "mix_epochs")
+    if repeated:
+        epochs = epochs.unionByName(_shared_epochs(met.where("mix_rows > 1")))
+    times = F.explode(F.array_repeat(F.lit(0), F.col("mix_epochs").cast("int")))
+    return epochs.select("given", times.alias("time")).select("given.*")
+
+
+def _shared_epochs(met: DataFrame) -> DataFrame:
+    """``(given, mix_epochs)`` of rows that are equal in id, source and text, whose epochs are dealt out evenly.
+
+    The rows are numbered within their part of the input, of which each group has a count, so no group meets in one task.
+    """
+    group = ["mix_id", "mix_source", "mix_hash"]
+    rows = written(met.withColumn("part", F.spark_partition_id()), "mix-repeated")
+    counts = rows.groupBy(*group, "part").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*[F.col(name).alias(f"start_{name}") for name in (*group, "part")], F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    within = F.row_number().over(Window.partitionBy(*group, "part").orderBy(F.xxhash64("given")))
+    same = [F.col(name).eqNullSafe(F.col(f"start_{name}")) for name in (*group, "part")]
+    placed = rows.withColumn("place", within).join(starts, same)
+    one_more = F.col("start") + F.col("place") <= F.col("mix_epochs") % F.col("mix_rows")
+    share = F.floor(F.col("mix_epochs") / F.col("mix_rows")) + one_more.cast("int")
+    return placed.select("given", share.alias("mix_epochs"))
