@@ -88,4 +88,37 @@ SELECT v.conv_id, CAST(v.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id,
 FROM valued v JOIN subtrees s ON s.path = v.path
 LEFT JOIN nodes p ON v.depth > 0 AND p.path = left(v.path, 32 * (v.depth - 1))"""
 
-CHECKS: dict[str, str] = {"op11_prefix_trie": PREFIX_TRIE, "op12_vector_codes": VECTOR_CODES}
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+QUALITY = rf"""WITH texts AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+words AS (SELECT row, doc_id, text, regexp_extract_all(text, '{WORD}') AS words FROM texts),
+places AS (SELECT row, words, unnest(range(1, len(words) - 1)) AS place FROM words WHERE len(words) >= 3),
+seen AS (
+  SELECT row, place, count(*) OVER (PARTITION BY row, words[place], words[place + 1], words[place + 2]) AS n FROM places),
+repeated AS (
+  SELECT row, count(DISTINCT place + step) AS n_repeat_words
+  FROM seen, (SELECT unnest(range(3)) AS step) WHERE n > 1 GROUP BY row),
+split AS (SELECT row, unnest(string_split(text, chr(10))) AS line FROM texts),
+lines AS (
+  SELECT row, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM split WHERE regexp_matches(line, '{WORD}') GROUP BY row),
+measured AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(coalesce(list_sum(list_transform(words, lambda word: length(word))), 0) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+    CAST(len(regexp_extract_all(text, '!')) AS BIGINT) AS n_marks, coalesce(n_lines, 0) AS n_lines,
+    CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words
+  FROM words LEFT JOIN repeated USING (row) LEFT JOIN lines USING (row))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > n_words OR 10 * n_marks > 3 * n_words
+    OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 100 * n_dup_lines > 35 * n_lines) AS kept
+FROM measured"""
+
+CHECKS: dict[str, str] = {
+    "op7_quality": QUALITY,
+    "op11_prefix_trie": PREFIX_TRIE,
+    "op12_vector_codes": VECTOR_CODES,
+}

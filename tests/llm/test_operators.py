@@ -376,9 +376,11 @@ def test_quality(spark, small):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     rows = quality.document_quality(docs).collect()
     kept = {row["doc_id"] for row in quality.passing(docs).select("doc_id").collect()}
+    found = {row["doc_id"]: row for row in quality.measured(docs).collect()}
     for row in rows:
         own = slow_measures(texts[row["doc_id"]])
-        assert all(row[name] == value for name, value in own.items())
+        assert all(found[row["doc_id"]][name] == value for name, value in own.items())
+        assert all(row[name] == own[name] for name in quality.REPORTED)
         base = own["n_words"] < 50 or 100 * own["n_repeat_words"] > 50 * own["n_words"]
         fails = (
             base
