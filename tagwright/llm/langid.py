@@ -17,7 +17,9 @@ from tagwright.llm.common import leanly, remainder, ship, texts, widened, withou
 from tagwright.session import written
 
 UNKNOWN = "und"
-POSITIONS = 1 << 20  # of the filter: 8 bytes for each and every 64 languages
+LEAST_POSITIONS = 1 << 20  # of the filter: 8 bytes for each and every 64 languages
+MOST_POSITIONS = 1 << 23  # 64 MB for every 64 languages
+POSITIONS_PER_GRAM = 8
 PROBES = 3
 LEAST_COUNT = 2  # of an n-gram in a language
 LEAST_SHARE = 0.2  # of the n-gram's frequency in the language where it is most frequent
@@ -152,13 +154,14 @@ def _summed(held, codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def fit_languages(
-    labelled: DataFrame, label: str = "lang", text: str = "text", positions: int = POSITIONS
+    labelled: DataFrame, label: str = "lang", text: str = "text", positions: int | None = None
 ) -> LanguageFilter:
     """The filter of all n-grams of the labelled texts.
 
     A language contains an n-gram if it has it ``LEAST_COUNT`` times and its frequency there is at least
     ``LEAST_SHARE`` of that in the language where it is most frequent. All counts are taken over all rows.
-    What reaches the driver is the filter: ``positions`` numbers per 64 languages, however large the corpus is.
+    What reaches the driver is the filter: ``positions`` numbers per 64 languages. By default there are eight
+    for each n-gram that is held, up to 64 MB; the expected false hits are taken off the counts in any case.
     """
     ship(labelled.sparkSession)
     source = texts(labelled.where(F.col(label).isNotNull()), label, text=text)
@@ -166,7 +169,7 @@ def fit_languages(
     totals = counts.groupBy("label").agg(F.sum("n").alias("total")).orderBy(F.desc("total"), "label").collect()
     languages = tuple(row["label"] for row in totals)
     planes = max(1, -(-len(languages) // 64))
-    table = np.zeros((planes, positions), np.uint64)
+    table = np.zeros((planes, positions or LEAST_POSITIONS), np.uint64)
     if languages:
         numbers = F.create_map(*[F.lit(x) for i, name in enumerate(languages) for x in (name, i)])
         sums = F.create_map(*[F.lit(x) for row in totals for x in (row["label"], float(row["total"]))])
@@ -181,7 +184,11 @@ def fit_languages(
             F.expr("number div 64").cast("int").alias("plane"),
             F.expr("shiftleft(1L, CAST(number % 64 AS INT))").alias("bit"),
         )
-        masks = bits.groupBy("gram", "plane").agg(F.bit_or("bit").alias("mask"))
+        masks = written(bits.groupBy("gram", "plane").agg(F.bit_or("bit").alias("mask")), "language-masks")
+        if positions is None:
+            wanted = POSITIONS_PER_GRAM * masks.count()
+            positions = min(MOST_POSITIONS, max(LEAST_POSITIONS, 1 << (wanted - 1).bit_length()))
+            table = np.zeros((planes, positions), np.uint64)
 
         def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
