@@ -23,9 +23,20 @@ PACKAGE = Path(__file__).resolve().parents[1]
 _shipped: set[str] = set()
 
 
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+SPARKS_BATCH_BYTES = 64 << 20
+BATCH_BYTES = 16 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, so that their Python can import it."""
+    """Send this package to the executors once per application, so that their Python can import it.
+
+    Batches sent to Python are held by both sides at once, in every core; unless the session sets another bound
+    than Spark's own, they get a smaller one.
+    """
     context = spark.sparkContext
+    if spark.conf.get(BATCH_SETTING, "").rstrip("b") == str(SPARKS_BATCH_BYTES):
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     if context.applicationId in _shipped or not PACKAGE.is_dir():
         return
     path = Path(tempfile.mkdtemp(prefix="tagwright-code-")) / "tagwright_code.zip"
