@@ -35,7 +35,7 @@ def ship(spark: SparkSession) -> None:
     than Spark's own, they get a smaller one.
     """
     context = spark.sparkContext
-    if spark.conf.get(BATCH_SETTING, "").rstrip("b") == str(SPARKS_BATCH_BYTES):
+    if spark.conf.get(BATCH_SETTING) == f"{SPARKS_BATCH_BYTES}b":
         spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
     if context.applicationId in _shipped or not PACKAGE.is_dir():
         return
