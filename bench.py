@@ -34,6 +34,8 @@ HEADLINE = [
     "hashing_tf",
     "nb_scores",
     "nb_predict",
+    "nb_predict_sparse",
+    "class_term_weight_added",
     "predicted_tag",
     "accuracy_any",
     "train_summary",
@@ -44,6 +46,8 @@ HEADLINE = [
     "score_stream_plan",
     "upsert_stream",
     "merge_stream",
+    "upsert_levels",
+    "lookup_in_levels",
 ]
 
 
