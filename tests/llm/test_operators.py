@@ -62,7 +62,11 @@ def small(spark):
     return spark.read.parquet(f"{SMALL}/documents.parquet").orderBy("doc_id").collect()
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+# One row per document; the others have their awkward rows in tests of their own.
+PER_DOCUMENT = [name for name in QUERIES if int(name[2:].split("_")[0]) <= 10]
+
+
+@pytest.mark.parametrize("name", PER_DOCUMENT)
 def test_awkward_rows_and_empty_tables(spark, odd, nothing, name):
     rows = QUERIES[name](spark, odd).collect()
     assert len(rows) == len(ODD)
