@@ -1,11 +1,21 @@
-"""Tokens and term counts as column expressions, evaluated where the post is read."""
+"""Tokens as column expressions and term counts as Arrow columns, made where the post is read."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tagwright.fixed_values import WHITESPACE
+from tagwright.llm.common import ship
+
+BLOCK_BYTES = 8 << 20  # texts counted together
+_BLANKS = bytes.maketrans(WHITESPACE.encode(), b" " * len(WHITESPACE))
 
 
 def words(text: Column) -> Column:
@@ -20,40 +30,99 @@ def words(text: Column) -> Column:
     return F.when(only_blanks, F.array().cast("array<string>")).otherwise(F.split(trimmed, blank))
 
 
+def spaced(texts: pa.Array) -> pa.Array:
+    """Lower-case texts as ``words`` splits them: all whitespace as blanks, none at the end, null for blanks alone."""
+    valid, offsets, data = texts.buffers()
+    data = pa.py_buffer(data.to_pybytes().translate(_BLANKS)) if data else data
+    given = pa.Array.from_buffers(texts.type, len(texts), [valid, offsets, data], offset=texts.offset)
+    trimmed = pc.utf8_rtrim(given, " ")
+    only_blanks = pc.and_(pc.equal(trimmed, ""), pc.not_equal(given, ""))
+    return pc.if_else(only_blanks, pa.scalar(None, texts.type), trimmed)
+
+
+def postings(lowered: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """``(post, term, tf)`` for every distinct word of each text, posts in order, and the words behind the term numbers."""
+    split = pc.split_pattern(spaced(lowered), " ")
+    post = pc.list_parent_indices(split).to_numpy().astype(np.int64)
+    found = pc.list_flatten(split).dictionary_encode()
+    n_terms = max(1, len(found.dictionary))
+    pairs, tf = np.unique(post * n_terms + found.indices.to_numpy(), return_counts=True)
+    return pairs // n_terms, pairs % n_terms, tf, found.dictionary
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of a few MB, whose last column are the texts."""
+    for batch in batches:
+        n_rows = max(1, batch.num_rows * BLOCK_BYTES // max(BLOCK_BYTES, batch.columns[-1].nbytes))
+        yield from (batch.slice(at, n_rows) for at in range(0, batch.num_rows, n_rows))
+
+
 def term_rows(posts: DataFrame, *keep: str, body: str = "Body") -> DataFrame:
     """One row ``(*keep, term, tf)`` for every distinct word of a post, without a shuffle.
 
-    The words of a post are sorted inside its row and each run of equal words is counted.
-    One more row per post has a null term: it counts the post and keeps posts without words.
+    One more row per post has a null term: it counts the post and keeps posts without words. Spark lower-cases the
+    texts; they are split and counted block by block as Arrow columns, in several posts at once.
+    """
+    ship(posts.sparkSession)
+    given = posts.select(*keep, F.lower(body).alias(body))
 
-    The outer explode keeps Spark from deriving a "has words" filter, which would
-    split every text a second time below the scan.
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _blocks(batches):
+            post, term, tf, known = postings(batch.columns[-1])
+            every = np.arange(batch.num_rows)
+            kept = [column.take(pa.array(np.concatenate([post, every]))) for column in batch.columns[:-1]]
+            nulls = lambda kind: pa.nulls(len(every), kind)
+            terms = pa.concat_arrays([known.take(pa.array(term)), nulls(known.type)])
+            counts = pa.concat_arrays([pa.array(tf, pa.int64()), nulls(pa.int64())])
+            yield pa.RecordBatch.from_arrays([*kept, terms, counts], names=[*batch.schema.names[:-1], "term", "tf"])
+
+    fields = [*given.schema.fields[:-1], StructField("term", StringType()), StructField("tf", LongType())]
+    return given.mapInArrow(work, StructType(fields))
+
+
+def class_sums(labelled: DataFrame, classes: str, body: str = "Body") -> DataFrame:
+    """``(term, class, df, n)`` of posts that list their ``classes``, each with how often: rows and words by term and class.
+
+    The null term counts rows. Counts are whole numbers, summed in the blocks of texts that tasks read, so what leaves
+    them is a row for each term and class of a block; sum them up by term and class.
     """
-    ordered = posts.select(*keep, F.sort_array(words(F.col(body))).alias("ordered"))
-    marked = ordered.select(
-        *keep,
-        F.filter(
-            F.arrays_zip(
-                F.col("ordered").alias("word"),
-                F.concat(F.array(F.lit(None).cast("string")), F.col("ordered")).alias("before"),
-                F.sequence(F.lit(0), F.size("ordered")).alias("at"),
-            ),
-            lambda step: ~step["word"].eqNullSafe(step["before"]),
-        ).alias("starts"),
-    )
-    runs = marked.select(
-        *keep,
-        F.explode_outer(
-            F.arrays_zip(
-                F.col("starts").alias("start"),
-                F.slice("starts", F.lit(2), F.size("starts")).alias("next"),
-            )
-        ).alias("run"),
-    )
-    return runs.select(
-        *keep,
-        F.col("run.start.word").alias("term"),
-        (F.col("run.next.at") - F.col("run.start.at")).cast("bigint").alias("tf"),
+    ship(labelled.sparkSession)
+    given = labelled.select(classes, F.lower(body).alias(body))
+    name = given.schema[classes].dataType.elementType.fields[0]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _blocks(batches):
+            lists = batch.column(0)
+            size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+            entries = pc.list_flatten(lists)
+            names = pc.struct_field(entries, [0]).dictionary_encode()
+            of_entry, times = names.indices.to_numpy(), pc.struct_field(entries, [1]).to_numpy()
+            post, term, tf, known = postings(batch.column(1))
+            post = np.concatenate([post, np.arange(batch.num_rows)])
+            term = np.concatenate([term, np.full(batch.num_rows, len(known))])
+            tf = np.concatenate([tf, np.ones(batch.num_rows, np.int64)])
+            # each posting meets the entries of its post's list
+            n_met = size[post]
+            row = np.repeat(np.arange(len(post)), n_met)
+            first = (np.cumsum(size) - size)[post] - (np.cumsum(n_met) - n_met)
+            entry = np.repeat(first, n_met) + np.arange(len(row))
+            n_names = max(1, len(names.dictionary))
+            pair, weight = term[row] * n_names + of_entry[entry], times[entry]
+            place, at = pair, None
+            if (len(known) + 1) * n_names > 8 * len(pair):
+                at, place = np.unique(pair, return_inverse=True)
+            df = np.bincount(place, weights=weight)
+            n = np.bincount(place, weights=weight * tf[row])
+            if at is None:
+                at = np.flatnonzero(df)
+                df, n = df[at], n[at]
+            terms = pa.concat_arrays([known, pa.nulls(1, known.type)]).take(pa.array(at // n_names))
+            columns = [terms, names.dictionary.take(pa.array(at % n_names)), df.astype(np.int64), n.astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names=["term", "class", "df", "n"])
+
+    longs = [StructField("df", LongType()), StructField("n", LongType())]
+    return given.mapInArrow(
+        work, StructType([StructField("term", StringType()), StructField("class", name.dataType), *longs])
     )
 
 

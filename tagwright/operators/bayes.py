@@ -3,23 +3,30 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tagwright.fixed_values import BROADCAST_BYTES, HASH_SLOTS, SMOOTHING
 from tagwright.functions.rows import filled
-from tagwright.functions.text import inverse_frequency, term_rows
+from tagwright.functions.text import class_sums, inverse_frequency, term_rows
+from tagwright.llm.common import ship
 from tagwright.operators.labels import class_list, class_table, labelled_posts, with_class
 from tagwright.operators.terms import ROW_OVERHEAD, TermTable, slot_rows
-from tagwright.session import fits_broadcast, new_folder, temporary, written
+from tagwright.session import new_folder, send, temporary, written
 
 
 SEEN = "array<struct<place:int,n:bigint>>"
 # Scores are put together from so many classes at a time.
 STEP = 128
+# Rows of posts that a task scores together, and gains that it adds up at once.
+ROWS, ENTRIES = 1 << 17, 1 << 21
 
 
 def class_term_counts(posts: DataFrame, tags: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -28,7 +35,9 @@ def class_term_counts(posts: DataFrame, tags: DataFrame, vocab: DataFrame) -> Da
     ``seen`` lists the classes in which the term was seen with its count there; ``df`` counts rows. Counts are whole numbers,
     summed by (term, class) in the tasks before anything is shuffled. The null term counts rows.
     """
-    return class_counts(labelled_posts(filled(posts.select("Id", "Body")), tags, vocab), term_rows)
+    sums = class_sums(labelled_posts(filled(posts.select("Id", "Body")), tags, vocab), "classes")
+    by_class = sums.groupBy("term", F.col("class").alias("place")).agg(F.sum("df").alias("df"), F.sum("n").alias("n"))
+    return by_term(by_class)
 
 
 def class_counts(labelled: DataFrame, rows_of: Callable[..., DataFrame]) -> DataFrame:
@@ -124,7 +133,11 @@ class BayesModel:
         Terms of ``in_place``, a bounded part of the table, are not looked up again. The others are looked up in the
         buckets that they fall into.
         """
-        tokens = self.rows_of(filled(posts.select("Body"), "Body")).where("term IS NOT NULL").select("term").distinct()
+        return self.only_of(self.rows_of(filled(posts.select("Body"), "Body")), in_place)
+
+    def only_of(self, rows: DataFrame, in_place: DataFrame | None = None) -> "BayesModel":
+        """As ``only``, for posts given as their ``rows_of``."""
+        tokens = rows.where("term IS NOT NULL").select("term").distinct()
         if in_place is not None:
             tokens = tokens.join(F.broadcast(in_place.select("term")), "term", "left_anti")
         found = self.terms.of_terms(written(tokens, "wanted-terms"))
@@ -141,21 +154,24 @@ class BayesModel:
         plus a gain for each term seen in the class. Only the gains need the term table, and only classes
         that share a term with the post have any. Posts without a known term keep the prior. ``Id`` must be unique.
         """
+        return self.scores_of(self.rows_of(filled(posts, "Body"), "Id"), max_broadcast)
+
+    def scores_of(self, post_rows: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> DataFrame:
+        """As ``scores``, for posts given as their ``rows_of``, which is read twice if the table is not broadcast."""
         lam = self.smoothing
         gain = lambda c: F.struct(c["place"].alias("place"), F.ln((F.col("idf") * c["n"] + lam) / lam).alias("g"))
         gains = F.transform("seen", gain).alias("gains")
         table = replace(self.terms, rows=self.terms.rows.select("term", "df", "idf", gains))
-        matched = table.attach(self.rows_of(filled(posts, "Body"), "Id"), max_broadcast)
-        idf = F.col("idf")
-        if self.slots:
-            idf = F.when(F.col("term").isNotNull(), F.coalesce(idf, F.lit(math.log(sum(self.class_rows) + 1))))
-        x = (F.col("tf") * idf).alias("x")
-        rows = matched.select("Id", x, F.posexplode_outer("gains").alias("at", "c"))
-        # the weight of a term counts once, whatever the number of its classes
-        weight = F.sum(F.when(F.coalesce("at", F.lit(0)) == 0, F.col("x")))
-        by_class = rows.groupBy("Id", F.col("c.place").alias("place")).agg(
-            weight.alias("x"), F.sum(F.col("x") * F.col("c.g")).alias("g")
-        )
+        hot, whole = table.hot(max_broadcast), table.n_bytes <= max_broadcast
+        unknown = math.log(sum(self.class_rows) + 1) if self.slots else None
+        parts = gain_sums(post_rows, hot, unknown if whole else None)
+        if not whole:
+            idf = F.col("idf") if unknown is None else F.coalesce("idf", F.lit(unknown))
+            rare = table.attach_rare(post_rows, hot).select("Id", (F.col("tf") * idf).alias("x"), F.posexplode_outer("gains").alias("at", "c"))
+            # the weight of a term counts once, whatever the number of its classes
+            once = F.when(F.coalesce("at", F.lit(0)) == 0, F.col("x")).alias("x")
+            parts = parts.unionByName(rare.select("Id", F.col("c.place").alias("place"), once, (F.col("x") * F.col("c.g")).alias("g")))
+        by_class = parts.groupBy("Id", "place").agg(F.sum("x").alias("x"), F.sum("g").alias("g"))
         seen = F.collect_list(F.when(F.col("place").isNotNull(), F.struct("place", "g")))
         sums = by_class.groupBy("Id").agg(F.coalesce(F.sum("x"), F.lit(0.0)).alias("x"), seen.alias("seen"))
         n_places = max(self.places) + 1
@@ -176,7 +192,11 @@ class BayesModel:
 
     def predict(self, posts: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> DataFrame:
         """``(Id, CatId, tags, confidence)``; of equal scores the lowest class wins."""
-        scored = self.scores(posts, max_broadcast).withColumn("best", F.array_max("scores"))
+        return self.predict_of(self.rows_of(filled(posts, "Body"), "Id"), max_broadcast)
+
+    def predict_of(self, post_rows: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> DataFrame:
+        """As ``predict``, for posts given as their ``rows_of``."""
+        scored = self.scores_of(post_rows, max_broadcast).withColumn("best", F.array_max("scores"))
         chosen = scored.select(
             "Id",
             (F.array_position("scores", F.col("best")) - 1).cast("int").alias("place"),
@@ -198,6 +218,75 @@ class BayesModel:
         )
 
 
+def gain_sums(post_rows: DataFrame, hot: DataFrame, unknown: float | None) -> DataFrame:
+    """``(Id, place, x, g)``: sums of the weights and gains that posts get from the terms of ``hot``, in any number of parts.
+
+    ``hot`` (term, idf, gains), a table small enough to be broadcast, goes to the Python workers as columns. The rows
+    with a null place have the weights, for every post at least one; terms that ``hot`` lacks weigh as ``unknown``, if given.
+    """
+    spark = post_rows.sparkSession
+    ship(spark)
+    held = hot.select("term", "idf", F.col("gains.place").alias("place"), F.col("gains.g").alias("g")).toArrow().combine_chunks()
+    column = lambda name: held[name].combine_chunks() if isinstance(held[name], pa.ChunkedArray) else held[name]
+    flat = lambda name: pc.list_flatten(column(name)).to_numpy(zero_copy_only=False)
+    size = pc.fill_null(pc.list_value_length(column("place")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    shared = send(spark, (column("term"), column("idf").to_numpy(zero_copy_only=False), size, flat("place"), flat("g")))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, idf, size, place, gain = shared.value
+        start = np.cumsum(size) - size
+        n_places = int(place.max(initial=0)) + 1
+        for rows in _joined(batches):
+            ids = rows.column(0).dictionary_encode("encode")
+            post = ids.indices.to_numpy().astype(np.int64)
+            n_posts = len(ids.dictionary)
+            words = rows.column(1).dictionary_encode("encode")
+            known = pc.fill_null(pc.index_in(words.dictionary, value_set=terms, skip_nulls=True), -1).to_numpy()
+            at = known[words.indices.to_numpy()]
+            tf = pc.fill_null(rows.column(2), 0).to_numpy()
+            found = at >= 0
+            weight = np.where(found, tf * idf[at], 0.0 if unknown is None else tf * unknown) if len(idf) else tf * (unknown or 0.0)
+            sums = np.bincount(post, weights=weight, minlength=n_posts)
+            yield _parts(ids.dictionary, pa.nulls(n_posts, pa.int32()), pa.array(sums), pa.nulls(n_posts, pa.float64()))
+            post, at, weight = post[found], at[found], weight[found]
+            before = np.cumsum(size[at])
+            steps = np.searchsorted(before, np.arange(ENTRIES, before[-1], ENTRIES)) if len(before) else []
+            for some in np.split(np.arange(len(at)), steps):
+                n_met = size[at[some]]
+                row = np.repeat(some, n_met)
+                if not len(row):
+                    continue
+                entry = np.repeat(start[at[some]] - (np.cumsum(n_met) - n_met), n_met) + np.arange(len(row))
+                pair = post[row] * n_places + place[entry]
+                of_pair = np.arange(n_posts * n_places) if n_posts * n_places <= 8 * len(pair) else None
+                if of_pair is None:
+                    of_pair, pair = np.unique(pair, return_inverse=True)
+                g = np.bincount(pair, weights=weight[row] * gain[entry], minlength=len(of_pair))
+                seen = np.flatnonzero(g)
+                of_pair, none = of_pair[seen], pa.nulls(len(seen), pa.float64())
+                places = pa.array((of_pair % n_places).astype(np.int32))
+                yield _parts(ids.dictionary.take(pa.array(of_pair // n_places)), places, none, pa.array(g[seen]))
+
+    schema = StructType([post_rows.schema["Id"], *StructType.fromDDL("place INT, x DOUBLE, g DOUBLE").fields])
+    return post_rows.select("Id", "term", "tf").mapInArrow(work, schema)
+
+
+def _parts(*columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns), names=["Id", "place", "x", "g"])
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task, several put together."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(part.num_rows for part in held) >= ROWS:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda total, value: total + value)
 

@@ -72,10 +72,20 @@ class TermTable:
         """
         if self.n_bytes <= max_bytes:
             return tokens.join(F.broadcast(self.rows), "term", "left")
-        hot = self.rows.where(F.col("df") >= self.hot_df(max_bytes))
+        hot = self.hot(max_bytes)
         in_place = tokens.join(F.broadcast(hot), "term", "left").where("df IS NOT NULL OR term IS NULL")
+        return in_place.unionByName(self.attach_rare(tokens, hot))
+
+    def attach_rare(self, tokens: DataFrame, hot: DataFrame) -> DataFrame:
+        """Left join by shuffle of the ``tokens`` whose term is none of ``hot``."""
         rare = tokens.where("term IS NOT NULL").join(F.broadcast(hot.select("term")), "term", "left_anti")
-        return in_place.unionByName(rare.join(self.rows.hint("merge"), "term", "left"))
+        return rare.join(self.rows.hint("merge"), "term", "left")
+
+    def hot(self, max_bytes: int) -> DataFrame:
+        """All rows if they take ``max_bytes`` or less, else those of the most frequent terms that do."""
+        if self.n_bytes <= max_bytes:
+            return self.rows
+        return self.rows.where(F.col("df") >= self.hot_df(max_bytes))
 
     def of_terms(self, wanted: DataFrame) -> DataFrame:
         """The rows of the terms of ``wanted`` (term, a written table of distinct ones).

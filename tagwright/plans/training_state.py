@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tagwright.fixed_values import SMOOTHING
 from tagwright.functions.rows import filled
-from tagwright.functions.text import term_rows
+from tagwright.functions.text import class_sums
 from tagwright.operators.bayes import BayesModel, by_term, model_of
 from tagwright.operators.labels import class_list, class_table
 from tagwright.plans.model_store import ModelStore
@@ -38,9 +38,8 @@ def tag_term_counts(posts: DataFrame, tags: DataFrame) -> DataFrame:
     if fits_broadcast(listed, 64 + F.octet_length(F.col("Id").cast("string")) + tag_bytes):
         listed = F.broadcast(listed)
     labelled = filled(posts.select("Id", "Body")).join(listed, "Id")
-    rows = term_rows(labelled, "tags").withColumn("tag", F.explode_outer("tags"))
-    n = F.coalesce("tf", F.lit(1)) * F.col("tag.times")
-    return rows.groupBy("term", F.col("tag.Tag").alias("Tag")).agg(F.sum("tag.times").alias("df"), F.sum(n).alias("n"))
+    sums = class_sums(labelled, "tags")
+    return sums.groupBy("term", F.col("class").alias("Tag")).agg(F.sum("df").alias("df"), F.sum("n").alias("n"))
 
 
 class TrainingState:

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,8 @@ from tagwright.fixed_values import BROADCAST_BYTES
 
 # The folder of the innermost ``temporary`` block.
 _TEMPORARY: ContextVar[str | None] = ContextVar("temporary", default=None)
+# What was sent to the executors in that block.
+_SENT: ContextVar[list[Broadcast] | None] = ContextVar("sent", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -66,16 +69,27 @@ def subfolders(spark: SparkSession, path: str) -> list[tuple[str, float]]:
 
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator[None]:
-    """What the block writes to new folders is deleted at its end, so nothing lazy may read it later."""
-    folder = new_folder(spark, "temporary")
-    outer = _TEMPORARY.set(folder)
+    """What the block writes to new folders or sends is deleted at its end, so nothing lazy may read it later."""
+    folder, sent = new_folder(spark, "temporary"), []
+    outer, outer_sent = _TEMPORARY.set(folder), _SENT.set(sent)
     try:
         yield
     finally:
         _TEMPORARY.reset(outer)
+        _SENT.reset(outer_sent)
+        for value in sent:
+            value.destroy()
         delete(spark, folder)
 
 
+def send(spark: SparkSession, value) -> Broadcast:
+    """``value`` for the Python workers of all executors; in a ``temporary`` block until its end."""
+    shared = spark.sparkContext.broadcast(value)
+    if _SENT.get() is not None:
+        _SENT.get().append(shared)
+    return shared
+
+
 def written(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, so later jobs do not compute it again."""
     spark = df.sparkSession

@@ -43,15 +43,19 @@ def tag_posts(model: HashedModel | BayesModel, posts: DataFrame) -> DataFrame:
 
     For an exact model the rows are written with a number, and their tags joined back by it: texts are neither
     shuffled nor sorted while the tags of the batch are small enough to be broadcast. Of a term table too large for
-    that, the frequent terms stay in place between batches and the others are read from the buckets that they fall into.
+    that, the frequent terms stay in place between batches and the others are read from the buckets that they fall into;
+    the texts are split once, and the terms of the posts written.
     """
     if isinstance(model, HashedModel):
         return model.predict(posts)
     numbered = filled(posts, "Id", "Body").withColumn("_row", F.monotonically_increasing_id())
     texts = written(numbered, "batch")
+    rows = model.rows_of(texts.select(F.col("_row").alias("Id"), "Body"), "Id")
     if model.terms.n_bytes > BROADCAST_BYTES:
-        model = model.only(texts, frequent_terms(model))
-    predicted = model.predict(texts.select(F.col("_row").alias("Id"), "Body"))
+        # terms are looked up, attached in place and attached by shuffle: three reads
+        rows = written(rows, "batch-terms")
+        model = model.only_of(rows, frequent_terms(model))
+    predicted = model.predict_of(rows)
     tags = written(predicted.select(F.col("Id").alias("_row"), "tags"), "batch-tags")
     if fits_broadcast(tags, 32 + F.octet_length("tags")):
         tags = F.broadcast(tags)

@@ -242,3 +242,17 @@ def test_slots_of_many_classes(spark):
         best = max(scores)
         assert scores[int(found[name][1:])] == pytest.approx(best, abs=1e-9)
     assert found.keys() == set(names)
+
+
+def test_gains_are_added_up_before_they_leave_a_task(spark):
+    """Frequent terms give one row for a post and class, in any blocks, not one for each of their classes."""
+    model, posts = fitted(spark), frame(spark, NEW)
+    expected = sorted(model.score_rows(posts).collect())
+    parts = bayes.gain_sums(
+        model.rows_of(posts, "Id").coalesce(1),
+        model.terms.rows.select("term", "idf", F.transform("seen", lambda c: F.struct(c["place"], c["n"].cast("double").alias("g"))).alias("gains")),
+        None,
+    )
+    rows = [(row["Id"], row["place"]) for row in parts.collect()]
+    assert len(rows) == len(set(rows)) and {post for post, place in rows if place is None} == {post for post, _ in NEW}
+    assert sorted(model.score_rows(posts).collect()) == expected

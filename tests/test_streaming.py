@@ -286,3 +286,18 @@ def test_frequent_terms_stay_between_batches(spark):
     held = scoring.frequent_terms(first)
     assert scoring.frequent_terms(first) is held and held.is_cached
     assert scoring.frequent_terms(second) is not held and not held.is_cached
+
+
+def test_texts_of_a_batch_are_split_once(spark, monkeypatch):
+    """Of a model beyond the bound for broadcasts the terms are looked up, attached and shuffled, but the texts split once."""
+    from tagwright.streaming import scoring
+
+    splits = []
+    whole = bayes.term_rows
+    monkeypatch.setattr(bayes, "term_rows", lambda *given: splits.append(given) or whole(*given))
+    model, posts = fit(spark, TAGS, exact=True), spark.createDataFrame(POSTS, "Id STRING, Body STRING")
+    expected = sorted((row["Id"], row["tags"]) for row in tag_posts(model, posts).collect())
+    monkeypatch.setattr(scoring, "BROADCAST_BYTES", 0)
+    splits.clear()
+    found = sorted((row["Id"], row["tags"]) for row in tag_posts(model, posts).collect())
+    assert found == expected == TAGS and len(splits) == 1

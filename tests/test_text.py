@@ -101,3 +101,17 @@ def test_spread_only_splits_what_is_coarse(spark):
     fine = spark.range(100, numPartitions=3 * cores)
     assert spread(fine, "id") is fine
     assert spread(spark.range(100, numPartitions=1), "id").rdd.getNumPartitions() == 2 * cores
+
+
+def test_words_are_counted_as_they_are_split(spark):
+    """Blocks of any size, all kinds of white space and letters that change in lower case: the words of the tokenizer, counted."""
+    letters = " \t\n\r\x0b\f\0ab ÉİΣσẞ😀日\x1c\x85"
+    texts = ["".join(letters[(at * at + 7 * k * at + k) % len(letters)] for k in range(at % 23)) for at in range(400)]
+    given = posts(spark, TEXTS + texts)
+    plan = term_rows(given, "Id")._jdf.queryExecution().executedPlan().toString()
+    assert "sort_array" not in plan and "filter(" not in plan.lower()
+    found = {}
+    for row in term_rows(given, "Id").where("term IS NOT NULL").collect():
+        found.setdefault(row["Id"], {})[row["term"]] = row["tf"]
+    for row in given.select("Id", words(F.col("Body")).alias("split")).collect():
+        assert found.get(row["Id"], {}) == Counter(row["split"])
