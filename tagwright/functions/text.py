@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,9 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tagwright.fixed_values import WHITESPACE
-from tagwright.llm.common import ship
+from tagwright.functions.packed import Tally, ranges
+from tagwright.llm.common import lean, ship
 
 BLOCK_BYTES = 8 << 20  # texts counted together
+PAIRS = 1 << 20  # of terms and classes that a task adds up before it hands them on
+LISTS = 1 << 16  # terms given back to Spark at once
+NO_TERM = " "  # stands for the null term, as no word has a blank in it
+Postings = tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, pa.Array]
 _BLANKS = bytes.maketrans(WHITESPACE.encode(), b" " * len(WHITESPACE))
 
 
@@ -77,7 +82,52 @@ def term_rows(posts: DataFrame, *keep: str, body: str = "Body") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*kept, terms, counts], names=[*batch.schema.names[:-1], "term", "tf"])
 
     fields = [*given.schema.fields[:-1], StructField("term", StringType()), StructField("tf", LongType())]
-    return given.mapInArrow(work, StructType(fields))
+    rows = given.mapInArrow(work, StructType(fields))
+    rows.given = given  # for over_postings
+    return rows
+
+
+def over_postings(
+    rows: DataFrame, work: Callable[[Iterator[Postings]], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
+    """``work`` over the blocks behind ``rows``, which ``term_rows`` gave, in place of a row of Spark for each word.
+
+    A block is the first kept column and the ``postings`` of its texts.
+    """
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return work((batch.column(0), *postings(batch.columns[-1])) for batch in _blocks(batches))
+
+    return rows.given.mapInArrow(blocks, schema)
+
+
+def _tallied(batch: pa.RecordBatch) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """``(terms, classes, at, df, n)`` of a block of ``(classes, text)``: ``at`` is the place of a term times the number of
+    classes, plus the place of a class. The null term, the last one, counts rows."""
+    lists = batch.column(0)
+    size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+    entries = pc.list_flatten(lists)
+    names = pc.struct_field(entries, [0]).dictionary_encode()
+    of_entry, times = names.indices.to_numpy(), pc.struct_field(entries, [1]).to_numpy()
+    post, term, tf, known = postings(batch.column(1))
+    post = np.concatenate([post, np.arange(batch.num_rows)])
+    term = np.concatenate([term, np.full(batch.num_rows, len(known))])
+    tf = np.concatenate([tf, np.ones(batch.num_rows, np.int64)])
+    # each posting meets the entries of its post's list
+    n_met = size[post]
+    row = np.repeat(np.arange(len(post)), n_met)
+    entry = ranges((np.cumsum(size) - size)[post], n_met)
+    n_names = max(1, len(names.dictionary))
+    pair, weight = term[row] * n_names + of_entry[entry], times[entry]
+    place, at = pair, None
+    if (len(known) + 1) * n_names > 8 * len(pair):
+        at, place = np.unique(pair, return_inverse=True)
+    df = np.bincount(place, weights=weight)
+    n = np.bincount(place, weights=weight * tf[row])
+    if at is None:
+        at = np.flatnonzero(df)
+        df, n = df[at], n[at]
+    return pa.concat_arrays([known, pa.nulls(1, known.type)]), names.dictionary, at, df.astype(np.int64), n.astype(np.int64)
 
 
 def class_sums(labelled: DataFrame, classes: str, body: str = "Body") -> DataFrame:
@@ -92,32 +142,9 @@ def class_sums(labelled: DataFrame, classes: str, body: str = "Body") -> DataFra
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _blocks(batches):
-            lists = batch.column(0)
-            size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
-            entries = pc.list_flatten(lists)
-            names = pc.struct_field(entries, [0]).dictionary_encode()
-            of_entry, times = names.indices.to_numpy(), pc.struct_field(entries, [1]).to_numpy()
-            post, term, tf, known = postings(batch.column(1))
-            post = np.concatenate([post, np.arange(batch.num_rows)])
-            term = np.concatenate([term, np.full(batch.num_rows, len(known))])
-            tf = np.concatenate([tf, np.ones(batch.num_rows, np.int64)])
-            # each posting meets the entries of its post's list
-            n_met = size[post]
-            row = np.repeat(np.arange(len(post)), n_met)
-            first = (np.cumsum(size) - size)[post] - (np.cumsum(n_met) - n_met)
-            entry = np.repeat(first, n_met) + np.arange(len(row))
-            n_names = max(1, len(names.dictionary))
-            pair, weight = term[row] * n_names + of_entry[entry], times[entry]
-            place, at = pair, None
-            if (len(known) + 1) * n_names > 8 * len(pair):
-                at, place = np.unique(pair, return_inverse=True)
-            df = np.bincount(place, weights=weight)
-            n = np.bincount(place, weights=weight * tf[row])
-            if at is None:
-                at = np.flatnonzero(df)
-                df, n = df[at], n[at]
-            terms = pa.concat_arrays([known, pa.nulls(1, known.type)]).take(pa.array(at // n_names))
-            columns = [terms, names.dictionary.take(pa.array(at % n_names)), df.astype(np.int64), n.astype(np.int64)]
+            terms, names, at, df, n = _tallied(batch)
+            n_names = max(1, len(names))
+            columns = [terms.take(pa.array(at // n_names)), names.take(pa.array(at % n_names)), df, n]
             yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names=["term", "class", "df", "n"])
 
     longs = [StructField("df", LongType()), StructField("n", LongType())]
@@ -126,6 +153,52 @@ def class_sums(labelled: DataFrame, classes: str, body: str = "Body") -> DataFra
     )
 
 
+def class_lists(labelled: DataFrame, classes: str, buckets: int, body: str = "Body") -> DataFrame:
+    """``(term, df, seen)``: what ``class_sums`` gives, summed up and listed by term; classes are whole numbers from 0.
+
+    A task adds up its blocks and hands them on packed, by ``buckets`` of terms, so a term leaves it once for some
+    million words with all its classes, in one shuffle.
+    """
+    ship(labelled.sparkSession)
+    given = labelled.select(classes, F.lower(body).alias(body))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
+        held: list[Tally] = []
+        for batch in _blocks(batches):
+            terms, names, at, df, n = _tallied(batch)
+            n_names = max(1, len(names))
+            term, place = at // n_names, names.to_numpy(zero_copy_only=False)[at % n_names].astype(np.int64)
+            df, size = (np.bincount(term, weights=by, minlength=len(terms)).astype(np.int64) for by in (df, None))
+            met = np.flatnonzero(size)
+            held.append(Tally(pc.fill_null(terms, NO_TERM).take(pa.array(met)), df[met], size[met], place, n))
+            if sum(len(tally.n) for tally in held) >= PAIRS:
+                held = [Tally.merged(held)]
+                if len(held[0].n) >= PAIRS // 2:
+                    yield _rows(Tally.packed(held.pop(), buckets))
+        if held:
+            yield _rows(Tally.packed(Tally.merged(held), buckets))
+        lean()
+
+    def add_up(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = Tally.merged([Tally.unpacked(data.as_py()) for part in parts for data in part.column("data")])
+        terms = pc.if_else(pc.equal(total.terms, NO_TERM), pa.scalar(None, pa.string()), total.terms)
+        ends = np.concatenate([[0], np.cumsum(total.size)]).astype(np.int32)
+        entries = pa.StructArray.from_arrays([pa.array(total.place, pa.int32()), pa.array(total.n)], ["place", "n"])
+        seen = pa.ListArray.from_arrays(pa.array(ends), entries)
+        whole = pa.RecordBatch.from_arrays([terms, pa.array(total.df), seen], names=["term", "df", "seen"])
+        yield from (whole.slice(at, LISTS) for at in range(0, whole.num_rows, LISTS))
+
+    packed = given.mapInArrow(work, "bucket BIGINT, data BINARY")
+    seen = "array<struct<place:int,n:bigint>>"
+    return packed.groupBy("bucket").applyInArrow(add_up, f"term STRING, df BIGINT, seen {seen}")
+
+
+def _rows(packed: Iterator[tuple[int, bytes]]) -> pa.RecordBatch:
+    at, data = zip(*packed) if (packed := list(packed)) else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(data, pa.binary())], names=["bucket", "data"])
+
+
 def inverse_frequency(rows: Column, df: Column) -> Column:
     """Smoothed inverse document frequency, as MLlib's IDF."""
     return F.ln((rows + 1) / (df + 1))

@@ -15,11 +15,12 @@ from pyspark.sql.types import StructType
 
 from tagwright.fixed_values import BROADCAST_BYTES, HASH_SLOTS, SMOOTHING
 from tagwright.functions.rows import filled
-from tagwright.functions.text import class_sums, inverse_frequency, term_rows
-from tagwright.llm.common import ship
+from tagwright.functions.packed import added_up, buckets_of, cuts, pack, ranges, unpack
+from tagwright.functions.text import Postings, class_lists, inverse_frequency, over_postings, term_rows
+from tagwright.llm.common import lean, ship
 from tagwright.operators.labels import class_list, class_table, labelled_posts, with_class
-from tagwright.operators.terms import ROW_OVERHEAD, TermTable, slot_rows
-from tagwright.session import new_folder, send, temporary, written
+from tagwright.operators.terms import ROW_OVERHEAD, TermTable, slot_rows, term_bucket
+from tagwright.session import given_bytes, new_folder, send, temporary, written
 
 
 SEEN = "array<struct<place:int,n:bigint>>"
@@ -27,6 +28,13 @@ SEEN = "array<struct<place:int,n:bigint>>"
 STEP = 128
 # Rows of posts that a task scores together, and gains that it adds up at once.
 ROWS, ENTRIES = 1 << 17, 1 << 21
+# Bytes of input for each bucket of terms that is summed up at once.
+TEXT_BYTES = 4 << 20
+# Tokens of rare terms that a task holds before it hands them on.
+TOKENS = 1 << 18
+# Posts that follow each other are scored together by so many bits of their numbers.
+PART_BITS = 14
+RARE, GAINS = range(2)
 
 
 def class_term_counts(posts: DataFrame, tags: DataFrame, vocab: DataFrame) -> DataFrame:
@@ -35,9 +43,9 @@ def class_term_counts(posts: DataFrame, tags: DataFrame, vocab: DataFrame) -> Da
     ``seen`` lists the classes in which the term was seen with its count there; ``df`` counts rows. Counts are whole numbers,
     summed by (term, class) in the tasks before anything is shuffled. The null term counts rows.
     """
-    sums = class_sums(labelled_posts(filled(posts.select("Id", "Body")), tags, vocab), "classes")
-    by_class = sums.groupBy("term", F.col("class").alias("place")).agg(F.sum("df").alias("df"), F.sum("n").alias("n"))
-    return by_term(by_class)
+    given = filled(posts.select("Id", "Body"))
+    buckets = min(max(given_bytes(given) // TEXT_BYTES, 16), 1 << 13)
+    return class_lists(labelled_posts(given, tags, vocab), "classes", buckets)
 
 
 def class_counts(labelled: DataFrame, rows_of: Callable[..., DataFrame]) -> DataFrame:
@@ -61,6 +69,12 @@ def term_bytes() -> Column:
     return F.lit(ROW_OVERHEAD) + 24 * F.size("seen")
 
 
+def with_gains(rows: DataFrame, smoothing: float) -> DataFrame:
+    """``(term, df, idf, gains)`` of a term table: what a class in which a term was seen gains by its weight of one."""
+    gain = lambda c: F.struct(c["place"].alias("place"), F.ln((F.col("idf") * c["n"] + smoothing) / smoothing).alias("g"))
+    return rows.select("term", "df", "idf", F.transform("seen", gain).alias("gains"))
+
+
 def _doubles(values: list[float]) -> Column:
     """A constant array, as one text that Spark reads once, however many values there are."""
     return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
@@ -158,10 +172,7 @@ class BayesModel:
 
     def scores_of(self, post_rows: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> DataFrame:
         """As ``scores``, for posts given as their ``rows_of``, which is read twice if the table is not broadcast."""
-        lam = self.smoothing
-        gain = lambda c: F.struct(c["place"].alias("place"), F.ln((F.col("idf") * c["n"] + lam) / lam).alias("g"))
-        gains = F.transform("seen", gain).alias("gains")
-        table = replace(self.terms, rows=self.terms.rows.select("term", "df", "idf", gains))
+        table = replace(self.terms, rows=with_gains(self.terms.rows, self.smoothing))
         hot, whole = table.hot(max_broadcast), table.n_bytes <= max_broadcast
         unknown = math.log(sum(self.class_rows) + 1) if self.slots else None
         parts = gain_sums(post_rows, hot, unknown if whole else None)
@@ -173,7 +184,11 @@ class BayesModel:
             parts = parts.unionByName(rare.select("Id", F.col("c.place").alias("place"), once, (F.col("x") * F.col("c.g")).alias("g")))
         by_class = parts.groupBy("Id", "place").agg(F.sum("x").alias("x"), F.sum("g").alias("g"))
         seen = F.collect_list(F.when(F.col("place").isNotNull(), F.struct("place", "g")))
-        sums = by_class.groupBy("Id").agg(F.coalesce(F.sum("x"), F.lit(0.0)).alias("x"), seen.alias("seen"))
+        return self._scores(by_class.groupBy("Id").agg(F.coalesce(F.sum("x"), F.lit(0.0)).alias("x"), seen.alias("seen")))
+
+    def _scores(self, sums: DataFrame) -> DataFrame:
+        """``(Id, scores)`` from the weight ``x`` of each post and its gains, listed in ``seen``."""
+        lam = self.smoothing
         n_places = max(self.places) + 1
         priors, unseen = [-math.inf] * n_places, [0.0] * n_places
         for place, prior, total in zip(self.places, self.log_priors, self.log_totals):
@@ -196,13 +211,44 @@ class BayesModel:
 
     def predict_of(self, post_rows: DataFrame, max_broadcast: int = BROADCAST_BYTES) -> DataFrame:
         """As ``predict``, for posts given as their ``rows_of``."""
-        scored = self.scores_of(post_rows, max_broadcast).withColumn("best", F.array_max("scores"))
-        chosen = scored.select(
+        chosen = self.chosen(self.scores_of(post_rows, max_broadcast))
+        return chosen.join(self.classes(), "place").select("Id", "CatId", "tags", "confidence")
+
+    def chosen(self, scores: DataFrame) -> DataFrame:
+        """``(Id, place, confidence)``: the best class of each post, by its place."""
+        scored = scores.withColumn("best", F.array_max("scores"))
+        return scored.select(
             "Id",
             (F.array_position("scores", F.col("best")) - 1).cast("int").alias("place"),
             (1 / _total(F.transform("scores", lambda s: F.exp(s - F.col("best"))))).alias("confidence"),
         )
-        return chosen.join(self.classes(), "place").select("Id", "CatId", "tags", "confidence")
+
+    def looked_up(self, rows: DataFrame, in_place: DataFrame, max_bytes: int = BROADCAST_BYTES // 2) -> DataFrame:
+        """``(Id, scores)`` as ``scores_of`` for ``rows_of`` posts that have whole numbers as ``Id``; in a ``temporary`` block.
+
+        The texts are split once. Tokens of the terms ``in_place`` (those of ``kept_in_place(max_bytes)``) are added up there;
+        the others are written packed by the bucket of their term, meet the rows of the term table in it, and go
+        back to their posts as counts. So no row of Spark is made, shuffled or written for a token.
+        """
+        buckets = self.terms.buckets or 1 + self.terms.n_bytes // TEXT_BYTES
+        cut = self.terms.hot_df(max_bytes)
+        packed = written(_matched(rows, in_place, self.smoothing, buckets), "batch-terms")
+        tokens = packed.where(F.col("kind") == RARE).select(F.col("at").alias("bucket"), "data")
+        table = self.terms.rows.where(F.col("df") < cut)
+        if self.terms.buckets:
+            hit = tokens.select("bucket").distinct().collect()
+            table = table.where(F.col("bucket").isin([row["bucket"] for row in hit]))
+        table = table.select(
+            term_bucket(F.col("term"), buckets).cast("bigint").alias("bucket"),
+            "term",
+            "idf",
+            F.col("seen.place").alias("place"),
+            F.col("seen.n").alias("n"),
+        )
+        found = tokens.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInArrow(_found, PACKED)
+        parts = packed.where(F.col("kind") == GAINS).unionByName(found).groupBy("at")
+        sums = f"Id {rows.schema['Id'].dataType.simpleString()}, x DOUBLE, seen ARRAY<STRUCT<place:INT,g:DOUBLE>>"
+        return self._scores(parts.applyInArrow(_summed(self.smoothing), sums))
 
     def score_rows(self, posts: DataFrame) -> DataFrame:
         """``(Id, CatId, tags, score, probability)`` for each post and class."""
@@ -218,6 +264,54 @@ class BayesModel:
         )
 
 
+@dataclass(frozen=True)
+class Held:
+    """Frequent terms as columns, for the Python workers: ``size`` classes a term, one term after the other."""
+
+    terms: pa.Array
+    idf: np.ndarray
+    size: np.ndarray
+    place: np.ndarray
+    gain: np.ndarray
+
+    @classmethod
+    def of(cls, hot: DataFrame) -> "Held":
+        """From rows (term, idf, gains), few enough to be sent."""
+        held = hot.select("term", "idf", F.col("gains.place").alias("place"), F.col("gains.g").alias("g")).toArrow().combine_chunks()
+        column = lambda name: held[name].combine_chunks() if isinstance(held[name], pa.ChunkedArray) else held[name]
+        flat = lambda name: pc.list_flatten(column(name)).to_numpy(zero_copy_only=False)
+        size = pc.fill_null(pc.list_value_length(column("place")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        return cls(column("term"), column("idf").to_numpy(zero_copy_only=False), size, flat("place"), flat("g"))
+
+    @property
+    def n_places(self) -> int:
+        return int(self.place.max(initial=0)) + 1
+
+    def at(self, known: pa.Array) -> np.ndarray:
+        """The place of each term here, -1 for none."""
+        return pc.fill_null(pc.index_in(known, value_set=self.terms, skip_nulls=True), -1).to_numpy()
+
+    def gains(self, post: np.ndarray, at: np.ndarray, weight: np.ndarray, n_posts: int) -> Iterator[tuple[np.ndarray, ...]]:
+        """``(post, place, g)``, some entries at a time, of the terms ``at`` that posts have with a ``weight``."""
+        start = np.cumsum(self.size) - self.size
+        before = np.cumsum(self.size[at])
+        steps = np.searchsorted(before, np.arange(ENTRIES, before[-1], ENTRIES)) if len(before) else []
+        for some in np.split(np.arange(len(at)), steps):
+            n_met = self.size[at[some]]
+            row = np.repeat(some, n_met)
+            if not len(row):
+                continue
+            entry = ranges(start[at[some]], n_met)
+            pair = post[row] * self.n_places + self.place[entry]
+            of_pair = np.arange(n_posts * self.n_places) if n_posts * self.n_places <= 8 * len(pair) else None
+            if of_pair is None:
+                of_pair, pair = np.unique(pair, return_inverse=True)
+            g = np.bincount(pair, weights=weight[row] * self.gain[entry], minlength=len(of_pair))
+            seen = np.flatnonzero(g)
+            of_pair = of_pair[seen]
+            yield of_pair // self.n_places, of_pair % self.n_places, g[seen]
+
+
 def gain_sums(post_rows: DataFrame, hot: DataFrame, unknown: float | None) -> DataFrame:
     """``(Id, place, x, g)``: sums of the weights and gains that posts get from the terms of ``hot``, in any number of parts.
 
@@ -226,51 +320,165 @@ def gain_sums(post_rows: DataFrame, hot: DataFrame, unknown: float | None) -> Da
     """
     spark = post_rows.sparkSession
     ship(spark)
-    held = hot.select("term", "idf", F.col("gains.place").alias("place"), F.col("gains.g").alias("g")).toArrow().combine_chunks()
-    column = lambda name: held[name].combine_chunks() if isinstance(held[name], pa.ChunkedArray) else held[name]
-    flat = lambda name: pc.list_flatten(column(name)).to_numpy(zero_copy_only=False)
-    size = pc.fill_null(pc.list_value_length(column("place")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    shared = send(spark, (column("term"), column("idf").to_numpy(zero_copy_only=False), size, flat("place"), flat("g")))
+    shared = send(spark, Held.of(hot))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, idf, size, place, gain = shared.value
-        start = np.cumsum(size) - size
-        n_places = int(place.max(initial=0)) + 1
+        held = shared.value
         for rows in _joined(batches):
             ids = rows.column(0).dictionary_encode("encode")
             post = ids.indices.to_numpy().astype(np.int64)
             n_posts = len(ids.dictionary)
             words = rows.column(1).dictionary_encode("encode")
-            known = pc.fill_null(pc.index_in(words.dictionary, value_set=terms, skip_nulls=True), -1).to_numpy()
-            at = known[words.indices.to_numpy()]
+            at = held.at(words.dictionary)[words.indices.to_numpy()]
             tf = pc.fill_null(rows.column(2), 0).to_numpy()
             found = at >= 0
-            weight = np.where(found, tf * idf[at], 0.0 if unknown is None else tf * unknown) if len(idf) else tf * (unknown or 0.0)
+            weight = np.where(found, tf * held.idf[at], 0.0 if unknown is None else tf * unknown) if len(held.idf) else tf * (unknown or 0.0)
             sums = np.bincount(post, weights=weight, minlength=n_posts)
             yield _parts(ids.dictionary, pa.nulls(n_posts, pa.int32()), pa.array(sums), pa.nulls(n_posts, pa.float64()))
-            post, at, weight = post[found], at[found], weight[found]
-            before = np.cumsum(size[at])
-            steps = np.searchsorted(before, np.arange(ENTRIES, before[-1], ENTRIES)) if len(before) else []
-            for some in np.split(np.arange(len(at)), steps):
-                n_met = size[at[some]]
-                row = np.repeat(some, n_met)
-                if not len(row):
-                    continue
-                entry = np.repeat(start[at[some]] - (np.cumsum(n_met) - n_met), n_met) + np.arange(len(row))
-                pair = post[row] * n_places + place[entry]
-                of_pair = np.arange(n_posts * n_places) if n_posts * n_places <= 8 * len(pair) else None
-                if of_pair is None:
-                    of_pair, pair = np.unique(pair, return_inverse=True)
-                g = np.bincount(pair, weights=weight[row] * gain[entry], minlength=len(of_pair))
-                seen = np.flatnonzero(g)
-                of_pair, none = of_pair[seen], pa.nulls(len(seen), pa.float64())
-                places = pa.array((of_pair % n_places).astype(np.int32))
-                yield _parts(ids.dictionary.take(pa.array(of_pair // n_places)), places, none, pa.array(g[seen]))
+            for of, place, g in held.gains(post[found], at[found], weight[found], n_posts):
+                places, none = pa.array(place.astype(np.int32)), pa.nulls(len(of), pa.float64())
+                yield _parts(ids.dictionary.take(pa.array(of)), places, none, pa.array(g))
 
     schema = StructType([post_rows.schema["Id"], *StructType.fromDDL("place INT, x DOUBLE, g DOUBLE").fields])
     return post_rows.select("Id", "term", "tf").mapInArrow(work, schema)
 
 
+PACKED = "kind INT, at BIGINT, data BINARY"
+
+
+def _packed(kind: int, rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    at, data = zip(*rows) if rows else ((), ())
+    columns = [pa.array([kind] * len(rows), pa.int32()), pa.array(at, pa.int64()), pa.array(data, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, names=["kind", "at", "data"])
+
+
+def _matched(rows: DataFrame, in_place: DataFrame, smoothing: float, buckets: int) -> DataFrame:
+    """The posts behind ``rows`` packed: gains of the terms ``in_place`` by parts of posts, other tokens by buckets of terms.
+
+    Every post is among the gains, with its weight so far.
+    """
+    spark = rows.sparkSession
+    ship(spark)
+    shared = send(spark, Held.of(with_gains(in_place, smoothing)))
+
+    def work(blocks: Iterator[Postings]) -> Iterator[pa.RecordBatch]:
+        lean()
+        held, rare = shared.value, []
+        for ids, post, term, tf, known in blocks:
+            ids = ids.to_numpy().astype(np.int64)
+            of_term = held.at(known)
+            at = of_term[term]
+            found = at >= 0
+            tokens = np.flatnonzero(~found)
+            if len(tokens):
+                wanted, own = np.unique(term[tokens], return_inverse=True)
+                rare.append((known.take(pa.array(wanted)), own, ids[post[tokens]], tf[tokens]))
+                if sum(len(some[1]) for some in rare) >= TOKENS:
+                    yield _packed(RARE, list(_dealt(rare, buckets)))
+                    rare = []
+            post, at = post[found], at[found]
+            weight = tf[found] * held.idf[at]
+            x = np.bincount(post, weights=weight, minlength=len(ids))
+            of, place, g = added_up(list(held.gains(post, at, weight, len(ids))))
+            ends = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(ids)))])
+            # posts of a block have numbers that follow each other, but for a change of files
+            edges = [0, *(np.flatnonzero(np.diff(ids >> PART_BITS)) + 1), len(ids)] if len(ids) else [0]
+            parts = [(int(ids[a]) >> PART_BITS, slice(a, b), slice(ends[a], ends[b])) for a, b in zip(edges[:-1], edges[1:])]
+            low = ids & ((1 << PART_BITS) - 1)
+            yield _packed(GAINS, [
+                (part, pack(low[some], x[some], low[of[inside]], place[inside], g[inside])) for part, some, inside in parts
+            ])
+        if rare:
+            yield _packed(RARE, list(_dealt(rare, buckets)))
+        lean()
+
+    return over_postings(rows, work, PACKED)
+
+
+def _dealt(rare: list[tuple], buckets: int) -> Iterator[tuple[int, bytes]]:
+    """Tokens ``(terms, place in them, post, tf)`` of some blocks, by the bucket of their term."""
+    found = pa.concat_arrays([terms for terms, *_ in rare]).dictionary_encode()
+    first = np.cumsum([0, *(len(terms) for terms, *_ in rare)])
+    of_term = found.indices.to_numpy().astype(np.int64)
+    term = np.concatenate([of_term[own + at] for at, (_, own, _, _) in zip(first, rare)])
+    post, tf = (np.concatenate([some[at] for some in rare]) for at in (2, 3))
+    bucket = buckets_of(found.dictionary, buckets)
+    order = np.argsort(bucket, kind="stable")  # of the terms
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    term = place[term]
+    by_term = np.argsort(term, kind="stable")
+    term, post, tf = term[by_term], post[by_term], tf[by_term]
+    terms = found.dictionary.take(pa.array(order))
+    times = np.bincount(term, minlength=len(order))
+    ends = np.concatenate([[0], np.cumsum(times)])
+    for at, some in cuts(bucket[order]):
+        inside = slice(ends[some.start], ends[some.stop])
+        low = int(post[inside].min())
+        part = terms.slice(some.start, some.stop - some.start)
+        yield at, pack(np.array([low]), part, times[some], post[inside] - low, tf[inside])
+
+
+def _found(tokens: pa.Table, table: pa.Table) -> pa.Table:
+    """What the tokens of a bucket get from the term table: ``(post, tf, idf, classes with counts)``, by parts of posts."""
+    given = [unpack(data.as_py()) for data in tokens.column("data")]
+    schema = pa.schema([("kind", pa.int32()), ("at", pa.int64()), ("data", pa.binary())])
+    if not given or not table.num_rows:
+        return schema.empty_table()
+    table = table.combine_chunks()
+    column = lambda name: table[name].combine_chunks() if isinstance(table[name], pa.ChunkedArray) else table[name]
+    size = pc.fill_null(pc.list_value_length(column("place")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    start = np.cumsum(size) - size
+    places, counts = (pc.list_flatten(column(name)).to_numpy(zero_copy_only=False) for name in ("place", "n"))
+    idf = column("idf").to_numpy(zero_copy_only=False)
+    terms = pa.concat_arrays([terms for _, terms, *_ in given])
+    of_term = pc.fill_null(pc.index_in(terms, value_set=column("term")), -1).to_numpy()
+    at = np.repeat(of_term, np.concatenate([times for _, _, times, *_ in given]))
+    post = np.concatenate([low[0] + post for low, _, _, post, _ in given])
+    tf = np.concatenate([tf for *_, tf in given])
+    known = np.flatnonzero(at >= 0)
+    known = known[np.argsort(post[known], kind="stable")]
+    at, post, tf = at[known], post[known], tf[known]
+    low = post & ((1 << PART_BITS) - 1)
+    rows = []
+    for part, some in cuts(post >> PART_BITS):
+        entry = ranges(start[at[some]], size[at[some]])
+        rows.append((part, pack(low[some], tf[some], idf[at[some]], size[at[some]], places[entry], counts[entry])))
+    return pa.Table.from_batches([_packed(GAINS, rows)], schema)
+
+
+def _summed(smoothing: float) -> Callable[[pa.Table], pa.Table]:
+    """``(Id, x, seen)`` of a part of the posts, from their gains in place and what their other tokens got."""
+
+    def work(table: pa.Table) -> pa.Table:
+        lean()
+        part, x, met = table["at"][0].as_py() << PART_BITS, np.zeros(1 << PART_BITS), np.zeros(1 << PART_BITS, bool)
+        held: list[tuple[np.ndarray, ...]] = []
+        for data in table["data"]:
+            columns = unpack(data.as_py())
+            if len(columns) == 5:
+                every, weight, own, places, gains = columns
+                met[every] = True
+            else:
+                every, tf, idf, size, places, counts = columns
+                weight, own = tf * idf, np.repeat(every, size)
+                gains = np.repeat(weight, size) * np.log((np.repeat(idf, size) * counts + smoothing) / smoothing)
+            x += np.bincount(every, weights=weight, minlength=len(x))
+            held.append((own, places, gains))
+            if sum(len(some[0]) for some in held) >= ENTRIES // 4:
+                held = [added_up(held)]
+        of, place, g = added_up(held)
+        ids = np.flatnonzero(met)
+        ends = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=len(x))[ids])]).astype(np.int32)
+        entries = pa.StructArray.from_arrays([pa.array(place, pa.int32()), pa.array(g)], ["place", "g"])
+        seen = pa.ListArray.from_arrays(pa.array(ends), entries)
+        summed = pa.Table.from_arrays([pa.array(part + ids), pa.array(x[ids]), seen], names=["Id", "x", "seen"])
+        lean()
+        return summed
+
+    return work
+
+
 def _parts(*columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns), names=["Id", "place", "x", "g"])
 

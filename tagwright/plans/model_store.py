@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tagwright.operators.bayes import SEEN, BayesModel, term_bytes
 from tagwright.operators.terms import TermTable, term_bucket
 from tagwright.plans.training import HashedModel
+from tagwright.session import shuffles_dropped
 
 MANIFEST = "version INT, kind STRING, smoothing DOUBLE, buckets INT, slots INT"
 BUCKET_BYTES = 8 << 20
@@ -65,7 +66,8 @@ class ModelStore:
         """Write a term table into folders by bucket, so that a few terms are found without reading the rest."""
         placed = terms.select("term", "df", "idf", "seen", term_bucket(F.col("term"), buckets).alias("bucket"))
         dealt = placed.repartition(buckets, "bucket").sortWithinPartitions("bucket", "term")
-        dealt.write.mode("overwrite").partitionBy("bucket").parquet(path)
+        with shuffles_dropped(self.spark):
+            dealt.write.mode("overwrite").partitionBy("bucket").option("compression", "zstd").parquet(path)
 
     def load(self, version: int | None = None) -> HashedModel | BayesModel:
         """A complete version with its labels, by default the newest."""

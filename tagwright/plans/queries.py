@@ -17,7 +17,7 @@ from tagwright.plans import relations as given
 from tagwright.plans.model_store import ModelStore
 from tagwright.plans.training import HashedModel, evaluate, train_hashed, true_rows
 from tagwright.plans.training_state import TrainingState
-from tagwright.session import new_folder, spread
+from tagwright.session import new_folder, spread, temporary
 from tagwright.sources import files, messages, payload, tables
 from tagwright.streaming.levels import LeveledTable
 from tagwright.streaming.scoring import (
@@ -33,6 +33,8 @@ from tagwright.streaming.upsert import KeyedTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+# Compressed messages that a stream takes at once, besides the file that goes beyond it: what a batch writes for a while is bounded.
+BATCH_BYTES = 512 << 20
 SCORE_DIGITS = 4
 WEIGHT_DIGITS = 6
 
@@ -384,7 +386,7 @@ def lookup_tag(spark, sf_dir):
 def json_lines(spark, posts: DataFrame, path: str | None = None) -> str:
     """A folder of posts as messages, for a stream to read."""
     path = path or new_folder(spark, "messages")
-    payload.encode(posts).select("value").write.mode("append").text(path)
+    payload.encode(posts).select("value").write.mode("append").options(**messages.TEXT_FILES).text(path)
     return path
 
 
@@ -394,11 +396,18 @@ def run_to_end(spark, writer, checkpoint: str | None = None) -> None:
     started.awaitTermination()
 
 
-def stream_tags(spark, model, posts: DataFrame) -> DataFrame:
-    """Publish ``model``, stream ``posts`` through it, and read the tagged messages."""
+def publish(spark, store: ModelStore, fit: Callable[..., tuple], sf_dir: str) -> int:
+    """Publish the model of ``fit``, of which nothing is kept beside the store."""
+    with temporary(spark):
+        return store.publish(fit(spark, sf_dir)[0])
+
+
+def stream_tags(spark, fit: Callable[..., tuple], sf_dir: str) -> DataFrame:
+    """Publish the model of ``fit``, stream all posts through it, and read the tagged messages."""
     store = ModelStore(spark, new_folder(spark, "models"))
-    store.publish(model)
-    source = messages.post_stream(spark, "text", {"path": json_lines(spark, posts)})
+    publish(spark, store, fit, sf_dir)
+    posts = given.posts(spark, sf_dir)
+    source = messages.post_stream(spark, "text", {"path": json_lines(spark, posts), "maxBytesPerTrigger": str(BATCH_BYTES)})
     sink = new_folder(spark, "tagged")
     run_to_end(spark, score_batches(payload.decode_posts(source), ModelFeed(store).current, batch_folders(sink)))
     return messages.read_tagged(spark, sink).select(F.col("Id").cast("bigint").alias("Id"), "tags")
@@ -406,7 +415,7 @@ def stream_tags(spark, model, posts: DataFrame) -> DataFrame:
 
 @query
 def score_stream(spark, sf_dir):
-    return stream_tags(spark, fit_exact(spark, sf_dir)[0], given.posts(spark, sf_dir))
+    return stream_tags(spark, fit_exact, sf_dir)
 
 
 class Stopped(RuntimeError):
@@ -479,7 +488,7 @@ def upsert_recovered(spark, sf_dir):
 
 @query
 def score_stream_hashed(spark, sf_dir):
-    return stream_tags(spark, fit_hashed(spark, sf_dir)[0], given.posts(spark, sf_dir))
+    return stream_tags(spark, fit_hashed, sf_dir)
 
 
 @query
@@ -489,8 +498,9 @@ def score_stream_refresh(spark, sf_dir):
     feed = ModelFeed(store, refresh_seconds=0)
     sink, path, state = [new_folder(spark, purpose) for purpose in ("tagged", "messages", "stream")]
     for fit, posts in zip((fit_hashed, fit_exact), labels.split_by_key(given.posts(spark, sf_dir))):
-        store.publish(fit(spark, sf_dir)[0])
-        source = messages.post_stream(spark, "text", {"path": json_lines(spark, posts, path)})
+        publish(spark, store, fit, sf_dir)
+        options = {"path": json_lines(spark, posts, path), "maxBytesPerTrigger": str(BATCH_BYTES)}
+        source = messages.post_stream(spark, "text", options)
         run_to_end(spark, score_batches(payload.decode_posts(source), feed.current, batch_folders(sink)), state)
     return messages.read_tagged(spark, sink).select(F.col("Id").cast("bigint").alias("Id"), "tags")
 

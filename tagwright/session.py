@@ -17,6 +17,7 @@ from tagwright.fixed_values import BROADCAST_BYTES
 
 # The folder of the innermost ``temporary`` block.
 _TEMPORARY: ContextVar[str | None] = ContextVar("temporary", default=None)
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # What was sent to the executors in that block.
 _SENT: ContextVar[list[Broadcast] | None] = ContextVar("sent", default=None)
 
@@ -67,13 +68,28 @@ def subfolders(spark: SparkSession, path: str) -> list[tuple[str, float]]:
     return [(entry.getPath().getName(), entry.getModificationTime() / 1000) for entry in inside]
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of what the block runs go when it has run, instead of when the driver next collects its garbage."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
 @contextmanager
 def temporary(spark: SparkSession) -> Iterator[None]:
-    """What the block writes to new folders or sends is deleted at its end, so nothing lazy may read it later."""
+    """What the block writes to new folders or sends is deleted at its end, so nothing lazy may read it later.
+
+    Shuffle files of what it runs are deleted at once.
+    """
     folder, sent = new_folder(spark, "temporary"), []
     outer, outer_sent = _TEMPORARY.set(folder), _SENT.set(sent)
     try:
-        yield
+        with shuffles_dropped(spark):
+            yield
     finally:
         _TEMPORARY.reset(outer)
         _SENT.reset(outer_sent)
@@ -91,13 +107,25 @@ def send(spark: SparkSession, value) -> Broadcast:
 
 
 def written(df: DataFrame, purpose: str, path: str | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, so later jobs do not compute it again."""
+    """Write ``df`` to the shared folder and read it back, so later jobs do not compute it again.
+
+    In a ``temporary`` block it is written small, and its shuffle files go.
+    """
     spark = df.sparkSession
     path = path or new_folder(spark, purpose)
-    df.write.parquet(path)
+    if _TEMPORARY.get():
+        with shuffles_dropped(spark):
+            df.write.option("compression", "zstd").parquet(path)
+    else:
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def given_bytes(df: DataFrame) -> int:
+    """What Spark takes for the size of a scan, without running anything."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_broadcast(df: DataFrame, row_bytes: Column) -> bool:
     """Whether the rows of ``df``, of ``row_bytes`` each, may be sent to every executor."""
     total = df.agg(F.sum(row_bytes)).first()[0]

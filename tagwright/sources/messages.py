@@ -14,6 +14,10 @@ from tagwright.fixed_values import TAGGED_TOPIC
 from tagwright.sources.payload import decode_posts, encode
 
 
+# How messages are written to text files: a reader knows by their names that they are compressed.
+TEXT_FILES = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+
+
 def kafka(brokers: str, topic: str, **more: str) -> dict[str, str]:
     """Source options of a topic, read from its beginning unless the checkpoint says otherwise."""
     return {"kafka.bootstrap.servers": brokers, "subscribe": topic, "startingOffsets": "earliest", **more}
@@ -57,7 +61,7 @@ def write_tagged(
 ) -> None:
     """Write rows as JSON messages from the executors; the post id is the message key in Kafka.
 
-    For files, ``options`` has a ``path``, which is overwritten, so a repeated batch leaves one copy; with the
+    For files, compressed if they are text, ``options`` has a ``path``, which is overwritten, so a repeated batch leaves one copy; with the
     ``mode`` append they keep all that was ever written, as a topic does. With a ``batch_id`` a message carries its
     identity, by which ``read_once`` and ``stream_once`` tell a repeated batch from new messages.
     """
@@ -65,7 +69,8 @@ def write_tagged(
     if sink == "kafka":
         messages.write.format("kafka").options(**{"topic": TAGGED_TOPIC, **options}).save()
     else:
-        messages.select("value").write.mode(mode).format(sink).options(**options).save()
+        files = TEXT_FILES if sink == "text" else {}
+        messages.select("value").write.mode(mode).format(sink).options(**{**files, **options}).save()
 
 
 def read_once(messages: DataFrame) -> DataFrame:

@@ -24,6 +24,8 @@ def trigger(writer: DataStreamWriter, once: bool = False) -> DataStreamWriter:
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=TRIGGER)
 
 
+# Rows of a batch whose classes are listed together, as bits of their numbers.
+RUN_BITS = 14
 # The frequent terms of the models in use, held by the executors from batch to batch.
 _IN_PLACE: dict[int, tuple[BayesModel, DataFrame]] = {}
 
@@ -41,25 +43,37 @@ def frequent_terms(model: BayesModel) -> DataFrame:
 def tag_posts(model: HashedModel | BayesModel, posts: DataFrame) -> DataFrame:
     """The posts of a batch with their predicted ``tags``. An id may come again with another text.
 
-    For an exact model the rows are written with a number, and their tags joined back by it: texts are neither
-    shuffled nor sorted while the tags of the batch are small enough to be broadcast. Of a term table too large for
-    that, the frequent terms stay in place between batches and the others are read from the buckets that they fall into;
-    the texts are split once, and the terms of the posts written.
+    For an exact model the rows are written with a number, and the places of their classes joined back by it, listed for
+    runs of rows: texts are neither shuffled nor sorted while the lists, a few bytes a post, are small enough to be broadcast.
+    Of a term table too large for that, the frequent terms stay in place between batches and the others are read from the
+    buckets that they fall into; the texts are split once, and the tokens of other terms written packed.
     """
     if isinstance(model, HashedModel):
         return model.predict(posts)
     numbered = filled(posts, "Id", "Body").withColumn("_row", F.monotonically_increasing_id())
     texts = written(numbered, "batch")
     rows = model.rows_of(texts.select(F.col("_row").alias("Id"), "Body"), "Id")
-    if model.terms.n_bytes > BROADCAST_BYTES:
+    if model.terms.n_bytes <= BROADCAST_BYTES:
+        scores = model.scores_of(rows)
+    elif model.slots:
         # terms are looked up, attached in place and attached by shuffle: three reads
         rows = written(rows, "batch-terms")
-        model = model.only_of(rows, frequent_terms(model))
-    predicted = model.predict_of(rows)
-    tags = written(predicted.select(F.col("Id").alias("_row"), "tags"), "batch-tags")
-    if fits_broadcast(tags, 32 + F.octet_length("tags")):
-        tags = F.broadcast(tags)
-    return texts.join(tags, "_row").select(*posts.columns, "tags")
+        scores = model.only_of(rows, frequent_terms(model)).scores_of(rows)
+    else:
+        scores = model.looked_up(rows, frequent_terms(model))
+    chosen = model.chosen(scores).select(F.col("Id").alias("_row"), "place")
+    run = lambda row: F.shiftright(row, RUN_BITS).alias("_run")
+    # rows are numbered without gaps in each partition, whose numbers begin with a new run
+    ordered = F.array_sort(F.collect_list(F.struct("_row", "place")))
+    number = "smallint" if max(model.places) < 1 << 15 else "int"
+    places = F.transform(ordered, lambda row: row["place"].cast(number)).alias("places")
+    listed = written(chosen.groupBy(run("_row")).agg(places), "batch-tags")
+    if fits_broadcast(listed, 64 + (2 if number == "smallint" else 4) * F.size("places")):
+        listed = F.broadcast(listed)
+    place = F.get("places", F.col("_row").bitwiseAND((1 << RUN_BITS) - 1).cast("int")).cast("int")
+    placed = texts.withColumn("_run", run("_row")).join(listed, "_run").select(*posts.columns, place.alias("_place"))
+    tags = model.classes().select(F.col("place").alias("_place"), F.col("tags").alias("_tag"))
+    return placed.join(tags, "_place").select(*posts.columns, F.col("_tag").alias("tags"))
 
 
 class ModelFeed:
